@@ -447,16 +447,21 @@ def paragraphs(nodes: DataFrame) -> DataFrame:
             .select("page_id", "node_id", F.col("tag_idx").alias("p_idx"), "outer_html", "text"))
 
 
-def chunk_rows(df: DataFrame, key: str, order: str, value: str, n: int, sep: str = "\n") -> DataFrame:
+def chunk_rows(df: DataFrame, key: str, order: str, value: str, n: int, sep: str = "\n",
+               index: str | None = None) -> DataFrame:
     """Groups of ``n`` consecutive items per key joined by ``sep``.
 
-    The group key includes the chunk number, so a key with many items is
-    spread over many groups (no group holds more than ``n`` items).  The
-    item number comes from ``row_number`` over the key; callers use it on
-    keys of bounded size (a page, a message).
+    ``index`` names a column that already numbers the items 0.. per key
+    (``p_idx`` from the node table): then no window is needed.  Otherwise
+    the item number comes from ``row_number`` over the key (for keys of
+    bounded size: a page, a message).  Each group holds at most ``n`` items.
     """
-    w = Window.partitionBy(key).orderBy(order)
-    x = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("chunk_idx", F.floor(F.col("_i") / n).cast("int"))
+    if index is None:
+        w = Window.partitionBy(key).orderBy(order)
+        df = df.withColumn("_i", F.row_number().over(w) - 1)
+    else:
+        df = df.withColumn("_i", F.col(index))
+    x = df.withColumn("chunk_idx", F.floor(F.col("_i") / n).cast("int"))
     return (x.groupBy(key, "chunk_idx")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_i", F.col(value).alias("v")))),
                                           lambda s: s["v"]), sep).alias("chunk"),

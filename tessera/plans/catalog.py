@@ -162,3 +162,262 @@ FROM pages""")
 def page_text(spark, sf_dir):
     """Mail-style HTML to text over every page."""
     return _pages(spark, sf_dir).select("page_id", hx.html_to_text(F.col("html")).alias("body"))
+
+
+# ------------------------------------------------------------------ more SQL bits
+
+def sql_map(d: dict) -> str:
+    items = ", ".join(f"'{k}': '{v}'" for k, v in d.items())
+    return "MAP {" + items + "}"
+
+
+def sql_list(xs) -> str:
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
+
+
+def sql_normalize_title(x: str) -> str:
+    return (f"regexp_replace(regexp_replace(lower({sql_strip(f'coalesce({x}, {chr(39)}{chr(39)})')}), "
+            f"'{SQL_WS}+', ' ', 'g'), '^[0-9]+\\.\\s*', '')")
+
+
+def sql_clean_text(x: str) -> str:
+    return sql_strip(f"regexp_replace({x}, '{SQL_WS}+', ' ', 'g')")
+
+
+def sql_clean_url(x: str) -> str:
+    s = sql_strip(f"coalesce({x}, '')")
+    s = f"regexp_replace({s}, '(?i)\\s*[-–—]?\\s*open in new window.*$', '')"
+    s = f"regexp_replace({s}, '^<|>$', '', 'g')"
+    s = (f"CASE WHEN NOT regexp_matches({s}, '(?i)^https?://') AND regexp_matches({s}, "
+         f"'(?i)\\b[a-z0-9-]+\\.[a-z]{{2,}}\\b') THEN 'https://' || {s} ELSE {s} END")
+    return f"regexp_replace({s}, '{ul.TRAILING_PUNCT}', '')"
+
+
+# ------------------------------------------------------------------ page text forms
+
+@register("paragraph_chunks", f"""
+WITH c AS (SELECT page_id, {SQL_CLEAN_HTML} AS h FROM pages),
+s AS (SELECT page_id, string_split(regexp_replace(h, '<p([\\s>])', chr(1) || '<p\\1', 'g'), chr(1)) AS parts FROM c),
+u AS (SELECT page_id, unnest(parts[2:]) AS piece, generate_subscripts(parts[2:], 1) - 1 AS p_idx FROM s),
+m AS (SELECT page_id, p_idx,
+        regexp_extract(piece, '(?s)^(<p.*?)(</p>|<(?:{_P_BLOCK})[\\s/>]|</(?:{_P_CONTAINER_END})>|$)',
+                       ['body', 'term']) AS x FROM u),
+p AS (SELECT page_id, p_idx, x.body || CASE WHEN x.term = '</p>' THEN '</p>' ELSE '' END AS outer_html FROM m)
+SELECT page_id, CAST(p_idx // 3 AS INTEGER) AS chunk_idx,
+  string_agg(outer_html, chr(10) ORDER BY p_idx) AS chunk, count(*) AS n_items
+FROM p GROUP BY page_id, p_idx // 3""")
+def paragraph_chunks(spark, sf_dir):
+    """B25 + B26: each page's paragraphs in groups of three (one model request each)."""
+    nodes = hx.html_nodes(_pages(spark, sf_dir), text_tags=set(), outer_tags={"p"}, tags={"p"})
+    return hx.chunk_rows(hx.paragraphs(nodes), "page_id", "p_idx", "outer_html", 3, index="p_idx")
+
+
+_URL_RX = "^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\\?([^#]*))?(?:#(.*))?$"
+
+
+@register("url_remove_segment", f"""
+WITH p AS (SELECT page_id, url, regexp_extract(coalesce(url, ''), '{_URL_RX}',
+             ['scheme', 'netloc', 'path', 'query', 'fragment']) AS u FROM pages)
+SELECT page_id, url,
+  CASE WHEN url IS NULL OR url = '' THEN url ELSE
+    (CASE WHEN u.scheme = '' THEN 'https' ELSE u.scheme END) || '://' || u.netloc || '/' ||
+    array_to_string(list_filter(string_split(u.path, '/'),
+                    lambda s: s <> '' AND NOT regexp_full_match(s, '[0-9]{{4}}(-[0-9]{{2}})?')), '/') ||
+    (CASE WHEN u.query <> '' THEN '?' || u.query ELSE '' END) ||
+    (CASE WHEN u.fragment <> '' THEN '#' || u.fragment ELSE '' END) END AS yearless_url,
+  regexp_matches(u.path, '/[0-9]{{4}}(-[0-9]{{2}})?(/|$)') AS has_year
+FROM p""")
+def url_remove_segment(spark, sf_dir):
+    """S13 + C10: every page URL without year path segments, and the year test."""
+    return _pages(spark, sf_dir).select("page_id", "url", ul.remove_year_segment("url").alias("yearless_url"),
+                                        ul.has_year_token("url").alias("has_year"))
+
+
+@register("url_rewrite_host", f"""
+WITH p AS (SELECT page_id, url, {sql_strip("coalesce(url, '')")} AS s FROM pages),
+q AS (SELECT page_id, url, s, lower(s) AS low,
+        regexp_extract(s, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) AS sh,
+        regexp_extract(s, '^([^/?#]*)', 1) AS ph FROM p),
+r AS (SELECT *, CASE WHEN sh <> '' THEN sh ELSE ph END AS host,
+        CASE WHEN sh <> '' THEN regexp_replace(s, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*', '')
+             ELSE regexp_replace(s, '^[^/?#]*', '') END AS after FROM q)
+SELECT page_id, url,
+  CASE WHEN starts_with(low, 'https://waf.') OR starts_with(low, 'http://waf.') OR starts_with(low, 'waf.') THEN s
+       WHEN starts_with(low, 'example.com') THEN 'https://waf.' || s
+       WHEN host <> '' AND ends_with(lower(host), 'example.com') THEN
+         'https://' || (CASE WHEN starts_with(lower(host), 'waf.') THEN host
+                             ELSE 'waf.' || regexp_replace(host, '(?i)^www\\.', '') END) || after
+       ELSE s END AS rewritten
+FROM r""")
+def url_rewrite_host(spark, sf_dir):
+    """Force ``https://waf.`` on hosts under example.com (the facts-site rule)."""
+    return _pages(spark, sf_dir).select("page_id", "url", ul.rewrite_host("url", "example.com").alias("rewritten"))
+
+
+# ------------------------------------------------------------------ documents
+
+def _relevant_sql(l: str) -> str:
+    conds = [f"regexp_matches(lower({l}), '[0-9]')"] + [
+        f"contains(lower({l}), '{w}')" for w in ("camp", "date", "session", "ages", "$", "–", "to", "through")]
+    return "(" + " OR ".join(conds) + ")"
+
+
+@register("relevant_lines", f"""
+WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
+                  lambda l: {sql_strip("l")}), lambda l: l <> '' AND {_relevant_sql("l")}) AS keep FROM documents)
+SELECT doc_id, substring(array_to_string(keep, chr(10)), 1, 5000) AS snippet, len(keep) AS n_relevant
+FROM d""")
+def relevant_lines(spark, sf_dir):
+    """B24 + S42: relevant lines of every whole document, the first 5,000
+    characters as the model snippet, and how many lines qualified."""
+    from tessera.operators.extract import is_relevant
+    d = read_table(spark, sf_dir, "documents")
+    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: tx.strip(l))
+    keep = F.filter(lines, lambda l: (l != "") & is_relevant(l))
+    return d.select("doc_id", F.substring(F.array_join(keep, "\n"), 1, 5000).alias("snippet"),
+                    F.size(keep).alias("n_relevant"))
+
+
+@register("title_normalize", f"""
+SELECT doc_id, {sql_clean_text("coalesce(text, '')")} AS clean, {sql_normalize_title("text")} AS title_norm
+FROM documents""")
+def title_normalize(spark, sf_dir):
+    """S1 + S9 over every whole document."""
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", tx.clean_text(F.coalesce("text", F.lit(""))).alias("clean"),
+                    tx.normalize_title("text").alias("title_norm"))
+
+
+_RECORD = f"[0-9]+{SQL_WS}*[-–]{SQL_WS}*[0-9]+"
+
+
+@register("record_parse", f"""
+WITH m AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_RECORD}') AS rs FROM documents),
+u AS (SELECT doc_id, unnest(rs) AS record, generate_subscripts(rs, 1) - 1 AS m_idx FROM m)
+SELECT doc_id, CAST(m_idx AS INTEGER) AS m_idx, record,
+  CAST(regexp_extract(record, '^([0-9]+)', 1) AS INTEGER) AS w,
+  CAST(regexp_extract(record, '([0-9]+)$', 1) AS INTEGER) AS l
+FROM u""")
+def record_parse(spark, sf_dir):
+    """Every ``W-L`` record in every document, split into numbers."""
+    d = read_table(spark, sf_dir, "documents")
+    x = d.select("doc_id", F.posexplode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_RECORD), 0))
+                 .alias("m_idx", "record"))
+    return x.select("doc_id", "m_idx", "record",
+                    F.regexp_extract("record", r"^([0-9]+)", 1).try_cast("int").alias("w"),
+                    F.regexp_extract("record", r"([0-9]+)$", 1).try_cast("int").alias("l"))
+
+
+# ------------------------------------------------------------------ events: JSON, answers, status
+
+@register("props_json", """
+SELECT event_id, event_type, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""")
+def props_json(spark, sf_dir):
+    """B15 access path: parse embedded JSON (variant) and read a field."""
+    e = read_table(spark, sf_dir, "events")
+    return e.select("event_id", "event_type", F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
+
+
+def answers_input(spark, sf_dir):
+    """Camp rows and stored model answers in the shapes M6 reads, one per
+    event: the answer's array has ``k % 4`` objects made from the event;
+    error events carry a single-quoted (invalid) array, signup events with
+    ``k % 5 = 0`` an envelope without ``choices``; view events are fenced."""
+    e = read_table(spark, sf_dir, "events").withColumn(
+        "k", F.try_variant_get(F.try_parse_json("props"), "$.k", "int"))
+    base = e.select(F.col("event_id").alias("camp_id"),
+                    F.concat(F.lit("https://camps.example.org/e/"), F.col("event_id").cast("string")).alias("camp_info_url"),
+                    F.lit("").alias("camp_found"),
+                    F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("event_details"),
+                    F.lit("").alias("start_date"), F.lit("").alias("end_date"),
+                    F.lit("").alias("ages_grade_level"), F.lit("").alias("cost"))
+    n = F.col("k") % 4
+    items = F.transform(F.filter(F.sequence(F.lit(0), n), lambda i: i > 0), lambda i: F.struct(
+        F.concat(F.col("event_type"), F.lit(" session "), i.cast("string")).alias("event_name"),
+        F.date_format(F.col("ts"), "yyyy-MM-dd").alias("start_date"),
+        F.date_format(F.date_add(F.col("ts"), i), "yyyy-MM-dd").alias("end_date"),
+        F.concat(F.lit("U"), (F.col("k") % 19).cast("string")).alias("ages"),
+        F.concat(F.lit("$"), F.col("value").cast("string")).alias("cost")))
+    arr = F.to_json(items)
+    content = (F.when(F.col("event_type") == "error", F.lit("[{'event_name': 'x'}]"))
+               .when(F.col("event_type") == "view", F.concat(F.lit("```json\n"), arr, F.lit("\n```")))
+               .otherwise(F.concat(F.lit("Here you go: "), arr)))
+    env = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices")))
+    env = F.when((F.col("event_type") == "signup") & (F.col("k") % 5 == 0), F.lit('{"error": "rate"}')).otherwise(env)
+    return base, e.select(F.col("event_id").alias("camp_id"), env.alias("response"))
+
+
+@register("answers_explode", """
+WITH e AS (SELECT *, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+a AS (SELECT event_id AS camp_id, event_type, ts, value, k,
+        CASE WHEN event_type = 'error' THEN '[{''event_name'': ''x''}]'
+             ELSE '[' || coalesce((SELECT string_agg('{"event_name":"' || event_type || ' session ' || i ||
+                    '","start_date":"' || strftime(ts, '%Y-%m-%d') || '","end_date":"' ||
+                    strftime(ts + to_days(CAST(i AS INTEGER)), '%Y-%m-%d') || '","ages":"U' || (k % 19) ||
+                    '","cost":"$' || CAST(value AS VARCHAR) || '"}', ',' ORDER BY i)
+                    FROM range(1, (k % 4) + 1) t(i)), '') || ']' END AS arr
+      FROM e),
+c AS (SELECT camp_id, k, event_type,
+        CASE WHEN event_type = 'signup' AND k % 5 = 0 THEN NULL
+             WHEN event_type = 'view' THEN '```json' || chr(10) || arr || chr(10) || '```'
+             ELSE 'Here you go: ' || arr END AS content FROM a),
+s AS (SELECT camp_id,
+        CASE WHEN starts_with(content, '```') THEN trim(regexp_replace(content, '^`+|`+$', '', 'g'))
+             ELSE content END AS c1 FROM c),
+t AS (SELECT camp_id, CASE WHEN instr(c1, '[') > 0 THEN substring(c1, instr(c1, '[')) END AS snip FROM s),
+v AS (SELECT camp_id, snip,
+        CASE WHEN snip IS NULL OR NOT json_valid(snip) OR json_type(snip) <> 'ARRAY' THEN 'error'
+             WHEN json_array_length(snip) = 0 THEN 'none'
+             WHEN list_bool_or(list_transform(json_extract(snip, '$[*]'), lambda x: json_type(x) <> 'OBJECT')) THEN 'error'
+             ELSE 'found' END AS state FROM t),
+b AS (SELECT event_id AS camp_id, 'https://camps.example.org/e/' || event_id AS camp_info_url,
+        'Event ' || event_id AS event_details FROM events),
+f AS (SELECT v.camp_id, unnest(json_extract(snip, '$[*]')) AS el,
+        generate_subscripts(json_extract(snip, '$[*]'), 1) - 1 AS sub_pos FROM v WHERE state = 'found')
+SELECT b.camp_id, b.camp_info_url, 'Yes' AS camp_found,
+  coalesce(json_extract_string(el, '$.event_name'), b.event_details) AS event_details,
+  coalesce(json_extract_string(el, '$.start_date'), '') AS start_date,
+  coalesce(json_extract_string(el, '$.end_date'), '') AS end_date,
+  coalesce(json_extract_string(el, '$.ages'), '') AS ages_grade_level,
+  coalesce(json_extract_string(el, '$.cost'), '') AS cost, CAST(sub_pos AS INTEGER) AS sub_pos
+FROM f JOIN b USING (camp_id)
+UNION ALL
+SELECT b.camp_id, b.camp_info_url, CASE WHEN state = 'none' THEN 'No' ELSE '' END, b.event_details,
+  CASE WHEN state = 'none' THEN '' ELSE 'LLM Error' END, CASE WHEN state = 'none' THEN '' ELSE 'LLM Error' END,
+  CASE WHEN state = 'none' THEN '' ELSE 'LLM Error' END, CASE WHEN state = 'none' THEN '' ELSE 'LLM Error' END, 0
+FROM v JOIN b USING (camp_id) WHERE state <> 'found'""")
+def answers_explode(spark, sf_dir):
+    """M2-M6: envelope, fence strip, strict JSON, explode into camp rows."""
+    from tessera.operators.answers import explode_answers
+    base, ans = answers_input(spark, sf_dir)
+    return explode_answers(base, ans, "camp_id")
+
+
+def captures_input(spark, sf_dir):
+    """A capture table ``(page_id, url, status, error)`` from events: the
+    event type stands for the HTTP outcome."""
+    e = read_table(spark, sf_dir, "events")
+    url = F.when(F.col("event_type") == "signup", F.lit("")).otherwise(
+        F.concat(F.lit("https://x.example.com/e/"), F.col("event_id").cast("string")))
+    status = (F.when(F.col("event_type").isin("view", "click"), F.lit(200))
+              .when(F.col("event_type") == "purchase", F.lit(301)).otherwise(F.lit(500)))
+    err = F.when((F.col("event_type") == "error") & (F.col("value") > 40), F.lit("timeout"))
+    return e.select(F.col("event_id").alias("page_id"), url.alias("url"), status.alias("status"), err.alias("error"))
+
+
+@register("status_text", """
+WITH c AS (SELECT event_id AS page_id,
+    CASE WHEN event_type = 'signup' THEN '' ELSE 'https://x.example.com/e/' || event_id END AS url,
+    CASE WHEN event_type IN ('view', 'click') THEN 200 WHEN event_type = 'purchase' THEN 301 ELSE 500 END AS status,
+    CASE WHEN event_type = 'error' AND value > 40 THEN 'timeout' END AS error FROM events)
+SELECT page_id,
+  CASE WHEN coalesce(url, '') = '' THEN 'No URL Provided'
+       WHEN error IS NOT NULL AND error <> '' THEN 'Failed to load. Error: ' || error
+       WHEN status = 200 THEN 'Loaded Successfully'
+       ELSE 'Error ' || CAST(status AS VARCHAR) END AS status_text
+FROM c""")
+def status_text(spark, sf_dir):
+    """Link status text for every capture."""
+    from tessera.functions.status import status_text as stx
+    c = captures_input(spark, sf_dir)
+    return c.select("page_id", stx("url", "status", "error").alias("status_text"))
