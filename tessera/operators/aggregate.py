@@ -41,9 +41,13 @@ def roster_counts(players: DataFrame, keys: list[str], position: str = "position
     """
     x = players.withColumn("_cls", position_classes(F.col(position))) \
                .withColumn("_yr", F.lower(F.coalesce(F.col(year), F.lit(""))))
+    def n_code(code):
+        # a one-argument lambda: Spark reads a second argument as the index
+        return F.size(F.filter("_cls", lambda c: c == F.lit(code)))
+
     aggs = []
     for code, bucket in POSITION_BUCKETS.items():
-        aggs.append(F.sum(F.size(F.filter("_cls", lambda c, code=code: c == code))).cast("long").alias(bucket))
+        aggs.append(F.sum(n_code(code)).cast("long").alias(bucket))
     for y in YEAR_BUCKETS:
         aggs.append(F.count_if(F.col("_yr") == y).alias(_bucket_name(y)))
     out = x.groupBy(*keys).agg(*aggs)

@@ -421,3 +421,248 @@ def status_text(spark, sf_dir):
     from tessera.functions.status import status_text as stx
     c = captures_input(spark, sf_dir)
     return c.select("page_id", stx("url", "status", "error").alias("status_text"))
+
+
+# ------------------------------------------------------------------ class years, positions, ages
+
+# Builder values: class-year words placed on open orders (stand-in roster cells).
+_YEAR_WORDS = ["Sr.", "jr", "So.", "Fr", "FY.", "graduate", "R-Fr.", "first-year"]
+
+
+def season_input(spark, sf_dir):
+    """Roster-like rows from orders: the order date is "now", the class cell
+    is a graduation year ('Class of yyyy', finished orders) or a class-year
+    word (open orders) chosen by the price digits; other orders get ''."""
+    o = read_table(spark, sf_dir, "orders")
+    p = F.floor("o_totalprice").cast("bigint")
+    txt = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Class of "),
+                                                            (F.year("o_orderdate") + p % 6 - 1).cast("string")))
+           .when(F.col("o_orderstatus") == "O", F.element_at(F.array(*[F.lit(w) for w in _YEAR_WORDS]),
+                                                                (p % len(_YEAR_WORDS) + 1).cast("int")))
+           .otherwise(F.lit("")))
+    return o.select("o_orderkey", "o_custkey", "o_orderdate", txt.alias("class_text"))
+
+
+_SQL_SEASON_INPUT = f"""
+SELECT o_orderkey, o_custkey, o_orderdate,
+  CASE WHEN o_orderstatus = 'F' THEN 'Class of ' || CAST(year(o_orderdate) + CAST(floor(o_totalprice) AS BIGINT) % 6 - 1 AS VARCHAR)
+       WHEN o_orderstatus = 'O' THEN {sql_list(_YEAR_WORDS)}[CAST(CAST(floor(o_totalprice) AS BIGINT) % {len(_YEAR_WORDS)} + 1 AS INTEGER)]
+       ELSE '' END AS class_text
+FROM orders"""
+
+
+def _sql_level(text: str, now: str) -> str:
+    from tessera.functions.roster import YEAR_MAP
+    season = f"(CASE WHEN month({now}) >= 6 THEN year({now}) ELSE year({now}) - 1 END)"
+    yr = f"regexp_extract(lower({text}), '\\b(20[0-9]{{2}})\\b', 1)"
+    delta = f"(TRY_CAST({yr} AS INTEGER) - ({season} + 1))"
+    clean = sql_strip(f"replace(lower({text}), '.', '')")
+    return (f"CASE WHEN coalesce({text}, '') = '' THEN '' WHEN {yr} <> '' THEN "
+            f"(CASE WHEN {delta} = 0 THEN 'senior' WHEN {delta} = 1 THEN 'junior' WHEN {delta} = 2 THEN 'sophomore' "
+            f"WHEN {delta} = 3 THEN 'freshman' WHEN {delta} < 0 THEN 'graduate student' ELSE 'freshman' END) "
+            f"ELSE coalesce({sql_map(YEAR_MAP)}[{clean}], {clean}) END")
+
+
+@register("season_year", f"""
+WITH s AS ({_SQL_SEASON_INPUT})
+SELECT o_orderkey, CAST(CASE WHEN month(o_orderdate) >= 6 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS INTEGER) AS season_start,
+  class_text, {_sql_level("class_text", "o_orderdate")} AS level
+FROM s""")
+def season_year(spark, sf_dir):
+    """S17 + S18: season start year and academic level of every row."""
+    from tessera.functions import roster as ro
+    s = season_input(spark, sf_dir)
+    return s.select("o_orderkey", ro.season_start_year("o_orderdate").alias("season_start"), "class_text",
+                    ro.academic_level("class_text", F.col("o_orderdate")).alias("level"))
+
+
+@register("class_level_counts", f"""
+WITH s AS ({_SQL_SEASON_INPUT}), l AS (SELECT o_custkey, {_sql_level("class_text", "o_orderdate")} AS level FROM s)
+SELECT o_custkey,
+  count(*) FILTER (WHERE level = 'freshman') AS freshman, count(*) FILTER (WHERE level = 'sophomore') AS sophomore,
+  count(*) FILTER (WHERE level = 'junior') AS junior, count(*) FILTER (WHERE level = 'senior') AS senior,
+  count(*) FILTER (WHERE level = 'graduate student') AS graduate_student
+FROM l GROUP BY o_custkey""")
+def class_level_counts(spark, sf_dir):
+    """S18 + F1 (year part): per customer ("team") counts of each level."""
+    from tessera.functions import roster as ro
+    s = season_input(spark, sf_dir).withColumn("level", ro.academic_level("class_text", F.col("o_orderdate")))
+    return s.groupBy("o_custkey").agg(*[F.count_if(F.col("level") == y).alias(y.replace(" ", "_"))
+                                        for y in ro.YEAR_BUCKETS])
+
+
+# Builder values: position cells as rosters write them.
+_POS_WORDS = ["D/M", "Goal Keeper", "GK", "Def.", "F, M", "Back", "CB\\RB", "Wing", "Striker", "M-F",
+              "Keeper / D", "Utility", "fwd", "Mid & Def", "g"]
+# Builder values: class-year cells as rosters write them.
+_CLASS_WORDS = ["Fr.", "So", "jr.", "SR", "Graduate", "R-Fr.", "fy", "Senior ", "", "Junior"]
+
+
+def roster_input(spark, sf_dir):
+    """Player-like rows from parts: team = brand, position and class cells
+    picked from roster spellings by size and price."""
+    p = read_table(spark, sf_dir, "part")
+    pos = F.element_at(F.array(*[F.lit(w) for w in _POS_WORDS]), (F.col("p_size") % len(_POS_WORDS) + 1).cast("int"))
+    yr = F.element_at(F.array(*[F.lit(w) for w in _CLASS_WORDS]),
+                      (F.floor("p_retailprice").cast("bigint") % len(_CLASS_WORDS) + 1).cast("int"))
+    return p.select("p_partkey", F.col("p_brand").alias("team"), pos.alias("pos_text"), yr.alias("year_text"))
+
+
+_SQL_ROSTER_INPUT = f"""
+SELECT p_partkey, p_brand AS team,
+  {sql_list(_POS_WORDS)}[CAST(p_size % {len(_POS_WORDS)} + 1 AS INTEGER)] AS pos_text,
+  {sql_list(_CLASS_WORDS)}[CAST(CAST(floor(p_retailprice) AS BIGINT) % {len(_CLASS_WORDS)} + 1 AS INTEGER)] AS year_text
+FROM part"""
+
+
+def _sql_canon_pos(x: str) -> str:
+    from tessera.functions.roster import POSITION_MAP
+    s = f"replace(replace(lower({sql_strip(f'coalesce({x}, {chr(39)}{chr(39)})')}), '.', ''), chr(92), '/')"
+    mapped = (f"list_filter(list_transform(string_split_regex({s}, '[/,\\-\\s]+'), lambda t: {sql_map(POSITION_MAP)}[t]), "
+              f"lambda t: t IS NOT NULL)")
+    return f"array_to_string(list_filter({mapped}, lambda v, i: list_position({mapped}, v) = i), '/')"
+
+
+def _sql_class_year(x: str) -> str:
+    from tessera.functions.roster import YEAR_MAP
+    return f"coalesce({sql_map(YEAR_MAP)}[lower({sql_strip(x)})], {x})"
+
+
+@register("alias_canonical", f"""
+WITH r AS ({_SQL_ROSTER_INPUT})
+SELECT p_partkey, pos_text, {_sql_canon_pos("pos_text")} AS position, year_text, {_sql_class_year("year_text")} AS class_year
+FROM r""")
+def alias_canonical(spark, sf_dir):
+    """S14 + S16 (S43): canonical position codes and class years."""
+    from tessera.functions import roster as ro
+    r = roster_input(spark, sf_dir)
+    return r.select("p_partkey", "pos_text", ro.canon_pos("pos_text").alias("position"), "year_text",
+                    ro.class_year("year_text").alias("class_year"))
+
+
+def _sql_position_classes(x: str) -> str:
+    from tessera.functions.roster import POSITION_KEYWORDS, POSITION_MAP
+    m = sql_map(POSITION_MAP)
+    p = f"lower(coalesce({x}, ''))"
+    parts = f"list_filter(list_transform(string_split_regex({p}, '\\s*[/&|,]\\s*'), lambda t: {sql_strip('t')}), lambda t: t <> '')"
+    first = "upper(substring(t, 1, 1))"
+    cls = (f"list_filter(list_transform({parts}, lambda t: coalesce({m}[t], CASE {first} WHEN 'D' THEN 'D' WHEN 'M' THEN 'M' "
+           f"WHEN 'F' THEN 'F' WHEN 'G' THEN 'GK' END)), lambda c: c IS NOT NULL)")
+    kw = "list_filter([" + ", ".join(f"CASE WHEN regexp_matches({p}, '{rx}') THEN '{code}' END"
+                                     for code, rx in POSITION_KEYWORDS) + "], lambda c: c IS NOT NULL)"
+    return f"CASE WHEN {m}[{p}] IS NOT NULL THEN [{m}[{p}]] WHEN len({cls}) > 0 THEN {cls} ELSE {kw} END"
+
+
+@register("multi_label_counts", f"""
+WITH r AS ({_SQL_ROSTER_INPUT}),
+n AS (SELECT team, {_sql_canon_pos("pos_text")} AS position, {_sql_class_year("year_text")} AS year FROM r),
+c AS (SELECT team, {_sql_position_classes("position")} AS cls, lower(coalesce(year, '')) AS yr FROM n)
+SELECT team,
+  CAST(sum(len(list_filter(cls, lambda c: c = 'D'))) AS BIGINT) AS defenders,
+  CAST(sum(len(list_filter(cls, lambda c: c = 'F'))) AS BIGINT) AS forwards,
+  CAST(sum(len(list_filter(cls, lambda c: c = 'M'))) AS BIGINT) AS midfielders,
+  CAST(sum(len(list_filter(cls, lambda c: c = 'GK'))) AS BIGINT) AS goalkeepers,
+  count(*) FILTER (WHERE yr = 'freshman') AS freshman, count(*) FILTER (WHERE yr = 'sophomore') AS sophomore,
+  count(*) FILTER (WHERE yr = 'junior') AS junior, count(*) FILTER (WHERE yr = 'senior') AS senior,
+  count(*) FILTER (WHERE yr = 'graduate student') AS graduate_student
+FROM c GROUP BY team""")
+def multi_label_counts(spark, sf_dir):
+    """S43 + F1: normalise players, then per team position counts (a
+    ``D/M`` player adds to two buckets) and class-year counts."""
+    from tessera.functions import roster as ro
+    from tessera.operators.aggregate import roster_counts
+    r = roster_input(spark, sf_dir).select("team", F.col("pos_text").alias("position"),
+                                           F.col("year_text").alias("year"))
+    return roster_counts(ro.normalize_players(r), ["team"])
+
+
+@register("age_bands", """
+WITH a AS (SELECT p_partkey,
+    CAST(p_size % 17 + 3 AS VARCHAR) || CASE WHEN p_size % 7 = 0 THEN '+' ELSE '–' || CAST(p_size % 17 + 3 + p_size % 5 AS VARCHAR) END AS ages
+  FROM part),
+n AS (SELECT p_partkey, ages, list_transform(list_filter(list_transform(string_split(replace(ages, '+', ''), '–'),
+        lambda s: trim(s)), lambda s: regexp_full_match(s, '[0-9]+')), lambda s: CAST(s AS INTEGER)) AS nums FROM a)
+SELECT p_partkey, ages,
+  concat_ws(', ', CASE WHEN list_bool_or(list_transform(nums, lambda x: x BETWEEN 2 AND 12)) THEN 'Elementary School' END,
+                  CASE WHEN list_bool_or(list_transform(nums, lambda x: x BETWEEN 13 AND 14)) THEN 'Middle School' END,
+                  CASE WHEN list_bool_or(list_transform(nums, lambda x: x BETWEEN 15 AND 18)) THEN 'High School' END) AS grade_level
+FROM n""")
+def age_bands(spark, sf_dir):
+    """Grade levels from an ages cell (``a–b`` or ``a+``) built from part sizes."""
+    from tessera.functions.events import grade_levels
+    p = read_table(spark, sf_dir, "part")
+    lo = (F.col("p_size") % 17 + 3)
+    ages = F.concat(lo.cast("string"), F.when(F.col("p_size") % 7 == 0, F.lit("+")).otherwise(
+        F.concat(F.lit("–"), (lo + F.col("p_size") % 5).cast("string"))))
+    return p.select("p_partkey", ages.alias("ages")).withColumn("grade_level", grade_levels("ages"))
+
+
+# ------------------------------------------------------------------ standings, reports, dedup
+
+def standings_input(spark, sf_dir):
+    """Standings rows from suppliers: conference = nation, row order = key,
+    points = account balance (no points at all in region 0's nations)."""
+    s = read_table(spark, sf_dir, "supplier")
+    n = read_table(spark, sf_dir, "nation")
+    x = s.join(n, s.s_nationkey == n.n_nationkey)
+    return x.select(F.col("s_nationkey").alias("conference"), F.col("s_suppkey").alias("pos"),
+                    F.col("s_name").alias("school"),
+                    F.when(F.col("n_regionkey") == 0, F.lit(None).cast("double")).otherwise(F.col("s_acctbal")).alias("pts"))
+
+
+@register("points_standing", """
+WITH x AS (SELECT s_nationkey AS conference, s_suppkey AS pos, s_name AS school,
+             CASE WHEN n_regionkey = 0 THEN NULL ELSE s_acctbal END AS pts
+           FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT conference, pos, school,
+  CAST(CASE WHEN count(pts) OVER (PARTITION BY conference) > 0
+            THEN row_number() OVER (PARTITION BY conference ORDER BY coalesce(pts, 0.0) DESC, pos)
+            ELSE row_number() OVER (PARTITION BY conference ORDER BY pos) END AS VARCHAR) AS standing
+FROM x""")
+def points_standing(spark, sf_dir):
+    """G1 + G2: standing by points (desc, ties in row order) where the
+    conference has points, else the row number."""
+    from tessera.operators.aggregate import points_standing as ps
+    return ps(standings_input(spark, sf_dir)).select("conference", "pos", "school", "standing")
+
+
+def camp_map_input(spark, sf_dir):
+    """Camp/school map rows from suppliers: the score cell is text as the
+    mapping file holds it (blank, 'n/a' or a number), the confirmed cell in
+    several truthy/falsy spellings."""
+    s = read_table(spark, sf_dir, "supplier")
+    score = (F.when(F.col("s_acctbal") < 0, F.lit("n/a")).when(F.col("s_acctbal") < 1000, F.lit(""))
+             .otherwise(F.format_number(F.col("s_acctbal") / 10000, 3)))
+    conf = F.element_at(F.array(F.lit("yes"), F.lit("TRUE"), F.lit("0"), F.lit(None).cast("string")),
+                        (F.col("s_nationkey") % 4 + 1).cast("int"))
+    return s.select(F.col("s_suppkey").alias("pos"), F.col("s_name").alias("camp_school_name"),
+                    score.alias("similarity_score"), conf.alias("manually_confirmed"))
+
+
+@register("lowest_n", """
+WITH m AS (SELECT s_suppkey AS pos, s_name AS camp_school_name,
+    CASE WHEN s_acctbal < 0 THEN 'n/a' WHEN s_acctbal < 1000 THEN '' ELSE CAST(round(s_acctbal / 10000, 3) AS VARCHAR) END AS similarity_score,
+    (['yes', 'TRUE', '0', NULL])[CAST(s_nationkey % 4 + 1 AS INTEGER)] AS manually_confirmed FROM supplier)
+SELECT pos, camp_school_name, coalesce(TRY_CAST(trim(similarity_score) AS DOUBLE), 0.0) AS similarity_score
+FROM m
+WHERE NOT coalesce(lower(trim(manually_confirmed)) IN ('true', 'yes', '1')
+                   OR coalesce(TRY_CAST(trim(manually_confirmed) AS DOUBLE) <> 0, false), false)
+ORDER BY 3, 1 LIMIT 30""")
+def lowest_n(spark, sf_dir):
+    """C14 + G4: the 30 unconfirmed entries with the lowest score (a report)."""
+    from tessera.functions.status import is_confirmed
+    from tessera.operators.aggregate import lowest_n as ln
+    m = camp_map_input(spark, sf_dir)
+    return ln(m, "similarity_score", "pos", 30, confirmed=is_confirmed(F.col("manually_confirmed"))).select(
+        "pos", "camp_school_name", "similarity_score")
+
+
+@register("keep_first", """
+SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events)
+WHERE rn = 1""")
+def keep_first(spark, sf_dir):
+    """The first event per (user, type); ``min_by`` partial aggregate."""
+    from tessera.operators.aggregate import keep_first as kf
+    e = read_table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    return kf(e, ["user_id", "event_type"], ["ts", "event_id"])
