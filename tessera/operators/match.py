@@ -247,3 +247,38 @@ def resolve_matches(cands: DataFrame, decisions: DataFrame | None, *, key: str,
     pending = x.filter(F.col("chosen_row_id").isNull() & (F.coalesce(F.col("action"), F.lit("")) != "skip")).select(key)
     review = pending.join(cands, key, "left")
     return accepted, review
+
+
+def set_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str,
+                        right_text: str, threshold: float,
+                        broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """S27 + E1 with a threshold: all (left, right) pairs whose word-set
+    Jaccard is at least ``threshold`` (> 0).
+
+    Exact pruning before any pair exists: Jaccard >= t needs
+    ``t*|B| <= |A| <= |B|/t``, so left rows outside the right side's size
+    range are dropped first (two scalars read from the right side), and the
+    same bound is part of the token join condition.  Shared counts come from
+    the exploded-token equi-join; the right token index is broadcast only
+    under a row-count check.  Output: ``left_id, right_id, shared, jaccard``.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    L = left.select(F.col(left_id).alias("_lid"), word_tokens(F.col(left_text)).alias("_t")) \
+        .withColumn("_nl", F.size("_t"))
+    R = right.select(F.col(right_id).alias("_rid"), word_tokens(F.col(right_text)).alias("_t")) \
+        .withColumn("_nr", F.size("_t")).filter(F.col("_nr") > 0)
+    lo_hi = R.agg(F.min("_nr").alias("lo"), F.max("_nr").alias("hi")).first()
+    if lo_hi is None or lo_hi["lo"] is None:
+        return left.sparkSession.createDataFrame(
+            [], f"{left_id} {left.schema[left_id].dataType.simpleString()}, "
+                f"{right_id} {right.schema[right_id].dataType.simpleString()}, shared bigint, jaccard double")
+    L = L.filter((F.col("_nl") >= F.lit(threshold) * lo_hi["lo"]) & (F.col("_nl") * F.lit(threshold) <= lo_hi["hi"]))
+    lt = L.select("_lid", "_nl", F.explode("_t").alias("tok"))
+    rt = R.select("_rid", "_nr", F.explode("_t").alias("tok"))
+    rt = _sized_broadcast(rt, right, broadcast_limit)
+    cond = ((lt.tok == rt.tok) & (lt._nl >= F.lit(threshold) * rt._nr) & (lt._nl * F.lit(threshold) <= rt._nr))
+    pairs = lt.join(rt, cond).groupBy("_lid", "_rid", "_nl", "_nr").agg(F.count(F.lit(1)).alias("shared"))
+    jac = F.col("shared") / (F.col("_nl") + F.col("_nr") - F.col("shared"))
+    return (pairs.withColumn("jaccard", jac).filter(F.col("jaccard") >= F.lit(threshold))
+            .select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id), "shared", "jaccard"))

@@ -190,7 +190,8 @@ def sql_clean_url(x: str) -> str:
     s = f"regexp_replace({s}, '^<|>$', '', 'g')"
     s = (f"CASE WHEN NOT regexp_matches({s}, '(?i)^https?://') AND regexp_matches({s}, "
          f"'(?i)\\b[a-z0-9-]+\\.[a-z]{{2,}}\\b') THEN 'https://' || {s} ELSE {s} END")
-    return f"regexp_replace({s}, '{ul.TRAILING_PUNCT}', '')"
+    punct = ul.TRAILING_PUNCT.replace("'", "''")
+    return f"regexp_replace({s}, '{punct}', '')"
 
 
 # ------------------------------------------------------------------ page text forms
@@ -666,3 +667,340 @@ def keep_first(spark, sf_dir):
     from tessera.operators.aggregate import keep_first as kf
     e = read_table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
     return kf(e, ["user_id", "event_type"], ["ts", "event_id"])
+
+
+# ------------------------------------------------------------------ matching
+
+_TOK = "list_distinct(regexp_extract_all(lower(coalesce({x}, '')), '[\\p{{L}}\\p{{N}}_]+'))"
+
+
+def sql_tokens(x: str) -> str:
+    return _TOK.format(x=x)
+
+
+def sql_jaccard(a: str, b: str) -> str:
+    return (f"CASE WHEN len({a}) = 0 OR len({b}) = 0 THEN 0.0 ELSE "
+            f"len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) END")
+
+
+def match_input(spark, sf_dir):
+    """Scraped names and a master from parts.  Master: one row per part name
+    (row id = its smallest part key, conference = that part's brand).  Left:
+    every part, named '<type> <name>' for even sizes and '<type> <noun>' for
+    odd sizes, preferring its own brand."""
+    p = read_table(spark, sf_dir, "part")
+    master = (p.groupBy("p_name").agg(F.min_by(F.struct("p_partkey", "p_brand"), F.col("p_partkey")).alias("m"))
+              .select(F.col("m.p_partkey").alias("row_id"), F.col("p_name").alias("master_name"),
+                      F.col("m.p_brand").alias("conference")))
+    name = F.when(F.col("p_size") % 2 == 0, F.concat_ws(" ", F.lower("p_type"), "p_name")).otherwise(
+        F.concat_ws(" ", F.lower("p_type"), F.element_at(F.split("p_name", " "), -1)))
+    left = p.select("p_partkey", name.alias("name"), F.col("p_brand").alias("pref"))
+    return left, master
+
+
+_SQL_MATCH_INPUT = """
+m AS (SELECT min(p_partkey) AS row_id, p_name AS master_name FROM part GROUP BY p_name),
+l AS (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN lower(p_type) || ' ' || p_name
+                             ELSE lower(p_type) || ' ' || split_part(p_name, ' ', -1) END AS name FROM part)"""
+
+
+@register("fuzzy_jaccard_top1", f"""
+WITH {_SQL_MATCH_INPUT},
+lt AS (SELECT p_partkey, name, {sql_tokens("name")} AS t FROM l),
+mt AS (SELECT row_id, master_name, {sql_tokens("master_name")} AS t FROM m),
+s AS (SELECT p_partkey, name, row_id, master_name, {sql_jaccard("lt.t", "mt.t")} AS score FROM lt, mt),
+b AS (SELECT p_partkey, arg_max(row_id, (score, -row_id)) AS match_row_id, arg_max(master_name, (score, -row_id)) AS match_name,
+        max(score) AS best FROM s WHERE score > 0 GROUP BY p_partkey)
+SELECT l.p_partkey, l.name, b.match_row_id, b.match_name, round_even(coalesce(b.best, 0.0), 3) AS similarity_score
+FROM l LEFT JOIN b USING (p_partkey)""")
+def fuzzy_jaccard_top1(spark, sf_dir):
+    """S27 + E1: best master by word Jaccard for every scraped name (strict
+    ``>`` from 0, earliest master on ties), via the token-blocked join."""
+    from tessera.operators.match import best_match
+    left, master = match_input(spark, sf_dir)
+    out = best_match(left.select("p_partkey", "name"), master, name="name", scorer="jaccard")
+    return out.select("p_partkey", "name", "match_row_id", "match_name", "similarity_score")
+
+
+@register("fuzzy_combined_topk")
+def fuzzy_combined_topk(spark, sf_dir):
+    """S28 + S29 + E3 + G3: top-10 masters by 0.4*sequence + 0.6*Jaccard with
+    the same-conference bonus; sequence ratio only on blocked candidates.
+    (No SQL form: the sequence ratio is difflib's.)"""
+    from tessera.operators.match import fuzzy_topk
+    left, master = match_input(spark, sf_dir)
+    out = fuzzy_topk(left, master, k=10, name="name", pref="pref", master_conf="conference")
+    return out.select("p_partkey", "name", "rank", "row_id", "master_name",
+                      F.bround("score", 6).alias("score"), "complete")
+
+
+@register("doc_benchmark_overlap", f"""
+WITH a AS (SELECT doc_id, {sql_tokens("text")} AS t FROM documents),
+b AS (SELECT item_id, {sql_tokens("text")} AS t FROM benchmark),
+p AS (SELECT doc_id, item_id, len(list_intersect(a.t, b.t)) AS shared, len(a.t) AS na, len(b.t) AS nb
+      FROM a, b WHERE len(b.t) > 0 AND len(a.t) >= 0.25 * len(b.t) AND len(a.t) * 0.25 <= len(b.t))
+SELECT doc_id, item_id, shared, round(shared / (na + nb - shared), 6) AS jaccard
+FROM p WHERE shared / (na + nb - shared) >= 0.25""")
+def doc_benchmark_overlap(spark, sf_dir):
+    """S27 + E1 with threshold: documents whose word set overlaps a
+    benchmark item with Jaccard >= 0.25 (whole texts, length-bounded
+    token join)."""
+    from tessera.operators.match import set_similarity_join
+    d = read_table(spark, sf_dir, "documents")
+    b = read_table(spark, sf_dir, "benchmark")
+    out = set_similarity_join(d, b, "doc_id", "item_id", "text", "text", 0.25)
+    return out.select("doc_id", "item_id", "shared", F.round("jaccard", 6).alias("jaccard"))
+
+
+# Fixed input: the alias pairs of the alias-first match (user-maintained in the
+# reference as a small hard-coded table).
+_ALIASES = [("economy small ring", "red widget"), ("small bolt", "hot gear")]
+
+
+@register("alias_then_fuzzy", f"""
+WITH {_SQL_MATCH_INPUT},
+al AS (SELECT * FROM (VALUES {", ".join(f"('{a}', '{c}')" for a, c in _ALIASES)}) t(alias, canonical)),
+lt AS (SELECT p_partkey, name, {sql_tokens("name")} AS t FROM l),
+mt AS (SELECT row_id, master_name, {sql_tokens("master_name")} AS t FROM m),
+s AS (SELECT p_partkey, row_id, master_name, {sql_jaccard("lt.t", "mt.t")} AS score FROM lt, mt),
+b AS (SELECT p_partkey, arg_max(master_name, (score, -row_id)) AS best_name, max(score) AS best
+      FROM s WHERE score > 0 GROUP BY p_partkey),
+f AS (SELECT l.p_partkey, al.canonical, CASE WHEN round_even(coalesce(b.best, 0.0), 3) >= 0.6 THEN b.best_name END AS fz
+      FROM l LEFT JOIN al ON l.name = al.alias LEFT JOIN b USING (p_partkey))
+SELECT p_partkey, coalesce(canonical, fz) AS matched_name,
+  CASE WHEN canonical IS NOT NULL THEN 'alias' WHEN fz IS NOT NULL THEN 'fuzzy' ELSE 'none' END AS match_source
+FROM f""")
+def alias_then_fuzzy(spark, sf_dir):
+    """Alias pairs first, then the best fuzzy master accepted at 0.6
+    (Jaccard scorer; the scorer is a parameter, decision D9)."""
+    from tessera.operators.match import alias_then_fuzzy as atf
+    left, master = match_input(spark, sf_dir)
+    aliases = spark.createDataFrame(_ALIASES, "alias string, canonical string")
+    out = atf(left.select("p_partkey", "name"), aliases, master, name="name", scorer="jaccard", accept_at=0.6)
+    return out.select("p_partkey", "matched_name", "match_source")
+
+
+@register("exact_ci_lookup", """
+WITH m AS (SELECT lower(trim(p_name)) AS k, min(p_partkey) AS match_row_id FROM part GROUP BY 1)
+SELECT p.p_partkey, upper(p.p_name) AS name, m.match_row_id
+FROM part p LEFT JOIN m ON lower(trim('  ' || upper(p.p_name) || ' ')) = m.k""")
+def exact_ci_lookup(spark, sf_dir):
+    """E5: first master row whose trimmed lower-case name equals the scraped one."""
+    from tessera.operators.match import exact_lookup
+    p = read_table(spark, sf_dir, "part")
+    left = p.select("p_partkey", F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("q"),
+                    F.upper("p_name").alias("name"))
+    master = p.select(F.col("p_partkey").alias("row_id"), F.col("p_name").alias("master_name"))
+    return exact_lookup(left, master, name="q").select("p_partkey", "name", "match_row_id")
+
+
+# ------------------------------------------------------------------ reconcile
+
+@register("last_wins_join", """
+WITH m AS (SELECT user_id, arg_max(event_id, event_id) AS event_id, arg_max(event_type, event_id) AS event_type
+           FROM events GROUP BY user_id)
+SELECT c.c_custkey, m.event_id, m.event_type FROM customer c LEFT JOIN m ON c.c_custkey = m.user_id""")
+def last_wins_join(spark, sf_dir):
+    """Customers joined to the event table on the user key; among
+    several events of a user the last (highest id) wins."""
+    from tessera.operators.reconcile import last_wins_lookup
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    m = last_wins_lookup(e, "user_id", row_id="event_id").drop("_key")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey")
+    return c.join(m, c.c_custkey == m.user_id, "left").select("c_custkey", "event_id", "event_type")
+
+
+def offers_input(spark, sf_dir):
+    """Scholarship-like rows from events: a numbered title and a link as
+    model answers write them; events before 2024-01-10 are the stored sheet."""
+    e = read_table(spark, sf_dir, "events")
+    title = F.concat(F.lit("1.  "), F.upper("event_type"), F.lit("  Offer "), F.col("user_id").cast("string"))
+    link = F.when(F.col("value") > 25, F.concat(F.lit("www.offers.example.com/u/"), F.col("user_id").cast("string"),
+                                                F.lit(" - open in new window"))).otherwise(
+        F.concat(F.lit("https://www.offers.example.com/u/"), F.col("user_id").cast("string"), F.lit(".")))
+    x = e.select("event_id", "ts", "user_id", "event_type", title.alias("title"), link.alias("link"))
+    cut = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    return x.filter(F.col("ts") >= cut), x.filter(F.col("ts") < cut)
+
+
+@register("anti_known", f"""
+WITH x AS (SELECT event_id, ts, user_id, event_type,
+    '1.  ' || upper(event_type) || '  Offer ' || CAST(user_id AS VARCHAR) AS title,
+    CASE WHEN value > 25 THEN 'www.offers.example.com/u/' || CAST(user_id AS VARCHAR) || ' - open in new window'
+         ELSE 'https://www.offers.example.com/u/' || CAST(user_id AS VARCHAR) || '.' END AS link FROM events),
+k AS (SELECT *, {sql_normalize_title("title")} AS kt, lower({sql_clean_url("link")}) AS kl FROM x),
+known AS (SELECT DISTINCT kt, kl FROM k WHERE ts < TIMESTAMP '2024-01-10 00:00:00'),
+new AS (SELECT * FROM k WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
+        AND NOT EXISTS (SELECT 1 FROM known WHERE known.kt = k.kt AND known.kl = k.kl))
+SELECT user_id, event_type, event_id, title, link FROM (
+  SELECT *, row_number() OVER (PARTITION BY kt, kl ORDER BY ts, event_id) AS rn FROM new) WHERE rn = 1""")
+def anti_known(spark, sf_dir):
+    """Drop rows already stored (normalised title + cleaned link)
+    and keep the first of each key inside the batch."""
+    from tessera.operators.reconcile import anti_known as ak, title_link_key
+    new, known = offers_input(spark, sf_dir)
+    out = ak(new, known, title_link_key(F.col("title"), F.col("link")), title_link_key(F.col("title"), F.col("link")),
+             order=["ts", "event_id"])
+    return out.select("user_id", "event_type", "event_id", "title", "link")
+
+
+@register("completed_skip", """
+WITH u AS (SELECT DISTINCT o_orderpriority AS division, o_orderstatus AS gender, CAST(year(o_orderdate) AS INTEGER) AS conference FROM orders),
+c AS (SELECT DISTINCT o_orderpriority AS division, o_orderstatus AS gender, CAST(year(o_orderdate) AS INTEGER) AS conference
+      FROM orders WHERE o_totalprice > 300000)
+SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.division = u.division AND c.gender = u.gender AND c.conference = u.conference)""")
+def completed_skip(spark, sf_dir):
+    """Work units (priority, status, year) not yet completed; a
+    unit is complete once it holds an order above 300,000."""
+    from tessera.operators.reconcile import skip_completed
+    o = read_table(spark, sf_dir, "orders")
+    cols = [F.col("o_orderpriority").alias("division"), F.col("o_orderstatus").alias("gender"),
+            F.year("o_orderdate").alias("conference")]
+    units = o.select(*cols).distinct()
+    done = o.filter(F.col("o_totalprice") > 300000).select(*cols)
+    return skip_completed(units, done, ["division", "gender", "conference"])
+
+
+@register("gazetteer_lookup", f"""
+WITH g AS (SELECT lower(n_name) AS address_norm, n_nationkey * 1.5 AS lat, n_regionkey * 2.25 - 100.0 AS lng, r_name AS city
+           FROM nation JOIN region ON n_regionkey = r_regionkey),
+s AS (SELECT s_suppkey, n_name || CASE WHEN s_acctbal < 0 THEN ' city' ELSE '' END AS address
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT s_suppkey, address, g.lat AS latitude, g.lng AS longitude, g.city
+FROM s LEFT JOIN g ON lower({sql_clean_text("address")}) = g.address_norm""")
+def gazetteer_lookup(spark, sf_dir):
+    """Geocode supplier addresses against a gazetteer built from
+    nation and region; distinct addresses first, misses stay null."""
+    from tessera.operators.reconcile import geocode
+    n = read_table(spark, sf_dir, "nation")
+    r = read_table(spark, sf_dir, "region")
+    g = n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.lower("n_name").alias("address_norm"), (F.col("n_nationkey") * 1.5).alias("lat"),
+        (F.col("n_regionkey") * 2.25 - 100.0).alias("lng"), F.col("r_name").alias("city"))
+    s = read_table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    s = s.select("s_suppkey", F.concat(F.col("n_name"), F.when(F.col("s_acctbal") < 0, F.lit(" city"))
+                                       .otherwise(F.lit(""))).alias("address"))
+    return geocode(s, F.col("address"), g).select("s_suppkey", "address", "latitude", "longitude", "city")
+
+
+def changes_input(spark, sf_dir):
+    """A change log from events: school row = the user's customer key, order
+    = event id, position and change code from the event."""
+    e = read_table(spark, sf_dir, "events")
+    code = (F.when(F.col("event_type") == "click", "e").when(F.col("event_type") == "view", "J X")
+            .when(F.col("event_type") == "purchase", "x").when(F.col("event_type") == "signup", "#").otherwise("c"))
+    pos = F.when(F.col("value") < 45, F.lit("Head Coach")).otherwise(F.lit("Assistant Coach"))
+    email = F.when((F.col("event_type") == "view") & (F.col("value") > 30), F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("c"), F.col("event_id").cast("string"), F.lit("@example.edu")))
+    return e.select(F.col("user_id").alias("row_id"), F.col("event_id").alias("seq"), pos.alias("position"),
+                    code.alias("change"), F.lit("Coach").alias("first_name"),
+                    F.col("event_id").cast("string").alias("last_name"), email.alias("email_address"))
+
+
+@register("change_log_apply", """
+WITH c AS (SELECT user_id AS row_id, event_id AS seq,
+    CASE WHEN value < 45 THEN 'Head Coach' ELSE 'Assistant Coach' END AS position,
+    CASE event_type WHEN 'click' THEN 'e' WHEN 'view' THEN 'J X' WHEN 'purchase' THEN 'x' WHEN 'signup' THEN '#' ELSE 'c' END AS change,
+    'Coach ' || CAST(event_id AS VARCHAR) AS name,
+    CASE WHEN event_type = 'view' AND value > 30 THEN NULL ELSE 'c' || CAST(event_id AS VARCHAR) || '@example.edu' END AS email
+  FROM events),
+f AS (SELECT *, replace(lower(change), ' ', '') AS code FROM c WHERE position = 'Head Coach' AND change NOT IN ('#', 'c')),
+w AS (SELECT row_id, seq, 'men_coach_email' AS col, email AS value FROM f WHERE code = 'e' AND email IS NOT NULL AND trim(email) <> ''
+      UNION ALL SELECT row_id, seq, 'men_coach_name', name FROM f WHERE (contains(code, 'j') OR contains(code, 'x'))
+      UNION ALL SELECT row_id, seq, 'men_coach_email', email FROM f WHERE (contains(code, 'j') OR contains(code, 'x')) AND email IS NOT NULL AND trim(email) <> ''),
+l AS (SELECT row_id, col, arg_max(value, seq) AS value FROM w GROUP BY row_id, col)
+SELECT c_custkey, max(value) FILTER (WHERE col = 'men_coach_name') AS men_coach_name,
+  max(value) FILTER (WHERE col = 'men_coach_email') AS men_coach_email
+FROM customer LEFT JOIN l ON c_custkey = row_id GROUP BY c_custkey""")
+def change_log_apply(spark, sf_dir):
+    """C1 + C2 + S36 + S37 + U1: apply a change log to the master: per cell
+    the last change wins; untouched cells stay."""
+    from tessera.operators.reconcile import apply_cell_writes, change_log_writes
+    ch = changes_input(spark, sf_dir)
+    writes = change_log_writes(ch, {"name": "men_coach_name", "email": "men_coach_email"})
+    master = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"))
+    out = apply_cell_writes(master, writes, ["men_coach_name", "men_coach_email"])
+    return out.select(F.col("row_id").alias("c_custkey"), "men_coach_name", "men_coach_email")
+
+
+@register("keyed_upsert", """
+WITH r AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderpriority,
+    regexp_replace(regexp_replace(lower(regexp_replace('https://shop' || CAST(o_custkey AS VARCHAR) || '.example.com', '^https?://', '')), '^waf\\.', ''), '^www\\.', '') AS k FROM orders),
+l AS (SELECT k, arg_max(o_totalprice, o_orderkey) AS last_total, arg_max(o_orderpriority, o_orderkey) AS priority, count(*) AS n FROM r GROUP BY k),
+m AS (SELECT c_custkey, c_acctbal,
+    regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace('www.Shop' || CAST(c_custkey AS VARCHAR) || '.example.com/', '^https?://', '')), '^waf\\.', ''), '^www\\.', ''), '/$', '') AS k FROM customer)
+SELECT c_custkey, c_acctbal, l.last_total, l.priority, coalesce(l.n, 0) AS dup_count,
+  CASE WHEN coalesce(l.n, 0) > 1 THEN 'Duplicate' ELSE '' END AS duplicate
+FROM m LEFT JOIN l USING (k)""")
+def keyed_upsert(spark, sf_dir):
+    """S6 + E7 + F4 + U2: results keyed by canonical URL upserted onto the
+    master (last result wins, absent columns added, duplicates flagged)."""
+    from tessera.functions.urls import canonical_url
+    from tessera.operators.reconcile import keyed_upsert as ku
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_acctbal",
+        F.concat(F.lit("www.Shop"), F.col("c_custkey").cast("string"), F.lit(".example.com/")).alias("site"))
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority",
+        F.concat(F.lit("https://shop"), F.col("o_custkey").cast("string"), F.lit(".example.com")).alias("url"))
+    out = ku(c, o, canonical_url(F.col("site")), canonical_url(F.col("url")),
+             {"o_totalprice": "last_total", "o_orderpriority": "priority"}, order="o_orderkey")
+    return out.select("c_custkey", "c_acctbal", "last_total", "priority", "dup_count", "duplicate")
+
+
+# ------------------------------------------------------------------ incremental
+
+@register("pending_split", """
+WITH f AS (SELECT l_orderkey, min(l_linenumber) FILTER (WHERE l_returnflag = 'R' AND l_linestatus = 'F') AS ff
+           FROM lineitem GROUP BY l_orderkey)
+SELECT l.l_orderkey, l.l_linenumber,
+  CASE WHEN f.ff IS NOT NULL AND l.l_linenumber >= f.ff THEN 'pending' ELSE 'applied' END AS state
+FROM lineitem l JOIN f USING (l_orderkey)""")
+def pending_split(spark, sf_dir):
+    """Per write group (order) the first failed write (line) and all
+    later ones stay pending; earlier ones are applied."""
+    from tessera.streaming.incremental import split_pending
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).alias("failed"))
+    applied, pending = split_pending(li, "l_orderkey", "l_linenumber", "failed")
+    return (applied.select("l_orderkey", "l_linenumber", F.lit("applied").alias("state"))
+            .unionByName(pending.select("l_orderkey", "l_linenumber", F.lit("pending").alias("state"))))
+
+
+@register("write_budget")
+def write_budget(spark, sf_dir):
+    """Per user, admit a write when fewer than 2 admitted writes lie in
+    the trailing 6 hours, else 'limit' (a recurrence on its own output; no
+    SQL form; tested against a plain-Python loop)."""
+    from tessera.streaming.incremental import rate_limit
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    return rate_limit(e, "user_id", "ts", "event_id", limit=2, window_seconds=6 * 3600.0).select(
+        "event_id", "user_id", "ts", "outcome")
+
+
+@register("first_hit", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem
+  WHERE l_returnflag <> 'R' AND l_quantity > 10) WHERE rn = 1""")
+def first_hit(spark, sf_dir):
+    """A9 + B9: per entity (order) the first candidate (line) that loaded
+    and yielded rows (not returned, quantity > 10)."""
+    from tessera.operators.aggregate import keep_first as kf
+    li = read_table(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") != "R") & (F.col("l_quantity") > 10))
+    return kf(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), ["l_orderkey"],
+              ["l_linenumber", "l_partkey", "l_suppkey"]).drop("l_suppkey")
+
+
+@register("union_sources", """
+SELECT 'customer' AS source, c_custkey AS id, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment FROM customer
+UNION ALL
+SELECT 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
+def union_sources(spark, sf_dir):
+    """H1: rows of two sources with different columns in one table."""
+    c = read_table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    return c.unionByName(s, allowMissingColumns=True)

@@ -66,7 +66,7 @@ def gap_segments(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: f
     w = Window.partitionBy(key).orderBy("_pid")
     prev_last = F.lag("_last").over(w)
     summ = summ.withColumn("_cont", F.coalesce(
-        (F.unix_micros(F.col("_first")) - F.unix_micros(prev_last)) <= F.lit(int(gap_seconds * 1e6)), F.lit(False)))
+        (F.unix_micros(F.col("_first").cast("timestamp")) - F.unix_micros(prev_last.cast("timestamp"))) <= F.lit(int(gap_seconds * 1e6)), F.lit(False)))
     summ = summ.withColumn("_new", F.col("_maxseg") + 1 - F.col("_cont").cast("long"))
     summ = summ.withColumn("_base", F.coalesce(F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                F.lit(0)))
