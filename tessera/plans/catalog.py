@@ -847,17 +847,18 @@ def anti_known(spark, sf_dir):
 @register("completed_skip", """
 WITH u AS (SELECT DISTINCT o_orderpriority AS division, o_orderstatus AS gender, CAST(year(o_orderdate) AS INTEGER) AS conference FROM orders),
 c AS (SELECT DISTINCT o_orderpriority AS division, o_orderstatus AS gender, CAST(year(o_orderdate) AS INTEGER) AS conference
-      FROM orders WHERE o_totalprice > 300000)
+      FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00')
 SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.division = u.division AND c.gender = u.gender AND c.conference = u.conference)""")
 def completed_skip(spark, sf_dir):
-    """Work units (priority, status, year) not yet completed; a
-    unit is complete once it holds an order above 300,000."""
+    """Work units (priority, status, year) not yet completed; the
+    completed table is what an earlier run finished (units of orders dated
+    before 1998)."""
     from tessera.operators.reconcile import skip_completed
     o = read_table(spark, sf_dir, "orders")
     cols = [F.col("o_orderpriority").alias("division"), F.col("o_orderstatus").alias("gender"),
             F.year("o_orderdate").alias("conference")]
     units = o.select(*cols).distinct()
-    done = o.filter(F.col("o_totalprice") > 300000).select(*cols)
+    done = o.filter(F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")).select(*cols)
     return skip_completed(units, done, ["division", "gender", "conference"])
 
 
