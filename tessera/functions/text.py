@@ -14,20 +14,32 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# The same set as characters: Unicode spaces Java's \s lacks, and all of them.
+_UNI_SPACES = "".join(chr(c) for c in [0x0B, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                       0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+WS_CHARS = "\t\n\x0c\r " + _UNI_SPACES
+
+
 def strip(s) -> Column:
-    """Python ``str.strip()``."""
-    return F.regexp_replace(_c(s), rf"^{WS}+|{WS}+$", "")
+    """Python ``str.strip()``: ``trim`` with the white-space character set
+    (linear, no regex)."""
+    return F.trim(_c(s), F.lit(WS_CHARS))
+
+
+def collapse_ws(s) -> Column:
+    r"""Runs of (Unicode) white space -> one space: Unicode spaces are first
+    translated to a plain space so the regex is the fast ASCII ``\s+``."""
+    return F.regexp_replace(F.translate(_c(s), _UNI_SPACES, " " * len(_UNI_SPACES)), r"\s+", " ")
 
 
 def clean_text(s) -> Column:
     """Collapse white space to one space and trim."""
-    return strip(F.regexp_replace(_c(s), rf"{WS}+", " "))
+    return strip(collapse_ws(_c(s)))
 
 
 def normalize_title(s) -> Column:
     """Trim, lower, collapse white space, drop a leading ``1. ``."""
-    x = F.lower(strip(F.coalesce(_c(s), F.lit(""))))
-    x = F.regexp_replace(x, rf"{WS}+", " ")
+    x = collapse_ws(F.lower(strip(F.coalesce(_c(s), F.lit("")))))
     return F.regexp_replace(x, r"^[0-9]+\.\s*", "")
 
 

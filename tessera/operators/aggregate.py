@@ -121,13 +121,15 @@ def points_standing(df: DataFrame, group: str = "conference", pos: str = "pos",
     are strings, as in the reference."""
     has_pts = df.groupBy(group).agg(F.count(pts).alias("_npts"))  # partial aggregate
     x = df.join(has_pts, group, "left")
-    ranked_pts = rank_in_group(x, [group], [F.coalesce(F.col(pts), F.lit(0.0)).desc(), F.col(pos).asc()], "_rk_pts")
-    ranked = rank_in_group(ranked_pts, [group], [F.col(pos).asc()], "_rk_pos")
+    # one ordering serves both rules: by points (desc) where the group has
+    # points, else the first key is constant and rows follow ``pos``
+    by_pts = F.when(F.col("_npts") > 0, F.coalesce(F.col(pts), F.lit(0.0)))
+    ranked = rank_in_group(x, [group], [by_pts.desc_nulls_last(), F.col(pos).asc()], "_rk")
     given = F.coalesce(F.col(standing), F.lit("")) if standing in df.columns else F.lit("")
-    return (ranked.withColumn(standing, F.when(F.col("_npts") > 0, F.col("_rk_pts").cast("string"))
+    return (ranked.withColumn(standing, F.when(F.col("_npts") > 0, F.col("_rk").cast("string"))
                               .when(given != "", given)
-                              .otherwise(F.col("_rk_pos").cast("string")))
-            .drop("_npts", "_rk_pts", "_rk_pos"))
+                              .otherwise(F.col("_rk").cast("string")))
+            .drop("_npts", "_rk"))
 
 
 def lowest_n(df: DataFrame, score: str, pos: str, n: int = 30, confirmed: Column | None = None) -> DataFrame:

@@ -66,6 +66,17 @@ def strip_fence_js(content) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(_c(content), r"(?i)^\s*```(json)?\s*", ""), r"\s*```\s*$", ""))
 
 
+def strict_json_array(text) -> Column:
+    """The JSON array in ``text`` as ``array<variant>``, or null when ``text``
+    is not exactly one JSON array (bad JSON, single quotes, trailing text).
+    ``try_parse_json`` stops after the first value, so the text is wrapped as
+    ``[text]`` and must hold exactly one element."""
+    w = F.try_parse_json(F.concat(F.lit("["), _c(text), F.lit("]")))
+    one = F.try_variant_get(w, "$", "array<variant>")
+    inner = F.try_variant_get(w, "$[0]", "array<variant>")
+    return F.when(F.size(one) == 1, inner)
+
+
 def explode_answers(base: DataFrame, answers: DataFrame, key: str, resp: str = "response") -> DataFrame:
     """M6: apply a model answer to its base camp row.
 
@@ -80,9 +91,7 @@ def explode_answers(base: DataFrame, answers: DataFrame, key: str, resp: str = "
     a = answers.select(F.col(key), F.col(resp).alias("_resp"))
     x = base.join(a, key, "left")
     snip = strip_fence_camp(answer_content(F.col("_resp")))
-    v = F.try_parse_json(snip)
-    arr = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-    x = x.withColumn("_arr", arr)
+    x = x.withColumn("_arr", strict_json_array(snip))
     all_obj = F.forall("_arr", lambda e: F.schema_of_variant(e).startswith("OBJECT"))
     state = (F.when(F.col("_arr").isNull(), F.lit("error"))
              .when(F.size("_arr") == 0, F.lit("none"))
@@ -118,9 +127,7 @@ def scholarship_rows(answers: DataFrame, key: list[str], resp: str = "response",
     ``closing_date`` from ``deadline``, cleans the link and needs a title."""
     content = answer_content(F.col(resp))
     body = strip_fence_js(content) if form == "js" else strip_fence_scholarship(content)
-    v = F.try_parse_json(body)
-    arr = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
-    x = answers.select(*key, F.posexplode(arr).alias("item_idx", "_e"))
+    x = answers.select(*key, F.posexplode(strict_json_array(body)).alias("item_idx", "_e"))
     x = x.filter(F.schema_of_variant("_e").startswith("OBJECT"))
     for f in SCHOLARSHIP_FIELDS + ["deadline"]:
         x = x.withColumn(f, F.try_variant_get(F.col("_e"), f"$.{f}", "string"))

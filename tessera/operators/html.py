@@ -48,17 +48,17 @@ RAW_TAGS = frozenset(["script", "style"])
 P_CLOSERS = frozenset(
     "address article aside blockquote details dialog div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
-# element -> (tags it closes, tags that stop the search)
+# element -> (the open element it closes, with everything inside it; tags that stop the search)
 IMPLIED_CLOSE = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th"}, {"table", "thead", "tbody", "tfoot"}),
+    "tr": ({"tr"}, {"table", "thead", "tbody", "tfoot"}),
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
-    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
-    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
-    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "thead": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select", "datalist"}),
 }
 P_SCOPE_STOP = frozenset(["button", "table", "td", "th", "caption", "marquee", "object", "applet", "html"])

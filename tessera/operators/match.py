@@ -39,9 +39,10 @@ from tessera.functions.text import word_tokens
 DEFAULT_BROADCAST_LIMIT = 500_000
 
 
-def _sized_broadcast(df: DataFrame, rows_hint: DataFrame, limit: int) -> DataFrame:
-    """Broadcast ``df`` only when ``rows_hint`` (its source) counts <= limit rows."""
-    n = rows_hint.count()
+def _sized_broadcast(df: DataFrame, rows_hint, limit: int) -> DataFrame:
+    """Broadcast ``df`` only when its source has at most ``limit`` rows
+    (``rows_hint`` is that source or an already counted number)."""
+    n = rows_hint if isinstance(rows_hint, int) else rows_hint.count()
     return F.broadcast(df) if n <= limit else df
 
 
@@ -66,20 +67,21 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
                       (F.coalesce(F.col(master_conf), F.lit("")) if master_conf else F.lit("")).alias("m_conf"),
                       (F.coalesce(F.col(master_attr), F.lit("")) if master_attr else F.lit("")).alias("m_attr"))
     m = m.withColumn("m_tokens", word_tokens(F.col("master_name")))
+    n_master = master.count()  # one size check for every broadcast below
 
     m_tok = m.select("row_id", F.explode("m_tokens").alias("tok"))
-    m_tok = _sized_broadcast(m_tok, master, broadcast_limit)
+    m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
     q_tok = q.select("q_name", "q_pref", "q_attr", F.explode("q_tokens").alias("tok"))
     keys = ["q_name", "q_pref", "q_attr", "row_id"]
     shared = q_tok.join(m_tok, "tok").groupBy(*keys).agg(F.count(F.lit(1)).alias("shared"))
     pairs = shared
     if pref and master_conf:
         mc = m.filter(F.col("m_conf") != "").select("row_id", F.col("m_conf").alias("q_pref"))
-        mc = _sized_broadcast(mc, master, broadcast_limit)
+        mc = _sized_broadcast(mc, n_master, broadcast_limit)
         conf_pairs = (q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr")
                       .join(mc, "q_pref").select(*keys, F.lit(0).cast("long").alias("shared")))
         pairs = pairs.unionByName(conf_pairs).groupBy(*keys).agg(F.max("shared").alias("shared"))
-    mm = _sized_broadcast(m, master, broadcast_limit)
+    mm = _sized_broadcast(m, n_master, broadcast_limit)
     pairs = (pairs.join(q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq")),
                         ["q_name", "q_pref", "q_attr"])
              .join(mm.select("row_id", "master_name", "m_conf", "m_attr", F.size("m_tokens").alias("nm")),
