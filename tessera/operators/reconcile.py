@@ -148,10 +148,14 @@ def keyed_upsert(master: DataFrame, results: DataFrame, key_master: Column, key_
 
 def link_status(rows: DataFrame, captures: DataFrame, url: str = "url") -> DataFrame:
     """Status text per row by its URL: distinct URLs joined to the capture
-    table ``(url, status, error)`` (last capture per URL wins), S39."""
+    table ``(url, status, error)`` (last capture per URL wins), S39.  A URL
+    the crawler has not captured yet is ``Not captured`` (no fetch happens
+    inside the plan)."""
     cap = captures.groupBy("url").agg(F.max_by(F.struct("status", "error"), F.col("page_id")).alias("_c"))
     x = rows.join(cap.withColumnRenamed("url", "_u"), F.col(url) == F.col("_u"), "left")
-    return x.withColumn("status_text", st.status_text(F.col(url), F.col("_c.status"), F.col("_c.error"))).drop("_u", "_c")
+    txt = F.when(F.col("_u").isNull() & (F.coalesce(F.col(url), F.lit("")) != ""), F.lit("Not captured")).otherwise(
+        st.status_text(F.col(url), F.col("_c.status"), F.col("_c.error")))
+    return x.withColumn("status_text", txt).drop("_u", "_c")
 
 
 def camp_append(existing: DataFrame, new: DataFrame,
