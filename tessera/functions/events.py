@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions.text import strip
 
@@ -88,10 +89,10 @@ def split_date_range(s) -> Column:
 def split_city_state(s) -> Column:
     """``City, ST`` -> struct(city, state), parts trimmed."""
     parts = F.split(strip(F.coalesce(_c(s), F.lit(""))), ",")
-    return F.struct(strip(F.element_at(parts, 1)).alias("city"),
+    return F.struct(strip(at(parts, 1)).alias("city"),
                     F.coalesce(strip(F.try_element_at(parts, F.lit(2))), F.lit("")).alias("state"))
 
 
 def after_last_colon(s) -> Column:
     """B21 helper: the text after the last ``:``, trimmed."""
-    return strip(F.element_at(F.split(strip(F.coalesce(_c(s), F.lit(""))), ":"), -1))
+    return strip(at(F.split(strip(F.coalesce(_c(s), F.lit(""))), ":"), -1))

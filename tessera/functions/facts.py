@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions.text import strip
 
@@ -61,8 +62,8 @@ POINTS_HEADER = r"(?i)\b(c?pts?|points?)\b"
 def points_column_index(header: Column) -> Column:
     """0-based index of the first header naming points, else null."""
     idx = F.filter(F.sequence(F.lit(0), F.size(header) - 1),
-                   lambda i: F.coalesce(F.element_at(header, i + 1), F.lit("")).rlike(POINTS_HEADER))
-    return F.when(F.size(header) > 0, F.element_at(idx, 1))
+                   lambda i: F.coalesce(at(header, i + 1), F.lit("")).rlike(POINTS_HEADER))
+    return F.when(F.size(header) > 0, at(idx, 1))
 
 
 RECORD_RE = r"[0-9]+\s*[-–][ \t]*[0-9]+"

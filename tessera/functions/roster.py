@@ -6,6 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions.text import strip
 
@@ -57,7 +58,7 @@ def canon_pos(s) -> Column:
     x = F.lower(strip(F.coalesce(_c(s), F.lit(""))))
     x = F.regexp_replace(F.regexp_replace(x, r"\.", ""), r"\\", "/")
     m = _lit_map(POSITION_MAP)
-    mapped = F.filter(F.transform(F.split(x, r"[/,\-\s]+"), lambda t: F.element_at(m, t)),
+    mapped = F.filter(F.transform(F.split(x, r"[/,\-\s]+"), lambda t: at(m, t)),
                       lambda t: t.isNotNull())
     return F.array_join(F.array_distinct(mapped), "/")
 
@@ -69,7 +70,7 @@ def position_token(s) -> Column:
 
 def class_year(y) -> Column:
     """Class-year word -> level; unknown words pass through."""
-    return F.coalesce(F.element_at(_lit_map(YEAR_MAP), F.lower(strip(_c(y)))), _c(y))
+    return F.coalesce(at(_lit_map(YEAR_MAP), F.lower(strip(_c(y)))), _c(y))
 
 
 def season_start_year(now) -> Column:
@@ -90,7 +91,7 @@ def academic_level(text, now) -> Column:
     by_year = (F.when(delta == 0, "senior").when(delta == 1, "junior").when(delta == 2, "sophomore")
                .when(delta == 3, "freshman").when(delta < 0, "graduate student").otherwise("freshman"))
     clean = strip(F.regexp_replace(s, r"\.", ""))
-    by_word = F.coalesce(F.element_at(_lit_map(YEAR_MAP), clean), clean)
+    by_word = F.coalesce(at(_lit_map(YEAR_MAP), clean), clean)
     return F.when(t == "", F.lit("")).when(yr != "", by_year).otherwise(by_word)
 
 
@@ -110,13 +111,13 @@ def position_classes(position) -> Column:
     parts = F.filter(F.transform(F.split(p, r"\s*[/&|,]\s*"), lambda t: strip(t)), lambda t: t != "")
     first = lambda t: F.upper(F.substring(t, 1, 1))
     cls = F.transform(parts, lambda t: F.coalesce(
-        F.element_at(m, t),
+        at(m, t),
         F.when(first(t) == "D", "D").when(first(t) == "M", "M").when(first(t) == "F", "F")
          .when(first(t) == "G", "GK")))
     counted = F.filter(cls, lambda c: c.isNotNull())
     kw = F.filter(F.array(*[F.when(p.rlike(rx), F.lit(code)) for code, rx in POSITION_KEYWORDS]),
                   lambda c: c.isNotNull())
-    direct = F.element_at(m, p)
+    direct = at(m, p)
     return (F.when(direct.isNotNull(), F.array(direct))
             .when(F.size(counted) > 0, counted)
             .otherwise(kw))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions.facts import POINTS_HEADER, is_record, points_value
 from tessera.functions.text import normalize_header, strip
@@ -68,15 +69,15 @@ def map_by_keyword(headers: DataFrame) -> DataFrame:
     Input ``(page_id, table_id, header, visible)``; output adds
     ``field_idx map<string,int>`` and ``accepted``."""
     x = headers.select("page_id", "table_id", F.explode("visible").alias("i"),
-                       "header").withColumn("h", F.element_at(F.col("header"), F.col("i") + 1))
+                       "header").withColumn("h", at(F.col("header"), F.col("i") + 1))
     x = x.withColumn("field", _keyword_field(F.col("h"))).filter(F.col("field").isNotNull())
     per = x.groupBy("page_id", "table_id", "field").agg(F.min("i").alias("i"))
     m = per.groupBy("page_id", "table_id").agg(
         F.map_from_entries(F.collect_list(F.struct("field", "i"))).alias("field_idx"))
-    acc = (F.element_at(F.col("field_idx"), F.lit("school")).isNotNull()
-           & (F.element_at(F.col("field_idx"), F.lit("conf_record")).isNotNull()
-              | F.element_at(F.col("field_idx"), F.lit("overall_record")).isNotNull()
-              | F.element_at(F.col("field_idx"), F.lit("standing")).isNotNull()))
+    acc = (at(F.col("field_idx"), F.lit("school")).isNotNull()
+           & (at(F.col("field_idx"), F.lit("conf_record")).isNotNull()
+              | at(F.col("field_idx"), F.lit("overall_record")).isNotNull()
+              | at(F.col("field_idx"), F.lit("standing")).isNotNull()))
     return headers.join(m, ["page_id", "table_id"], "left").withColumn("accepted", F.coalesce(acc, F.lit(False)))
 
 
@@ -98,8 +99,8 @@ def map_by_name(headers: DataFrame, names: dict) -> DataFrame:
     x = x.withColumn("hn", normalize_header(F.col("h")))
     w = Window.partitionBy("page_id", "table_id", "hn").orderBy("i")
     x = x.withColumn("occ", F.row_number().over(w) - 1)
-    tgt = F.element_at(mp, F.col("hn"))
-    x = x.withColumn("field", F.when(tgt.isNotNull(), F.element_at(tgt, F.least(F.col("occ") + 1, F.size(tgt)))))
+    tgt = at(mp, F.col("hn"))
+    x = x.withColumn("field", F.when(tgt.isNotNull(), at(tgt, F.least(F.col("occ") + 1, F.size(tgt)))))
     per = x.filter(F.col("field").isNotNull()).groupBy("page_id", "table_id", "field").agg(F.min("i").alias("i"))
     m = per.groupBy("page_id", "table_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "i"))).alias("field_idx"))
     return headers.join(m, ["page_id", "table_id"], "left")
@@ -113,10 +114,10 @@ def indices_to_names(header: Column, idx: Column, required=("school", "conf_reco
     n = F.size(header)
     ok = F.lit(True)
     for r in required:
-        v = F.element_at(idx, F.lit(r))
+        v = at(idx, F.lit(r))
         ok = ok & v.isNotNull() & (v >= 0) & (v < n)
     ents = F.filter(F.map_entries(idx), lambda e: (e["value"] >= 0) & (e["value"] < n))
-    names = F.map_from_entries(F.transform(ents, lambda e: F.struct(F.element_at(header, e["value"] + 1).alias("k"),
+    names = F.map_from_entries(F.transform(ents, lambda e: F.struct(at(header, e["value"] + 1).alias("k"),
                                                                     e["key"].alias("v"))))
     return F.when(ok, names)
 
@@ -139,8 +140,8 @@ def th_td_index(tags: Column, v: Column) -> Column:
     """C17: on sites that count the leading ``th`` as 0 and the n-th ``td`` as
     n, translate to the true cell position."""
     n = F.size(tags)
-    tds = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(tags, i + 1) == "td")
-    return F.when(v == 0, F.lit(0)).otherwise(F.element_at(tds, v))
+    tds = F.filter(F.sequence(F.lit(0), n - 1), lambda i: at(tags, i + 1) == "td")
+    return F.when(v == 0, F.lit(0)).otherwise(at(tds, v))
 
 
 # ------------------------------------------------------------------ C6, C8 + points: row extraction
@@ -156,10 +157,10 @@ def extract_standing_rows(rec: DataFrame, explicit: bool = False) -> DataFrame:
     schools dropped.  Standing: mapped, else the row number (over all
     aligned rows).  Points: the first header naming points."""
     cells = F.col("cells")
-    get = lambda f: F.when(F.element_at(F.col("field_idx"), F.lit(f)).isNotNull(),
-                           strip(F.element_at(cells, F.element_at(F.col("field_idx"), F.lit(f)) + 1)))
-    first_alpha = F.element_at(F.filter(cells, lambda c: c.rlike("[A-Za-z]")), 1)
-    first_rec = F.element_at(F.filter(cells, lambda c: is_record(c)), 1)
+    get = lambda f: F.when(at(F.col("field_idx"), F.lit(f)).isNotNull(),
+                           strip(at(cells, at(F.col("field_idx"), F.lit(f)) + 1)))
+    first_alpha = at(F.filter(cells, lambda c: c.rlike("[A-Za-z]")), 1)
+    first_rec = at(F.filter(cells, lambda c: is_record(c)), 1)
     school = get("school")
     conf, overall = get("conf_record"), get("overall_record")
     if not explicit:
@@ -168,12 +169,12 @@ def extract_standing_rows(rec: DataFrame, explicit: bool = False) -> DataFrame:
         conf = F.when(conf.isNotNull() & ~is_record(conf) & first_rec.isNotNull(), strip(first_rec)).otherwise(conf)
         overall = F.when(overall.isNotNull() & ~is_record(overall) & first_rec.isNotNull(),
                          strip(first_rec)).otherwise(overall)
-    first_vis = F.element_at(cells, F.element_at(F.col("visible"), 1) + 1)
-    school = F.coalesce(F.nullif(school, F.lit("")), F.nullif(first_vis, F.lit("")), F.element_at(cells, 1))
+    first_vis = at(cells, at(F.col("visible"), 1) + 1)
+    school = F.coalesce(F.nullif(school, F.lit("")), F.nullif(first_vis, F.lit("")), at(cells, 1))
     school = strip(F.regexp_replace(F.regexp_replace(F.coalesce(school, F.lit("")), r"[\[\(].*?[\]\)]", ""), r"\*", ""))
-    pts_i = F.element_at(F.filter(F.sequence(F.lit(0), F.size("header") - 1),
-                                  lambda i: F.coalesce(F.element_at(F.col("header"), i + 1), F.lit("")).rlike(POINTS_HEADER)), 1)
-    pts = F.when(pts_i.isNotNull(), points_value(F.element_at(cells, pts_i + 1)))
+    pts_i = at(F.filter(F.sequence(F.lit(0), F.size("header") - 1),
+                                  lambda i: F.coalesce(at(F.col("header"), i + 1), F.lit("")).rlike(POINTS_HEADER)), 1)
+    pts = F.when(pts_i.isNotNull(), points_value(at(cells, pts_i + 1)))
     standing = F.coalesce(F.nullif(get("standing"), F.lit("")), F.col("row_idx").cast("string"))
     return (rec.select("*", school.alias("school"), F.coalesce(conf, F.lit("")).alias("conf_record"),
                        F.coalesce(overall, F.lit("")).alias("overall_record"), standing.alias("standing"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions import events as ev
 from tessera.functions import facts as fa
@@ -106,55 +107,84 @@ def is_sidearm(nodes: DataFrame) -> DataFrame:
 
 
 def _year_from_text(t: Column) -> Column:
-    """B17/B18 fallback (decision D18): first class-year word on token
-    boundaries, in YEAR_MAP order."""
+    """B17/B18 fallback: the level of the first class-year word (YEAR_MAP
+    order) found in the text; decision D18: on token boundaries, so ``so``
+    does not hit ``soccer``."""
     low = F.lower(F.coalesce(t, F.lit("")))
     out = F.lit(None).cast("string")
-    for k in reversed(list(ro.YEAR_MAP.keys())):
+    for k, v in reversed(list(ro.YEAR_MAP.items())):
         rx = r"(?<![\p{L}\p{N}_])" + k.replace(".", r"\.") + r"(?![\p{L}\p{N}_])"
-        out = F.when(low.rlike(rx), F.lit(k)).otherwise(out)
+        out = F.when(low.rlike(rx), F.lit(v)).otherwise(out)
     return out
 
 
+def _year_map():
+    return F.create_map(*[F.lit(x) for kv in ro.YEAR_MAP.items() for x in kv])
+
+
+def _pos_map():
+    return F.create_map(*[F.lit(x) for kv in ro.POSITION_MAP.items() for x in kv])
+_LABEL_RE = r"(?i)^\s*(pos|position)\s*[:\-]\s*"
+
+
+def _inside(nodes: DataFrame, owners: DataFrame, owner_col: str) -> DataFrame:
+    """Descendants of the owner elements (via the ancestor chain)."""
+    d = nodes.select("page_id", F.explode("ancestor_ids").alias(owner_col), "node_id", "tag", "attrs", "text", "own_text")
+    return d.join(owners.select("page_id", owner_col), ["page_id", owner_col], "left_semi")
+
+
 def sidearm_players(nodes: DataFrame) -> DataFrame:
-    """One player per ``li.sidearm-roster-player``: position from a
-    ``*position*`` class element, else a ``pos:`` label, else a token search
-    in the card; year from a ``*year*``/``*academic*`` class element, else a
-    word search."""
-    li = hx.select_nodes(nodes, tag="li", cls="sidearm-roster-player") \
-        .select("page_id", F.col("node_id").alias("li_id"), F.col("text").alias("card"))
-    inner = nodes.select("page_id", F.explode("ancestor_ids").alias("li_id"), "node_id",
-                         F.lower(F.coalesce(F.col("attrs")["class"], F.lit(""))).alias("cls"), "text")
-    inner = inner.join(li.select("page_id", "li_id"), ["page_id", "li_id"], "left_semi")
-    pos = (inner.filter(F.col("cls").contains("position")).groupBy("page_id", "li_id")
-           .agg(F.min_by(clean_text(F.col("text")), F.col("node_id")).alias("_pos")))
-    yr = (inner.filter(F.col("cls").contains("year") | F.col("cls").contains("academic"))
-          .groupBy("page_id", "li_id").agg(F.min_by(clean_text(F.col("text")), F.col("node_id")).alias("_yr")))
-    x = li.join(pos, ["page_id", "li_id"], "left").join(yr, ["page_id", "li_id"], "left")
-    label = F.regexp_extract(F.coalesce(F.col("card"), F.lit("")), r"(?i)pos(?:ition)?\s*[:.]\s*([A-Za-z/ ]+)", 1)
-    position = F.coalesce(F.nullif(F.col("_pos"), F.lit("")), F.nullif(strip(label), F.lit("")),
-                          F.nullif(ro.position_token(F.col("card")), F.lit("")), F.lit(""))
-    year = F.coalesce(F.nullif(F.col("_yr"), F.lit("")), _year_from_text(F.col("card")), F.lit(""))
+    """One player per ``li.sidearm-roster-player`` / ``-item``.
+    Position: the first ``.sidearm-roster-player-position``, ``.position`` or
+    ``[data-player-position]`` element, else the first ``div/span/p`` whose
+    text starts with a ``pos:`` label, else the first position token of the
+    card; all through ``canon_pos``.  Year: the
+    ``.sidearm-roster-player-academic-year`` element through YEAR_MAP, else
+    the first class-year word of the card."""
+    li = nodes.filter((F.col("tag") == "li") & (hx.has_class("sidearm-roster-player") | hx.has_class("sidearm-roster-item"))) \
+        .select("page_id", F.col("node_id").alias("li_id"), clean_text(F.col("text")).alias("card"))
+    inner = _inside(nodes, li, "li_id")
+    pos_el = (inner.filter(hx.has_class("sidearm-roster-player-position") | hx.has_class("position")
+                           | F.col("attrs")["data-player-position"].isNotNull())
+              .groupBy("page_id", "li_id").agg(F.min_by(clean_text(F.col("text")), F.col("node_id")).alias("_pos")))
+    lab = (inner.filter(F.col("tag").isin("div", "span", "p")).withColumn("_t", clean_text(F.col("text")))
+           .filter(F.col("_t").rlike(_LABEL_RE))
+           .groupBy("page_id", "li_id").agg(F.min_by(F.regexp_replace("_t", _LABEL_RE, ""), F.col("node_id")).alias("_lab")))
+    yr = (inner.filter(hx.has_class("sidearm-roster-player-academic-year")).groupBy("page_id", "li_id")
+          .agg(F.min_by(F.lower(clean_text(F.col("text"))), F.col("node_id")).alias("_yr")))
+    x = li.join(pos_el, ["page_id", "li_id"], "left").join(lab, ["page_id", "li_id"], "left") \
+        .join(yr, ["page_id", "li_id"], "left")
+    tok = ro.position_token(F.col("card"))
+    position = (F.when(F.col("_pos").isNotNull(), ro.canon_pos(F.col("_pos")))
+                .when(F.col("_lab").isNotNull(), ro.canon_pos(F.col("_lab")))
+                .when(tok != "", ro.canon_pos(tok)).otherwise(F.lit("")))
+    year = F.when(F.col("_yr").isNotNull(), F.coalesce(at(_year_map(), F.col("_yr")), F.col("_yr"))) \
+        .otherwise(F.coalesce(_year_from_text(F.col("card")), F.lit("")))
     return x.select("page_id", F.col("li_id").alias("player_id"), position.alias("position"), year.alias("year"))
 
 
 def data_field_players(nodes: DataFrame) -> DataFrame:
-    """Rows of ``.roster-data`` tables; ``td[data-field=position|year]``
-    own text; a row without either falls back to a word search of its text.
-    Header rows produce empty players (kept, as in the reference)."""
-    tr = hx.select_nodes(nodes, tag="tr", within_cls="roster-data").select(
-        "page_id", F.col("node_id").alias("tr_id"), F.col("text").alias("row_text"))
+    """Every ``tr`` of the first ``.roster-data`` element; position from
+    ``td[data-field=position]`` own text through POSITION_MAP (unknown text
+    kept); year from ``td[data-field=year]`` own text (lower case) through
+    YEAR_MAP, else the first class-year word of the row.  Header rows give
+    empty players, as in the reference."""
+    box = nodes.filter(hx.has_class("roster-data")).groupBy("page_id").agg(F.min("node_id").alias("box_id"))
+    tr = (nodes.filter(F.col("tag") == "tr").select("page_id", F.col("node_id").alias("tr_id"), "ancestor_ids",
+                                                   clean_text(F.col("text")).alias("row_text"))
+          .join(box, "page_id").filter(F.array_contains("ancestor_ids", F.col("box_id"))).drop("ancestor_ids", "box_id"))
     td = nodes.filter(F.col("tag") == "td").select(
         "page_id", hx.nearest_ancestor("tr").alias("tr_id"), "node_id",
-        F.col("attrs")["data-field"].alias("field"), strip(F.col("own_text")).alias("v"))
-    f = (td.groupBy("page_id", "tr_id")
+        F.col("attrs")["data-field"].alias("field"), strip(F.coalesce(F.col("own_text"), F.lit(""))).alias("v"))
+    f = (td.filter(F.col("field").isin("position", "year")).groupBy("page_id", "tr_id")
          .agg(F.min_by(F.when(F.col("field") == "position", F.col("v")),
                        F.when(F.col("field") == "position", F.col("node_id"))).alias("_pos"),
-              F.min_by(F.when(F.col("field") == "year", F.col("v")),
+              F.min_by(F.when(F.col("field") == "year", F.lower(F.col("v"))),
                        F.when(F.col("field") == "year", F.col("node_id"))).alias("_yr")))
     x = tr.join(f, ["page_id", "tr_id"], "left")
-    position = F.coalesce(F.col("_pos"), F.nullif(ro.position_token(F.col("row_text")), F.lit("")), F.lit(""))
-    year = F.coalesce(F.col("_yr"), _year_from_text(F.col("row_text")), F.lit(""))
+    position = F.coalesce(at(_pos_map(), F.col("_pos")), F.col("_pos"), F.lit(""))
+    year = F.when(F.col("_yr").isNotNull(), F.coalesce(at(_year_map(), F.col("_yr")), F.col("_yr"))) \
+        .otherwise(F.coalesce(_year_from_text(F.col("row_text")), F.lit("")))
     return x.select("page_id", F.col("tr_id").alias("player_id"), position.alias("position"), year.alias("year"))
 
 
@@ -169,22 +199,25 @@ def roster_players(nodes: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ rankings
 
 def rankings_from_rows(rows: DataFrame) -> DataFrame:
-    """(rank, name) per table row: rank in cell 0 (name cell 1), else in
-    cell 1 (name cell 3), else the first of the first 3 cells that starts
-    with 1-2 digits (name = first other non-empty cell).  Rank 1..99 as int."""
-    c = lambda i: F.coalesce(F.try_element_at(F.col("cells"), F.lit(i + 1)), F.lit(""))
-    lead = lambda s: F.regexp_extract(s, r"^\s*([0-9]{1,2})", 1)
-    idx = F.sequence(F.lit(0), F.least(F.size("cells"), F.lit(3)) - 1)
-    first_digit = F.element_at(F.filter(idx, lambda i: lead(F.element_at(F.col("cells"), i + 1)) != ""), 1)
-    other = F.element_at(F.filter(F.sequence(F.lit(0), F.size("cells") - 1),
-                                  lambda i: (i != first_digit) & (strip(F.element_at(F.col("cells"), i + 1)) != "")), 1)
-    r0, r1 = lead(c(0)), lead(c(1))
-    rank = F.when(r0 != "", r0).when(r1 != "", r1).otherwise(
-        F.when(first_digit.isNotNull(), lead(F.element_at(F.col("cells"), first_digit + 1))))
-    name = (F.when(r0 != "", c(1)).when(r1 != "", c(3))
-            .otherwise(F.when(other.isNotNull(), F.element_at(F.col("cells"), other + 1))))
-    out = rows.select("*", rank.try_cast("int").alias("rank"), clean_text(name).alias("name"))
-    return out.filter(F.col("rank").isNotNull() & (F.coalesce(F.col("name"), F.lit("")) != ""))
+    """(rank, name) per table row from its ``td`` cells (rows with at
+    least 2): rank text in cell 0 (name = cell 1); else, with 4+ cells, in
+    cell 1 (name = cell 3); else the first of the first 3 cells that starts
+    with 1-2 digits, the name being the first non-empty cell with another
+    text.  Rank = the leading 1-2 digits; rows without a name are dropped."""
+    z = F.arrays_zip(F.col("cells").alias("c"), F.col("tags").alias("t"))
+    td = F.transform(F.filter(z, lambda e: e["t"] == "td"), lambda e: e["c"])
+    lead = lambda s: F.regexp_extract(F.coalesce(s, F.lit("")), r"^\s*([0-9]{1,2})", 1)
+    x = rows.withColumn("_td", td).withColumn("_n", F.size("_td"))
+    c = lambda i: at(F.col("_td"), i + 1)
+    rt3 = at(F.filter(F.slice(F.col("_td"), 1, 3), lambda v: lead(v) != ""), 1)
+    name3 = at(F.filter(F.col("_td"), lambda v: (strip(v) != "") & (v != rt3)), 1)
+    p1 = lead(c(0)) != ""
+    p2 = (F.col("_n") >= 4) & (lead(c(1)) != "")
+    rank_text = F.when(p1, c(0)).when(p2, c(1)).otherwise(rt3)
+    name = F.when(p1, c(1)).when(p2, c(3)).otherwise(F.when(rt3.isNotNull(), name3))
+    out = x.filter(F.col("_n") >= 2).select(*rows.columns, lead(rank_text).try_cast("int").alias("rank"),
+                                            strip(F.coalesce(name, F.lit(""))).alias("name"))
+    return out.filter(F.col("rank").isNotNull() & (F.col("name") != ""))
 
 
 def rankings_from_lines(pages_text: DataFrame, text: str = "text") -> DataFrame:
@@ -274,7 +307,7 @@ def labelled_values(nodes: DataFrame, value_cls: str, title_cls: str) -> DataFra
     in that order (nearest first within a level)."""
     vals = hx.select_nodes(nodes, cls=value_cls).select(
         "page_id", F.col("node_id").alias("v_id"), "parent_id", "sib_idx", clean_text(F.col("text")).alias("value"),
-        F.element_at(F.col("ancestor_ids"), -2).alias("gp_id"))
+        at(F.col("ancestor_ids"), -2).alias("gp_id"))
     titles = hx.select_nodes(nodes, cls=title_cls).select(
         "page_id", F.col("node_id").alias("t_id"), F.col("parent_id").alias("t_parent"),
         F.col("sib_idx").alias("t_sib"), "ancestor_ids", clean_text(F.col("text")).alias("title"))
@@ -366,7 +399,7 @@ def coach_profile_links(changes: DataFrame, nodes: DataFrame, pages: DataFrame)
     c = changes.withColumn("_keys", person_name_keys(F.col("name")))
     x = c.join(a, "page_id")
     href = F.lower(F.col("href"))
-    k = lambda i: F.element_at(F.col("_keys"), i)
+    k = lambda i: at(F.col("_keys"), i)
     roster = (href.contains("/roster/coaches/")
               & (F.col("a_text").contains(k(1)) | F.col("aria").contains(k(1)) | href.contains(k(2))
                  | href.contains(k(3)) | href.contains(k(4))))

@@ -40,6 +40,7 @@ from html.parser import HTMLParser
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 from pyspark.sql import types as T
 
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -317,7 +318,7 @@ def nearest_ancestor(tag: str) -> Column:
     """Id of the nearest enclosing element with this tag (null if none)."""
     z = F.arrays_zip(F.col("ancestor_ids").alias("i"), F.col("ancestor_tags").alias("t"))
     hits = F.filter(z, lambda x: x["t"] == F.lit(tag))
-    return F.when(F.size(hits) > 0, F.element_at(hits, -1)["i"])
+    return F.when(F.size(hits) > 0, at(hits, -1)["i"])
 
 
 # ---------------------------------------------------------------- tables
@@ -390,8 +391,8 @@ def visible_positions(header_classes: Column, sidearm: Column) -> Column:
     without ``hide-on-large``; else all."""
     n = F.size(header_classes)
     idx = F.sequence(F.lit(0), n - 1)
-    marked = F.filter(idx, lambda i: F.element_at(header_classes, i + 1).contains("hide-on-medium-down"))
-    not_large = F.filter(idx, lambda i: ~F.element_at(header_classes, i + 1).contains("hide-on-large"))
+    marked = F.filter(idx, lambda i: at(header_classes, i + 1).contains("hide-on-medium-down"))
+    not_large = F.filter(idx, lambda i: ~at(header_classes, i + 1).contains("hide-on-large"))
     return (F.when(n == 0, F.array().cast("array<int>"))
             .when(F.size(marked) > 0, marked)
             .when(sidearm, not_large)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions import status as st
 from tessera.functions import text as tx
@@ -120,7 +121,7 @@ def change_log_writes(changes: DataFrame, gender_cols: dict, row_id: str = "row_
     cells = c.select(row_id, seq, F.explode(st.change_columns(F.col("_code"), F.col("_name"), F.col("email_address")))
                      .alias("w"))
     m = F.create_map(*[F.lit(x) for kv in gender_cols.items() for x in kv])
-    return cells.select(row_id, seq, F.element_at(m, F.col("w.field")).alias("column"), F.col("w.value").alias("value"))
+    return cells.select(row_id, seq, at(m, F.col("w.field")).alias("column"), F.col("w.value").alias("value"))
 
 
 def keyed_upsert(master: DataFrame, results: DataFrame, key_master: Column, key_result: Column,

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions import text as tx
 from tessera.functions import urls as ul
@@ -438,7 +439,7 @@ def season_input(spark, sf_dir):
     p = F.floor("o_totalprice").cast("bigint")
     txt = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("Class of "),
                                                             (F.year("o_orderdate") + p % 6 - 1).cast("string")))
-           .when(F.col("o_orderstatus") == "O", F.element_at(F.array(*[F.lit(w) for w in _YEAR_WORDS]),
+           .when(F.col("o_orderstatus") == "O", at(F.array(*[F.lit(w) for w in _YEAR_WORDS]),
                                                                 (p % len(_YEAR_WORDS) + 1).cast("int")))
            .otherwise(F.lit("")))
     return o.select("o_orderkey", "o_custkey", "o_orderdate", txt.alias("class_text"))
@@ -503,8 +504,8 @@ def roster_input(spark, sf_dir):
     """Player-like rows from parts: team = brand, position and class cells
     picked from roster spellings by size and price."""
     p = read_table(spark, sf_dir, "part")
-    pos = F.element_at(F.array(*[F.lit(w) for w in _POS_WORDS]), (F.col("p_size") % len(_POS_WORDS) + 1).cast("int"))
-    yr = F.element_at(F.array(*[F.lit(w) for w in _CLASS_WORDS]),
+    pos = at(F.array(*[F.lit(w) for w in _POS_WORDS]), (F.col("p_size") % len(_POS_WORDS) + 1).cast("int"))
+    yr = at(F.array(*[F.lit(w) for w in _CLASS_WORDS]),
                       (F.floor("p_retailprice").cast("bigint") % len(_CLASS_WORDS) + 1).cast("int"))
     return p.select("p_partkey", F.col("p_brand").alias("team"), pos.alias("pos_text"), yr.alias("year_text"))
 
@@ -634,7 +635,7 @@ def camp_map_input(spark, sf_dir):
     s = read_table(spark, sf_dir, "supplier")
     score = (F.when(F.col("s_acctbal") < 0, F.lit("n/a")).when(F.col("s_acctbal") < 1000, F.lit(""))
              .otherwise(F.format_number(F.col("s_acctbal") / 10000, 3)))
-    conf = F.element_at(F.array(F.lit("yes"), F.lit("TRUE"), F.lit("0"), F.lit(None).cast("string")),
+    conf = at(F.array(F.lit("yes"), F.lit("TRUE"), F.lit("0"), F.lit(None).cast("string")),
                         (F.col("s_nationkey") % 4 + 1).cast("int"))
     return s.select(F.col("s_suppkey").alias("pos"), F.col("s_name").alias("camp_school_name"),
                     score.alias("similarity_score"), conf.alias("manually_confirmed"))
@@ -693,7 +694,7 @@ def match_input(spark, sf_dir):
               .select(F.col("m.p_partkey").alias("row_id"), F.col("p_name").alias("master_name"),
                       F.col("m.p_brand").alias("conference")))
     name = F.when(F.col("p_size") % 2 == 0, F.concat_ws(" ", F.lower("p_type"), "p_name")).otherwise(
-        F.concat_ws(" ", F.lower("p_type"), F.element_at(F.split("p_name", " "), -1)))
+        F.concat_ws(" ", F.lower("p_type"), at(F.split("p_name", " "), -1)))
     left = p.select("p_partkey", name.alias("name"), F.col("p_brand").alias("pref"))
     return left, master
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tessera.functions.common import at
 
 from tessera.functions.text import strip
 from tessera.operators.html import html_to_text, strip_forward_header
@@ -53,7 +54,7 @@ def decode_base64url(data: Column) -> Column:
 def mail_html(parts: Column) -> Column:
     """A10: the first ``text/html`` part, decoded (null when none)."""
     html = F.filter(parts, lambda p: p["mimeType"] == "text/html")
-    return F.when(F.size(html) > 0, decode_base64url(F.element_at(html, 1)["data"]))
+    return F.when(F.size(html) > 0, decode_base64url(at(html, 1)["data"]))
 
 
 def mail_body(plain: Column, html: Column, limit: int = 40000) -> Column:
