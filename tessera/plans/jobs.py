@@ -9,6 +9,7 @@ sheet writes) are input or output tables here.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,15 +25,23 @@ from tessera.operators import html as hx
 from tessera.operators import match as mt
 from tessera.operators import reconcile as rc
 from tessera.sources.files import scan_master
+from tessera.sources.sinks import cut_lineage
 from tessera.sources.pages import first_hit, mail_html, yearless_candidates
 
 TABLE_TAGS = {"table", "thead", "tbody", "tfoot", "tr", "td", "th", "main", "h1", "h2", "h3", "h4", "h5", "h6",
               "a", "meta", "script", "title"}
 
 
+def _reused(df: DataFrame) -> DataFrame:
+    """A table several branches of a job read (the node table above all):
+    kept once in executor memory/disk so the HTML parse runs once; a lost
+    executor recomputes its blocks from lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _tables(pages: DataFrame):
-    nodes = hx.html_nodes(pages, text_tags={"td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "a", "title"})
-    rows = hx.html_rows(nodes)
+    nodes = _reused(hx.html_nodes(pages, text_tags={"td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "a", "title"}))
+    rows = _reused(hx.html_rows(nodes))
     headers = hx.detect_header(rows)
     return nodes, rows, headers
 
@@ -69,7 +78,11 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     ent = co.extract_standing_rows(rec).join(table_titles(nodes), ["page_id", "table_id"], "left")
     ent = ent.select("page_id", "table_id", "conference", F.col("row_idx").alias("pos"), "school",
                      "conf_record", "overall_record", "standing", "pts")
-    ranked = ag.points_standing(ent, group="conference", pos="pos", pts="pts")
+    # stage boundaries: the extracted and the ranked standings are written to
+    # the shared checkpoint folder, so later stages neither re-parse pages nor
+    # re-plan the whole extraction
+    ent = cut_lineage(ent)
+    ranked = cut_lineage(ag.points_standing(ent, group="conference", pos="pos", pts="pts"))
     m = scan_master(master, gender, attr="conference").select(
         F.col("row_id"), F.col("name").alias("master_name"), "conference")
     cands = mt.fuzzy_topk(ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")), m, k=k,
@@ -116,8 +129,8 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
     cand = yearless_candidates(rosters.withColumn("_k", F.concat_ws("|", "university", "gender")), "_k",
                                season_start=season_start)
     pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
-    nodes = hx.html_nodes(pages.select("page_id", "html"))
-    players = ex.roster_players(nodes)
+    nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
+    players = _reused(ex.roster_players(nodes))
     n = players.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_players"))
     hits = cand.join(pages.select("page_id", "candidate_url"), "candidate_url").join(n, "page_id")
     chosen = first_hit(hits, "_k", "priority", F.col("n_players") > 0)
@@ -165,7 +178,7 @@ def partner_camps(pages: DataFrame, base: DataFrame, answers: DataFrame | None,
 def branded_camps(pages: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Camp page fields (B21, S21, S22, S25, S26) + geocode of
     'title, city, state' (E14)."""
-    nodes = hx.html_nodes(pages)
+    nodes = _reused(hx.html_nodes(pages))
     c = ex.camp_page_fields(nodes, pages)
     return rc.geocode(c, F.concat_ws(", ", "camp_name", "city", "state"), gazetteer)
 
@@ -192,7 +205,7 @@ def academic_facts(pages: DataFrame, master: DataFrame, value_cls: str, title_cl
                    host_suffix: str) -> dict:
     """Labelled facts per page -> joined to the master on the canonical
     URL (last master row wins) -> keyed upsert with duplicate flag."""
-    nodes = hx.html_nodes(pages)
+    nodes = _reused(hx.html_nodes(pages))
     tv = ex.labelled_values(nodes, value_cls, title_cls)
     facts = ex.academic_facts(tv, nodes, undergrad_cls).join(pages.select("page_id", "url"), "page_id", "right")
     m = master.withColumn("_fetch", rewrite_host(F.col("academic_info_url"), host_suffix))

@@ -66,7 +66,7 @@ def read_change_logs(spark: SparkSession, paths: str) -> DataFrame:
     first 5 rows; the header is padded to 6 and the 6th column is ``Change``.
     Gender (women before men) and division come from the file name; files
     with neither gender are dropped.  Source files are never rewritten."""
-    raw = spark.read.option("wholetext", "true").text(paths).select(
+    raw = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
     def parse(batches):
@@ -74,7 +74,11 @@ def read_change_logs(spark: SparkSession, paths: str) -> DataFrame:
             recs = []
             for p, c in zip(pdf["path"], pdf["content"]):
                 recs.extend(_parse_change_file(p, c or ""))
-            yield pd.DataFrame(recs, columns=[f.name for f in CHANGE_SCHEMA.fields])
+            if not recs:
+                continue
+            out = pd.DataFrame(recs, columns=[f.name for f in CHANGE_SCHEMA.fields])
+            yield out.astype({"pos": "int32"}).astype({f.name: "object" for f in CHANGE_SCHEMA.fields
+                                                      if f.name != "pos"})
 
     rows = raw.mapInPandas(parse, CHANGE_SCHEMA)
     return (rows.withColumn("gender", gender_from_name(F.regexp_extract("file_name", r"([^/]*)$", 1)))

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import get_session
-    s = get_session("local[4]", app="tessera-tests", shuffle_partitions=8)
+    s = get_session("local[4]", app="tessera-tests", shuffle_partitions=8, extra={"spark.driver.memory": "4g"})
     # tests run locally: a fresh checkpoint folder only because none is set
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="tessera-test-ckpt-")
