@@ -129,8 +129,12 @@ def url_join(base, href) -> Column:
     b, h = _c(base), strip(_c(href))
     p = url_parts(b)
     root = F.concat(p["scheme"], F.lit("://"), p["netloc"])
+    native = h.isNull() | h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | h.startswith("/")
+    # Python UDFs are evaluated for every row of the batch, whatever the
+    # branch: rows resolved natively pass nulls, so only real work is shipped
+    slow = _urljoin_udf(F.when(~native, b), F.when(~native, h))
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
             .when(h.startswith("//"), F.concat(p["scheme"], F.lit(":"), h))
             .when(h.startswith("/"), F.concat(root, h))
-            .otherwise(_urljoin_udf(b, h)))
+            .otherwise(slow))

@@ -251,30 +251,46 @@ def _nodes_batches(batches, text_tags, outer_tags):
             yield pa.RecordBatch.from_pydict(cols, schema=_ARROW_SCHEMA)
 
 
-def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None) -> DataFrame:
+def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, carry: list[str] | None = None) -> DataFrame:
     """B1: one row per element of every page.
 
     ``text_tags``: tags whose full descendant text is kept (None = all);
     ``outer_tags``: tags whose source slice is kept (None = none, "*" = all);
     ``tags``: if given, only these element rows are returned (the tree is
-    still built whole, so ancestry and implied closing are unaffected).
+    still built whole, so ancestry and implied closing are unaffected);
+    ``carry``: page columns copied onto every node row (e.g. ``url`` for
+    link resolution) so no join back to the pages is needed.
     The parse runs inside the tasks that read ``pages``: no shuffle.
     """
     text_tags = None if text_tags is None else frozenset(text_tags)
     if outer_tags is not None and outer_tags != "*":
         outer_tags = frozenset(outer_tags)
     keep = None if tags is None else frozenset(tags)
+    carry = list(carry or [])
+    carry_fields = [pages.schema[c] for c in carry]
 
     def run(batches):
-        for rb in _nodes_batches(batches, text_tags, outer_tags):
-            if keep is not None:
-                import pyarrow.compute as pc
-                rb = rb.filter(pc.is_in(rb.column("tag"), value_set=pa.array(sorted(keep))))
-                if rb.num_rows == 0:
-                    continue
-            yield rb
-
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, NODE_SCHEMA)
+        import pyarrow.compute as pc
+        for batch in batches:
+            for rb in _nodes_batches([batch], text_tags, outer_tags):
+                if keep is not None:
+                    rb = rb.filter(pc.is_in(rb.column("tag"), value_set=pa.array(sorted(keep))))
+                    if rb.num_rows == 0:
+                        continue
+                if carry:
+                    # page values follow their page_id (rows of a batch keep page order)
+                    ids = batch.column("page_id")
+                    idx = pc.index_in(rb.column("page_id"), value_set=ids)
+                    cols = [rb.column(i) for i in range(rb.num_columns)]
+                    names = list(rb.schema.names)
+                    for c in carry:
+                        cols.append(pc.take(batch.column(c), idx))
+                        names.append(c)
+                    rb = pa.RecordBatch.from_arrays(cols, names=names)
+                yield rb
+
+    schema = T.StructType(NODE_SCHEMA.fields + carry_fields)
+    return pages.select(F.col("page_id").cast("long"), "html", *carry).mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- selection (B2)

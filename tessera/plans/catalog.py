@@ -124,10 +124,8 @@ SELECT page_id, CAST(a_idx AS INTEGER) AS a_idx, {sql_decode("href")} AS href,
 FROM u""")
 def page_links(spark, sf_dir):
     """B1 + B2 + B31: every link with its absolute URL and text."""
-    pages = _pages(spark, sf_dir)
-    nodes = hx.html_nodes(pages, text_tags={"a"}, tags={"a"})
+    nodes = hx.html_nodes(_pages(spark, sf_dir), text_tags={"a"}, tags={"a"}, carry=["url"])
     a = hx.select_nodes(nodes, tag="a", attr="href")
-    a = a.join(pages.select("page_id", "url"), "page_id")
     return a.select("page_id", F.col("tag_idx").alias("a_idx"), F.col("attrs")["href"].alias("href"),
                     ul.url_join(F.col("url"), F.col("attrs")["href"]).alias("abs_url"), "text")
 
