@@ -69,25 +69,24 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     m = m.withColumn("m_tokens", word_tokens(F.col("master_name")))
     n_master = master.count()  # one size check for every broadcast below
 
-    m_tok = m.select("row_id", F.explode("m_tokens").alias("tok"))
+    # sizes and names ride along with the exploded tokens: one shuffle (the
+    # pair count), no joins back to either side
+    mcols = ["row_id", "master_name", "m_conf", "m_attr", F.size("m_tokens").alias("nm")]
+    m_tok = m.select(*mcols, F.explode("m_tokens").alias("tok"))
     m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
-    q_tok = q.select("q_name", "q_pref", "q_attr", F.explode("q_tokens").alias("tok"))
-    keys = ["q_name", "q_pref", "q_attr", "row_id"]
-    shared = q_tok.join(m_tok, "tok").groupBy(*keys).agg(F.count(F.lit(1)).alias("shared"))
-    pairs = shared
+    q_tok = q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"), F.explode("q_tokens").alias("tok"))
+    keys = ["q_name", "q_pref", "q_attr", "nq", "row_id", "master_name", "m_conf", "m_attr", "nm"]
+    hits = q_tok.join(m_tok, "tok").select(*keys, F.lit(1).alias("_hit"))
     if pref and master_conf:
-        mc = m.filter(F.col("m_conf") != "").select("row_id", F.col("m_conf").alias("q_pref"))
+        # a +bonus pair may share no word: the conference is a second block key
+        mc = m.filter(F.col("m_conf") != "").select(*mcols).withColumn("q_pref", F.col("m_conf"))
         mc = _sized_broadcast(mc, n_master, broadcast_limit)
-        conf_pairs = (q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr")
-                      .join(mc, "q_pref").select(*keys, F.lit(0).cast("long").alias("shared")))
-        pairs = pairs.unionByName(conf_pairs).groupBy(*keys).agg(F.max("shared").alias("shared"))
-    mm = _sized_broadcast(m, n_master, broadcast_limit)
-    pairs = (pairs.join(q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq")),
-                        ["q_name", "q_pref", "q_attr"])
-             .join(mm.select("row_id", "master_name", "m_conf", "m_attr", F.size("m_tokens").alias("nm")),
-                   "row_id"))
+        qc = q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"))
+        hits = hits.unionByName(qc.join(mc, "q_pref").select(*keys, F.lit(0).alias("_hit")))
     if left_attr and master_attr:
-        pairs = pairs.filter(division_compatible(F.col("q_attr"), F.col("m_attr")))
+        # C11 is a pair predicate: applied before the pairs are shuffled
+        hits = hits.filter(division_compatible(F.col("q_attr"), F.col("m_attr")))
+    pairs = hits.groupBy(*keys).agg(F.sum("_hit").alias("shared"))
     jac = F.when((F.col("nq") == 0) | (F.col("nm") == 0), F.lit(0.0)).otherwise(
         F.col("shared") / (F.col("nq") + F.col("nm") - F.col("shared")))
     pairs = pairs.withColumn("jac", jac)
