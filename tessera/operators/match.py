@@ -192,13 +192,14 @@ def _ngrams(s: Column, n: int) -> Column:
 
 
 def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "name", master_id: str = "row_id",
-                         master_name: str = "master_name", k: int = 10) -> DataFrame:
+                         master_name: str = "master_name", k: int | None = 10, score: bool = True) -> DataFrame:
     """Masters whose lower-case name contains the left's lower-case text,
-    scored with the combined score, best ``k``.
+    scored with the combined score, best ``k`` (all when ``k`` is None; no
+    score column when ``score`` is False).
 
     No nested loop: a container holds every 3-gram of the text, so the join
-    key is the text's first 3-gram (1- and 2-grams for shorter texts) against
-    a gram index of the master; ``contains`` then confirms each pair."""
+    key is the text's first 3-gram (its 1- or 2-gram when shorter) against a
+    gram index of the master; ``contains`` then confirms each pair."""
     q = left.select(F.col(name).alias("q_name")).filter(F.length(F.trim("q_name")) > 0).distinct() \
         .withColumn("q_low", F.lower("q_name"))
     n = F.least(F.length("q_low"), F.lit(3))
@@ -207,16 +208,18 @@ def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "nam
         .withColumn("m_low", F.lower("master_name"))
     parts = []
     for g in (1, 2, 3):
-        parts.append(m.select("row_id", F.lit(g).alias("gn"), F.explode(F.array_distinct(_ngrams(F.col("m_low"), g))).alias("gram")))
+        parts.append(m.select("row_id", "master_name", "m_low", F.lit(g).alias("gn"),
+                              F.explode(F.array_distinct(_ngrams(F.col("m_low"), g))).alias("gram")))
     idx = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    pairs = (q.join(idx, ["gn", "gram"]).join(m, "row_id")
-             .filter(F.col("m_low").contains(F.col("q_low"))))
-    pairs = pairs.withColumn("score", F.lit(SEQ_WEIGHT) * seq_ratio("q_name", "master_name")
-                             + F.lit(JAC_WEIGHT) * F.lit(0.0))
+    pairs = q.join(idx, ["gn", "gram"]).filter(F.col("m_low").contains(F.col("q_low")))
+    if not score:
+        return pairs.select(F.col("q_name").alias(name), "row_id", "master_name")
     tq, tm = word_tokens(F.col("q_name")), word_tokens(F.col("master_name"))
     jac = F.when((F.size(tq) == 0) | (F.size(tm) == 0), F.lit(0.0)).otherwise(
         F.size(F.array_intersect(tq, tm)) / F.size(F.array_union(tq, tm)))
-    pairs = pairs.withColumn("score", F.col("score") + F.lit(JAC_WEIGHT) * jac)
+    pairs = pairs.withColumn("score", F.lit(SEQ_WEIGHT) * seq_ratio("q_name", "master_name") + F.lit(JAC_WEIGHT) * jac)
+    if k is None:
+        return pairs.select(F.col("q_name").alias(name), "row_id", "master_name", "score")
     w = Window.partitionBy("q_name").orderBy(F.col("score").desc(), "row_id")
     top = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return top.select(F.col("q_name").alias(name), "rank", "row_id", "master_name", "score")

@@ -1004,3 +1004,139 @@ def union_sources(spark, sf_dir):
         F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
     return c.unionByName(s, allowMissingColumns=True)
+
+
+# ------------------------------------------------------------------ mail, scholarships, requests, substring
+
+def mail_input(spark, sf_dir):
+    """Mail stand-ins from documents: the HTML part is the text with one
+    ``<p>`` per line (base64url, as mail APIs return it); non-English
+    documents also carry the text as the plain part."""
+    d = read_table(spark, sf_dir, "documents")
+    html = F.concat(F.lit("<p>"), F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit("</p><p>")), F.lit("</p>"))
+    b64 = F.translate(F.base64(F.encode(html, "UTF-8")), "+/", "-_")
+    plain = F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("text"))
+    parts = F.array(F.struct(F.lit("text/plain").alias("mimeType"), F.lit("").alias("data")),
+                    F.struct(F.lit("text/html").alias("mimeType"), b64.alias("data")))
+    return d.select(F.col("doc_id").alias("id"), F.col("source").alias("subject"), plain.alias("plain"),
+                    parts.alias("parts"))
+
+
+def _sql_html_to_text(x: str) -> str:
+    s = x
+    for pat, rep in ((r"(?i)<br\s*/?>", "chr(10)"), (r"(?i)</(p|div|li|h\d)>", "chr(10)"), (r"(?i)<li>", "'• '"),
+                     ("&nbsp;", "' '"), ("&amp;", "'&'"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("<[^>]+>", "''"),
+                     (r"\n{3,}", "chr(10) || chr(10)"), (r"^\s+|\s+$", "''")):
+        s = f"regexp_replace({s}, '{pat}', {rep}, 'g')"
+    return s
+
+
+@register("mail_bodies", f"""
+WITH m AS (SELECT doc_id, CASE WHEN lang = 'en' THEN '' ELSE text END AS plain,
+             '<p>' || replace(coalesce(text, ''), chr(10), '</p><p>') || '</p>' AS html FROM documents),
+d AS (SELECT doc_id, plain, decode(from_base64(translate(translate(to_base64(encode(html)), '+/', '-_'), '-_', '+/'))) AS h FROM m),
+b AS (SELECT doc_id, CASE WHEN length({sql_strip("coalesce(plain, '')")}) < 50 THEN {_sql_html_to_text("h")}
+                          ELSE coalesce(plain, '') END AS body FROM d),
+f AS (SELECT doc_id, CASE WHEN regexp_matches(body, '(?i)Begin forwarded message')
+          THEN regexp_replace(substring(body, strpos(lower(body), 'begin forwarded message')), '(?is)^.*?Subject:[^\\n]*\\n', '')
+          ELSE body END AS body FROM b)
+SELECT doc_id AS id, length(body) AS body_chars, substring(body, 1, 40000) AS body FROM f""")
+def mail_bodies(spark, sf_dir):
+    """A10 + A11 + B27 + B28 + S42: decode the HTML part (base64url), take the
+    plain part or, when it is under 50 characters, the HTML as text; strip a
+    forward header; the body is cut to 40,000 characters for the model and
+    its full length is reported."""
+    from tessera.operators.html import html_to_text, strip_forward_header
+    from tessera.sources.pages import mail_html
+    m = mail_input(spark, sf_dir)
+    p = F.coalesce(F.col("plain"), F.lit(""))
+    body = strip_forward_header(F.when(F.length(tx.strip(p)) < 50, html_to_text(mail_html(F.col("parts")))).otherwise(p))
+    x = m.select("id", body.alias("b"))
+    return x.select("id", F.length("b").alias("body_chars"), F.substring("b", 1, 40000).alias("body"))
+
+
+def scholarship_answers_input(spark, sf_dir):
+    """Stored scholarship answers, one per event: a fenced JSON array of two
+    items made from the event; view events lack an amount, click events with
+    an even value lack a closing date, error events answer with prose."""
+    e = read_table(spark, sf_dir, "events")
+    item = lambda i: F.struct(
+        F.concat(F.lit(f"{i}. "), F.initcap("event_type"), F.lit(" Award "), F.col("user_id").cast("string")).alias("title"),
+        F.concat(F.lit("Fund "), F.col("user_id").cast("string")).alias("sponsor"),
+        F.when(F.col("event_type") == "view", F.lit("")).otherwise(
+            F.concat(F.lit("$"), F.format_string("%.2f", F.col("value") * i))).alias("amount"),
+        F.when((F.col("event_type") == "click") & (F.floor("value") % 2 == 0), F.lit("")).otherwise(
+            F.date_format(F.date_add("ts", 30 * i), "yyyy-MM-dd")).alias("closing_date"),
+        F.concat(F.lit("https://aid.example.org/"), F.col("event_id").cast("string"), F.lit("/"), F.lit(i)).alias("link"))
+    arr = F.to_json(F.array(item(1), item(2)))
+    content = F.when(F.col("event_type") == "error", F.lit("Sorry, no scholarships found.")).otherwise(
+        F.concat(F.lit("```json\n"), arr, F.lit("\n```")))
+    env = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices")))
+    return e.select(F.col("event_id").alias("msg_id"), env.alias("response"))
+
+
+@register("scholarship_items", """
+WITH a AS (SELECT event_id AS msg_id, event_type,
+    '[' || string_agg('{"title":"' || i || '. ' || upper(substring(event_type, 1, 1)) || substring(event_type, 2) || ' Award ' || user_id ||
+      '","sponsor":"Fund ' || user_id || '","amount":"' ||
+      CASE WHEN event_type = 'view' THEN '' ELSE '$' || printf('%.2f', value * i) END ||
+      '","closing_date":"' || CASE WHEN event_type = 'click' AND floor(value) % 2 = 0 THEN '' ELSE strftime(ts + to_days(30 * i), '%Y-%m-%d') END ||
+      '","link":"https://aid.example.org/' || event_id || '/' || i || '"}', ',' ORDER BY i) || ']' AS arr
+    FROM events, range(1, 3) t(i) GROUP BY event_id, event_type, user_id, value, ts),
+c AS (SELECT msg_id, CASE WHEN event_type = 'error' THEN 'Sorry, no scholarships found.' ELSE '```json' || chr(10) || arr || chr(10) || '```' END AS content FROM a),
+b AS (SELECT msg_id, regexp_replace(regexp_replace(trim(regexp_replace(content, '^`+|`+$', '', 'g')), '^json', ''), '[\\r\\n]', '', 'g') AS body FROM c),
+v AS (SELECT msg_id, body FROM b WHERE json_valid(body) AND json_type(body) = 'ARRAY'),
+u AS (SELECT msg_id, unnest(json_extract(body, '$[*]')) AS e, generate_subscripts(json_extract(body, '$[*]'), 1) - 1 AS item_idx FROM v)
+SELECT msg_id, CAST(item_idx AS INTEGER) AS item_idx,
+  coalesce(json_extract_string(e, '$.title'), '') AS title, coalesce(json_extract_string(e, '$.sponsor'), '') AS sponsor,
+  coalesce(json_extract_string(e, '$.amount'), '') AS amount, coalesce(json_extract_string(e, '$.closing_date'), '') AS closing_date,
+  coalesce(json_extract_string(e, '$.description'), '') AS description, coalesce(json_extract_string(e, '$.link'), '') AS link,
+  coalesce(json_extract_string(e, '$.how_to_apply'), '') AS how_to_apply, coalesce(json_extract_string(e, '$.eligibility'), '') AS eligibility,
+  coalesce(json_extract_string(e, '$.type'), '') AS type, coalesce(json_extract_string(e, '$.location'), '') AS location,
+  coalesce(json_extract_string(e, '$.application_window'), '') AS application_window
+FROM u WHERE json_type(e) = 'OBJECT'
+  AND trim(coalesce(json_extract_string(e, '$.closing_date'), '')) <> '' AND trim(coalesce(json_extract_string(e, '$.amount'), '')) <> ''""")
+def scholarship_items(spark, sf_dir):
+    """M2 + M4 + M7 + M9: answers -> fence strip -> strict JSON array ->
+    items with an amount and a closing date -> the 11 sheet columns."""
+    from tessera.operators.answers import scholarship_rows
+    return scholarship_rows(scholarship_answers_input(spark, sf_dir), ["msg_id"])
+
+
+_CAMP_TEMPLATE = "Extract the camp name, dates, ages and cost as JSON from:\n{snippet}"
+_BLOCK_START = "<(?:p|li|div)[\\s>]"
+
+
+@register("camp_requests", f"""
+WITH c AS (SELECT page_id, {SQL_CLEAN_HTML} AS h FROM pages),
+s AS (SELECT page_id, string_split(regexp_replace(h, '<(p|li|div)([\\s>])', chr(1) || '<\\1\\2', 'g'), chr(1)) AS parts FROM c),
+u AS (SELECT page_id, unnest(parts[2:]) AS piece, generate_subscripts(parts[2:], 1) AS k FROM s),
+t AS (SELECT page_id, k, CASE
+        WHEN starts_with(piece, '<li') THEN regexp_extract(piece, '(?s)^(.*?)(?:</li>|</(?:ul|ol)>|$)', 1)
+        WHEN starts_with(piece, '<div') THEN regexp_extract(piece, '(?s)^(.*?)(?:</div>|$)', 1)
+        ELSE regexp_extract(piece, '(?s)^(<p.*?)(?:</p>|<(?:{_P_BLOCK})[\\s/>]|</(?:{_P_CONTAINER_END})>|$)', 1) END AS content FROM u),
+x AS (SELECT page_id, k, {sql_strip(sql_decode(sql_strip_tags("content")))} AS line FROM t),
+r AS (SELECT page_id, substring(string_agg(line, chr(10) ORDER BY k), 1, 5000) AS snippet
+      FROM x WHERE line <> '' AND {_relevant_sql("line")} GROUP BY page_id)
+SELECT page_id, replace('{_CAMP_TEMPLATE.replace(chr(10), "' || chr(10) || '")}', '{{snippet}}', snippet) AS prompt FROM r""")
+def camp_requests(spark, sf_dir):
+    """B1 + B24 + S42 + M1: relevant ``p``/``li``/``div`` lines of every page
+    (document order, 5,000-character snippet) -> one model request each."""
+    from tessera.operators.answers import build_requests
+    from tessera.operators.extract import relevant_lines_nodes
+    nodes = hx.html_nodes(_pages(spark, sf_dir), text_tags={"p", "li", "div"}, tags={"p", "li", "div"})
+    return build_requests(relevant_lines_nodes(nodes), ["page_id"], "snippet", _CAMP_TEMPLATE)
+
+
+@register("substring_search", """
+WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS name FROM part),
+m AS (SELECT min(p_partkey) AS row_id, p_name AS master_name FROM part GROUP BY p_name)
+SELECT w.name, m.row_id, m.master_name FROM w JOIN m ON contains(lower(m.master_name), lower(w.name))
+WHERE length(trim(w.name)) > 0""")
+def substring_search(spark, sf_dir):
+    """Every master name containing a search text (each word used in
+    part names), via the n-gram-blocked join, no nested loop."""
+    from tessera.operators.match import substring_candidates
+    left, master = match_input(spark, sf_dir)
+    words = read_table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
+    return substring_candidates(words, master, name="name", k=None, score=False)
