@@ -301,49 +301,69 @@ def jsonld_events(nodes: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ facts
 
-def labelled_values(nodes: DataFrame, value_cls: str, title_cls: str) -> DataFrame:
-    """Each value element with its title: previous sibling title, next
-    sibling title, a title under the parent, a title under the grandparent,
-    in that order (nearest first within a level)."""
-    vals = hx.select_nodes(nodes, cls=value_cls).select(
-        "page_id", F.col("node_id").alias("v_id"), "parent_id", "sib_idx", clean_text(F.col("text")).alias("value"),
-        at(F.col("ancestor_ids"), -2).alias("gp_id"))
-    titles = hx.select_nodes(nodes, cls=title_cls).select(
-        "page_id", F.col("node_id").alias("t_id"), F.col("parent_id").alias("t_parent"),
-        F.col("sib_idx").alias("t_sib"), "ancestor_ids", clean_text(F.col("text")).alias("title"))
-    same = vals.join(titles, (vals.page_id == titles.page_id) & (vals.parent_id == titles.t_parent)).select(
-        vals.page_id, "v_id", "title",
-        F.when(F.col("t_sib") == F.col("sib_idx") - 1, 0).when(F.col("t_sib") == F.col("sib_idx") + 1, 1)
-         .otherwise(2).alias("prio"), F.abs(F.col("t_sib") - F.col("sib_idx")).alias("dist"), "t_id")
-    t_anc = titles.select("page_id", "t_id", "title", F.explode("ancestor_ids").alias("anc"))
-    under_gp = vals.join(t_anc, (vals.page_id == t_anc.page_id) & (vals.gp_id == t_anc.anc)).select(
-        vals.page_id, "v_id", "title", F.lit(3).alias("prio"), F.lit(0).alias("dist"), "t_id")
-    allc = same.unionByName(under_gp)
-    best = allc.groupBy("page_id", "v_id").agg(F.min_by("title", F.struct("prio", "dist", "t_id")).alias("title"))
-    return vals.join(best, ["page_id", "v_id"], "left").select(
-        "page_id", F.col("v_id").alias("node_id"), "title", "value")
+def _first_under(nodes: DataFrame, titles: DataFrame) -> DataFrame:
+    """Per element: its first descendant title (document order), from the
+    titles' ancestor chains (one row per title and ancestor, no pairs)."""
+    t = titles.select("page_id", "t_id", "title", F.explode("ancestor_ids").alias("anc"))
+    return t.groupBy("page_id", "anc").agg(F.min_by("title", "t_id").alias("title"))
+
+
+def labelled_values(nodes: DataFrame, value_cls: str, title_cls: str, tag: str = "div") -> DataFrame:
+    """Each value element (``tag.value_cls``) with its label: the nearest
+    previous sibling title, else the nearest next sibling title, else the
+    first title under the parent, else under the grandparent (a candidate
+    with empty text passes to the next rule).  Siblings are found with
+    windows over a parent's children and first-descendant titles with a
+    per-ancestor aggregate: no pairs of elements are formed."""
+    is_val = (F.col("tag") == tag) & hx.has_class(value_cls)
+    is_tit = (F.col("tag") == tag) & hx.has_class(title_cls)
+    kids = nodes.filter(is_val | is_tit).select(
+        "page_id", "node_id", "parent_id", "sib_idx", "ancestor_ids", is_val.alias("is_val"),
+        F.when(is_tit, clean_text(F.coalesce(F.col("text"), F.lit("")))).alias("t_text"))
+    w = Window.partitionBy("page_id", "parent_id").orderBy("sib_idx")
+    kids = (kids.withColumn("_prev", F.last("t_text", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+            .withColumn("_next", F.first("t_text", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))))
+    vals = kids.filter("is_val").select("page_id", F.col("node_id"), "parent_id", "_prev", "_next",
+                                        at(F.col("ancestor_ids"), -2).alias("gp_id"))
+    titles = kids.filter(F.col("t_text").isNotNull()).select("page_id", F.col("node_id").alias("t_id"),
+                                                             F.col("t_text").alias("title"), "ancestor_ids")
+    first = _first_under(nodes, titles)
+    fp = first.select("page_id", F.col("anc").alias("parent_id"), F.col("title").alias("_par"))
+    fg = first.select("page_id", F.col("anc").alias("gp_id"), F.col("title").alias("_gp"))
+    x = vals.join(fp, ["page_id", "parent_id"], "left").join(fg, ["page_id", "gp_id"], "left")
+    ne = lambda c: F.when(F.col(c) != "", F.col(c))
+    title = F.coalesce(ne("_prev"), ne("_next"), ne("_par"), ne("_gp"), F.lit(""))
+    vtext = nodes.filter(is_val).select("page_id", "node_id", clean_text(F.coalesce(F.col("text"), F.lit(""))).alias("value"))
+    return x.select("page_id", "node_id", title.alias("title")).join(vtext, ["page_id", "node_id"])
 
 
 def academic_facts(tv: DataFrame, nodes: DataFrame | None = None, undergrad_cls: str | None = None) -> DataFrame:
-    """Classify (title, value) pairs per page: skip cost of attendance;
-    in-state / out-of-state tuition (both when the title names neither and
-    holds one amount); GPA from the title or from a decimal value.  In/out:
-    the last one wins; 'both' and GPA fill only where still null, first wins;
-    last resort GPA ``\\b\\d\\.\\d{2}\\b`` anywhere in the page values."""
+    """B20 per page from its (title, value) pairs in document order:
+    a 'cost of attendance' title is skipped; under a 'tuition' title the
+    value text decides: in-state -> in-state tuition (the last one wins),
+    out-of-state -> out-of-state (last wins), any other amount fills both
+    only where still empty (the first such wins); otherwise a decimal value
+    or a 'gpa' title gives the GPA (the first one); last resort, the first
+    ``d.dd`` token in any value.  Undergraduates: the first integer of the
+    first ``div.undergrad_cls``."""
     t = F.lower(F.coalesce(F.col("title"), F.lit("")))
+    v = F.lower(F.col("value"))
     money = fa.parse_currency(F.col("value"))
-    kind = (F.when(t.contains("cost of attendance"), F.lit("skip"))
-            .when(t.contains("in-state") | t.contains("in state"), F.lit("in"))
-            .when(t.contains("out-of-state") | t.contains("out of state"), F.lit("out"))
-            .when(t.contains("tuition") & money.isNotNull(), F.lit("both"))
-            .when(t.contains("gpa") | fa.is_decimal_number(F.col("value")), F.lit("gpa")))
-    x = tv.withColumn("kind", kind).withColumn("money", money).withColumn("gpa", fa.gpa_token(F.col("value")))
-    g = x.groupBy("page_id").agg(
-        F.max_by(F.when(F.col("kind") == "in", F.col("money")), F.when((F.col("kind") == "in") & F.col("money").isNotNull(), F.col("node_id"))).alias("_in"),
-        F.max_by(F.when(F.col("kind") == "out", F.col("money")), F.when((F.col("kind") == "out") & F.col("money").isNotNull(), F.col("node_id"))).alias("_out"),
-        F.min_by(F.when(F.col("kind") == "both", F.col("money")), F.when((F.col("kind") == "both") & F.col("money").isNotNull(), F.col("node_id"))).alias("_both"),
-        F.min_by(F.when(F.col("kind") == "gpa", F.col("gpa")), F.when((F.col("kind") == "gpa") & F.col("gpa").isNotNull(), F.col("node_id"))).alias("_gpa"),
-        F.min_by(fa.gpa_token(F.col("value"), strict=True), F.when(fa.gpa_token(F.col("value"), strict=True).isNotNull(), F.col("node_id"))).alias("_gpa2"))
+    skip = t.contains("cost of attendance")
+    tuition = ~skip & t.contains("tuition")
+    is_in = tuition & (v.contains("in-state") | v.contains("in state"))
+    is_out = tuition & ~is_in & (v.contains("out-of-state") | v.contains("out of state") | v.contains("out-of state"))
+    is_both = tuition & ~is_in & ~is_out & money.isNotNull()
+    gpa_tok = fa.gpa_token(F.col("value"))
+    is_gpa = ~skip & ~(is_in | is_out | is_both) & (fa.is_decimal_number(F.col("value")) | t.contains("gpa"))
+    last_resort = fa.gpa_token(F.col("value"), strict=True)
+    pick = lambda cond, val: F.when(cond & val.isNotNull(), F.col("node_id"))
+    g = tv.groupBy("page_id").agg(
+        F.max_by(F.when(is_in, money), pick(is_in, money)).alias("_in"),
+        F.max_by(F.when(is_out, money), pick(is_out, money)).alias("_out"),
+        F.min_by(F.when(is_both, money), pick(is_both, money)).alias("_both"),
+        F.min_by(F.when(is_gpa, gpa_tok), pick(is_gpa, gpa_tok)).alias("_gpa"),
+        F.min_by(last_resort, pick(F.lit(True), last_resort)).alias("_gpa2"))
     out = g.select("page_id", F.coalesce("_in", "_both").alias("in_state_tuition"),
                    F.coalesce("_out", "_both").alias("out_state_tuition"),
                    F.coalesce("_gpa", "_gpa2").alias("avg_gpa"))

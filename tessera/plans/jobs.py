@@ -10,7 +10,7 @@ sheet writes) are input or output tables here.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import roster as ro
@@ -48,16 +48,18 @@ def _tables(pages: DataFrame):
 
 def table_titles(nodes: DataFrame) -> DataFrame:
     """B10 / decision D14: a table's block title is the nearest heading before
-    it in the page, else the page's first link text, else its title."""
-    tables = nodes.filter(F.col("tag") == "table").select("page_id", F.col("node_id").alias("table_id"))
-    heads = nodes.filter(F.col("tag").isin("h1", "h2", "h3", "h4", "h5", "h6")).select(
-        "page_id", F.col("node_id").alias("h_id"), strip(F.col("text")).alias("h"))
-    near = (tables.join(heads, "page_id").filter(F.col("h_id") < F.col("table_id"))
-            .groupBy("page_id", "table_id").agg(F.max_by("h", "h_id").alias("_h")))
+    it in the page, else the page's first link text, else its title.  The
+    nearest heading is the last heading in document order before the table:
+    a window over the page's tables and headings, no table x heading pairs."""
+    th = nodes.filter(F.col("tag").isin("table", "h1", "h2", "h3", "h4", "h5", "h6")).select(
+        "page_id", "node_id", (F.col("tag") == "table").alias("is_table"),
+        F.when(F.col("tag") != "table", strip(F.col("text"))).alias("h"))
+    w = Window.partitionBy("page_id").orderBy("node_id").rowsBetween(Window.unboundedPreceding, -1)
+    near = th.withColumn("_h", F.last("h", ignorenulls=True).over(w)).filter("is_table") \
+        .select("page_id", F.col("node_id").alias("table_id"), "_h")
     link = ex.first_text(nodes, "a", "_a")
     title = ex.first_text(nodes, "title", "_t")
-    return (tables.join(near, ["page_id", "table_id"], "left").join(link, "page_id", "left")
-            .join(title, "page_id", "left")
+    return (near.join(link, "page_id", "left").join(title, "page_id", "left")
             .select("page_id", "table_id", F.coalesce(F.nullif("_h", F.lit("")), F.nullif("_a", F.lit("")),
                                                       F.col("_t")).alias("conference")))
 

@@ -65,14 +65,19 @@ def test_jsonld_events(spark):
 
 def test_labelled_facts(spark):
     html = """<div class="StatBlock_body__x">12,345 undergraduates</div>
-    <div><div class="t">In-State Tuition</div><div class="v">$10,000</div></div>
-    <div><div class="t">Out-of-State Tuition</div><div class="v">$30,000</div></div>
-    <div><div class="v">$31,000</div><div class="t">Out-of-state tuition</div></div>
+    <div><div class="t">Tuition</div><div class="v">$9,000</div></div>
+    <div><div class="t">Tuition and Fees</div><div class="v">In-state: $10,000</div></div>
+    <div><div class="v">Out-of-state $30,000</div><div class="t">Tuition</div></div>
+    <div><div class="t">Tuition</div><div class="v">Out of state $31,000</div></div>
     <div><div class="t">Cost of Attendance</div><div class="v">$60,000</div></div>
-    <div><div class="t">Average GPA</div><div class="v">3.71</div></div>"""
+    <div><div class="t"></div><div class="x"><div class="v">2.5 avg</div></div></div>
+    <section><div class="t">Average GPA</div><div><div class="v">3.71</div></div></section>"""
     n = _nodes(spark, [(1, html)])
     tv = ex.labelled_values(n, "v", "t")
+    titles = [r["title"] for r in tv.orderBy("node_id").collect()]
+    assert titles == ["Tuition", "Tuition and Fees", "Tuition", "Tuition", "Cost of Attendance", "", "Average GPA"]
     f = ex.academic_facts(tv, n, "StatBlock_body__x").first()
+    # in: the in-state row overwrites the first plain amount; out: the last out-of-state row
     assert (f["undergraduates"], f["in_state_tuition"], f["out_state_tuition"], f["avg_gpa"]) == (12345, 10000, 31000, 3.71)
 
 
