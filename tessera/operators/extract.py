@@ -229,6 +229,35 @@ def rankings_from_lines(pages_text: DataFrame, text: str = "text") -> DataFrame:
                     strip(F.regexp_extract("line", rx, 2)).alias("name")))
 
 
+# Classes that mark team names on ranking pages.
+TEAM_CLASSES = ["team-name", "team", "school", "rank-team"]
+
+
+def rankings_from_elements(nodes_sep: DataFrame) -> DataFrame:
+    """B13 (element text): on pages that have a team-name element with text,
+    every ``div``/``li``/``tr``/``p`` whose text (chunks joined by a space,
+    ``html_nodes(text_sep=' ')``) reads ``12. Name`` / ``12 Name``."""
+    team = nodes_sep.filter(F.exists(F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+"),
+                                     lambda c: c.isin(TEAM_CLASSES)) & (strip(F.coalesce("text", F.lit(""))) != ""))
+    pages = team.select("page_id").distinct()
+    rx = r"^([0-9]{1,2})[\.)]?\s+(.*)$"
+    el = nodes_sep.filter(F.col("tag").isin("div", "li", "tr", "p")).withColumn("_t", strip(F.coalesce("text", F.lit(""))))
+    el = el.filter(F.col("_t").rlike(rx)).join(pages, "page_id", "left_semi")
+    return el.select("page_id", F.col("node_id").alias("pos"), F.regexp_extract("_t", rx, 1).cast("int").alias("rank"),
+                     strip(F.regexp_extract("_t", rx, 2)).alias("name"))
+
+
+def rankings_from_anchors(nodes_nosep: DataFrame) -> DataFrame:
+    """B13 (anchors): links whose text (stripped chunks joined with no
+    separator, ``html_nodes(text_sep='')``) is longer than 3 characters and
+    reads ``#12 - Name`` / ``12: Name``."""
+    rx = r"^#?([0-9]{1,2})\s*[-.:)]\s*(.+)$"
+    a = nodes_nosep.filter(F.col("tag") == "a").withColumn("_t", F.coalesce("text", F.lit("")))
+    a = a.filter((F.length("_t") > 3) & F.col("_t").rlike(rx))
+    return a.select("page_id", F.col("node_id").alias("pos"), F.regexp_extract("_t", rx, 1).cast("int").alias("rank"),
+                    strip(F.regexp_extract("_t", rx, 2)).alias("name"))
+
+
 def dedup_rankings(r: DataFrame) -> DataFrame:
     """Keep the first (rank, lower(name)) per page, sorted by rank then
     position (stable)."""
@@ -402,6 +431,34 @@ def camp_directory(rec: DataFrame, nodes: DataFrame, pages: DataFrame, min_cells
                     url_join(F.col("url"), F.col("l.href")).alias("camp_url"), "cells")
 
 
+def camp_list_seed(rows: DataFrame, nodes: DataFrame, pages: DataFrame) -> DataFrame:
+    """Table rows with exactly two ``td`` cells: state = cell 1, host =
+    cell 2 without a trailing ``Camp``, link = the first ``a`` of cell 2 ('' if
+    none), gender from the page URL (``womens`` -> Women, else Men)."""
+    z = F.arrays_zip(F.col("cells").alias("c"), F.col("tags").alias("t"))
+    td = F.transform(F.filter(z, lambda e: e["t"] == "td"), lambda e: e["c"])
+    r = rows.withColumn("_td", td).filter(F.size("_td") == 2)
+    trs = nodes.filter(F.col("tag") == "tr").select("page_id", F.col("node_id").alias("tr_id"),
+                                                   hx.nearest_ancestor("table").alias("table_id"))
+    w = Window.partitionBy("page_id", "table_id").orderBy("tr_id")
+    trs = trs.withColumn("tr_idx", F.row_number().over(w) - 1)
+    tds = nodes.filter(F.col("tag") == "td").select("page_id", F.col("node_id").alias("td_id"),
+                                                   hx.nearest_ancestor("tr").alias("tr_id"))
+    wt = Window.partitionBy("page_id", "tr_id").orderBy("td_id")
+    tds = tds.withColumn("cell_no", F.row_number().over(wt))
+    a = nodes.filter(F.col("tag") == "a").select("page_id", hx.nearest_ancestor("td").alias("td_id"), "node_id",
+                                                F.coalesce(F.col("attrs")["href"], F.lit("")).alias("href"))
+    links = (a.join(tds.filter("cell_no = 2"), ["page_id", "td_id"]).groupBy("page_id", "tr_id")
+             .agg(F.min_by("href", "node_id").alias("href")))
+    x = r.join(trs, ["page_id", "table_id", "tr_idx"]).join(links, ["page_id", "tr_id"], "left") \
+        .join(pages.select("page_id", "url"), "page_id")
+    x = x.withColumn("_h", strip(at(F.col("_td"), 2)))
+    host = F.when(F.col("_h").endswith("Camp"), strip(F.expr("substring(_h, 1, length(_h) - 4)"))).otherwise(F.col("_h"))
+    return x.select("page_id", "tr_idx", strip(at(F.col("_td"), 1)).alias("state"), host.alias("organiser"),
+                    F.coalesce(F.col("href"), F.lit("")).alias("camp_info_url"),
+                    F.when(F.col("url").contains("womens"), F.lit("Women")).otherwise(F.lit("Men")).alias("gender"))
+
+
 # ------------------------------------------------------------------ coach links
 
 def coach_profile_links(changes: DataFrame, nodes: DataFrame, pages: DataFrame) -> DataFrame:

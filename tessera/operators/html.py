@@ -108,6 +108,7 @@ class _TreeBuilder(HTMLParser):
         self.child_count = {-1: 0}
         self.text_parts = []
         self.text_len = 0
+        self.chunks = []         # stripped non-empty text chunks (for separator-joined text)
         self.own = {}
         self.raw_depth = 0
 
@@ -120,6 +121,7 @@ class _TreeBuilder(HTMLParser):
         n = self.nodes[nid]
         n[8] = self.text_len
         n[10] = end
+        n[14] = len(self.chunks)
         if n[4] in RAW_TAGS:
             self.raw_depth -= 1
 
@@ -160,9 +162,10 @@ class _TreeBuilder(HTMLParser):
         anc_tags = [self.nodes[a][4] for a in anc_ids]
         end = start + len(raw)
         self.nodes.append([nid, parent, len(self.stack), sib, tag, amap, [], self.text_len, None,
-                           start, end, anc_ids, anc_tags])
+                           start, end, anc_ids, anc_tags, len(self.chunks), None])
         if tag in VOID_TAGS:
             self.nodes[nid][8] = self.text_len
+            self.nodes[nid][14] = len(self.chunks)
             return
         self.stack.append(nid)
         self.child_count[nid] = 0
@@ -195,25 +198,33 @@ class _TreeBuilder(HTMLParser):
             return
         self.text_parts.append(data)
         self.text_len += len(data)
+        d = data.strip()
+        if d:
+            self.chunks.append(d)
 
     def finish(self):
         self.close()
         self._close_through(0, len(self.src))
         return self.nodes, "".join(self.text_parts)
 
+    def sep_text(self, n, sep: str) -> str:
+        """Descendant text as stripped chunks joined by ``sep``."""
+        return sep.join(self.chunks[n[13]:n[14]])
 
-def parse_page(html: str):
+
+def parse_page(html: str, with_builder: bool = False):
     """Parse one page into node records; used by ``html_nodes`` and tests."""
     b = _TreeBuilder(html or "")
     try:
         b.feed(html or "")
-        return b.finish()
+        out = b.finish()
     except Exception:  # malformed beyond the parser's tolerance: keep what was built
         b._close_through(0, len(html or ""))
-        return b.nodes, "".join(b.text_parts)
+        out = (b.nodes, "".join(b.text_parts))
+    return (out[0], out[1], b) if with_builder else out
 
 
-def _nodes_batches(batches, text_tags, outer_tags):
+def _nodes_batches(batches, text_tags, outer_tags, text_sep=None):
     for batch in batches:
         ids = batch.column("page_id").to_pylist()
         htmls = batch.column("html").to_pylist()
@@ -221,7 +232,7 @@ def _nodes_batches(batches, text_tags, outer_tags):
         for pid, html in zip(ids, htmls):
             if html is None:
                 continue
-            nodes, text = parse_page(html)
+            nodes, text, builder = parse_page(html, with_builder=True)
             per_tag = {}
             for n in nodes:
                 tag = n[4]
@@ -237,7 +248,12 @@ def _nodes_batches(batches, text_tags, outer_tags):
                 cols["attrs"].append(list(n[5].items()))
                 cols["own_text"].append("".join(n[6]))
                 keep_text = text_tags is None or tag in text_tags
-                cols["text"].append(text[n[7]:n[8]] if keep_text else None)
+                if not keep_text:
+                    cols["text"].append(None)
+                elif text_sep is not None:
+                    cols["text"].append(builder.sep_text(n, text_sep))
+                else:
+                    cols["text"].append(text[n[7]:n[8]])
                 cols["start"].append(n[9])
                 cols["end"].append(n[10])
                 keep_outer = outer_tags is not None and (outer_tags == "*" or tag in outer_tags)
@@ -251,7 +267,8 @@ def _nodes_batches(batches, text_tags, outer_tags):
             yield pa.RecordBatch.from_pydict(cols, schema=_ARROW_SCHEMA)
 
 
-def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, carry: list[str] | None = None) -> DataFrame:
+def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, carry: list[str] | None = None,
+               text_sep: str | None = None) -> DataFrame:
     """B1: one row per element of every page.
 
     ``text_tags``: tags whose full descendant text is kept (None = all);
@@ -259,7 +276,10 @@ def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, car
     ``tags``: if given, only these element rows are returned (the tree is
     still built whole, so ancestry and implied closing are unaffected);
     ``carry``: page columns copied onto every node row (e.g. ``url`` for
-    link resolution) so no join back to the pages is needed.
+    link resolution) so no join back to the pages is needed;
+    ``text_sep``: when set, ``text`` is the stripped non-empty text chunks
+    joined by it (``get_text(sep, strip=True)``) instead of the raw
+    concatenation.
     The parse runs inside the tasks that read ``pages``: no shuffle.
     """
     text_tags = None if text_tags is None else frozenset(text_tags)
@@ -272,7 +292,7 @@ def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, car
     def run(batches):
         import pyarrow.compute as pc
         for batch in batches:
-            for rb in _nodes_batches([batch], text_tags, outer_tags):
+            for rb in _nodes_batches([batch], text_tags, outer_tags, text_sep):
                 if keep is not None:
                     rb = rb.filter(pc.is_in(rb.column("tag"), value_set=pa.array(sorted(keep))))
                     if rb.num_rows == 0:

@@ -110,7 +110,10 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
         "page_id", "pos", "rank", "name", F.lit(0).alias("strategy"))
     body = nodes.filter(F.col("tag") == "body").select("page_id", "text")
     lines = ex.rankings_from_lines(body).select("page_id", "pos", "rank", "name", F.lit(1).alias("strategy"))
-    r = ex.dedup_rankings(ex.first_strategy(t.unionByName(lines)))
+    sep = hx.html_nodes(pages, tags={"div", "li", "tr", "p", "a", "span", "td"}, text_sep=" ")
+    els = ex.rankings_from_elements(sep).withColumn("strategy", F.lit(2))
+    anchors = ex.rankings_from_anchors(hx.html_nodes(pages, tags={"a"}, text_sep="")).withColumn("strategy", F.lit(3))
+    r = ex.dedup_rankings(ex.first_strategy(t.unionByName(lines).unionByName(els).unionByName(anchors)))
     r = r.withColumn("division", F.lit(division))
     m = scan_master(master, gender, attr="division").select("row_id", F.col("name").alias("master_name"),
                                                             F.col("division").alias("m_div"))
@@ -146,6 +149,33 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
     return ag.wide_by(x, ["university"], "gender", ["men", "women"], cols + ["candidate_url"], fill=None)
 
 
+def yearless_roster(master: DataFrame, captures: DataFrame) -> dict:
+    """Rows whose freshman count cell says 'no longer exist' (C9):
+    per gender the roster URL without year segments (S13) is looked up in
+    the capture table; where it loads and yields players, the URL and the
+    position/year counts (F1) become cell writes."""
+    from tessera.operators.aggregate import no_longer_exist
+    rows = master.filter(no_longer_exist(master, "men_freshman", "women_freshman"))
+    urls = rows.select("row_id", F.lit("men").alias("gender"), F.col("men_roster_url").alias("url")).unionByName(
+        rows.select("row_id", F.lit("women").alias("gender"), F.col("women_roster_url").alias("url")))
+    from tessera.functions.urls import has_year_token, remove_year_segment
+    urls = urls.filter(has_year_token(F.col("url"))).withColumn("candidate_url", remove_year_segment(F.col("url")))
+    pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
+    nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
+    players = ro.normalize_players(ex.roster_players(nodes))
+    counts = ag.roster_counts(players, ["page_id"])
+    hit = urls.join(pages.select("page_id", "candidate_url"), "candidate_url").join(counts, "page_id")
+    hit = first_hit(hit.withColumn("_k", F.concat_ws("|", F.col("row_id").cast("string"), "gender"))
+                    .withColumn("_n", sum((F.col(c) for c in ro.POSITION_BUCKETS.values()), F.lit(0))),
+                    "_k", "page_id", F.col("_n") > 0)
+    cols = ["candidate_url"] + list(ro.POSITION_BUCKETS.values()) + ["freshman", "sophomore", "junior", "senior"]
+    names = {"candidate_url": "roster_url"}
+    writes = hit.select("row_id", "gender", F.explode(F.array(*[
+        F.struct(F.lit(names.get(c, c)).alias("c"), F.col(c).cast("string").alias("value")) for c in cols])).alias("w"))
+    writes = writes.select("row_id", F.lit(0).alias("seq"), F.concat_ws("_", "gender", "w.c").alias("column"), "w.value")
+    return {"rows": rows, "writes": writes}
+
+
 def roster_counts_text(cards: DataFrame) -> DataFrame:
     """Counts from roster-card text (F3, decision D5)."""
     return ag.text_roster_counts(cards, ["page_id"])

@@ -46,6 +46,21 @@ def yearless_candidates(urls: DataFrame, key: str, url: str = "url", season_star
     return a.unionByName(b).dropDuplicates([key, "candidate_url"])
 
 
+def year_logic_candidates(urls: DataFrame, key: str, season_start: int, year: int, url: str = "url") -> DataFrame:
+    """S12 as candidates for A9: a URL with a ``yyyy-yy`` range -> the range
+    updated to the season (S10); otherwise the URL without year segments
+    first (S13, decision D19), then every year token replaced by ``year``
+    (S11).  ``first_hit`` against the capture table picks the one that
+    loads."""
+    from tessera.functions.urls import has_year_range, remove_year_segment, replace_year, update_year_range
+    u = F.col(url)
+    arr = F.when(has_year_range(u), F.array(F.struct(F.lit(0).alias("priority"), update_year_range(u, season_start)
+                                                      .alias("candidate_url")))) \
+        .otherwise(F.array(F.struct(F.lit(0).alias("priority"), remove_year_segment(u).alias("candidate_url")),
+                           F.struct(F.lit(1).alias("priority"), replace_year(u, year).alias("candidate_url"))))
+    return urls.select(key, F.explode(arr).alias("c")).select(key, "c.priority", "c.candidate_url")
+
+
 def decode_base64url(data: Column) -> Column:
     """base64url (``-``/``_``) text -> UTF-8 string."""
     return F.decode(F.unbase64(F.translate(data, "-_", "+/")), "UTF-8")

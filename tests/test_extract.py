@@ -110,3 +110,33 @@ def test_camp_directory_and_coach_links(spark):
                                "change_id string, page_id long, mode string, name string")
     got = rows(ex.coach_profile_links(ch, ln, lp), "change_id", "profile_url")
     assert got == [("c1", "https://s.edu/sports/wsoc/roster/coaches/jane-doe/7"), ("c2", "https://s.edu/staff-directory/jane-doe")]
+
+
+def test_ranking_element_and_anchor_strategies(spark):
+    html = """<div class="team-name">x</div><ul><li><b>1.</b> Alpha College</li><li>2 Beta U</li><li>junk</li></ul>
+    <a href="/t">#3 - Gamma Tech</a><a>4:D</a>"""
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    els = ex.rankings_from_elements(hx.html_nodes(pages, text_sep=" "))
+    assert rows(els, "rank", "name") == [(1, "Alpha College"), (2, "Beta U")]
+    anc = ex.rankings_from_anchors(hx.html_nodes(pages, tags={"a"}, text_sep=""))
+    assert rows(anc, "rank", "name") == [(3, "Gamma Tech")]        # '4:D' is 3 characters: too short
+    none = spark.createDataFrame([(2, "<li>1. Alpha</li>")], "page_id long, html string")
+    assert ex.rankings_from_elements(hx.html_nodes(none, text_sep=" ")).count() == 0   # no team-name element
+
+
+def test_camp_list_seed(spark):
+    html = """<table><tr><td>TX</td><td><a href="/c/1">North State Camp</a></td></tr>
+    <tr><td>OH</td><td>Ohio Tech</td></tr><tr><td>a</td><td>b</td><td>c</td></tr></table>"""
+    pages = spark.createDataFrame([(1, "https://d.example.org/womens-camps", html)], "page_id long, url string, html string")
+    n = hx.html_nodes(pages.select("page_id", "html"))
+    out = rows(ex.camp_list_seed(hx.html_rows(n), n, pages), "tr_idx", "state", "organiser", "camp_info_url", "gender")
+    assert out == [(0, "TX", "North State", "/c/1", "Women"), (1, "OH", "Ohio Tech", "", "Women")]
+
+
+def test_year_logic_candidates(spark):
+    from tessera.sources.pages import year_logic_candidates
+    u = spark.createDataFrame([("a", "https://s.edu/x/2019-20/roster"), ("b", "https://s.edu/x/2019/roster")],
+                              "k string, url string")
+    got = rows(year_logic_candidates(u, "k", 2025, 2026), "k", "priority", "candidate_url")
+    assert got == [("a", 0, "https://s.edu/x/2025-26/roster"), ("b", 0, "https://s.edu/x/roster"),
+                   ("b", 1, "https://s.edu/x/2026/roster")]
