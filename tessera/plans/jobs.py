@@ -114,13 +114,13 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
     els = ex.rankings_from_elements(sep).withColumn("strategy", F.lit(2))
     anchors = ex.rankings_from_anchors(hx.html_nodes(pages, tags={"a"}, text_sep="")).withColumn("strategy", F.lit(3))
     r = ex.dedup_rankings(ex.first_strategy(t.unionByName(lines).unionByName(els).unionByName(anchors)))
-    r = r.withColumn("division", F.lit(division))
+    r = r.select("page_id", "pos", F.col("rank").alias("poll_rank"), "name").withColumn("division", F.lit(division))
     m = scan_master(master, gender, attr="division").select("row_id", F.col("name").alias("master_name"),
                                                             F.col("division").alias("m_div"))
     cands = mt.fuzzy_topk(r, m, k=k, name="name", left_attr="division", master_attr="m_div")
     acc, review = mt.resolve_matches(cands.select(F.col("name").alias("left_key"), "rank", "row_id", "master_name",
                                                   "score"), decisions, key="left_key", accept_at=accept_at)
-    ranks = r.select(F.col("name").alias("left_key"), F.col("rank").alias("poll_rank"), "pos")
+    ranks = r.select(F.col("name").alias("left_key"), "poll_rank", "pos")
     writes = acc.join(ranks, "left_key").select(F.col("chosen_row_id").alias("row_id"), F.col("pos").alias("seq"),
                                                 F.lit(f"{gender}_top_25").alias("column"),
                                                 F.col("poll_rank").cast("string").alias("value"))
