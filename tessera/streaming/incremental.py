@@ -149,3 +149,45 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, tr
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def stream_rate_limit(stream: DataFrame, key: str, ts: str, tiebreak: str, limit: int = 60,
+                      window_seconds: float = 60.0, outcome: str = "outcome",
+                      watermark: str | None = None) -> DataFrame:
+    """T2 on a stream: the same admission rule as ``rate_limit``, kept per key
+    in streaming state (``applyInPandasWithState``).  The state is the
+    admitted timestamps of the trailing window, at most ``limit`` of them.
+    Rows of one micro-batch are taken in (ts, tiebreak) order; with a
+    ``watermark`` the state of a key expires once the watermark has passed
+    its last admission by more than the window.  Output: the input columns
+    plus ``outcome`` (append mode)."""
+    win = int(window_seconds * 1e6)
+    fields = stream.schema.fields
+    out_schema = T.StructType(list(fields) + [T.StructField(outcome, T.StringType())])
+    state_schema = T.StructType([T.StructField("admitted", T.ArrayType(T.LongType()))])
+
+    def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        q = deque(state.get[0] if state.exists else [])
+        for pdf in pdfs:
+            pdf = pdf.sort_values([ts, tiebreak], kind="mergesort")
+            us = (pd.to_datetime(pdf[ts]).astype("int64") // 1000).tolist()
+            res = []
+            for t in us:
+                while q and t - q[0] > win:
+                    q.popleft()
+                if len(q) >= limit:
+                    res.append("limit")
+                else:
+                    q.append(t)
+                    res.append("ok")
+            yield pdf.assign(**{outcome: res})
+        state.update((list(q),))
+        if watermark is not None and q:
+            state.setTimeoutTimestamp(q[-1] // 1000 + int(window_seconds * 1000) + 1)
+
+    s = stream.withWatermark(ts, watermark) if watermark is not None else stream
+    timeout = "EventTimeTimeout" if watermark is not None else "NoTimeout"
+    return s.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append", timeout)

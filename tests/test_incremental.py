@@ -76,3 +76,22 @@ def test_stream_dedup_and_upsert_restart(spark, tmpdir_run):
         .option("checkpointLocation", os.path.join(tmpdir_run, "ck2")).start()
     out.awaitTermination()
     assert sorted(r["k"] for r in spark.sql("select k from dedup_t").collect()) == ["a", "b", "c"]
+
+
+def test_stream_rate_limit_matches_batch(spark, tmpdir_run):
+    rng = random.Random(9)
+    t0 = datetime.datetime(2024, 1, 1)
+    ev = sorted([(i, rng.randint(0, 4), t0 + datetime.timedelta(seconds=rng.randint(0, 3000))) for i in range(400)],
+                key=lambda e: e[2])
+    schema = "event_id long, k long, ts timestamp"
+    src = os.path.join(tmpdir_run, "rl_src")
+    for part in range(4):                       # files arrive in time order
+        chunk = ev[part * 100:(part + 1) * 100]
+        spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(src)
+    s = spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = inc.stream_rate_limit(s, "k", "ts", "event_id", limit=3, window_seconds=60.0)
+    q = out.writeStream.format("memory").queryName("rl_t").outputMode("append").trigger(availableNow=True) \
+        .option("checkpointLocation", os.path.join(tmpdir_run, "rl_ck")).start()
+    q.awaitTermination()
+    got = {r["event_id"]: r["outcome"] for r in spark.sql("select * from rl_t").collect()}
+    assert got == _brute_rate(ev, 3, 60.0)
