@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.common import at
+
 from tessera.functions.text import strip
 from tessera.functions.urls import clean_url
 
@@ -66,15 +68,28 @@ def strip_fence_js(content) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(_c(content), r"(?i)^\s*```(json)?\s*", ""), r"\s*```\s*$", ""))
 
 
+_ITEMS = "array<array<map<string,string>>>"
+
+
+def with_json_array(df: DataFrame, text, out: str) -> DataFrame:
+    """``df`` plus ``out``: the JSON array of objects in ``text`` as
+    ``array<map<string,string>>``, or null when ``text`` is not exactly one
+    JSON array of objects (bad JSON, single quotes, trailing text, an item
+    that is not an object) - the cases where Python's ``json.loads`` and the
+    reference's item access fail.  ``from_json`` stops after the first value,
+    so the text is wrapped as ``[text]`` and must hold exactly one element.
+    The parse is its own projected column, evaluated once per row."""
+    x = df.withColumn("_wrapped", F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), _ITEMS,
+                                              {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}))
+    return x.withColumn(out, F.when(F.size("_wrapped") == 1, at(F.col("_wrapped"), 1))).drop("_wrapped")
+
+
 def strict_json_array(text) -> Column:
-    """The JSON array in ``text`` as ``array<variant>``, or null when ``text``
-    is not exactly one JSON array (bad JSON, single quotes, trailing text).
-    ``try_parse_json`` stops after the first value, so the text is wrapped as
-    ``[text]`` and must hold exactly one element."""
-    w = F.try_parse_json(F.concat(F.lit("["), _c(text), F.lit("]")))
-    one = F.try_variant_get(w, "$", "array<variant>")
-    inner = F.try_variant_get(w, "$[0]", "array<variant>")
-    return F.when(F.size(one) == 1, inner)
+    """Column form of ``with_json_array`` (parses twice; prefer the
+    DataFrame form)."""
+    w = F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), _ITEMS,
+                    {"allowSingleQuotes": "false", "mode": "PERMISSIVE"})
+    return F.when(F.size(w) == 1, at(w, 1))
 
 
 def explode_answers(base: DataFrame, answers: DataFrame, key: str, resp: str = "response") -> DataFrame:
@@ -90,19 +105,19 @@ def explode_answers(base: DataFrame, answers: DataFrame, key: str, resp: str = "
     """
     a = answers.select(F.col(key), F.col(resp).alias("_resp"))
     x = base.join(a, key, "left")
-    snip = strip_fence_camp(answer_content(F.col("_resp")))
-    x = x.withColumn("_arr", strict_json_array(snip))
-    all_obj = F.forall("_arr", lambda e: F.schema_of_variant(e).startswith("OBJECT"))
+    x = x.withColumn("_snip", strip_fence_camp(answer_content(F.col("_resp"))))
+    x = with_json_array(x, F.col("_snip"), "_arr")
     state = (F.when(F.col("_arr").isNull(), F.lit("error"))
              .when(F.size("_arr") == 0, F.lit("none"))
-             .when(~all_obj, F.lit("error"))
              .otherwise(F.lit("found")))
     x = x.withColumn("_state", state)
     # one pass: found rows explode their items, other rows explode one null
     items = F.when(F.col("_state") == "found", F.col("_arr")).otherwise(
-        F.array(F.lit(None).cast("variant")))
-    y = x.select("*", F.posexplode(items).alias("sub_pos", "_e"))
-    get = lambda k: F.try_variant_get(F.col("_e"), f"$.{k}", "string")
+        F.array(F.lit(None).cast("map<string,string>")))
+    # the outer form: Spark infers no size>0 filter for it, which would be
+    # pushed below the projections and re-run the JSON parse per predicate
+    y = x.select("*", F.posexplode_outer(items).alias("sub_pos", "_e"))
+    get = lambda k: at(F.col("_e"), k)
     st = F.col("_state")
     out = y.withColumn("camp_found", F.when(st == "found", F.lit("Yes")).when(st == "none", F.lit("No"))
                        .otherwise(F.col("camp_found")))
@@ -127,10 +142,10 @@ def scholarship_rows(answers: DataFrame, key: list[str], resp: str = "response",
     ``closing_date`` from ``deadline``, cleans the link and needs a title."""
     content = answer_content(F.col(resp))
     body = strip_fence_js(content) if form == "js" else strip_fence_scholarship(content)
-    x = answers.select(*key, F.posexplode(strict_json_array(body)).alias("item_idx", "_e"))
-    x = x.filter(F.schema_of_variant("_e").startswith("OBJECT"))
+    x = with_json_array(answers.select(*key, body.alias("_body")), F.col("_body"), "_arr")
+    x = x.select(*key, F.posexplode_outer("_arr").alias("item_idx", "_e")).filter(F.col("_e").isNotNull())
     for f in SCHOLARSHIP_FIELDS + ["deadline"]:
-        x = x.withColumn(f, F.try_variant_get(F.col("_e"), f"$.{f}", "string"))
+        x = x.withColumn(f, at(F.col("_e"), f))
     if form == "js":
         x = x.withColumn("closing_date", F.when(strip(F.coalesce("closing_date", F.lit(""))) == "", F.col("deadline"))
                          .otherwise(F.col("closing_date")))

@@ -306,7 +306,7 @@ def jsonld_events(nodes: DataFrame) -> DataFrame:
     s = s.select("page_id", "node_id", v.alias("v")).filter(F.col("v").isNotNull())
     arr = F.when(F.schema_of_variant(F.col("v")).startswith("ARRAY"),
                  F.try_variant_get(F.col("v"), "$", "array<variant>")).otherwise(F.array(F.col("v")))
-    e = s.select("page_id", "node_id", F.posexplode(arr).alias("i", "e"))
+    e = s.select("page_id", "node_id", F.posexplode_outer(arr).alias("i", "e")).filter(F.col("e").isNotNull())
     g = lambda path, t="string": F.try_variant_get(F.col("e"), path, t)
     e = e.filter(g("$['@type']").isin(EVENT_TYPES))
     desc = F.coalesce(g("$.description"), F.lit(""))

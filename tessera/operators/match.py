@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.similarity import BONUS, JAC_WEIGHT, SEQ_WEIGHT, round_score, seq_ratio
 from tessera.functions.status import division_compatible
+from tessera.functions.common import keep_computed
 from tessera.functions.text import word_tokens
 
 DEFAULT_BROADCAST_LIMIT = 500_000
@@ -72,9 +73,12 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     # sizes and names ride along with the exploded tokens: one shuffle (the
     # pair count), no joins back to either side
     mcols = ["row_id", "master_name", "m_conf", "m_attr", F.size("m_tokens").alias("nm")]
-    m_tok = m.select(*mcols, F.explode("m_tokens").alias("tok"))
+    # explode_outer + not-null filter: a plain explode makes Spark infer a
+    # size(tokens) > 0 filter and push it below the projection, tokenising twice
+    m_tok = m.select(*mcols, F.explode_outer("m_tokens").alias("tok")).filter(F.col("tok").isNotNull())
     m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
-    q_tok = q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"), F.explode("q_tokens").alias("tok"))
+    q_tok = q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"),
+                     F.explode_outer("q_tokens").alias("tok")).filter(F.col("tok").isNotNull())
     keys = ["q_name", "q_pref", "q_attr", "nq", "row_id", "master_name", "m_conf", "m_attr", "nm"]
     hits = q_tok.join(m_tok, "tok").select(*keys, F.lit(1).alias("_hit"))
     if pref and master_conf:
@@ -268,7 +272,7 @@ def set_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    L = left.select(F.col(left_id).alias("_lid"), word_tokens(F.col(left_text)).alias("_t")) \
+    L = keep_computed(left.select(F.col(left_id).alias("_lid"), word_tokens(F.col(left_text)).alias("_t"))) \
         .withColumn("_nl", F.size("_t"))
     R = right.select(F.col(right_id).alias("_rid"), word_tokens(F.col(right_text)).alias("_t")) \
         .withColumn("_nr", F.size("_t")).filter(F.col("_nr") > 0)
@@ -277,9 +281,10 @@ def set_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_i
         return left.sparkSession.createDataFrame(
             [], f"{left_id} {left.schema[left_id].dataType.simpleString()}, "
                 f"{right_id} {right.schema[right_id].dataType.simpleString()}, shared bigint, jaccard double")
-    L = L.filter((F.col("_nl") >= F.lit(threshold) * lo_hi["lo"]) & (F.col("_nl") * F.lit(threshold) <= lo_hi["hi"]))
-    lt = L.select("_lid", "_nl", F.explode("_t").alias("tok"))
-    rt = R.select("_rid", "_nr", F.explode("_t").alias("tok"))
+    L = L.filter((F.col("_nl") >= F.lit(threshold) * lo_hi["lo"]) & (F.col("_nl") * F.lit(threshold) <= lo_hi["hi"])
+                 & (F.col("_barrier") >= 0)).drop("_barrier")
+    lt = L.select("_lid", "_nl", F.explode_outer("_t").alias("tok")).filter(F.col("tok").isNotNull())
+    rt = R.select("_rid", "_nr", F.explode_outer("_t").alias("tok")).filter(F.col("tok").isNotNull())
     rt = _sized_broadcast(rt, right, broadcast_limit)
     cond = ((lt.tok == rt.tok) & (lt._nl >= F.lit(threshold) * rt._nr) & (lt._nl * F.lit(threshold) <= rt._nr))
     pairs = lt.join(rt, cond).groupBy("_lid", "_rid", "_nl", "_nr").agg(F.count(F.lit(1)).alias("shared"))

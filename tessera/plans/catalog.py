@@ -301,8 +301,8 @@ FROM u""")
 def record_parse(spark, sf_dir):
     """Every ``W-L`` record in every document, split into numbers."""
     d = read_table(spark, sf_dir, "documents")
-    x = d.select("doc_id", F.posexplode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_RECORD), 0))
-                 .alias("m_idx", "record"))
+    x = d.select("doc_id", F.posexplode_outer(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_RECORD), 0))
+                 .alias("m_idx", "record")).filter(F.col("record").isNotNull())
     return x.select("doc_id", "m_idx", "record",
                     F.regexp_extract("record", r"^([0-9]+)", 1).try_cast("int").alias("w"),
                     F.regexp_extract("record", r"([0-9]+)$", 1).try_cast("int").alias("l"))
