@@ -70,6 +70,13 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     points standing -> top-k fuzzy match with the conference bonus ->
     accepted writes / review queue."""
     nodes, rows, headers = _tables(pages)
+    # The tables of the first non-empty tier per page (inside <main>, else any)
+    tiers = nodes.filter(F.col("tag") == "table").select(
+        "page_id", F.col("node_id").alias("table_id"),
+        F.when(F.array_contains("ancestor_tags", "main"), F.lit(1)).otherwise(F.lit(2)).alias("tier"))
+    keep = hx.choose_tables(tiers, F.col("tier")).select("page_id", "table_id")
+    rows = rows.join(keep, ["page_id", "table_id"], "left_semi")
+    headers = headers.join(keep, ["page_id", "table_id"], "left_semi")
     side = ex.is_sidearm(nodes)
     hdr = headers.join(side, "page_id", "left").withColumn(
         "visible", hx.visible_positions(F.coalesce("header_classes", F.array().cast("array<string>")),
@@ -149,13 +156,15 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
     return ag.wide_by(x, ["university"], "gender", ["men", "women"], cols + ["candidate_url"], fill=None)
 
 
-def yearless_roster(master: DataFrame, captures: DataFrame) -> dict:
+def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None = None) -> dict:
     """Rows whose freshman count cell says 'no longer exist' (C9):
     per gender the roster URL without year segments (S13) is looked up in
     the capture table; where it loads and yields players, the URL and the
     position/year counts (F1) become cell writes."""
     from tessera.operators.aggregate import no_longer_exist
     rows = master.filter(no_longer_exist(master, "men_freshman", "women_freshman"))
+    if limit:
+        rows = rows.orderBy("row_id").limit(limit)      # C9: the optional row limit (a feature)
     urls = rows.select("row_id", F.lit("men").alias("gender"), F.col("men_roster_url").alias("url")).unionByName(
         rows.select("row_id", F.lit("women").alias("gender"), F.col("women_roster_url").alias("url")))
     from tessera.functions.urls import has_year_token, remove_year_segment
@@ -207,6 +216,23 @@ def partner_camps(pages: DataFrame, base: DataFrame, answers: DataFrame | None,
     return out
 
 
+def camp_enrichment(camps: DataFrame, captures: DataFrame, gazetteer: DataFrame, answers: DataFrame) -> dict:
+    """U8 / J6 second half: camp rows ``(camp_id, organiser, camp_info_url,
+    + camp columns)`` -> page status from the capture table (S39 short form,
+    C19) -> latitude/longitude/city by organiser (E13) -> the model answer
+    applied (M6; extra camps as copies).  Rows whose page did not load go to
+    the error output."""
+    cap = captures.groupBy("url").agg(F.max_by(F.struct("status", "error"), F.col("page_id")).alias("_c"))
+    x = camps.join(cap, F.col("camp_info_url") == F.col("url"), "left").drop("url")
+    x = x.withColumn("page_load", F.when(F.col("_c").isNull(), F.lit("Not captured")).otherwise(
+        st.page_load_status(F.col("_c.status"), F.col("_c.error")))).drop("_c")
+    ok, errors = rc.split_errors(x, "page_load")
+    geo = rc.geocode(ok, F.col("organiser"), gazetteer, out=("lat", "long", "city"))
+    base_cols = [c for c in geo.columns]
+    out = an.explode_answers(geo.select(*base_cols), answers, "camp_id")
+    return {"camps": out, "errors": errors}
+
+
 def branded_camps(pages: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Camp page fields (B21, S21, S22, S25, S26) + geocode of
     'title, city, state' (E14)."""
