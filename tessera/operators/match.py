@@ -51,9 +51,20 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
                      master_id: str = "row_id", master_name: str = "master_name",
                      scorer: str = "combined", pref: str | None = None, master_conf: str | None = None,
                      bonus: float = BONUS, left_attr: str | None = None, master_attr: str | None = None,
-                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, min_score: float = 0.0) -> DataFrame:
     """All scored candidate pairs for the distinct left keys.
 
+    With ``min_score`` above 0.4 (combined) or above 0 (Jaccard) the word
+    block uses prefix filtering: a pair scoring at least ``min_score``
+    without the conference bonus needs Jaccard >= t, t = (min_score-0.4)/0.6
+    (combined) or min_score (Jaccard), and then the two names share a token
+    among their first ``|x| - ceil(t|x|) + 1`` tokens in one global order
+    (rarest master tokens first).  Only those prefix tokens are joined, so
+    frequent words stay out of the join key; shared counts are then taken
+    from the full token sets.  Pairs that meet the conference bonus are all
+    enumerated by the conference block, so every pair at or above
+    ``min_score`` is a candidate (exact).
+
     ``left`` holds the query name (and optionally a preferred conference and
     an attribute such as the division); ``master`` holds ``row_id``, the
     master name, and optionally conference / attribute.
@@ -76,21 +87,44 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     # explode_outer + not-null filter: a plain explode makes Spark infer a
     # size(tokens) > 0 filter and push it below the projection, tokenising twice
     m_tok = m.select(*mcols, F.explode_outer("m_tokens").alias("tok")).filter(F.col("tok").isNotNull())
-    m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
     q_tok = q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"),
                      F.explode_outer("q_tokens").alias("tok")).filter(F.col("tok").isNotNull())
     keys = ["q_name", "q_pref", "q_attr", "nq", "row_id", "master_name", "m_conf", "m_attr", "nm"]
-    hits = q_tok.join(m_tok, "tok").select(*keys, F.lit(1).alias("_hit"))
+    tau = (min_score if scorer == "jaccard" else (min_score - SEQ_WEIGHT) / JAC_WEIGHT) if min_score else 0.0
+    if tau > 0:
+        # global token order: master document frequency, then the token
+        dfreq = m_tok.groupBy("tok").agg(F.count(F.lit(1)).alias("_df"))
+
+        def prefix(tok_df, ids, n_col):
+            x = tok_df.join(dfreq, "tok", "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
+            w = Window.partitionBy(*ids).orderBy("_df", "tok")
+            plen = F.col(n_col) - F.ceil(F.lit(tau) * F.col(n_col)) + 1
+            return x.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= plen).drop("_r", "_df")
+
+        mp = _sized_broadcast(prefix(m_tok, ["row_id"], "nm"), n_master, broadcast_limit)
+        qp = prefix(q_tok, ["q_name", "q_pref", "q_attr"], "nq")
+        cand = qp.join(mp, "tok").select(*keys).distinct()
+        qt = q.select("q_name", "q_pref", "q_attr", "q_tokens")
+        mt_ = _sized_broadcast(m.select("row_id", "m_tokens"), n_master, broadcast_limit)
+        hits = (cand.join(qt, ["q_name", "q_pref", "q_attr"]).join(mt_, "row_id")
+                .select(*keys, F.size(F.array_intersect("q_tokens", "m_tokens")).alias("_hit")))
+    else:
+        m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
+        hits = q_tok.join(m_tok, "tok").select(*keys, F.lit(1).alias("_hit"))
     if pref and master_conf:
         # a +bonus pair may share no word: the conference is a second block key
-        mc = m.filter(F.col("m_conf") != "").select(*mcols).withColumn("q_pref", F.col("m_conf"))
+        mc = m.filter(F.col("m_conf") != "").select(*mcols, "m_tokens").withColumn("q_pref", F.col("m_conf"))
         mc = _sized_broadcast(mc, n_master, broadcast_limit)
-        qc = q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"))
-        hits = hits.unionByName(qc.join(mc, "q_pref").select(*keys, F.lit(0).alias("_hit")))
+        qc = q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr", "q_tokens",
+                                                    F.size("q_tokens").alias("nq"))
+        conf_hit = F.size(F.array_intersect("q_tokens", "m_tokens")) if tau > 0 else F.lit(0)
+        hits = hits.unionByName(qc.join(mc, "q_pref").select(*keys, conf_hit.alias("_hit")))
     if left_attr and master_attr:
         # C11 is a pair predicate: applied before the pairs are shuffled
         hits = hits.filter(division_compatible(F.col("q_attr"), F.col("m_attr")))
-    pairs = hits.groupBy(*keys).agg(F.sum("_hit").alias("shared"))
+    # token path: one row per shared token (sum = shared count); prefix path:
+    # the full intersection size per candidate (max over duplicates)
+    pairs = hits.groupBy(*keys).agg((F.max("_hit") if tau > 0 else F.sum("_hit")).alias("shared"))
     jac = F.when((F.col("nq") == 0) | (F.col("nm") == 0), F.lit(0.0)).otherwise(
         F.col("shared") / (F.col("nq") + F.col("nm") - F.col("shared")))
     pairs = pairs.withColumn("jac", jac)
@@ -121,15 +155,15 @@ def fuzzy_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
     """
     cands = fuzzy_candidates(left, master, name=name, master_id=master_id, master_name=master_name,
                              scorer=scorer, pref=pref, master_conf=master_conf, left_attr=left_attr,
-                             master_attr=master_attr, broadcast_limit=broadcast_limit)
+                             master_attr=master_attr, broadcast_limit=broadcast_limit, min_score=min_score)
     cands = cands.filter((F.col("score") > 0) & (F.col("score") >= F.lit(min_score)))
     qk = ["q_name", "q_pref", "q_attr"]
     w = Window.partitionBy(*qk).orderBy(F.col("score").desc(), F.col("row_id").asc())
     top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     wk = Window.partitionBy(*qk)
     kth = F.max(F.when(F.col("rank") == k, F.col("score"))).over(wk)
-    if scorer == "jaccard":
-        complete = F.lit(True)
+    if scorer == "jaccard" or min_score > SEQ_WEIGHT:
+        complete = F.lit(True)          # every pair >= min_score was a candidate
     else:
         complete = F.coalesce(kth > F.lit(SEQ_WEIGHT), F.lit(False))
     top = top.withColumn("complete", complete)

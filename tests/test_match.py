@@ -115,3 +115,36 @@ def test_substring_exact_alias_resolve(spark):
     acc, rev = mt.resolve_matches(cands, dec, key="k", accept_at=0.9)
     assert sorted((r["k"], r["chosen_row_id"], r["how"]) for r in acc.collect()) == [("a", 10, "auto"), ("b", 99, "pick")]
     assert [r["k"] for r in rev.collect()] == ["d"]
+
+
+def test_prefix_filtered_topk_equals_nested_loop_above_min_score(spark):
+    rng = random.Random(21)
+    left = _names(rng, 50)
+    master = _names(rng, 40)
+    confs = ["A", "B", "C"]
+    L = spark.createDataFrame([(i, n, confs[i % 3]) for i, n in enumerate(left)], "id long, name string, pref string")
+    M = spark.createDataFrame([(j, n, confs[j % 3]) for j, n in enumerate(master)],
+                              "row_id long, master_name string, conference string")
+    k = 3
+    for scorer, min_score, bonus in (("jaccard", 0.5, False), ("combined", 0.6, True)):
+        for limit in (0, 10_000):                       # shuffle path and broadcast path
+            kw = dict(pref="pref", master_conf="conference") if bonus else {}
+            out = mt.fuzzy_topk(L, M, k=k, name="name", scorer=scorer, min_score=min_score,
+                                broadcast_limit=limit, **kw).collect()
+            by = {}
+            for r in out:
+                if r["rank"] is not None:
+                    by.setdefault(r["id"], []).append((r["rank"], r["row_id"], r["score"]))
+                    assert r["complete"] is True
+            for i, a in enumerate(left):
+                scores = []
+                for j, b in enumerate(master):
+                    s = _jac(a, b) if scorer == "jaccard" else combined_py(a, b)
+                    if bonus and confs[i % 3] == confs[j % 3]:
+                        s = min(1.0, s + 0.15)
+                    if s > 0 and s >= min_score - 1e-12:
+                        scores.append((-s, j))
+                brute = [(j, -s) for s, j in sorted(scores)][:k]
+                mine = sorted(by.get(i, []))
+                assert [m[1] for m in mine] == [b[0] for b in brute], (scorer, limit, a)
+                assert [m[2] for m in mine] == pytest.approx([b[1] for b in brute])
