@@ -1140,3 +1140,22 @@ def substring_search(spark, sf_dir):
     left, master = match_input(spark, sf_dir)
     words = read_table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("name")).distinct()
     return substring_candidates(words, master, name="name", k=None, score=False)
+
+
+@register("fuzzy_threshold_topk", f"""
+WITH {_SQL_MATCH_INPUT},
+lt AS (SELECT p_partkey, name, {sql_tokens("name")} AS t FROM l),
+mt AS (SELECT row_id, master_name, {sql_tokens("master_name")} AS t FROM m),
+s AS (SELECT p_partkey, row_id, master_name, {sql_jaccard("lt.t", "mt.t")} AS score FROM lt, mt),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, row_id) AS rank
+      FROM s WHERE score >= 0.5)
+SELECT l.p_partkey, CAST(r.rank AS INTEGER) AS rank, r.row_id, r.master_name, round(r.score, 6) AS score
+FROM l LEFT JOIN r ON l.p_partkey = r.p_partkey AND r.rank <= 3""")
+def fuzzy_threshold_topk(spark, sf_dir):
+    """S27 + E2/G3 with a minimum score: top-3 masters with word Jaccard >=
+    0.5 per scraped name, candidates from prefix-filtered token blocking
+    (exact above the threshold)."""
+    from tessera.operators.match import fuzzy_topk
+    left, master = match_input(spark, sf_dir)
+    out = fuzzy_topk(left.select("p_partkey", "name"), master, k=3, name="name", scorer="jaccard", min_score=0.5)
+    return out.select("p_partkey", "rank", "row_id", "master_name", F.round("score", 6).alias("score"))
