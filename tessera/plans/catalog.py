@@ -265,7 +265,7 @@ def _relevant_sql(l: str) -> str:
 @register("relevant_lines", f"""
 WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
                   lambda l: {sql_strip("l")}), lambda l: l <> '' AND {_relevant_sql("l")}) AS keep FROM documents)
-SELECT doc_id, substring(array_to_string(keep, chr(10)), 1, 5000) AS snippet, len(keep) AS n_relevant
+SELECT doc_id, substring(array_to_string(keep, chr(10)), 1, 5000) AS snippet, CAST(len(keep) AS INTEGER) AS n_relevant
 FROM d""")
 def relevant_lines(spark, sf_dir):
     """B24 + S42: relevant lines of every whole document, the first 5,000
@@ -862,7 +862,8 @@ def completed_skip(spark, sf_dir):
 
 
 @register("gazetteer_lookup", f"""
-WITH g AS (SELECT lower(n_name) AS address_norm, n_nationkey * 1.5 AS lat, n_regionkey * 2.25 - 100.0 AS lng, r_name AS city
+WITH g AS (SELECT lower(n_name) AS address_norm, CAST(n_nationkey * 1.5 AS DOUBLE) AS lat,
+                  CAST(n_regionkey * 2.25 - 100.0 AS DOUBLE) AS lng, r_name AS city
            FROM nation JOIN region ON n_regionkey = r_regionkey),
 s AS (SELECT s_suppkey, n_name || CASE WHEN s_acctbal < 0 THEN ' city' ELSE '' END AS address
       FROM supplier JOIN nation ON s_nationkey = n_nationkey)
@@ -1040,7 +1041,7 @@ b AS (SELECT doc_id, CASE WHEN length({sql_strip("coalesce(plain, '')")}) < 50 T
 f AS (SELECT doc_id, CASE WHEN regexp_matches(body, '(?i)Begin forwarded message')
           THEN regexp_replace(substring(body, strpos(lower(body), 'begin forwarded message')), '(?is)^.*?Subject:[^\\n]*\\n', '')
           ELSE body END AS body FROM b)
-SELECT doc_id AS id, length(body) AS body_chars, substring(body, 1, 40000) AS body FROM f""")
+SELECT doc_id AS id, CAST(length(body) AS INTEGER) AS body_chars, substring(body, 1, 40000) AS body FROM f""")
 def mail_bodies(spark, sf_dir):
     """A10 + A11 + B27 + B28 + S42: decode the HTML part (base64url), take the
     plain part or, when it is under 50 characters, the HTML as text; strip a
