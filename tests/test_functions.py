@@ -28,10 +28,10 @@ def test_text(spark):
 def test_urls(spark):
     assert one(spark, ul.canonical_url, [" HTTPS://WWW.X.com/a/ ", "http://waf.www.x.com", "Https://x.com"]) == \
         ["https://www.x.com/a", "x.com", "https://x.com"]
-    assert one(spark, lambda c: ul.rewrite_host(c, "collegedata.com"),
-               ["http://www.collegedata.com/a?b=1", "collegedata.com/x", "https://waf.collegedata.com/y",
+    assert one(spark, lambda c: ul.rewrite_host(c, "factsite.example.com"),
+               ["http://www.factsite.example.com/a?b=1", "factsite.example.com/x", "https://waf.factsite.example.com/y",
                 "https://other.org/z"]) == \
-        ["https://waf.collegedata.com/a?b=1", "https://waf.collegedata.com/x", "https://waf.collegedata.com/y",
+        ["https://waf.factsite.example.com/a?b=1", "https://waf.factsite.example.com/x", "https://waf.factsite.example.com/y",
          "https://other.org/z"]
     assert one(spark, ul.clean_url, ["<apply.example.org/form>", "<a.org/x>.", "https://a.com/x - open in new window", "no link"]) == \
         ["https://apply.example.org/form", "https://a.org/x>", "https://a.com/x", "no link"]
