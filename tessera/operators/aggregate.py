@@ -66,19 +66,29 @@ def wide_by(df: DataFrame, key: list[str], pivot: str, values: list[str], cols:
 
 def text_roster_counts(cards: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """counts over roster-card text: a card adds one per position word it
-    contains on word boundaries (to that word's code) and one per class-year
-    word it contains as a substring.  Decision D5: counts go to the plural
-    bucket of the code (the reference's key lookup fails)."""
+    contains as a whole word (Unicode word boundaries, case-insensitive) to
+    that word's bucket, and one per class-year word it contains as a
+    substring.  Decision D5: counts go to the plural bucket of the code (the
+    reference's key lookup fails).  The card is tokenised once; single words
+    are token-set lookups, the two-word key a bounded regex."""
     from tessera.functions.roster import POSITION_MAP
-    t = F.lower(F.coalesce(F.col(text), F.lit("")))
+    from tessera.functions.text import word_tokens
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    x = cards.select(*keys, low.alias("_low")).withColumn("_tok", word_tokens(F.col("_low")))
+
+    def has(word):
+        if " " in word:
+            return F.col("_low").rlike(r"(?<![\p{L}\p{N}_])" + word + r"(?![\p{L}\p{N}_])")
+        return F.array_contains("_tok", word)
+
     aggs = []
     for code, bucket in POSITION_BUCKETS.items():
         words = [w for w, c in POSITION_MAP.items() if c == code]
-        n = sum((F.when(t.rlike(rf"\b{w}\b"), 1).otherwise(0) for w in words), F.lit(0))
+        n = sum((F.when(has(w), 1).otherwise(0) for w in words), F.lit(0))
         aggs.append(F.sum(n).cast("long").alias(bucket))
     for y in ["freshman", "sophomore", "junior", "senior"]:
-        aggs.append(F.count_if(t.contains(y)).alias(y))
-    return cards.groupBy(*keys).agg(*aggs)
+        aggs.append(F.count_if(F.col("_low").contains(y)).alias(y))
+    return x.groupBy(*keys).agg(*aggs)
 
 
 def run_counters(df: DataFrame, **conds: Column) -> DataFrame:

@@ -1160,3 +1160,33 @@ def fuzzy_threshold_topk(spark, sf_dir):
     left, master = match_input(spark, sf_dir)
     out = fuzzy_topk(left.select("p_partkey", "name"), master, k=3, name="name", scorer="jaccard", min_score=0.5)
     return out.select("p_partkey", "rank", "row_id", "master_name", F.round("score", 6).alias("score"))
+
+
+def _sql_text_counts() -> str:
+    from tessera.functions.roster import POSITION_BUCKETS, POSITION_MAP
+    parts = []
+    for code, bucket in POSITION_BUCKETS.items():
+        terms = []
+        for w in [w for w, c in POSITION_MAP.items() if c == code]:
+            if " " in w:
+                terms.append(f"CASE WHEN regexp_matches(low, '(^|[^\\p{{L}}\\p{{N}}_]){w}([^\\p{{L}}\\p{{N}}_]|$)') THEN 1 ELSE 0 END")
+            else:
+                terms.append(f"CASE WHEN list_contains(tok, '{w}') THEN 1 ELSE 0 END")
+        parts.append(f"CAST(sum({' + '.join(terms)}) AS BIGINT) AS {bucket}")
+    for y in ["freshman", "sophomore", "junior", "senior"]:
+        parts.append(f"count(*) FILTER (WHERE contains(low, '{y}')) AS {y}")
+    return ",\n  ".join(parts)
+
+
+@register("roster_text_counts", f"""
+WITH d AS (SELECT source, lower(coalesce(text, '')) AS low FROM documents),
+t AS (SELECT source, low, {sql_tokens("low")} AS tok FROM d)
+SELECT source,
+  {_sql_text_counts()}
+FROM t GROUP BY source""")
+def roster_text_counts(spark, sf_dir):
+    """F3 (D5): position and class-year word counts over whole card texts
+    (each document is a card, its source the team)."""
+    from tessera.operators.aggregate import text_roster_counts
+    d = read_table(spark, sf_dir, "documents").select("source", "text")
+    return text_roster_counts(d, ["source"])
