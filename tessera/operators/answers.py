@@ -131,9 +131,6 @@ def explode_answers(base: DataFrame, answers: DataFrame, key: str, resp: str = "
     return out.select(*base.columns, F.col("sub_pos").cast("int").alias("sub_pos"))
 
 
-_SCHOLARSHIP_SCHEMA = "array<struct<" + ",".join(f"{f}:string" for f in SCHOLARSHIP_FIELDS + ["deadline"]) + ">>"
-
-
 def scholarship_rows(answers: DataFrame, key: list[str], resp: str = "response",
                      require: tuple = ("closing_date", "amount"), form: str = "py") -> DataFrame:
     """M7 (+ M7b with ``require=()``, M5/M8 with ``form='js'``): the items of

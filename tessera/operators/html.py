@@ -109,7 +109,6 @@ class _TreeBuilder(HTMLParser):
         self.text_parts = []
         self.text_len = 0
         self.chunks = []         # stripped non-empty text chunks (for separator-joined text)
-        self.own = {}
         self.raw_depth = 0
 
     def _offset(self) -> int:
@@ -359,9 +358,6 @@ def nearest_ancestor(tag: str) -> Column:
 
 # ---------------------------------------------------------------- tables
 
-ROWS_SCHEMA_DOC = "page_id, table_id, tr_idx, cells, tags, classes"
-
-
 def html_rows(nodes: DataFrame) -> DataFrame:
     """One row per ``tr`` with its ordered cell texts, cell tags and classes.
 

@@ -1105,7 +1105,6 @@ def scholarship_items(spark, sf_dir):
 
 
 _CAMP_TEMPLATE = "Extract the camp name, dates, ages and cost as JSON from:\n{snippet}"
-_BLOCK_START = "<(?:p|li|div)[\\s>]"
 
 
 @register("camp_requests", f"""

@@ -28,9 +28,6 @@ from tessera.sources.files import scan_master
 from tessera.sources.sinks import cut_lineage
 from tessera.sources.pages import first_hit, mail_html, yearless_candidates
 
-TABLE_TAGS = {"table", "thead", "tbody", "tfoot", "tr", "td", "th", "main", "h1", "h2", "h3", "h4", "h5", "h6",
-              "a", "meta", "script", "title"}
-
 
 def _reused(df: DataFrame) -> DataFrame:
     """A table several branches of a job read (the node table above all):
