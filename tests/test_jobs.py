@@ -94,3 +94,29 @@ def test_scholarship_jobs(spark):
     k = jobs.scholarships_keyed(ans2, proc)
     assert rows(k["rows"], "title", "closing_date", "link") == [("T1", "June 1", "https://t1.org")]
     assert rows(k["keys"], "key") == [("m2|T1",)]
+
+
+def test_camp_and_geocode_jobs(spark):
+    camp = """<h1>Boys ID Camp</h1><div class="location">Austin, TX</div><p>Ages: 12+</p>
+    <p>Dates: June 1 to June 3</p><p>$300</p>
+    <script type="application/ld+json">{"@type": "Event", "name": "Clinic D3", "startDate": "2024-06-01"}</script>"""
+    pages = spark.createDataFrame([(1, "https://camps.example.org/a", camp)], "page_id long, url string, html string")
+    gz = spark.createDataFrame([("boys id camp, austin, tx", 30.2, -97.7, "Austin")],
+                               "address_norm string, lat double, lng double, city string")
+    b = jobs.branded_camps(pages, gz).first()
+    assert (b["camp_name"], b["grade_level"], b["gender"], b["start_date"], b["latitude"]) == \
+        ("Boys ID Camp", "Elementary School", "Boys", "June 1", 30.2)
+    ev = jobs.event_camps(pages).first()
+    assert (ev["name"], ev["division"], ev["start_unix"]) == ("Clinic D3", "D3", 1717200000)
+    base = spark.createDataFrame([(1, "https://camps.example.org/a", "", "ID", "", "", "", "")],
+                                 "page_id long, camp_info_url string, camp_found string, event_details string, "
+                                 "start_date string, end_date string, ages_grade_level string, cost string")
+    p = jobs.partner_camps(pages, base, None, "Camp text:\n{snippet}")
+    assert p["requests"].first()["prompt"].startswith("Camp text:\nAges: 12+\nDates: June 1 to June 3\n$300")
+    rows_ = spark.createDataFrame([(2, "Austin,  TX"), (3, "Nowhere"), (9, "Austin, TX")], "row_id long, address string")
+    gz2 = spark.createDataFrame([("austin, tx", 30.2, -97.7, "Austin")], "address_norm string, lat double, lng double, city string")
+    assert rows(jobs.showcase_geocode(rows_, gz2, 2, 3), "row_id", "latitude") == [(2, 30.2), (3, None)]
+    assert rows(jobs.geocode_file(rows_, gz2), "row_id", "city") == [(2, "Austin"), (3, None), (9, "Austin")]
+    caps = spark.createDataFrame([(1, "https://camps.example.org/a", 200, None)], "page_id long, url string, status int, error string")
+    assert rows(jobs.link_status(spark.createDataFrame([("https://camps.example.org/a",)], "url string"), caps),
+                "status_text") == [("Loaded Successfully",)]
