@@ -24,7 +24,8 @@ def _c(x) -> Column:
 
 
 def jaccard(a_tokens, b_tokens) -> Column:
-    """S27 over two distinct token arrays; 0.0 if either is empty."""
+    """S27 + H2: intersection size over union size of two distinct token
+    arrays; 0.0 if either is empty."""
     a, b = _c(a_tokens), _c(b_tokens)
     inter = F.size(F.array_intersect(a, b))
     union = F.size(F.array_union(a, b))

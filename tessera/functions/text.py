@@ -78,6 +78,6 @@ def truncate(s, n: int) -> Column:
 
 
 def word_tokens(s) -> Column:
-    """Distinct lower-case word tokens, Unicode aware (Python ``\\w+``)."""
+    """distinct lower-case word tokens, Unicode aware (Python ``\\w+``)."""
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(_c(s), F.lit(""))),
                                                  F.lit(r"[\p{L}\p{N}_]+"), 0))

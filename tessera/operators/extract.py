@@ -189,7 +189,8 @@ def data_field_players(nodes: DataFrame) -> DataFrame:
 
 
 def roster_players(nodes: DataFrame) -> DataFrame:
-    """Route each page to the Sidearm or the data-field extractor."""
+    """B19 + V1: route each page to the Sidearm or the data-field extractor
+    (the extractor registry is the page-kind test)."""
     kind = is_sidearm(nodes)
     side = sidearm_players(nodes).join(kind.filter("sidearm"), "page_id", "left_semi")
     other = data_field_players(nodes).join(kind.filter(~F.col("sidearm")), "page_id", "left_semi")

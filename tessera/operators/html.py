@@ -441,7 +441,7 @@ def non_empty_row(cells: Column) -> Column:
 
 
 def table_records(rows: DataFrame, headers: DataFrame) -> DataFrame:
-    """B7 + B8: data rows below the header aligned to the header width (or to
+    """B7 + B8 + F7 (widest row): data rows below the header aligned to the header width (or to
     the widest row with generated ``col1..colN`` headers when no header was
     found); empty rows dropped.  ``row_idx`` numbers all aligned rows 1..n
     before empty ones are removed (G2 numbers over all of them)."""

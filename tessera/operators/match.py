@@ -52,7 +52,8 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
                      scorer: str = "combined", pref: str | None = None, master_conf: str | None = None,
                      bonus: float = BONUS, left_attr: str | None = None, master_attr: str | None = None,
                      broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, min_score: float = 0.0) -> DataFrame:
-    """All scored candidate pairs for the distinct left keys.
+    """All scored candidate pairs for the distinct left keys (V2: the scorer
+    is a parameter, ``combined`` or ``jaccard``).
 
     With ``min_score`` above 0.4 (combined) or above 0 (Jaccard) the word
     block uses prefix filtering: a pair scoring at least ``min_score``

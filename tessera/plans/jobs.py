@@ -65,7 +65,8 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
                          accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
     """Standings tables -> header -> keyword column map -> rows ->
     points standing -> top-k fuzzy match with the conference bonus ->
-    accepted writes / review queue."""
+    accepted writes / review queue; the writes are the U3 standing upsert
+    (three columns of the gender) for ``reconcile.apply_cell_writes``."""
     nodes, rows, headers = _tables(pages)
     # The tables of the first non-empty tier per page (inside <main>, else any)
     tiers = nodes.filter(F.col("tag") == "table").select(
@@ -108,7 +109,8 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
              accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
     """Rankings by the table strategy, else text lines (first strategy
     with rows per page), dedup, division-filtered fuzzy candidates, writes of
-    the rank to ``<gender>_top_25``."""
+    the rank to ``<gender>_top_25`` (U4; several ranks on one row: the last
+    write wins in ``apply_cell_writes``)."""
     nodes, rows, _ = _tables(pages)
     t = ex.rankings_from_rows(rows.withColumn("pos", F.col("table_id") * 100000 + F.col("tr_idx"))).select(
         "page_id", "pos", "rank", "name", F.lit(0).alias("strategy"))
@@ -327,7 +329,8 @@ def scholarship_rows(answers: DataFrame, stored: DataFrame) -> DataFrame:
 
 def scholarships_keyed(answers: DataFrame, processed: DataFrame) -> dict:
     """JS form: items (deadline fallback, cleaned link, title needed) ->
-    processed key ``msgId|title`` anti-join -> rows + new keys (T1 batch)."""
+    processed key ``msgId|title`` anti-join -> rows + new keys (T1 batch);
+    the new keys are the U9 key-log rows the caller appends."""
     items = an.scholarship_rows(answers, ["msg_id"], require=(), form="js")
     items = items.withColumn("key", F.concat_ws("|", "msg_id", "title"))
     fresh = rc.anti_known(items, processed, F.col("key"), F.col("key"), order=["msg_id", "item_idx"])
