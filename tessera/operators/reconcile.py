@@ -171,3 +171,14 @@ def split_errors(df: DataFrame, status_col: str = "page_load") -> tuple[DataFram
     """Rows whose page loaded, and the error rows."""
     ok = F.coalesce(F.col(status_col) == "OK", F.lit(False))
     return df.filter(ok), df.filter(~ok)
+
+
+def union_sources(sources: dict, tag: str = "source") -> DataFrame:
+    """H1: rows of several sources (camps from several sites, genders) in one
+    table: columns matched by name, absent ones null, each row tagged with
+    its source name."""
+    out = None
+    for name, df in sources.items():
+        d = df.withColumn(tag, F.lit(name))
+        out = d if out is None else out.unionByName(d, allowMissingColumns=True)
+    return out

@@ -998,13 +998,14 @@ UNION ALL
 SELECT 'supplier', s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier""")
 def union_sources(spark, sf_dir):
     """H1: rows of two sources with different columns in one table."""
+    from tessera.operators.reconcile import union_sources as us
     c = read_table(spark, sf_dir, "customer").select(
-        F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nationkey"),
+        F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
     s = read_table(spark, sf_dir, "supplier").select(
-        F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
-        F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
-    return c.unionByName(s, allowMissingColumns=True)
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nationkey"),
+        F.col("s_acctbal").alias("acctbal"))
+    return us({"customer": c, "supplier": s}).select("source", "id", "name", "nationkey", "acctbal", "segment")
 
 
 # ------------------------------------------------------------------ mail, scholarships, requests, substring
