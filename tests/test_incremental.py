@@ -88,10 +88,11 @@ def test_stream_rate_limit_matches_batch(spark, tmpdir_run):
     for part in range(4):                       # files arrive in time order
         chunk = ev[part * 100:(part + 1) * 100]
         spark.createDataFrame(chunk, schema).coalesce(1).write.mode("append").parquet(src)
-    s = spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = inc.stream_rate_limit(s, "k", "ts", "event_id", limit=3, window_seconds=60.0)
-    q = out.writeStream.format("memory").queryName("rl_t").outputMode("append").trigger(availableNow=True) \
-        .option("checkpointLocation", os.path.join(tmpdir_run, "rl_ck")).start()
-    q.awaitTermination()
-    got = {r["event_id"]: r["outcome"] for r in spark.sql("select * from rl_t").collect()}
-    assert got == _brute_rate(ev, 3, 60.0)
+    for wm, qname in ((None, "rl_t"), ("10 minutes", "rl_wm")):      # without and with state timeout
+        s = spark.readStream.schema(spark.createDataFrame([], schema).schema).option("maxFilesPerTrigger", 1).parquet(src)
+        out = inc.stream_rate_limit(s, "k", "ts", "event_id", limit=3, window_seconds=60.0, watermark=wm)
+        q = out.writeStream.format("memory").queryName(qname).outputMode("append").trigger(availableNow=True) \
+            .option("checkpointLocation", os.path.join(tmpdir_run, qname + "_ck")).start()
+        q.awaitTermination()
+        got = {r["event_id"]: r["outcome"] for r in spark.sql(f"select * from {qname}").collect()}
+        assert got == _brute_rate(ev, 3, 60.0), wm
