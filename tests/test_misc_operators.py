@@ -96,3 +96,10 @@ def test_camp_enrichment_job(spark):
     got = rows(out["camps"], "camp_id", "sub_pos", "event_details", "lat", "city")
     assert got == [(1, 0, "A", 30.0, "Austin"), (1, 1, "B", 30.0, "Austin")]
     assert rows(out["errors"], "camp_id", "page_load") == [(2, "HTTP 404")]
+
+
+def test_checkpoint_dir_is_read_from_the_session(spark):
+    from tessera.session import checkpoint_dir
+    d = spark.conf.get("spark.checkpoint.dir")          # set by the test fixture because none was set
+    assert checkpoint_dir(spark) == d
+    assert checkpoint_dir(spark, allow_local_default=True) == d   # an existing setting always wins
