@@ -9,7 +9,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import fingerprint, licenses, mixing, quality, simhash, tokencounts
+from tessera.llm import fingerprint, licenses, mixing, quality, simhash, suffixdedup, tokencounts
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -82,6 +82,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_docs(spark, sf_dir))
 
 
+@register("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 400-byte strings removed from every text."""
+    return suffixdedup.deduplicated(_docs(spark, sf_dir)).drop("kept", "text_hash")
+
+
 @register("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every whole text."""
