@@ -69,21 +69,25 @@ def uniform(doc_id: Column) -> Column:
     return (F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(2 ** 52))
 
 
-def mix(docs: DataFrame, quality: Column | None = None, buckets: int = BUCKETS, carry: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id, text, source`` -> ``doc_id, size, source_size, target,
-    taken`` (words the mix takes of the document, repeats counted), plus the
-    columns named in ``carry``.  ``quality`` is the document weight."""
-    weight = F.coalesce(quality.cast("double") if quality is not None else F.lit(1.0), F.lit(1.0))
+    taken`` (words the mix takes of the document, repeats counted) and
+    ``text_hash``.  ``weights`` holds the document weights (``doc_id,
+    weight``, one row per id; ids without a row weigh 1)."""
+    # texts end here: only sizes and keys are joined and shuffled
     rows = docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
-                       F.xxhash64("text").alias("tie"),
-                       (-F.log(uniform(F.col("doc_id"))) / weight).alias("draw"), *carry)
+                       F.xxhash64("text").alias("text_hash"), (-F.log(uniform(F.col("doc_id")))).alias("draw"))
+    if weights is not None:
+        w = weights.select(F.col("doc_id").alias("w_id"), F.col("weight").cast("double").alias("weight"))
+        rows = rows.join(w, F.col("doc_id") == F.col("w_id"), "left").drop("w_id")
+        rows = rows.withColumn("draw", F.col("draw") / F.coalesce("weight", F.lit(1.0))).drop("weight")
     rows = rows.withColumn("bucket", F.floor((1 - F.exp(-F.col("draw"))) * buckets).cast("int"))
     parts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     targets = source_targets(parts.groupBy("source").agg(F.sum("bucket_size").cast("long").alias("source_size")))
     run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     heads = (parts.withColumn("before", F.coalesce(F.sum("bucket_size").over(run), F.lit(0)))
                   .select(F.col("source").alias("s2"), F.col("bucket").alias("b2"), "before"))
-    inside = (Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "tie")
+    inside = (Window.partitionBy("source", "bucket").orderBy("draw", "doc_id", "text_hash")
                     .rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = (rows.join(heads, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2")))
@@ -94,13 +98,11 @@ def mix(docs: DataFrame, quality: Column | None = None, buckets: int = BUCKETS,
     extra = F.when((start + F.col("size") / 2) <= rest, F.lit(1)).otherwise(F.lit(0))
     extra = F.when(epochs >= MAX_EPOCHS, F.lit(0)).otherwise(extra)
     return rows.select("doc_id", "size", "source_size", "target",
-                       (F.col("size") * (epochs + extra)).cast("long").alias("taken"), *carry)
+                       (F.col("size") * (epochs + extra)).cast("long").alias("taken"), "text_hash")
 
 
-def quality_weight(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` with a ``_quality`` column from ``labels`` (doc_id, quality):
-    2 for good, 0.5 for bad, 1 without a label; several labels: the best."""
-    best = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("_label_id")).agg(F.max("quality").alias("_label"))
-    return (docs.join(best, F.col("doc_id") == F.col("_label_id"), "left")
-                .withColumn("_quality", F.when(F.col("_label") > 0, 2.0).when(F.col("_label") == 0, 0.5).otherwise(1.0))
-                .drop("_label_id", "_label"))
+def quality_weights(labels: DataFrame) -> DataFrame:
+    """``doc_id, weight`` from ``labels`` (doc_id, quality): 2 for good, 0.5
+    for bad; several labels: the best."""
+    best = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("best"))
+    return best.select("doc_id", F.when(F.col("best") > 0, 2.0).otherwise(0.5).alias("weight"))

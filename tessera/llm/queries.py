@@ -7,7 +7,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.llm import fingerprint, licenses, mixing, quality, simhash, suffixdedup, tokencounts
 from tessera.session import read_table
@@ -134,11 +133,8 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM r"""
 
 
-def weighted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.quality_weight(docs, read_table(spark, sf_dir, "labels"))
-
-
 @register("op10_mixing", _MIX_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix of all sources."""
-    return mixing.mix(weighted(spark, _docs(spark, sf_dir), sf_dir), F.col("_quality"))
+    weights = mixing.quality_weights(read_table(spark, sf_dir, "labels"))
+    return mixing.mix(_docs(spark, sf_dir), weights).drop("text_hash")
