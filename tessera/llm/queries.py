@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import fingerprint, licenses, mixing, quality, simhash, suffixdedup, tokencounts
+from tessera.llm import bytebpe, fingerprint, licenses, mixing, quality, simhash, suffixdedup, tokencounts
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -105,6 +105,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_docs(spark, sf_dir)).drop("text_hash")
 
 
+@register("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every whole text, and their decoding."""
+    return bytebpe.digests(_docs(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
+
+
 _MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
