@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bytebpe, fingerprint, licenses, mixing, quality, simhash, suffixdedup, tokencounts
+from tessera.llm import bytebpe, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -81,6 +81,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_docs(spark, sf_dir))
 
 
+@register("op3_lm_score")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every whole text under the corpus' n-gram automaton."""
+    return lmscore.score(_docs(spark, sf_dir))
+
+
 @register("op4_suffix_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of repeated 400-byte strings removed from every text."""
