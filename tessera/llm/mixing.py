@@ -71,8 +71,8 @@ def uniform(doc_id: Column) -> Column:
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, buckets: int = BUCKETS) -> DataFrame:
     """``doc_id, text, source`` -> ``doc_id, size, source_size, target,
-    taken`` (words the mix takes of the document, repeats counted) and
-    ``text_hash``.  ``weights`` holds the document weights (``doc_id,
+    taken`` (words the mix takes of the document, repeats counted),
+    ``source`` and ``text_hash``.  ``weights`` holds the document weights (``doc_id,
     weight``, one row per id; ids without a row weigh 1)."""
     # texts end here: only sizes and keys are joined and shuffled
     rows = docs.select(F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size"),
@@ -98,7 +98,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, buckets: int = BUCKET
     extra = F.when((start + F.col("size") / 2) <= rest, F.lit(1)).otherwise(F.lit(0))
     extra = F.when(epochs >= MAX_EPOCHS, F.lit(0)).otherwise(extra)
     return rows.select("doc_id", "size", "source_size", "target",
-                       (F.col("size") * (epochs + extra)).cast("long").alias("taken"), "text_hash")
+                       (F.col("size") * (epochs + extra)).cast("long").alias("taken"), "source", "text_hash")
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:

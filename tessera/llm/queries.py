@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bytebpe, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts
+from tessera.llm import bytebpe, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts, tokenfiles
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -99,6 +99,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.counts(_docs(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
+@register("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, written to files and read back."""
+    return tokenfiles.round_trip(_docs(spark, sf_dir), vocabulary("word_bpe_49k.json"))
+
+
 @register("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and the components of their links."""
@@ -149,4 +155,4 @@ FROM r"""
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix of all sources."""
     weights = mixing.quality_weights(read_table(spark, sf_dir, "labels"))
-    return mixing.mix(_docs(spark, sf_dir), weights).drop("text_hash")
+    return mixing.mix(_docs(spark, sf_dir), weights).drop("text_hash", "source")

@@ -180,12 +180,13 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint`` (16 hex digits),
-    ``component_id`` (smallest id reachable, itself included), ``text_hash``."""
+    ``component_id`` (smallest id reachable, itself included), ``group`` (one
+    number per component, also where it has no id), ``text_hash``."""
     rows = stored(fingerprints(docs, shingle), "simhash")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     comp = components(links(fps.select("fp"), max_bits))
     named = fps.join(comp, fps["fp"] == comp["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("comp"))
     lowest = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    label = named.join(lowest, "comp").select(F.col("fp").alias("l_fp"), "component_id")
+    label = named.join(lowest, "comp").select(F.col("fp").alias("l_fp"), "component_id", F.col("comp").alias("group"))
     out = rows.join(label, rows["fp"] == F.col("l_fp"))
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group", "text_hash")

@@ -243,14 +243,14 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     return part.unionByName(full).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lo", "hi")).alias("cuts"))
 
 
-def with_hash(docs: DataFrame, *carry: str) -> DataFrame:
+def with_hash(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
-                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"), *carry)
+                       F.xxhash64("text").alias("text_hash"))
 
 
 def remove(text: bytes, cuts) -> tuple[bytes, int, int]:
     """(bytes left, bytes removed, maximal removed runs)."""
-    if not cuts:
+    if cuts is None or not len(cuts):
         return text, 0, 0
     out, at, runs = [], 0, 0
     end = -1
