@@ -73,7 +73,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     names, sorted and joined by a comma."""
     known = {k: template_bigrams(v) for k, v in (templates or TEMPLATES).items()}
     vocab = sorted({b for bs in known.values() for b in bs})
-    lo, hi = threshold / (2 - threshold), (2 - threshold) / threshold
+    # the bounds are a little wide, so that rounding cuts no exact tie off
+    lo, hi = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
     longest, shortest = max(map(len, known.values())) * hi, min(map(len, known.values())) * lo
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.split(text, "\n").alias("lines"))
@@ -89,7 +90,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
             found = []
             for name in sorted(known):
                 bs = known[name]
-                fits = (n >= lo * len(bs)) & (n <= hi * len(bs)) & (2 * F.size(mine) >= F.lit(threshold) * (n + len(bs)))
+                fits = (n >= lo * len(bs)) & (n <= hi * len(bs)) & (2 * F.size(mine) >= F.lit(threshold - 1e-9) * (n + len(bs)))
                 dice = 2 * F.size(F.filter(mine, _among(bs))) / (n + len(bs))
                 found.append(F.when(fits, F.struct(dice.alias("score"), F.lit(name).alias("name"))))
             return F.filter(F.array(*found), lambda m: m["score"] >= threshold)
