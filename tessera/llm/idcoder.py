@@ -12,8 +12,8 @@ Per id:
    of the order-0 and the order-1 class frequencies; the mixing weight follows
    the model that gave the better probability.  The bits below the class are uniform.
 
-Block: ``TMX1``, number of ids, payload bytes and crc32 of the ids (three
-little-endian unsigned 32-bit integers), payload.
+Block: ``TMX1``, number of ids, payload bytes and crc32 of the ids (as
+little-endian unsigned 32-bit integers) and then the payload; payload.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ _SCALE = np.float32(1 << 14)
 _BYTES = 8             # room per id; an id takes 43 bits at worst
 
 
-def crc(ids: np.ndarray) -> int:
-    return zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes())
+def crc(ids: np.ndarray, payload: bytes) -> int:
+    return zlib.crc32(payload, zlib.crc32(np.ascontiguousarray(ids, "<u4").tobytes()))
 
 
 def _classes(ids: np.ndarray):
@@ -202,7 +202,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
             coder.put(x, rest, np.ones(x.size, np.int64), 1 << low)
             model.learn_class(x, cls, a, b)
         model.learn(k, now, sym)
-    return [HEADER.pack(MAGIC, int(n), len(p), crc(ids[c:c + n])) + p for p, c, n in zip(coder.finish(), cuts, size)]
+    return [HEADER.pack(MAGIC, int(n), len(p), crc(ids[c:c + n], p)) + p for p, c, n in zip(coder.finish(), cuts, size)]
 
 
 def decode(blocks: list[bytes]) -> np.ndarray:
@@ -248,7 +248,7 @@ def decode(blocks: list[bytes]) -> np.ndarray:
     back = np.empty(len(blocks), np.int64)
     back[order] = np.arange(len(blocks))
     parts = [out[back[k], :sizes[k]] for k in range(len(blocks))]
-    for p, check in zip(parts, sums):
-        if crc(p) != check:
+    for p, payload, check in zip(parts, payloads, sums):
+        if crc(p, payload) != check:
             raise ValueError("checksum")
     return np.concatenate(parts)
