@@ -57,8 +57,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
           .withColumn("weight_left", F.sum("weight").over(fill.rowsBetween(0, Window.unboundedFollowing)))
           .withColumn("level", F.col("left") / F.col("weight_left"))
           .withColumn("capped", F.col("level") * F.col("weight") > MAX_EPOCHS * F.col("source_size")))
-    # the level of the first source in fill order that keeps below its cap
-    s = s.withColumn("final", F.min_by("level", F.when(~F.col("capped"), F.col("source_size") / F.col("weight"))).over(everything))
+    # the level of the first source in fill order that keeps below its cap; later ones are not above it
+    s = s.withColumn("final", F.max(F.when(~F.col("capped"), F.col("level"))).over(everything))
     cap = (MAX_EPOCHS * F.col("source_size")).cast("double")
     return s.select("source", "source_size",
                     F.when(F.col("capped"), cap).otherwise(F.least(cap, F.col("final") * F.col("weight"))).alias("target"))

@@ -139,7 +139,7 @@ f AS (
   FROM s WINDOW w AS (ORDER BY source_size / weight, source IS NULL, hex(source))),
 t AS (
   SELECT source, source_size, CASE WHEN level * weight > 3 * source_size THEN CAST(3 * source_size AS DOUBLE)
-    ELSE least(CAST(3 * source_size AS DOUBLE), weight * (SELECT arg_min(level, source_size / weight) FROM f WHERE level * weight <= 3 * source_size)) END AS target
+    ELSE least(CAST(3 * source_size AS DOUBLE), weight * (SELECT max(level) FROM f WHERE level * weight <= 3 * source_size)) END AS target
   FROM f),
 r AS (
   SELECT d.*, t.source_size, t.target,
