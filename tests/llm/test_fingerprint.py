@@ -1,6 +1,6 @@
 import hashlib
 
-from tests_llm_helpers import corpus, edge_rows, got
+from tests_llm_helpers import corpus, edge_rows, got, make, package  # noqa: F401
 from tessera.llm import fingerprint as fp
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
-from tests_llm_helpers import corpus, edge_rows, got, sentence
+from tests_llm_helpers import corpus, edge_rows, got, make, package, sentence  # noqa: F401
 from tessera.llm import graph, mixing, quality, queries, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -1,6 +1,6 @@
 import re
 
-from tests_llm_helpers import edge_rows, got
+from tests_llm_helpers import edge_rows, got, make, package  # noqa: F401
 from tessera.llm import licenses as li
 
 

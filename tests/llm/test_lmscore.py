@@ -3,7 +3,7 @@ import math
 import re
 
 import pytest
-from tests_llm_helpers import corpus, edge_rows, got
+from tests_llm_helpers import corpus, edge_rows, got, make, package  # noqa: F401
 from tessera.llm import lmscore as lm
 
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_groups import plain_components, plain_fp
 from test_suffixdedup import plain
-from tests_llm_helpers import corpus, edge_rows, got, sentence
+from tests_llm_helpers import corpus, edge_rows, got, make, package, sentence  # noqa: F401
 
 import corpus_pipeline as cp
 from tessera.llm import mixing

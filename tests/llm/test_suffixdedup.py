@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tests_llm_helpers import corpus, edge_rows, got
+from tests_llm_helpers import corpus, edge_rows, got, make, package  # noqa: F401
 from tessera.llm import sais, suffixdedup as sd
 
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tests_llm_helpers import corpus, edge_rows, got
+from tests_llm_helpers import corpus, edge_rows, got, make, package  # noqa: F401
 from tessera.llm import bytebpe, idcoder, tokencounts, tokenfiles
 from tessera.llm.queries import vocabulary
 from tessera.llm.wordbpe import tokenizer
