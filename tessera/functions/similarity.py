@@ -70,3 +70,11 @@ def combined_py(a: str, b: str) -> float:
     tb = set(re.findall(r"\w+", (b or "").lower()))
     jac = 0.0 if not ta or not tb else len(ta & tb) / len(ta | tb)
     return SEQ_WEIGHT * seq_ratio_py(a, b) + JAC_WEIGHT * jac
+
+
+def edit_ratio(a: Column, b: Column) -> Column:
+    """Native character score: 1 - edit distance / longer length, on
+    lower-case text (1 for two empty texts)."""
+    x, y = F.lower(F.coalesce(a, F.lit(""))), F.lower(F.coalesce(b, F.lit("")))
+    longer = F.greatest(F.length(x), F.length(y))
+    return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(x, y) / longer)

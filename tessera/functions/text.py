@@ -81,3 +81,12 @@ def word_tokens(s) -> Column:
     """distinct lower-case word tokens, Unicode aware (Python ``\\w+``)."""
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(_c(s), F.lit(""))),
                                                  F.lit(r"[\p{L}\p{N}_]+"), 0))
+
+
+def text_chunks(s, size: int) -> Column:
+    """S42 without loss: the text in consecutive pieces of at most ``size``
+    characters (one empty piece for a null or empty text).  Their
+    concatenation is the whole text."""
+    x = F.coalesce(F.col(s) if isinstance(s, str) else s, F.lit(""))
+    n = F.greatest(F.ceil(F.length(x) / size), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(x, i * size + 1, F.lit(size)))

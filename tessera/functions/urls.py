@@ -123,18 +123,20 @@ def url_join(base, href) -> Column:
     """Absolute URL of ``href`` against ``base``.
 
     Absolute, scheme-relative and root-relative links are resolved natively;
-    only other relative forms (``../x``, ``x``, ``?q``) go to a vectorised
-    ``urljoin``.
+    other relative forms (``../x``, ``x``, ``?q``) and links with dot segments
+    to fold go to a vectorised ``urljoin``.
     """
     b, h = _c(base), strip(_c(href))
     p = url_parts(b)
     root = F.concat(p["scheme"], F.lit("://"), p["netloc"])
-    native = h.isNull() | h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | h.startswith("/")
+    dots = h.startswith("/") & h.rlike(r"/\.\.?(/|$|[?#])")
+    native = (h.isNull() | h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | h.startswith("/")) & ~F.coalesce(dots, F.lit(False))
     # Python UDFs are evaluated for every row of the batch, whatever the
     # branch: rows resolved natively pass nulls, so only real work is shipped
     slow = _urljoin_udf(F.when(~native, b), F.when(~native, h))
     return (F.when(h.isNull(), F.lit(None).cast("string"))
             .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+            .when(dots, slow)
             .when(h.startswith("//"), F.concat(p["scheme"], F.lit(":"), h))
             .when(h.startswith("/"), F.concat(root, h))
             .otherwise(slow))

@@ -3,9 +3,9 @@
 Skew: every per-key result that can be a partial aggregate is one
 (``count``, ``count_if``, ``min_by``/``max_by``), so a key holding a third of
 the rows is combined map-side before the shuffle.  Per-group positions
-(G1/G2) come from ``rank_in_group``, which numbers rows after a range-
-partitioned global sort, so a hot group is spread over many tasks instead of
-one window partition.
+(G1/G2) come from ``rank_in_group``, which cuts each group into cells of its
+score range, so a hot group is spread over many tasks instead of one window
+partition.
 """
 
 from __future__ import annotations
@@ -98,48 +98,89 @@ def run_counters(df: DataFrame, **conds: Column) -> DataFrame:
 
 # ------------------------------------------------------------------ positions
 
-def rank_in_group(df: DataFrame, group: list[str], order: list[Column], out: str = "rank",
-                  num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row inside its group under ``order`` (which
-    must make the order total, e.g. end with a unique id).
-
-    Rows are range-partitioned on (group, order) and sorted, so one large
-    group spans several tasks; each row's position is its index inside its
-    task plus the number of rows of the same group in earlier tasks.  That
-    offset comes from a per-(task, group) summary whose size is bounded by
-    tasks + groups, not by rows.
+_CELLS = 64     # cells per level of a group's score range
+
+
+def _same(left: list[Column], right: list[Column]) -> Column:
+    cond = F.lit(True)
+    for x, y in zip(left, right):
+        cond = cond & x.eqNullSafe(y)
+    return cond
+
+
+def _cell(df: DataFrame, keys: list[str], value: str, out: str, descending: bool) -> DataFrame:
+    """Cut the range of ``value`` inside each ``keys`` group into ``_CELLS``
+    cells, numbered in rank order; nulls come last.  The range is a partial
+    aggregate, and the cell a fixed expression of the row and the range."""
+    span = df.groupBy(*keys).agg(F.min(value).cast("double").alias("_lo"), F.max(value).cast("double").alias("_hi"))
+    span = span.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_lo", "_hi")
+    x = df.join(span, _same([F.col(k) for k in keys], [F.col(f"_k{i}") for i in range(len(keys))]), "left")
+    v = F.col(value).cast("double")
+    share = ((F.col("_hi") - v) if descending else (v - F.col("_lo"))) / (F.col("_hi") - F.col("_lo"))
+    cell = (F.when(F.col(value).isNull(), F.lit(_CELLS))
+            .when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * _CELLS), F.lit(_CELLS - 1)))
+            .otherwise(F.lit(0)).cast("int"))
+    return x.withColumn(out, cell).drop("_lo", "_hi", *[f"_k{i}" for i in range(len(keys))])
+
+
+def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: str = "rank",
+                  descending: bool = True) -> DataFrame:
+    """1-based position of each row inside its group by ``score`` (nulls
+    last), ties by ``pos`` (numeric, unique in its group).  A null group is a
+    group.
+
+    One large group spans many tasks: its score range is cut into cells by
+    fixed expressions, crowded cells are cut again, and rows of one cell that
+    tie in the score are cut by ``pos``.  Rows are counted per cell (partial
+    aggregate), the counts are summed up in cell order, and rows are only
+    numbered inside their own cell.  Nothing depends on how rows are dealt to
+    partitions, so evaluating it twice gives the same ranks.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gcols = [F.col(g) for g in group]
-    s = (df.repartitionByRange(n, *gcols, *order).sortWithinPartitions(*gcols, *order)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    summary = s.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    summary = summary.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    joined = s.join(summary.select("_pid", *group, "_first", "_before"), ["_pid", *group], "inner")
-    return joined.withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first") + 1).cast("int")) \
-                 .drop("_pid", "_mid", "_first", "_before")
-
-
-def points_standing(df: DataFrame, group: str = "conference", pos: str = "pos", pts: str = "pts",
+    x = df.withColumn("_s", F.col(score).cast("double")).withColumn("_p", F.col(pos).cast("double"))
+    x = _cell(x, group, "_s", "_c1", descending)
+    x = _cell(x, [*group, "_c1"], "_s", "_c2", descending)
+    x = _cell(x, [*group, "_c1", "_c2"], "_s", "_c3", descending)
+    x = _cell(x, [*group, "_c1", "_c2", "_c3"], "_p", "_c4", False)
+    # positions only order rows that tie: cells of several scores stay whole
+    tie = x.groupBy(*group, "_c1", "_c2", "_c3").agg((F.min("_s") < F.max("_s")).alias("_several"))
+    names = [*group, "_c1", "_c2", "_c3"]
+    tie = tie.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(names)], "_several")
+    x = x.join(tie, _same([F.col(k) for k in names], [F.col(f"_t{i}") for i in range(len(names))]), "left")
+    x = x.withColumn("_c4", F.when(F.coalesce("_several", F.lit(False)), F.lit(0)).otherwise(F.col("_c4")))
+    x = x.drop("_several", *[f"_t{i}" for i in range(len(names))])
+    cells = [*group, "_c1", "_c2", "_c3", "_c4"]
+    count = x.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
+    run = Window.partitionBy(*group).orderBy("_c1", "_c2", "_c3", "_c4").rowsBetween(Window.unboundedPreceding, -1)
+    count = count.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
+    count = count.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(cells)], "_before")
+    x = x.join(count, _same([F.col(k) for k in cells], [F.col(f"_g{i}") for i in range(len(cells))]))
+    by = F.col("_s").desc_nulls_last() if descending else F.col("_s").asc_nulls_last()
+    w = Window.partitionBy(*cells).orderBy(by, F.col(pos).asc())
+    x = x.withColumn(out, (F.col("_before") + F.row_number().over(w)).cast("int"))
+    return x.drop("_s", "_p", "_before", "_c1", "_c2", "_c3", "_c4", *[f"_g{i}" for i in range(len(cells))])
+
+
+def points_standing(df: DataFrame, group: str | list[str] = "conference", pos: str = "pos", pts: str = "pts",
                     standing: str = "standing") -> DataFrame:
     """G1 + G2: when any row of the group has points, standing = rank by
     points descending (missing = 0.0), ties in original order; otherwise the
     given standing, or the 1-based row number when it is blank.  Standings
-    are strings, as in the reference."""
-    has_pts = df.groupBy(group).agg(F.count(pts).alias("_npts"))  # partial aggregate
-    x = df.join(has_pts, group, "left")
+    are strings, as in the reference.  ``group`` may be several columns; null
+    values form groups like any other."""
+    group = [group] if isinstance(group, str) else list(group)
+    has_pts = df.groupBy(*group).agg(F.count(pts).alias("_npts"))  # partial aggregate
+    has_pts = has_pts.select(*[F.col(g).alias(f"_h{i}") for i, g in enumerate(group)], "_npts")
+    x = df.join(has_pts, _same([F.col(g) for g in group], [F.col(f"_h{i}") for i in range(len(group))]), "left")
+    x = x.drop(*[f"_h{i}" for i in range(len(group))])
     # one ordering serves both rules: by points (desc) where the group has
-    # points, else the first key is constant and rows follow ``pos``
-    by_pts = F.when(F.col("_npts") > 0, F.coalesce(F.col(pts), F.lit(0.0)))
-    ranked = rank_in_group(x, [group], [by_pts.desc_nulls_last(), F.col(pos).asc()], "_rk")
+    # points, else the score is constant and rows follow ``pos``
+    x = x.withColumn("_by", F.when(F.col("_npts") > 0, F.coalesce(F.col(pts).cast("double"), F.lit(0.0))).otherwise(F.lit(0.0)))
+    ranked = rank_in_group(x, group, "_by", pos, "_rk")
     given = F.coalesce(F.col(standing), F.lit("")) if standing in df.columns else F.lit("")
     return (ranked.withColumn(standing, F.when(F.col("_npts") > 0, F.col("_rk").cast("string"))
                               .when(given != "", given)
                               .otherwise(F.col("_rk").cast("string")))
-            .drop("_npts", "_rk"))
+            .drop("_npts", "_rk", "_by"))
 
 
 def lowest_n(df: DataFrame, score: str, pos: str, n: int = 30, confirmed: Column | None = None) -> DataFrame:

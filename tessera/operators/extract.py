@@ -13,7 +13,7 @@ from tessera.functions.common import at
 from tessera.functions import events as ev
 from tessera.functions import facts as fa
 from tessera.functions import roster as ro
-from tessera.functions.text import clean_text, strip
+from tessera.functions.text import clean_text, strip, text_chunks
 from tessera.functions.urls import url_join
 from tessera.operators import html as hx
 
@@ -24,6 +24,14 @@ def first_text(nodes: DataFrame, tag: str, out: str) -> DataFrame:
         "page_id", strip(F.col("text")).alias(out))
 
 
+def first_texts(nodes: DataFrame, tags: dict[str, str]) -> DataFrame:
+    """Texts of the first element of several tags per page, trimmed: ``tags``
+    maps a tag to its output column.  One aggregate over the node table."""
+    x = nodes.filter(F.col("tag").isin(*tags) & (F.col("tag_idx") == 0))
+    return x.groupBy("page_id").agg(*[F.min_by(F.when(F.col("tag") == t, strip(F.col("text"))),
+                                               F.when(F.col("tag") == t, F.col("node_id"))).alias(c) for t, c in tags.items()])
+
+
 def first_matching_text(nodes: DataFrame, cond: Column, out: str) -> DataFrame:
     """First text chunk per page satisfying ``cond`` (own text of elements,
     document order): ``min_by`` per page, a partial aggregate."""
@@ -37,15 +45,15 @@ def camp_page_fields(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     """Camp page -> title (first h1), city/state from ``.location``, ages,
     date and cost texts, then S21 grade levels, S22 gender, S25 date range.
     Misses keep the reference's defaults ('Unknown Camp Name', 'Not listed')."""
-    own = F.coalesce(F.col("own_text"), F.lit(""))
-    title = first_text(nodes, "h1", "camp_name")
-    loc = (hx.select_nodes(nodes, cls="location").groupBy("page_id")
-           .agg(F.min_by(strip(F.col("text")), F.col("node_id")).alias("_loc")))
-    ages = first_matching_text(nodes, F.lower(own).contains("ages"), "_ages")
-    date = first_matching_text(nodes, F.lower(own).contains("date"), "_date")
-    cost = first_matching_text(nodes, own.contains("$"), "_cost")
-    x = (pages.select("page_id", "url").join(title, "page_id", "left").join(loc, "page_id", "left")
-         .join(ages, "page_id", "left").join(date, "page_id", "left").join(cost, "page_id", "left"))
+    # one aggregate over the node table: the first element that meets each rule
+    own, held = F.coalesce(F.col("own_text"), F.lit("")), F.col("own_text").isNotNull()
+    rules = {"camp_name": (F.col("tag") == "h1") & (F.col("tag_idx") == 0), "_loc": hx.has_class("location"),
+             "_ages": held & F.lower(own).contains("ages"), "_date": held & F.lower(own).contains("date"),
+             "_cost": held & own.contains("$")}
+    value = {"camp_name": "text", "_loc": "text", "_ages": "own_text", "_date": "own_text", "_cost": "own_text"}
+    found = nodes.groupBy("page_id").agg(*[F.min_by(F.when(c, strip(F.col(value[k]))), F.when(c, F.col("node_id"))).alias(k)
+                                           for k, c in rules.items()])
+    x = pages.select("page_id", "url").join(found, "page_id", "left")
     cs = ev.split_city_state(F.col("_loc"))
     age = F.when(F.col("_ages").isNotNull(), ev.after_last_colon(F.col("_ages"))).otherwise(F.lit("Not listed"))
     dt = F.when(F.col("_date").isNotNull(), ev.after_last_colon(F.col("_date"))).otherwise(F.lit("Not listed"))
@@ -75,23 +83,24 @@ def is_relevant(text: Column) -> Column:
     return c
 
 
-def relevant_lines_nodes(nodes: DataFrame, limit: int = 5000) -> DataFrame:
+def relevant_lines_nodes(nodes: DataFrame, pages: DataFrame, size: int = 5000) -> DataFrame:
     """B24 on pages: text of ``p``, ``li``, ``div`` blocks that are relevant,
-    trimmed, joined by newline in document order, first ``limit`` chars
-    (the model snippet size, S42).  Grouped per page (bounded size)."""
+    trimmed, joined by newline in document order, in pieces of at most
+    ``size`` characters (``chunk_idx``).  Every page of ``pages`` gives a
+    piece, an empty one where no block is relevant."""
     x = nodes.filter(F.col("tag").isin("p", "li", "div")).withColumn("_t", strip(F.col("text")))
     x = x.filter((F.coalesce(F.col("text"), F.lit("")) != "") & is_relevant(F.col("_t")))
     g = x.groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("node_id", "_t"))).alias("_l"))
-    return g.select("page_id", F.substring(F.array_join(F.transform("_l", lambda s: s["_t"]), "\n"), 1, limit)
-                    .alias("snippet"))
+    g = g.select("page_id", F.array_join(F.transform("_l", lambda s: s["_t"]), "\n").alias("_s"))
+    x = pages.select(F.col("page_id").cast("long").alias("page_id")).join(g, "page_id", "left")
+    return x.select("page_id", F.posexplode(text_chunks("_s", size)).alias("chunk_idx", "snippet"))
 
 
-def relevant_lines_text(text: Column, limit: int = 5000) -> Column:
-    """B24 on plain text: lines are the blocks; filter, join and cut without
-    exploding (one row in, one row out; no shuffle)."""
+def relevant_lines_text(text: Column) -> Column:
+    """B24 on plain text: the relevant lines as an array, trimmed (one row
+    in, one row out; no shuffle)."""
     lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda l: strip(l))
-    keep = F.filter(lines, lambda l: (l != "") & is_relevant(l))
-    return F.substring(F.array_join(keep, "\n"), 1, limit)
+    return F.filter(lines, lambda l: (l != "") & is_relevant(l))
 
 
 # ------------------------------------------------------------------ rosters
@@ -221,13 +230,18 @@ def rankings_from_rows(rows: DataFrame) -> DataFrame:
     return out.filter(F.col("rank").isNotNull() & (F.col("name") != ""))
 
 
+# Fixed value: a text line that holds a rank and a name, and the characters of a name.
+RANK_LINE = r"^\s*(\d{1,2})[\.)]\s*([A-Za-z0-9&'\".\- ,/]{3,120})$"
+
+
 def rankings_from_lines(pages_text: DataFrame, text: str = "text") -> DataFrame:
-    """``1. Name`` / ``1) Name`` lines (name 3-120 chars)."""
-    x = pages_text.select("page_id", F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
-    rx = r"^\s*([0-9]{1,2})[\.)]\s*(.{3,120})$"
-    return (x.filter(F.col("line").rlike(rx))
-            .select("page_id", "pos", F.regexp_extract("line", rx, 1).cast("int").alias("rank"),
-                    strip(F.regexp_extract("line", rx, 2)).alias("name")))
+    """``1. Name`` / ``1) Name`` lines of the page text, one text chunk a
+    line; names of less than two characters are dropped."""
+    x = pages_text.select("page_id", F.posexplode_outer(F.split(F.col(text), "\n")).alias("pos", "line"))
+    x = x.filter(F.col("line").rlike(RANK_LINE)).select(
+        "page_id", "pos", F.regexp_extract("line", RANK_LINE, 1).cast("int").alias("rank"),
+        strip(F.regexp_extract("line", RANK_LINE, 2)).alias("name"))
+    return x.filter(F.length("name") >= 2)
 
 
 # Classes that mark team names on ranking pages.

@@ -22,13 +22,14 @@ it); rows with ``complete = false`` may miss pairs that share no word and no
 conference and score at most 0.4 on characters alone; they go to the review
 queue of ``resolve_matches``.
 
-Sizes: the token index of the master is broadcast only when a count of the
-master is within ``broadcast_limit`` rows; otherwise both sides are shuffled
-on the token and AQE's skew-join split handles hot tokens on the left side.
+Whether a side is broadcast is left to Spark's own sizes; AQE's skew-join
+split handles hot tokens.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,23 +38,14 @@ from tessera.functions.status import division_compatible
 from tessera.functions.common import keep_computed
 from tessera.functions.text import word_tokens
 
-DEFAULT_BROADCAST_LIMIT = 500_000
-
-
-def _sized_broadcast(df: DataFrame, rows_hint, limit: int) -> DataFrame:
-    """Broadcast ``df`` only when its source has at most ``limit`` rows
-    (``rows_hint`` is that source or an already counted number)."""
-    n = rows_hint if isinstance(rows_hint, int) else rows_hint.count()
-    return F.broadcast(df) if n <= limit else df
-
-
 def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
                      master_id: str = "row_id", master_name: str = "master_name",
                      scorer: str = "combined", pref: str | None = None, master_conf: str | None = None,
                      bonus: float = BONUS, left_attr: str | None = None, master_attr: str | None = None,
-                     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, min_score: float = 0.0) -> DataFrame:
+                     min_score: float = 0.0, seq: Callable[[Column, Column], Column] = seq_ratio) -> DataFrame:
     """All scored candidate pairs for the distinct left keys (V2: the scorer
-    is a parameter, ``combined`` or ``jaccard``).
+    is a parameter, ``combined`` or ``jaccard``, and so is the character part
+    of the combined one: ``seq`` takes two name columns).
 
     With ``min_score`` above 0.4 (combined) or above 0 (Jaccard) the word
     block uses prefix filtering: a pair scoring at least ``min_score``
@@ -62,9 +54,9 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     among their first ``|x| - ceil(t|x|) + 1`` tokens in one global order
     (rarest master tokens first).  Only those prefix tokens are joined, so
     frequent words stay out of the join key; shared counts are then taken
-    from the full token sets.  Pairs that meet the conference bonus are all
-    enumerated by the conference block, so every pair at or above
-    ``min_score`` is a candidate (exact).
+    from the full token sets.  With a conference bonus t is lowered by what
+    the bonus can add, so every pair at or above ``min_score`` is a candidate
+    (exact); the pairs of a conference are not listed.
 
     ``left`` holds the query name (and optionally a preferred conference and
     an attribute such as the division); ``master`` holds ``row_id``, the
@@ -80,7 +72,6 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
                       (F.coalesce(F.col(master_conf), F.lit("")) if master_conf else F.lit("")).alias("m_conf"),
                       (F.coalesce(F.col(master_attr), F.lit("")) if master_attr else F.lit("")).alias("m_attr"))
     m = m.withColumn("m_tokens", word_tokens(F.col("master_name")))
-    n_master = master.count()  # one size check for every broadcast below
 
     # sizes and names ride along with the exploded tokens: one shuffle (the
     # pair count), no joins back to either side
@@ -91,7 +82,8 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     q_tok = q.select("q_name", "q_pref", "q_attr", F.size("q_tokens").alias("nq"),
                      F.explode_outer("q_tokens").alias("tok")).filter(F.col("tok").isNotNull())
     keys = ["q_name", "q_pref", "q_attr", "nq", "row_id", "master_name", "m_conf", "m_attr", "nm"]
-    tau = (min_score if scorer == "jaccard" else (min_score - SEQ_WEIGHT) / JAC_WEIGHT) if min_score else 0.0
+    bonus_room = bonus if pref and master_conf else 0.0
+    tau = (min_score if scorer == "jaccard" else (min_score - bonus_room - SEQ_WEIGHT) / JAC_WEIGHT) if min_score else 0.0
     if tau > 0:
         # global token order: master document frequency, then the token
         dfreq = m_tok.groupBy("tok").agg(F.count(F.lit(1)).alias("_df"))
@@ -99,27 +91,25 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
         def prefix(tok_df, ids, n_col):
             x = tok_df.join(dfreq, "tok", "left").withColumn("_df", F.coalesce("_df", F.lit(0)))
             w = Window.partitionBy(*ids).orderBy("_df", "tok")
-            plen = F.col(n_col) - F.ceil(F.lit(tau) * F.col(n_col)) + 1
+            plen = F.col(n_col) - F.ceil(F.lit(tau - 1e-9) * F.col(n_col)) + 1
             return x.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= plen).drop("_r", "_df")
 
-        mp = _sized_broadcast(prefix(m_tok, ["row_id"], "nm"), n_master, broadcast_limit)
+        mp = prefix(m_tok, ["row_id"], "nm")
         qp = prefix(q_tok, ["q_name", "q_pref", "q_attr"], "nq")
         cand = qp.join(mp, "tok").select(*keys).distinct()
         qt = q.select("q_name", "q_pref", "q_attr", "q_tokens")
-        mt_ = _sized_broadcast(m.select("row_id", "m_tokens"), n_master, broadcast_limit)
+        mt_ = m.select("row_id", "m_tokens")
         hits = (cand.join(qt, ["q_name", "q_pref", "q_attr"]).join(mt_, "row_id")
                 .select(*keys, F.size(F.array_intersect("q_tokens", "m_tokens")).alias("_hit")))
     else:
-        m_tok = _sized_broadcast(m_tok, n_master, broadcast_limit)
         hits = q_tok.join(m_tok, "tok").select(*keys, F.lit(1).alias("_hit"))
-    if pref and master_conf:
-        # a +bonus pair may share no word: the conference is a second block key
+    if pref and master_conf and tau <= 0:
+        # without a threshold a +bonus pair may share no word: the conference
+        # is a second block key (give a ``min_score`` on large masters)
         mc = m.filter(F.col("m_conf") != "").select(*mcols, "m_tokens").withColumn("q_pref", F.col("m_conf"))
-        mc = _sized_broadcast(mc, n_master, broadcast_limit)
         qc = q.filter(F.col("q_pref") != "").select("q_name", "q_pref", "q_attr", "q_tokens",
                                                     F.size("q_tokens").alias("nq"))
-        conf_hit = F.size(F.array_intersect("q_tokens", "m_tokens")) if tau > 0 else F.lit(0)
-        hits = hits.unionByName(qc.join(mc, "q_pref").select(*keys, conf_hit.alias("_hit")))
+        hits = hits.unionByName(qc.join(mc, "q_pref").select(*keys, F.lit(0).alias("_hit")))
     if left_attr and master_attr:
         # C11 is a pair predicate: applied before the pairs are shuffled
         hits = hits.filter(division_compatible(F.col("q_attr"), F.col("m_attr")))
@@ -134,7 +124,7 @@ def fuzzy_candidates(left: DataFrame, master: DataFrame, *, name: str = "name",
     else:
         # one Python call per distinct name pair
         names = pairs.select("q_name", "master_name").distinct()
-        names = names.withColumn("seq", seq_ratio(F.col("q_name"), F.col("master_name")))
+        names = names.withColumn("seq", seq(F.col("q_name"), F.col("master_name")))
         pairs = pairs.join(names, ["q_name", "master_name"])
         base = F.lit(SEQ_WEIGHT) * F.col("seq") + F.lit(JAC_WEIGHT) * F.col("jac")
         if pref and master_conf:
@@ -148,7 +138,7 @@ def fuzzy_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
                master_id: str = "row_id", master_name: str = "master_name", scorer: str = "combined",
                pref: str | None = None, master_conf: str | None = None, left_attr: str | None = None,
                master_attr: str | None = None, min_score: float = 0.0,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+               seq: Callable[[Column, Column], Column] = seq_ratio) -> DataFrame:
     """Best ``k`` masters per left row, score desc, master row order
     on ties (the reference's stable sort).  Only strictly positive scores
     (and at least ``min_score``) are returned; ``rank`` is 1-based.
@@ -156,14 +146,15 @@ def fuzzy_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
     """
     cands = fuzzy_candidates(left, master, name=name, master_id=master_id, master_name=master_name,
                              scorer=scorer, pref=pref, master_conf=master_conf, left_attr=left_attr,
-                             master_attr=master_attr, broadcast_limit=broadcast_limit, min_score=min_score)
+                             master_attr=master_attr, min_score=min_score, seq=seq)
     cands = cands.filter((F.col("score") > 0) & (F.col("score") >= F.lit(min_score)))
     qk = ["q_name", "q_pref", "q_attr"]
     w = Window.partitionBy(*qk).orderBy(F.col("score").desc(), F.col("row_id").asc())
     top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     wk = Window.partitionBy(*qk)
     kth = F.max(F.when(F.col("rank") == k, F.col("score"))).over(wk)
-    if scorer == "jaccard" or min_score > SEQ_WEIGHT:
+    room = BONUS if pref and master_conf else 0.0
+    if scorer == "jaccard" or min_score > SEQ_WEIGHT + room:
         complete = F.lit(True)          # every pair >= min_score was a candidate
     else:
         complete = F.coalesce(kth > F.lit(SEQ_WEIGHT), F.lit(False))
@@ -177,13 +168,15 @@ def fuzzy_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
 
 def best_match(left: DataFrame, master: DataFrame, *, name: str = "name", master_id: str = "row_id",
                master_name: str = "master_name", scorer: str = "combined", old_value: str | None = None,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+               min_score: float = 0.0, seq: Callable[[Column, Column], Column] = seq_ratio) -> DataFrame:
     """Best master per left row by strict ``>`` from 0.0 (earliest master
     row wins ties; an all-zero row keeps ``old_value``), score rounded
     half-even to 3 places.  Adds ``match_row_id, match_name, similarity_score,
-    complete``.  Top-1 is a partial aggregate (``max_by``), so no window."""
+    complete``.  With ``min_score`` only masters at or above it count (prefix
+    filter, exact).  Top-1 is a partial aggregate (``max_by``), so no window."""
     cands = fuzzy_candidates(left, master, name=name, master_id=master_id, master_name=master_name,
-                             scorer=scorer, broadcast_limit=broadcast_limit).filter(F.col("score") > 0)
+                             scorer=scorer, min_score=min_score, seq=seq)
+    cands = cands.filter((F.col("score") > 0) & (F.col("score") >= F.lit(min_score)))
     best = (cands.groupBy("q_name")
             .agg(F.max_by(F.struct("row_id", "master_name", "score"),
                           F.struct(F.col("score"), (-F.col("row_id")).alias("neg"))).alias("b")))
@@ -191,7 +184,7 @@ def best_match(left: DataFrame, master: DataFrame, *, name: str = "name", master
                        F.col("b.master_name").alias("match_name"), F.col("b.score").alias("_score"))
     out = left.join(best, left[name] == best["q_name"], "left").drop("q_name")
     keep = F.col(old_value) if old_value else F.lit(None).cast("string")
-    complete = F.lit(True) if scorer == "jaccard" else F.coalesce(F.col("_score") > SEQ_WEIGHT, F.lit(False))
+    complete = F.lit(True) if scorer == "jaccard" or min_score > SEQ_WEIGHT else F.coalesce(F.col("_score") > SEQ_WEIGHT, F.lit(False))
     return (out.withColumn("match_name", F.coalesce(F.col("match_name"), keep))
             .withColumn("similarity_score", round_score(F.coalesce(F.col("_score"), F.lit(0.0)), 3))
             .withColumn("complete", complete).drop("_score"))
@@ -215,7 +208,8 @@ def alias_then_fuzzy(left: DataFrame, aliases: DataFrame, master: DataFrame, *,
     al = aliases.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canon")).dropDuplicates(["_alias"])
     x = left.join(al, left[name] == F.col("_alias"), "left").drop("_alias")
     fz = best_match(x.filter(F.col("_canon").isNull()).select(name).distinct(), master, name=name,
-                    master_id=master_id, master_name=master_name, scorer=scorer)
+                    master_id=master_id, master_name=master_name, scorer=scorer,
+                    min_score=max(0.0, accept_at - 0.0005))   # scores are rounded to 3 places
     fz = fz.select(F.col(name).alias("_n"), F.when(F.col("similarity_score") >= accept_at, F.col("match_name")).alias("_fz"),
                    "similarity_score")
     y = x.join(fz, x[name] == fz["_n"], "left").drop("_n")
@@ -293,36 +287,48 @@ def resolve_matches(cands: DataFrame, decisions: DataFrame | None, *, key: str,
 
 
 def set_similarity_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_text: str,
-                        right_text: str, threshold: float,
-                        broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                        right_text: str, threshold: float) -> DataFrame:
     """S27 + E1 with a threshold: all (left, right) pairs whose word-set
     Jaccard is at least ``threshold`` (> 0).
 
-    Exact pruning before any pair exists: Jaccard >= t needs
-    ``t*|B| <= |A| <= |B|/t``, so left rows outside the right side's size
-    range are dropped first (two scalars read from the right side), and the
-    same bound is part of the token join condition.  Shared counts come from
-    the exploded-token equi-join; the right token index is broadcast only
-    under a row-count check.  Output: ``left_id, right_id, shared, jaccard``.
+    Exact pruning before any pair exists:
+    * size: Jaccard >= t needs ``t*|B| <= |A| <= |B|/t`` (in the join, and
+      against the right side's whole size range before it);
+    * prefix: in one global order, rarest on the right side first, the two
+      sets share a token among their first ``|x| - ceil(t|x|) + 1``.  Words
+      that the right side lacks come first and join nothing, so a text with
+      many of them may have no prefix token left.
+    Pairs that meet on a prefix token are verified on the whole sets.
+    Output: ``left_id, right_id, shared, jaccard``.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
+    t = F.lit(threshold - 1e-9)
     L = keep_computed(left.select(F.col(left_id).alias("_lid"), word_tokens(F.col(left_text)).alias("_t"))) \
         .withColumn("_nl", F.size("_t"))
-    R = right.select(F.col(right_id).alias("_rid"), word_tokens(F.col(right_text)).alias("_t")) \
-        .withColumn("_nr", F.size("_t")).filter(F.col("_nr") > 0)
+    R = right.select(F.col(right_id).alias("_rid"), word_tokens(F.col(right_text)).alias("_u")) \
+        .withColumn("_nr", F.size("_u")).filter(F.col("_nr") > 0)
     lo_hi = R.agg(F.min("_nr").alias("lo"), F.max("_nr").alias("hi")).first()
     if lo_hi is None or lo_hi["lo"] is None:
         return left.sparkSession.createDataFrame(
             [], f"{left_id} {left.schema[left_id].dataType.simpleString()}, "
                 f"{right_id} {right.schema[right_id].dataType.simpleString()}, shared bigint, jaccard double")
-    L = L.filter((F.col("_nl") >= F.lit(threshold) * lo_hi["lo"]) & (F.col("_nl") * F.lit(threshold) <= lo_hi["hi"])
+    L = L.filter((F.col("_nl") >= t * lo_hi["lo"]) & (F.col("_nl") * t <= lo_hi["hi"])
                  & (F.col("_barrier") >= 0)).drop("_barrier")
-    lt = L.select("_lid", "_nl", F.explode_outer("_t").alias("tok")).filter(F.col("tok").isNotNull())
-    rt = R.select("_rid", "_nr", F.explode_outer("_t").alias("tok")).filter(F.col("tok").isNotNull())
-    rt = _sized_broadcast(rt, right, broadcast_limit)
-    cond = ((lt.tok == rt.tok) & (lt._nl >= F.lit(threshold) * rt._nr) & (lt._nl * F.lit(threshold) <= rt._nr))
-    pairs = lt.join(rt, cond).groupBy("_lid", "_rid", "_nl", "_nr").agg(F.count(F.lit(1)).alias("shared"))
+    rt = R.select("_rid", "_nr", F.explode_outer("_u").alias("tok")).filter(F.col("tok").isNotNull())
+    freq = rt.groupBy("tok").agg(F.count(F.lit(1)).alias("_df"))
+    lt = L.select("_lid", "_nl", F.explode_outer("_t").alias("tok")).filter(F.col("tok").isNotNull()).join(freq, "tok")
+
+    def prefix(tok_df, ident, n):
+        w = Window.partitionBy(ident)
+        x = tok_df.withColumn("_r", F.row_number().over(w.orderBy("_df", "tok"))).withColumn("_in", F.count(F.lit(1)).over(w))
+        first = F.col(n) - F.ceil(t * F.col(n)) + 1 - (F.col(n) - F.col("_in"))
+        return x.filter(F.col("_r") <= first).select(ident, n, "tok")
+
+    lp, rp = prefix(lt, "_lid", "_nl"), prefix(rt.join(freq, "tok"), "_rid", "_nr")
+    cond = (lp["tok"] == rp["tok"]) & (F.col("_nl") >= t * F.col("_nr")) & (F.col("_nl") * t <= F.col("_nr"))
+    cand = lp.join(rp, cond).select("_lid", "_rid").distinct()
+    pairs = cand.join(R, "_rid").join(L, "_lid").withColumn("shared", F.size(F.array_intersect("_t", "_u")).cast("long"))
     jac = F.col("shared") / (F.col("_nl") + F.col("_nr") - F.col("shared"))
     return (pairs.withColumn("jaccard", jac).filter(F.col("jaccard") >= F.lit(threshold))
             .select(F.col("_lid").alias(left_id), F.col("_rid").alias(right_id), "shared", "jaccard"))

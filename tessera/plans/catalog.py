@@ -140,12 +140,10 @@ SELECT page_id,
 FROM c""")
 def page_title_h1(spark, sf_dir):
     """B21 (title part): first ``h1`` text trimmed, else 'Unknown Camp Name'."""
-    from tessera.operators.extract import first_text
+    from tessera.operators.extract import first_texts
     pages = _pages(spark, sf_dir)
     nodes = hx.html_nodes(pages, text_tags={"h1", "title"}, tags={"h1", "title"})
-    h1 = first_text(nodes, "h1", "camp_name")
-    title = first_text(nodes, "title", "title")
-    return (pages.select("page_id").join(h1, "page_id", "left").join(title, "page_id", "left")
+    return (pages.select("page_id").join(first_texts(nodes, {"h1": "camp_name", "title": "title"}), "page_id", "left")
             .select("page_id", F.coalesce("camp_name", F.lit("Unknown Camp Name")).alias("camp_name"),
                     F.coalesce("title", F.lit("")).alias("title")))
 
@@ -264,18 +262,18 @@ def _relevant_sql(l: str) -> str:
 
 @register("relevant_lines", f"""
 WITH d AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)),
-                  lambda l: {sql_strip("l")}), lambda l: l <> '' AND {_relevant_sql("l")}) AS keep FROM documents)
-SELECT doc_id, substring(array_to_string(keep, chr(10)), 1, 5000) AS snippet, CAST(len(keep) AS INTEGER) AS n_relevant
-FROM d""")
+                  lambda l: {sql_strip("l")}), lambda l: l <> '' AND {_relevant_sql("l")}) AS keep FROM documents),
+j AS (SELECT doc_id, len(keep) AS n, coalesce(array_to_string(keep, chr(10)), '') AS s FROM d),
+c AS (SELECT *, unnest(range(0, greatest(CAST(ceil(length(s) / 5000.0) AS BIGINT), 1))) AS i FROM j)
+SELECT doc_id, CAST(i AS INTEGER) AS chunk_idx, substring(s, CAST(i * 5000 + 1 AS BIGINT), 5000) AS snippet, CAST(n AS INTEGER) AS n_relevant
+FROM c""")
 def relevant_lines(spark, sf_dir):
-    """B24 + S42: relevant lines of every whole document, the first 5,000
-    characters as the model snippet, and how many lines qualified."""
-    from tessera.operators.extract import is_relevant
-    d = read_table(spark, sf_dir, "documents")
-    lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: tx.strip(l))
-    keep = F.filter(lines, lambda l: (l != "") & is_relevant(l))
-    return d.select("doc_id", F.substring(F.array_join(keep, "\n"), 1, 5000).alias("snippet"),
-                    F.size(keep).alias("n_relevant"))
+    """B24 + S42: relevant lines of every whole document in pieces of at most
+    5,000 characters (none is lost), and how many lines qualified."""
+    from tessera.operators.extract import relevant_lines_text
+    d = read_table(spark, sf_dir, "documents").select("doc_id", relevant_lines_text(F.col("text")).alias("keep"))
+    return d.select("doc_id", F.size("keep").alias("n_relevant"),
+                    F.posexplode(tx.text_chunks(F.array_join("keep", "\n"), 5000)).alias("chunk_idx", "snippet"))
 
 
 @register("title_normalize", f"""
@@ -721,16 +719,29 @@ def fuzzy_jaccard_top1(spark, sf_dir):
     return out.select("p_partkey", "name", "match_row_id", "match_name", "similarity_score")
 
 
-@register("fuzzy_combined_topk")
+@register("fuzzy_combined_topk", f"""
+WITH {_SQL_MATCH_INPUT},
+c AS (SELECT m.row_id, m.master_name, p.p_brand AS conference FROM m JOIN part p ON p.p_partkey = m.row_id),
+q AS (SELECT DISTINCT l.name, p.p_brand AS pref FROM l JOIN part p USING (p_partkey)),
+qt AS (SELECT name, pref, {sql_tokens("name")} AS t FROM q),
+ct AS (SELECT row_id, master_name, conference, {sql_tokens("master_name")} AS t FROM c),
+s AS (SELECT name, pref, row_id, master_name,
+        least(1.0, 0.4 * (1 - levenshtein(lower(name), lower(master_name)) / greatest(length(name), length(master_name)))
+          + 0.6 * {sql_jaccard("qt.t", "ct.t")} + CASE WHEN pref = conference THEN 0.15 ELSE 0 END) AS score FROM qt, ct),
+r AS (SELECT *, row_number() OVER (PARTITION BY name, pref ORDER BY score DESC, row_id) AS rank FROM s WHERE score >= 0.6)
+SELECT l.p_partkey, l.name, CAST(r.rank AS INTEGER) AS rank, r.row_id, r.master_name, round(r.score, 6) AS score,
+  CASE WHEN r.rank IS NOT NULL THEN true END AS complete
+FROM l JOIN part p USING (p_partkey) LEFT JOIN r ON r.name = l.name AND r.pref = p.p_brand AND r.rank <= 10""")
 def fuzzy_combined_topk(spark, sf_dir):
-    """S28 + S29 + E3 + G3: top-10 masters by 0.4*sequence + 0.6*Jaccard with
-    the same-conference bonus; sequence ratio only on blocked candidates.
-    (No SQL form: the sequence ratio is difflib's.)"""
+    """S29 + S30 + E2 + E3 + G3: top-10 masters of at least 0.6 by 0.4 * character score
+    + 0.6 * Jaccard with the same-conference bonus; the character score is
+    the scorer argument (V2), here the edit ratio, which both engines have."""
+    from tessera.functions.similarity import edit_ratio
     from tessera.operators.match import fuzzy_topk
     left, master = match_input(spark, sf_dir)
-    out = fuzzy_topk(left, master, k=10, name="name", pref="pref", master_conf="conference")
+    out = fuzzy_topk(left, master, k=10, name="name", pref="pref", master_conf="conference", min_score=0.6, seq=edit_ratio)
     return out.select("p_partkey", "name", "rank", "row_id", "master_name",
-                      F.bround("score", 6).alias("score"), "complete")
+                      F.round("score", 6).alias("score"), "complete")
 
 
 @register("doc_benchmark_overlap", f"""
@@ -963,20 +974,7 @@ def pending_split(spark, sf_dir):
     from tessera.streaming.incremental import split_pending
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", ((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")).alias("failed"))
-    applied, pending = split_pending(li, "l_orderkey", "l_linenumber", "failed")
-    return (applied.select("l_orderkey", "l_linenumber", F.lit("applied").alias("state"))
-            .unionByName(pending.select("l_orderkey", "l_linenumber", F.lit("pending").alias("state"))))
-
-
-@register("write_budget")
-def write_budget(spark, sf_dir):
-    """Per user, admit a write when fewer than 2 admitted writes lie in
-    the trailing 6 hours, else 'limit' (a recurrence on its own output; no
-    SQL form; tested against a plain-Python loop)."""
-    from tessera.streaming.incremental import rate_limit
-    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return rate_limit(e, "user_id", "ts", "event_id", limit=2, window_seconds=6 * 3600.0).select(
-        "event_id", "user_id", "ts", "outcome")
+    return split_pending(li, "l_orderkey", "l_linenumber", "failed").select("l_orderkey", "l_linenumber", "state")
 
 
 @register("first_hit", """
@@ -1041,20 +1039,18 @@ b AS (SELECT doc_id, CASE WHEN length({sql_strip("coalesce(plain, '')")}) < 50 T
                           ELSE coalesce(plain, '') END AS body FROM d),
 f AS (SELECT doc_id, CASE WHEN regexp_matches(body, '(?i)Begin forwarded message')
           THEN regexp_replace(substring(body, strpos(lower(body), 'begin forwarded message')), '(?is)^.*?Subject:[^\\n]*\\n', '')
-          ELSE body END AS body FROM b)
-SELECT doc_id AS id, CAST(length(body) AS INTEGER) AS body_chars, substring(body, 1, 40000) AS body FROM f""")
+          ELSE body END AS body FROM b),
+c AS (SELECT *, unnest(range(0, greatest(CAST(ceil(length(body) / 40000.0) AS BIGINT), 1))) AS i FROM f)
+SELECT doc_id AS id, CAST(length(body) AS INTEGER) AS body_chars, CAST(i AS INTEGER) AS chunk_idx,
+  substring(body, CAST(i * 40000 + 1 AS BIGINT), 40000) AS body FROM c""")
 def mail_bodies(spark, sf_dir):
     """A10 + A11 + B27 + B28 + S42: decode the HTML part (base64url), take the
     plain part or, when it is under 50 characters, the HTML as text; strip a
-    forward header; the body is cut to 40,000 characters for the model and
-    its full length is reported."""
-    from tessera.operators.html import html_to_text, strip_forward_header
-    from tessera.sources.pages import mail_html
+    forward header; the whole body in pieces of at most 40,000 characters."""
+    from tessera.sources.pages import mail_body, mail_html
     m = mail_input(spark, sf_dir)
-    p = F.coalesce(F.col("plain"), F.lit(""))
-    body = strip_forward_header(F.when(F.length(tx.strip(p)) < 50, html_to_text(mail_html(F.col("parts")))).otherwise(p))
-    x = m.select("id", body.alias("b"))
-    return x.select("id", F.length("b").alias("body_chars"), F.substring("b", 1, 40000).alias("body"))
+    x = m.select("id", mail_body(F.col("plain"), mail_html(F.col("parts"))).alias("b"))
+    return x.select("id", F.length("b").alias("body_chars"), F.posexplode(tx.text_chunks("b", 40000)).alias("chunk_idx", "body"))
 
 
 def scholarship_answers_input(spark, sf_dir):
@@ -1117,16 +1113,21 @@ t AS (SELECT page_id, k, CASE
         WHEN starts_with(piece, '<div') THEN regexp_extract(piece, '(?s)^(.*?)(?:</div>|$)', 1)
         ELSE regexp_extract(piece, '(?s)^(<p.*?)(?:</p>|<(?:{_P_BLOCK})[\\s/>]|</(?:{_P_CONTAINER_END})>|$)', 1) END AS content FROM u),
 x AS (SELECT page_id, k, {sql_strip(sql_decode(sql_strip_tags("content")))} AS line FROM t),
-r AS (SELECT page_id, substring(string_agg(line, chr(10) ORDER BY k), 1, 5000) AS snippet
-      FROM x WHERE line <> '' AND {_relevant_sql("line")} GROUP BY page_id)
-SELECT page_id, replace('{_CAMP_TEMPLATE.replace(chr(10), "' || chr(10) || '")}', '{{snippet}}', snippet) AS prompt FROM r""")
+r AS (SELECT page_id, string_agg(line, chr(10) ORDER BY k) AS s
+      FROM x WHERE line <> '' AND {_relevant_sql("line")} GROUP BY page_id),
+a AS (SELECT p.page_id, coalesce(r.s, '') AS s FROM pages p LEFT JOIN r USING (page_id)),
+i AS (SELECT page_id, s, unnest(range(0, greatest(CAST(ceil(length(s) / 5000.0) AS BIGINT), 1))) AS i FROM a),
+q AS (SELECT page_id, CAST(i AS INTEGER) AS chunk_idx, substring(s, CAST(i * 5000 + 1 AS BIGINT), 5000) AS snippet FROM i)
+SELECT page_id, chunk_idx, replace('{_CAMP_TEMPLATE.replace(chr(10), "' || chr(10) || '")}', '{{snippet}}', snippet) AS prompt FROM q""")
 def camp_requests(spark, sf_dir):
     """B1 + B24 + S42 + M1: relevant ``p``/``li``/``div`` lines of every page
-    (document order, 5,000-character snippet) -> one model request each."""
+    (document order, pieces of at most 5,000 characters) -> a model request
+    each; a page without a relevant line still gives one."""
     from tessera.operators.answers import build_requests
     from tessera.operators.extract import relevant_lines_nodes
-    nodes = hx.html_nodes(_pages(spark, sf_dir), text_tags={"p", "li", "div"}, tags={"p", "li", "div"})
-    return build_requests(relevant_lines_nodes(nodes), ["page_id"], "snippet", _CAMP_TEMPLATE)
+    pages = _pages(spark, sf_dir)
+    nodes = hx.html_nodes(pages, text_tags={"p", "li", "div"}, tags={"p", "li", "div"})
+    return build_requests(relevant_lines_nodes(nodes, pages), ["page_id", "chunk_idx"], "snippet", _CAMP_TEMPLATE)
 
 
 @register("substring_search", """

@@ -89,7 +89,7 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     # the shared checkpoint folder, so later stages neither re-parse pages nor
     # re-plan the whole extraction
     ent = cut_lineage(ent)
-    ranked = cut_lineage(ag.points_standing(ent, group="conference", pos="pos", pts="pts"))
+    ranked = cut_lineage(ag.points_standing(ent, group=["page_id", "table_id"], pos="pos", pts="pts"))
     m = scan_master(master, gender, attr="conference").select(
         F.col("row_id"), F.col("name").alias("master_name"), "conference")
     cands = mt.fuzzy_topk(ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")), m, k=k,
@@ -97,7 +97,7 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     accepted, review = mt.resolve_matches(cands.select("left_key", "rank", "row_id", "master_name", "score"),
                                           decisions, key="left_key", accept_at=accept_at)
     best = ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")).join(accepted, "left_key")
-    writes = best.select(F.col("chosen_row_id").alias("row_id"), F.lit(0).alias("seq"), F.explode(F.array(
+    writes = best.select(F.col("chosen_row_id").alias("row_id"), F.struct("page_id", "table_id", "pos").alias("seq"), F.explode(F.array(
         F.struct(F.lit(f"{gender}_conference_record").alias("column"), F.col("conf_record").alias("value")),
         F.struct(F.lit(f"{gender}_overall_record").alias("column"), F.col("overall_record").alias("value")),
         F.struct(F.lit(f"{gender}_conference_standing").alias("column"), F.col("standing").alias("value")))).alias("w"))
@@ -111,15 +111,22 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
     with rows per page), dedup, division-filtered fuzzy candidates, writes of
     the rank to ``<gender>_top_25`` (U4; several ranks on one row: the last
     write wins in ``apply_cell_writes``)."""
-    nodes, rows, _ = _tables(pages)
-    t = ex.rankings_from_rows(rows.withColumn("pos", F.col("table_id") * 100000 + F.col("tr_idx"))).select(
-        "page_id", "pos", "rank", "name", F.lit(0).alias("strategy"))
-    body = nodes.filter(F.col("tag") == "body").select("page_id", "text")
-    lines = ex.rankings_from_lines(body).select("page_id", "pos", "rank", "name", F.lit(1).alias("strategy"))
-    sep = hx.html_nodes(pages, tags={"div", "li", "tr", "p", "a", "span", "td"}, text_sep=" ")
-    els = ex.rankings_from_elements(sep).withColumn("strategy", F.lit(2))
-    anchors = ex.rankings_from_anchors(hx.html_nodes(pages, tags={"a"}, text_sep="")).withColumn("strategy", F.lit(3))
-    r = ex.dedup_rankings(ex.first_strategy(t.unionByName(lines).unionByName(els).unionByName(anchors)))
+    # one parse: text chunks come apart at a mark, which each strategy reads
+    # as the separator it needs
+    mark = "\x1f"
+    parsed = _reused(hx.html_nodes(pages, text_tags={"td", "th", "body", "div", "li", "tr", "p", "a", "span"}, text_sep=mark))
+    spaced = parsed.withColumn("text", F.translate("text", mark, " "))
+    two = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
+    t = ex.rankings_from_rows(hx.html_rows(spaced)).select(
+        "page_id", two(F.col("table_id"), F.col("tr_idx")).alias("pos"), "rank", "name", F.lit(0).alias("strategy"))
+    body = parsed.filter(F.col("tag") == "body").select("page_id", F.translate("text", mark, "\n").alias("text"))
+    lines = ex.rankings_from_lines(body)
+    els = ex.rankings_from_elements(spaced)
+    anchors = ex.rankings_from_anchors(parsed.withColumn("text", F.replace("text", F.lit(mark), F.lit(""))))
+    every = t
+    for k, x in enumerate((lines, els, anchors), 1):
+        every = every.unionByName(x.select("page_id", two(F.col("pos"), F.lit(0)).alias("pos"), "rank", "name", F.lit(k).alias("strategy")))
+    r = ex.dedup_rankings(ex.first_strategy(every))
     r = r.select("page_id", "pos", F.col("rank").alias("poll_rank"), "name").withColumn("division", F.lit(division))
     m = scan_master(master, gender, attr="division").select("row_id", F.col("name").alias("master_name"),
                                                             F.col("division").alias("m_div"))
@@ -140,6 +147,8 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
     cand = yearless_candidates(rosters.withColumn("_k", F.concat_ws("|", "university", "gender")), "_k",
                                season_start=season_start)
     pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
+    # only captures that some candidate names are parsed
+    pages = pages.join(cand.select("candidate_url").distinct(), "candidate_url", "left_semi")
     nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
     players = _reused(ex.roster_players(nodes))
     n = players.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_players"))
@@ -169,6 +178,7 @@ def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None =
     from tessera.functions.urls import has_year_token, remove_year_segment
     urls = urls.filter(has_year_token(F.col("url"))).withColumn("candidate_url", remove_year_segment(F.col("url")))
     pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
+    pages = pages.join(urls.select("candidate_url").distinct(), "candidate_url", "left_semi")
     nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
     players = ro.normalize_players(ex.roster_players(nodes))
     counts = ag.roster_counts(players, ["page_id"])
@@ -178,9 +188,9 @@ def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None =
                     "_k", "page_id", F.col("_n") > 0)
     cols = ["candidate_url"] + list(ro.POSITION_BUCKETS.values()) + ["freshman", "sophomore", "junior", "senior"]
     names = {"candidate_url": "roster_url"}
-    writes = hit.select("row_id", "gender", F.explode(F.array(*[
+    writes = hit.select("row_id", "gender", "page_id", F.explode(F.array(*[
         F.struct(F.lit(names.get(c, c)).alias("c"), F.col(c).cast("string").alias("value")) for c in cols])).alias("w"))
-    writes = writes.select("row_id", F.lit(0).alias("seq"), F.concat_ws("_", "gender", "w.c").alias("column"), "w.value")
+    writes = writes.select("row_id", F.col("page_id").alias("seq"), F.concat_ws("_", "gender", "w.c").alias("column"), "w.value")
     return {"rows": rows, "writes": writes}
 
 
@@ -197,7 +207,7 @@ def camp_directory(pages: DataFrame, master: DataFrame, n_lowest: int = 30) -> d
     camps = ex.camp_directory(rec, nodes, pages)
     m = master.select("row_id", F.col("university_name").alias("master_name"))
     best = mt.best_match(camps, m, name="camp_school_name", old_value=None)
-    best = best.withColumn("pos", F.col("page_id") * 100000 + F.col("tr_idx"))
+    best = best.withColumn("pos", F.struct(*[c for c in ("page_id", "table_id", "tr_idx") if c in best.columns]))
     low = ag.lowest_n(best.withColumn("similarity_score", F.col("similarity_score").cast("string")),
                       "similarity_score", "pos", n_lowest)
     return {"camps": best, "lowest": low}
@@ -207,8 +217,8 @@ def partner_camps(pages: DataFrame, base: DataFrame, answers: DataFrame | None,
     """Relevant-line snippets -> model requests; stored answers ->
     camp rows (first answer updates the base row, the rest are copies)."""
     nodes = hx.html_nodes(pages, text_tags={"p", "li", "div"}, tags={"p", "li", "div"})
-    snip = ex.relevant_lines_nodes(nodes)
-    req = an.build_requests(snip, ["page_id"], "snippet", template)
+    snip = ex.relevant_lines_nodes(nodes, pages)
+    req = an.build_requests(snip, ["page_id", "chunk_idx"], "snippet", template)
     out = {"requests": req}
     if answers is not None:
         out["camps"] = an.explode_answers(base, answers, "page_id")
@@ -283,7 +293,9 @@ def coach_changes(change_logs: DataFrame, aliases: DataFrame, master: DataFrame,
     m = master.select("row_id", F.col("university_name").alias("master_name"))
     res = mt.alias_then_fuzzy(ch, aliases, m, name="school", accept_at=accept_at)
     firsts = m.groupBy("master_name").agg(F.min("row_id").alias("row_id"))
-    res = res.join(firsts, F.col("matched_name") == F.col("master_name")).drop("master_name")
+    res = res.join(firsts, F.col("matched_name") == F.col("master_name"), "left").drop("master_name")
+    review = res.filter(F.col("row_id").isNull()).drop("row_id")    # no school found: for a person
+    res = res.filter(F.col("row_id").isNotNull())
     res = res.withColumn("seq", F.concat_ws(":", "file_name", F.lpad(F.col("pos").cast("string"), 9, "0")))
     cols = {"name": f"{gender}_coach_name", "email": f"{gender}_coach_email"}
     writes = rc.change_log_writes(res, cols)
@@ -301,7 +313,7 @@ def coach_changes(change_logs: DataFrame, aliases: DataFrame, master: DataFrame,
                                                         F.col("profile_url").alias("value"))
         writes = writes.unionByName(url_writes)
     out = rc.apply_cell_writes(master, writes, [f"{gender}_coach_name", f"{gender}_coach_email", f"{gender}_coach_url"])
-    return {"resolved": res, "writes": writes, "master": out}
+    return {"resolved": res, "review": review, "writes": writes, "master": out}
 
 
 def scholarship_requests(mail: DataFrame, template: str, chunk: int = 3) -> DataFrame:
@@ -309,9 +321,9 @@ def scholarship_requests(mail: DataFrame, template: str, chunk: int = 3) -> Data
     model request per chunk."""
     pages = mail.select(F.col("id").alias("msg_id"), mail_html(F.col("parts")).alias("html")) \
         .withColumn("page_id", F.xxhash64("msg_id"))
-    nodes = hx.html_nodes(pages.select("page_id", "html"), text_tags=set(), outer_tags={"p"}, tags={"p"})
-    ch = hx.chunk_rows(hx.paragraphs(nodes), "page_id", "p_idx", "outer_html", chunk, index="p_idx")
-    ch = ch.join(pages.select("page_id", "msg_id"), "page_id")
+    nodes = hx.html_nodes(pages, text_tags=set(), outer_tags={"p"}, tags={"p"}, carry=["msg_id"])
+    ps = nodes.select("msg_id", F.col("tag_idx").alias("p_idx"), "outer_html")
+    ch = hx.chunk_rows(ps, "msg_id", "p_idx", "outer_html", chunk, index="p_idx")
     return an.build_requests(ch, ["msg_id", "chunk_idx"], "chunk", template)
 
 

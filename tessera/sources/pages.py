@@ -72,13 +72,13 @@ def mail_html(parts: Column) -> Column:
     return F.when(F.size(html) > 0, decode_base64url(at(html, 1)["data"]))
 
 
-def mail_body(plain: Column, html: Column, limit: int = 40000) -> Column:
-    """A11 + B27 + B28 + S42: the plain text, or the HTML as text when the
-    plain text is shorter than 50 characters; forward header removed; first
-    ``limit`` characters."""
+def mail_body(plain: Column, html: Column) -> Column:
+    """A11 + B27 + B28: the plain text, or the HTML as text when the plain
+    text is shorter than 50 characters; forward header removed.  The whole
+    body; ``text_chunks`` cuts it into pieces for a model."""
     p = F.coalesce(plain, F.lit(""))
     body = F.when(F.length(strip(p)) < 50, html_to_text(html)).otherwise(p)
-    return F.substring(strip_forward_header(body), 1, limit)
+    return strip_forward_header(body)
 
 
 def select_mail(mail: DataFrame, label: str | None, ref_ts: str, max_age_days: int = 365,

@@ -1,16 +1,14 @@
 """Incremental and streaming operators.
 
-The reference keeps state between runs in files: processed keys, a write
-budget, pending writes and completed units.  Here they are tables, and the
-continuous forms run on Structured Streaming.
+The reference keeps state between runs in files: processed keys, pending
+writes and completed units.  Here they are tables, and the continuous forms
+run on Structured Streaming.  Its client-side write quota (T2) is not
+replayed: tables are written by Spark in one commit.
 """
 
 from __future__ import annotations
 
-from collections import deque
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,104 +22,17 @@ def stream_dedup(stream: DataFrame, key: list[str], ts: str, delay: str = "1 day
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
 
 
-# ------------------------------------------------------------------ segments
-
-def gap_segments(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: float,
-                 out: str = "segment", num_partitions: int | None = None) -> DataFrame:
-    """Number the runs of each key's rows where consecutive rows (by ts,
-    tiebreak) are at most ``gap_seconds`` apart.
-
-    Rows are range-partitioned on (key, ts, tiebreak), so one busy key is
-    spread over several tasks; each task numbers its runs locally while
-    streaming through sorted rows, and a per-(task, key) summary (bounded by
-    tasks + keys) stitches runs that continue across task boundaries.
-    """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, F.col(key), F.col(ts), F.col(tiebreak)).sortWithinPartitions(key, ts, tiebreak)
-    schema = T.StructType(s.schema.fields + [T.StructField("_pid", T.IntegerType()),
-                                             T.StructField("_lseg", T.LongType())])
-
-    def local(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        last_key, last_ts, seg = None, None, -1
-        for pdf in batches:
-            ks = pdf[key].tolist()
-            tss = pd.to_datetime(pdf[ts]).astype("int64").tolist()
-            segs = []
-            for k, t in zip(ks, tss):
-                if k != last_key:
-                    seg = 0
-                elif (t - last_ts) / 1e9 > gap_seconds:
-                    seg += 1
-                last_key, last_ts = k, t
-                segs.append(seg)
-            pdf = pdf.assign(_pid=pid, _lseg=segs)
-            yield pdf
-
-    loc = s.mapInPandas(local, schema)
-    summ = loc.groupBy("_pid", key).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
-                                        F.max("_lseg").alias("_maxseg"))
-    w = Window.partitionBy(key).orderBy("_pid")
-    prev_last = F.lag("_last").over(w)
-    summ = summ.withColumn("_cont", F.coalesce(
-        (F.unix_micros(F.col("_first").cast("timestamp")) - F.unix_micros(prev_last.cast("timestamp"))) <= F.lit(int(gap_seconds * 1e6)), F.lit(False)))
-    summ = summ.withColumn("_new", F.col("_maxseg") + 1 - F.col("_cont").cast("long"))
-    summ = summ.withColumn("_base", F.coalesce(F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                               F.lit(0)))
-    x = loc.join(summ.select("_pid", key, "_cont", "_base"), ["_pid", key])
-    return (x.withColumn(out, (F.col("_base") + F.col("_lseg") - F.col("_cont").cast("long")).cast("long"))
-            .drop("_pid", "_lseg", "_cont", "_base"))
-
-
-# ------------------------------------------------------------------ T2
-
-def rate_limit(requests: DataFrame, key: str, ts: str, tiebreak: str, limit: int = 60,
-               window_seconds: float = 60.0, outcome: str = "outcome") -> DataFrame:
-    """Admit a request when fewer than ``limit`` *admitted* requests of
-    its key lie in the trailing ``window_seconds`` (inclusive); otherwise
-    ``limit``.  Admission depends on earlier admissions, so each key is a
-    recurrence; it is evaluated by streaming through the key's rows in time
-    order with a deque of at most ``limit`` timestamps.  Runs separated by
-    more than the window are independent and go to different tasks
-    (``gap_segments``)."""
-    seg = gap_segments(requests, key, ts, tiebreak, window_seconds, out="_seg")
-    x = seg.repartition(F.col(key), F.col("_seg")).sortWithinPartitions(key, "_seg", ts, tiebreak)
-    schema = T.StructType(x.schema.fields + [T.StructField(outcome, T.StringType())])
-
-    def admit(batches):
-        cur, q = None, deque()
-        win = int(window_seconds * 1e9)
-        for pdf in batches:
-            ks, ss = pdf[key].tolist(), pdf["_seg"].tolist()
-            tss = pd.to_datetime(pdf[ts]).astype("int64").tolist()
-            res = []
-            for k, sg, t in zip(ks, ss, tss):
-                if (k, sg) != cur:
-                    cur, q = (k, sg), deque()
-                while q and t - q[0] > win:
-                    q.popleft()
-                if len(q) >= limit:
-                    res.append("limit")
-                else:
-                    q.append(t)
-                    res.append("ok")
-            yield pdf.assign(**{outcome: res})
-
-    return x.mapInPandas(admit, schema).drop("_seg")
-
-
 # ------------------------------------------------------------------ T3
 
-def split_pending(writes: DataFrame, group: str, seq: str, failed: str) -> tuple[DataFrame, DataFrame]:
+def split_pending(writes: DataFrame, group: str, seq: str, failed: str, out: str = "state") -> DataFrame:
     """Per group, from the first failed write (min ``seq``) on, that write
-    and the rest of the group stay pending; earlier writes are applied.
-    The first failure per group is a partial aggregate joined back."""
-    first_fail = writes.groupBy(group).agg(F.min(F.when(F.col(failed), F.col(seq))).alias("_ff"))
-    x = writes.join(first_fail, group, "left")
+    and the rest of the group are ``pending``; earlier writes are ``applied``.
+    The first failure per group is a partial aggregate joined back; one frame
+    with a state column, so the writes are read once for both halves."""
+    first_fail = (writes.filter(F.col(failed)).groupBy(F.col(group).alias("_g")).agg(F.min(seq).alias("_ff")))
+    x = writes.join(first_fail, F.col(group).eqNullSafe(F.col("_g")), "left")
     pend = F.col("_ff").isNotNull() & (F.col(seq) >= F.col("_ff"))
-    return x.filter(~pend).drop("_ff"), x.filter(pend).drop("_ff")
+    return x.withColumn(out, F.when(pend, F.lit("pending")).otherwise(F.lit("applied"))).drop("_ff", "_g")
 
 
 # ------------------------------------------------------------------ T4
@@ -149,45 +60,3 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, tr
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_available_now else w.trigger(processingTime="10 seconds")
     return w.start()
-
-
-def stream_rate_limit(stream: DataFrame, key: str, ts: str, tiebreak: str, limit: int = 60,
-                      window_seconds: float = 60.0, outcome: str = "outcome",
-                      watermark: str | None = None) -> DataFrame:
-    """T2 on a stream: the same admission rule as ``rate_limit``, kept per key
-    in streaming state (``applyInPandasWithState``).  The state is the
-    admitted timestamps of the trailing window, at most ``limit`` of them.
-    Rows of one micro-batch are taken in (ts, tiebreak) order; with a
-    ``watermark`` the state of a key expires once the watermark has passed
-    its last admission by more than the window.  Output: the input columns
-    plus ``outcome`` (append mode)."""
-    win = int(window_seconds * 1e6)
-    fields = stream.schema.fields
-    out_schema = T.StructType(list(fields) + [T.StructField(outcome, T.StringType())])
-    state_schema = T.StructType([T.StructField("admitted", T.ArrayType(T.LongType()))])
-
-    def fn(k, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        q = deque(state.get[0] if state.exists else [])
-        for pdf in pdfs:
-            pdf = pdf.sort_values([ts, tiebreak], kind="mergesort")
-            us = (pd.to_datetime(pdf[ts]).astype("int64") // 1000).tolist()
-            res = []
-            for t in us:
-                while q and t - q[0] > win:
-                    q.popleft()
-                if len(q) >= limit:
-                    res.append("limit")
-                else:
-                    q.append(t)
-                    res.append("ok")
-            yield pdf.assign(**{outcome: res})
-        state.update((list(q),))
-        if watermark is not None and q:
-            state.setTimeoutTimestamp(q[-1] // 1000 + int(window_seconds * 1000) + 1)
-
-    s = stream.withWatermark(ts, watermark) if watermark is not None else stream
-    timeout = "EventTimeTimeout" if watermark is not None else "NoTimeout"
-    return s.groupBy(key).applyInPandasWithState(fn, out_schema, state_schema, "append", timeout)

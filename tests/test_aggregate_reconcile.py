@@ -11,7 +11,7 @@ def test_rank_in_group_hot_group_spans_tasks(spark):
     rng = random.Random(5)
     data = [(0 if rng.random() < 0.6 else rng.randint(1, 5), rng.random(), i) for i in range(3000)]
     df = spark.createDataFrame(data, "g int, v double, id long")
-    out = ag.rank_in_group(df, ["g"], [F.col("v").desc(), F.col("id")], num_partitions=6)
+    out = ag.rank_in_group(df, ["g"], "v", "id")
     got = {r["id"]: r["rank"] for r in out.collect()}
     exp = {}
     for g in set(d[0] for d in data):

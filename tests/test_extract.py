@@ -90,7 +90,7 @@ def test_camp_page_and_relevant_lines(spark):
     assert (c["camp_name"], c["city"], c["state"], c["ages"], c["start_date"], c["end_date"], c["cost"], c["grade_level"],
             c["gender"]) == ("Girls Elite Camp", "Austin", "TX", "8–17", "October 1", "October 3", "Cost $250 per player",
                              "Elementary School, High School", "Girls")
-    s = ex.relevant_lines_nodes(n).first()["snippet"]
+    s = ex.relevant_lines_nodes(n, pages).first()["snippet"]
     assert s.split("\n") == ["Ages: 8–17", "Dates: October 1 to October 3", "Cost $250 per player"]
 
 

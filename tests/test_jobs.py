@@ -120,3 +120,15 @@ def test_camp_and_geocode_jobs(spark):
     caps = spark.createDataFrame([(1, "https://camps.example.org/a", 200, None)], "page_id long, url string, status int, error string")
     assert rows(jobs.link_status(spark.createDataFrame([("https://camps.example.org/a",)], "url string"), caps),
                 "status_text") == [("Loaded Successfully",)]
+
+
+def test_rankings_strategies_order_and_large_page(spark):
+    import re
+    filler = "<i></i>" * 23000
+    html = {1: f"<body>{filler}<table><tr><td>2</td><td>Beta U</td></tr><tr><td>1</td><td>Alpha U</td></tr></table></body>",
+            2: "<body><div>1. North State</div><div>2) South &amp; West, Tech</div><div>3. bad; name</div></body>",
+            3: "<body><span class='team'>x</span><div>7 <b>Gamma</b> U</div></body>", 4: "<body><a>#4 - Delta U</a></body>"}
+    pages = spark.createDataFrame(list(html.items()), "page_id long, html string")
+    got = sorted((r["page_id"], r["poll_rank"], re.sub(" +", " ", r["name"]))
+                 for r in jobs.rankings(pages, _master(spark), "men", "D2")["rankings"].collect())
+    assert got == [(1, 1, "Alpha U"), (1, 2, "Beta U"), (2, 1, "North State"), (2, 2, "South & West, Tech"), (3, 7, "Gamma U"), (4, 4, "Delta U")]

@@ -30,7 +30,7 @@ def test_jaccard_top1_equals_nested_loop(spark):
     L = spark.createDataFrame([(i, n) for i, n in enumerate(left)], "id long, name string")
     M = spark.createDataFrame([(i, n) for i, n in enumerate(master)], "row_id long, master_name string")
     got = {r["id"]: (r["match_row_id"], r["similarity_score"]) for r in
-           mt.best_match(L, M, name="name", scorer="jaccard", broadcast_limit=10).collect()}   # shuffle path
+           mt.best_match(L, M, name="name", scorer="jaccard").collect()}   # shuffle path
     for i, a in enumerate(left):
         best, bid = 0.0, None
         for j, b in enumerate(master):
@@ -127,10 +127,11 @@ def test_prefix_filtered_topk_equals_nested_loop_above_min_score(spark):
                               "row_id long, master_name string, conference string")
     k = 3
     for scorer, min_score, bonus in (("jaccard", 0.5, False), ("combined", 0.6, True)):
-        for limit in (0, 10_000):                       # shuffle path and broadcast path
+        for limit in ("-1", "100m"):                     # shuffle path and broadcast path
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
             kw = dict(pref="pref", master_conf="conference") if bonus else {}
-            out = mt.fuzzy_topk(L, M, k=k, name="name", scorer=scorer, min_score=min_score,
-                                broadcast_limit=limit, **kw).collect()
+            out = mt.fuzzy_topk(L, M, k=k, name="name", scorer=scorer, min_score=min_score, **kw).collect()
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
             by = {}
             for r in out:
                 if r["rank"] is not None:
@@ -148,3 +149,23 @@ def test_prefix_filtered_topk_equals_nested_loop_above_min_score(spark):
                 mine = sorted(by.get(i, []))
                 assert [m[1] for m in mine] == [b[0] for b in brute], (scorer, limit, a)
                 assert [m[2] for m in mine] == pytest.approx([b[1] for b in brute])
+
+
+def test_set_similarity_join_equals_brute_force(spark):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(30)] + ["the"] * 10
+    A = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 14)))) for i in range(120)]
+    B = [(j, " ".join(rng.choice(words[:20] + ["the"]) for _ in range(rng.randint(0, 10)))) for j in range(60)]
+    a, b = spark.createDataFrame(A, "i long, t string"), spark.createDataFrame(B, "j long, t string")
+    for t in (0.25, 0.5, 1.0):
+        want = set()
+        for i, x in A:
+            for j, y in B:
+                p, q = set(x.split()), set(y.split())
+                if p and q and len(p & q) / len(p | q) >= t:
+                    want.add((i, j, len(p & q)))
+        for limit in ("-1", "100m"):                     # shuffled and broadcast
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = {(r["i"], r["j"], r["shared"]) for r in mt.set_similarity_join(a, b, "i", "j", "t", "t", t).collect()}
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+            assert got == want
