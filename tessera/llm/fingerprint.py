@@ -143,6 +143,9 @@ def _sequence(docs: DataFrame) -> DataFrame:
     # the group whose last row is followed by group ``head``
     tails = (heads.join(nxt, heads["head"] == nxt["doc_id"], "left")
                   .select(F.col("grp").alias("to_grp"), F.coalesce("next_id", F.lit(first)).alias("tail_id")))
+    # a stored table has a known size: Spark joins it to the texts without
+    # shuffling them while it is small
+    tails = stored(tails, "tails")
     tail = src.join(tails, src["doc_id"].eqNullSafe(F.col("tail_id")))
     tail = tail.select("doc_id", "text", F.col("to_grp").alias("grp"), F.lit(1).alias("tail"))
     return src.select("doc_id", "text", "grp", F.lit(0).alias("tail")).unionByName(tail)
