@@ -25,7 +25,7 @@ import json
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans
@@ -48,8 +48,10 @@ def merge_pairs(table: dict[bytes, int]) -> list[tuple[int, int, int]]:
             if t[:k] in table and t[k:] in table]
 
 
-def _bucket(a: Column, b: Column) -> Column:
-    return F.pmod(F.hash(a, b), F.lit(BUCKETS))
+def _bucket(a, b):
+    """Bucket of a pair; the same arithmetic on columns and on numbers."""
+    x = a * 2654435 + b * 40503
+    return F.shiftright(x, 5).bitwiseAND(F.lit(BUCKETS - 1)) if isinstance(x, Column) else (x >> 5) & (BUCKETS - 1)
 
 
 def _key(a: Column, b: Column) -> Column:
@@ -60,14 +62,12 @@ def _key(a: Column, b: Column) -> Column:
 def _literal(path: str) -> tuple[str, str]:
     """The rank map as two JSON literals: keys and ids of every bucket.  Its
     size is fixed by the vocabulary."""
-    spark = SparkSession.active()
-    pairs = spark.createDataFrame(merge_pairs(ranks(path)), "a int, b int, id int")
-    rows = pairs.groupBy(_bucket(F.col("a"), F.col("b")).alias("n")).agg(
-        F.collect_list(F.struct(_key(F.col("a"), F.col("b")).alias("k"), "id")).alias("e")).collect()
     keys: list[list[int]] = [[] for _ in range(BUCKETS)]
     ids: list[list[int]] = [[] for _ in range(BUCKETS)]
-    for r in rows:
-        keys[r.n], ids[r.n] = [e.k for e in r.e], [e.id for e in r.e]
+    for a, b, merged in merge_pairs(ranks(path)):
+        n = _bucket(a, b)
+        keys[n].append(a << 16 | b)
+        ids[n].append(merged)
     return json.dumps(keys, separators=(",", ":")), json.dumps(ids, separators=(",", ":"))
 
 
@@ -78,7 +78,7 @@ def fold(word: Column, path: str) -> Column:
     lit_ids = F.from_json(F.lit(ids), "array<array<int>>")
 
     def rank(a: Column, b: Column) -> Column:
-        n = _bucket(a, b)
+        n = _bucket(a.cast("long"), b.cast("long")).cast("int")
         return F.get(F.get(lit_ids, n), (F.array_position(F.get(lit_keys, n), _key(a, b)) - 1).cast("int"))
 
     def step(state: Column, _: Column) -> Column:
