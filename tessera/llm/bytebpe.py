@@ -34,6 +34,7 @@ from tessera.llm.wordbpe import _ranges
 
 BLOCK_BYTES = 32 << 20   # code points of a block
 BUCKETS = 1 << 18
+_CUT_AT_ONCE = 1 << 20     # code points cut to words at a time
 
 
 @functools.lru_cache(2)
@@ -98,7 +99,7 @@ def fold(word: Column, path: str) -> Column:
         F.aggregate(F.sequence(F.lit(2), F.size(word)), word, step))
 
 
-def _words(texts: list[str], table: dict[bytes, int]):
+def _words(texts: list[str]):
     """(codes of all words in order, words per text, distinct words)."""
     first, at = [], 0
     for t in texts:
@@ -128,10 +129,10 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
         for k in range(256):
             of_byte[k] = table[bytes([k])]
 
-        def block(ids, texts):
-            codes, per_doc, words = _words(texts, table)
+        def block(ids, per_doc, codes, index):
+            words = pa.array(index.keys(), pa.large_binary())
             raw, off = byte_view(words)
-            whole = np.fromiter((table.get(w, -1) for w in words.to_pylist()), np.int64, len(words))
+            whole = np.fromiter((table.get(w, -1) for w in index), np.int64, len(index))
             size = np.where(whole >= 0, 1, np.diff(off))
             to = np.concatenate([[0], np.cumsum(size)])
             flat = np.empty(to[-1], np.int32)
@@ -140,22 +141,30 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
             flat[_ranges(to[rest], size[rest])] = of_byte[raw[_ranges(off[rest], size[rest])]]
             lists = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(flat))
             return pa.RecordBatch.from_arrays(
-                [pa.array([ids], pa.list_(pa.int64())), pa.array([per_doc.astype("<i4").tobytes()], pa.binary()),
-                 pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(per_doc)], pa.binary()),
+                 pa.array([b"".join(codes)], pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists)], names=names)
 
-        ids, texts, held = [], [], 0
+        # texts are cut some at a time; a block keeps their codes and its words
+        ids, per_doc, codes, index, held = [], [], [], {}, 0
         for b in batches:
-            for i, t in zip(as_column(b, "doc_id").to_pylist(), as_column(b, "text").to_pylist()):
-                t = t or ""
-                if texts and held + len(t) > block_bytes:
-                    yield block(ids, texts)
-                    ids, texts, held = [], [], 0
-                ids.append(i)
-                texts.append(t)
-                held += len(t)
-        if texts:
-            yield block(ids, texts)
+            part_ids, texts = as_column(b, "doc_id").to_pylist(), [t or "" for t in as_column(b, "text").to_pylist()]
+            ends = np.cumsum([0] + [len(t) for t in texts])
+            a = 0
+            while a < len(texts):
+                z = max(a + 1, int(np.searchsorted(ends, ends[a] + _CUT_AT_ONCE, side="right")) - 1)
+                if ids and held + int(ends[z] - ends[a]) > block_bytes:
+                    yield block(ids, per_doc, codes, index)
+                    ids, per_doc, codes, index, held = [], [], [], {}, 0
+                got, n, words = _words(texts[a:z])
+                to = np.fromiter((index.setdefault(w, len(index)) for w in words.to_pylist()), np.int64, len(words))
+                codes.append(to[got].astype("<i4").tobytes())
+                per_doc.append(n.astype("<i4").tobytes())
+                ids += part_ids[a:z]
+                held += int(ends[z] - ends[a])
+                a = z
+        if ids:
+            yield block(ids, per_doc, codes, index)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return src.mapInArrow(run, "doc_id array<bigint>, n_words binary, codes binary, words array<array<int>>")
