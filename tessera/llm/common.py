@@ -14,7 +14,7 @@ from tessera.session import checkpoint_dir
 
 # words are maximal runs of anything but these six bytes (fixed by the contracts)
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_ROWS = 1000
+BATCH_ROWS = 250
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
