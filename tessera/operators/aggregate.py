@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.roster import POSITION_BUCKETS, YEAR_BUCKETS, position_classes
+from tessera.sources.sinks import cut_lineage
 
 
 # ------------------------------------------------------------------ counts
@@ -134,30 +135,36 @@ def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: st
     tie in the score are cut by ``pos``.  Rows are counted per cell (partial
     aggregate), the counts are summed up in cell order, and rows are only
     numbered inside their own cell.  Nothing depends on how rows are dealt to
-    partitions, so evaluating it twice gives the same ranks.
+    partitions.  The steps work on the narrow keys, cut from their lineage in
+    the shared checkpoint folder so that the plan stays small; the ranks are
+    joined back to the rows at the end.
     """
-    x = df.withColumn("_s", F.col(score).cast("double")).withColumn("_p", F.col(pos).cast("double"))
-    x = _cell(x, group, "_s", "_c1", descending)
-    x = _cell(x, [*group, "_c1"], "_s", "_c2", descending)
-    x = _cell(x, [*group, "_c1", "_c2"], "_s", "_c3", descending)
-    x = _cell(x, [*group, "_c1", "_c2", "_c3"], "_p", "_c4", False)
+    keys = [f"_q{i}" for i in range(len(group))]
+    x = df.select(*[F.col(g).alias(k) for g, k in zip(group, keys)], F.col(score).cast("double").alias("_s"),
+                  F.col(pos).alias("_pos"), F.col(pos).cast("double").alias("_p"))
+    x = cut_lineage(x)
+    levels = list(keys)
+    for name in ("_c1", "_c2", "_c3"):
+        x = cut_lineage(_cell(x, levels, "_s", name, descending))
+        levels.append(name)
     # positions only order rows that tie: cells of several scores stay whole
-    tie = x.groupBy(*group, "_c1", "_c2", "_c3").agg((F.min("_s") < F.max("_s")).alias("_several"))
-    names = [*group, "_c1", "_c2", "_c3"]
-    tie = tie.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(names)], "_several")
-    x = x.join(tie, _same([F.col(k) for k in names], [F.col(f"_t{i}") for i in range(len(names))]), "left")
-    x = x.withColumn("_c4", F.when(F.coalesce("_several", F.lit(False)), F.lit(0)).otherwise(F.col("_c4")))
-    x = x.drop("_several", *[f"_t{i}" for i in range(len(names))])
-    cells = [*group, "_c1", "_c2", "_c3", "_c4"]
+    tie = x.groupBy(*levels).agg((F.min("_s") < F.max("_s")).alias("_several"))
+    tie = tie.select(*[F.col(k).alias(f"_t{i}") for i, k in enumerate(levels)], "_several")
+    x = x.join(tie, _same([F.col(k) for k in levels], [F.col(f"_t{i}") for i in range(len(levels))]), "left")
+    x = x.drop(*[f"_t{i}" for i in range(len(levels))])
+    x = _cell(x, levels, "_p", "_c4", False)
+    x = cut_lineage(x.withColumn("_c4", F.when(F.coalesce("_several", F.lit(False)), F.lit(0)).otherwise(F.col("_c4"))))
+    cells = [*levels, "_c4"]
     count = x.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(*group).orderBy("_c1", "_c2", "_c3", "_c4").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy(*keys).orderBy("_c1", "_c2", "_c3", "_c4").rowsBetween(Window.unboundedPreceding, -1)
     count = count.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
     count = count.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(cells)], "_before")
     x = x.join(count, _same([F.col(k) for k in cells], [F.col(f"_g{i}") for i in range(len(cells))]))
     by = F.col("_s").desc_nulls_last() if descending else F.col("_s").asc_nulls_last()
-    w = Window.partitionBy(*cells).orderBy(by, F.col(pos).asc())
-    x = x.withColumn(out, (F.col("_before") + F.row_number().over(w)).cast("int"))
-    return x.drop("_s", "_p", "_before", "_c1", "_c2", "_c3", "_c4", *[f"_g{i}" for i in range(len(cells))])
+    w = Window.partitionBy(*cells).orderBy(by, F.col("_pos").asc())
+    ranks = x.select(*keys, "_pos", (F.col("_before") + F.row_number().over(w)).cast("int").alias(out))
+    return df.join(ranks, _same([F.col(g) for g in group], [F.col(k) for k in keys]) & (F.col(pos) == F.col("_pos"))) \
+             .drop(*keys, "_pos")
 
 
 def points_standing(df: DataFrame, group: str | list[str] = "conference", pos: str = "pos", pts: str = "pts",

@@ -61,12 +61,9 @@ def table_titles(nodes: DataFrame) -> DataFrame:
                                                       F.col("_t")).alias("conference")))
 
 
-def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: int = 10,
-                         accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
-    """Standings tables -> header -> keyword column map -> rows ->
-    points standing -> top-k fuzzy match with the conference bonus ->
-    accepted writes / review queue; the writes are the U3 standing upsert
-    (three columns of the gender) for ``reconcile.apply_cell_writes``."""
+def standing_entries(pages: DataFrame) -> DataFrame:
+    """J1, first half: the tables of the first non-empty tier of a page ->
+    header -> keyword column map -> one row per team in page order."""
     nodes, rows, headers = _tables(pages)
     # The tables of the first non-empty tier per page (inside <main>, else any)
     tiers = nodes.filter(F.col("tag") == "table").select(
@@ -83,8 +80,17 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     rec = hx.table_records(rows, headers).join(
         mapped.select("page_id", "table_id", "visible", "field_idx", "accepted"), ["page_id", "table_id"])
     ent = co.extract_standing_rows(rec).join(table_titles(nodes), ["page_id", "table_id"], "left")
-    ent = ent.select("page_id", "table_id", "conference", F.col("row_idx").alias("pos"), "school",
-                     "conf_record", "overall_record", "standing", "pts")
+    return ent.select("page_id", "table_id", "conference", F.col("row_idx").alias("pos"), "school",
+                      "conf_record", "overall_record", "standing", "pts")
+
+
+def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: int = 10,
+                         accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
+    """Standings tables -> header -> keyword column map -> rows ->
+    points standing -> top-k fuzzy match with the conference bonus ->
+    accepted writes / review queue; the writes are the U3 standing upsert
+    (three columns of the gender) for ``reconcile.apply_cell_writes``."""
+    ent = standing_entries(pages)
     # stage boundaries: the extracted and the ranked standings are written to
     # the shared checkpoint folder, so later stages neither re-parse pages nor
     # re-plan the whole extraction
@@ -105,12 +111,9 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     return {"standings": ranked, "candidates": cands, "accepted": accepted, "review": review, "writes": writes}
 
 
-def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k: int = 10,
-             accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
-    """Rankings by the table strategy, else text lines (first strategy
-    with rows per page), dedup, division-filtered fuzzy candidates, writes of
-    the rank to ``<gender>_top_25`` (U4; several ranks on one row: the last
-    write wins in ``apply_cell_writes``)."""
+def ranking_entries(pages: DataFrame) -> DataFrame:
+    """J2, first half: (rank, name) rows by the first strategy that finds any
+    on a page: table rows, text lines, elements, links."""
     # one parse: text chunks come apart at a mark, which each strategy reads
     # as the separator it needs
     mark = "\x1f"
@@ -126,7 +129,16 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
     every = t
     for k, x in enumerate((lines, els, anchors), 1):
         every = every.unionByName(x.select("page_id", two(F.col("pos"), F.lit(0)).alias("pos"), "rank", "name", F.lit(k).alias("strategy")))
-    r = ex.dedup_rankings(ex.first_strategy(every))
+    return ex.dedup_rankings(ex.first_strategy(every))
+
+
+def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k: int = 10,
+             accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
+    """Rankings by the table strategy, else text lines (first strategy
+    with rows per page), dedup, division-filtered fuzzy candidates, writes of
+    the rank to ``<gender>_top_25`` (U4; several ranks on one row: the last
+    write wins in ``apply_cell_writes``)."""
+    r = ranking_entries(pages)
     r = r.select("page_id", "pos", F.col("rank").alias("poll_rank"), "name").withColumn("division", F.lit(division))
     m = scan_master(master, gender, attr="division").select("row_id", F.col("name").alias("master_name"),
                                                             F.col("division").alias("m_div"))

@@ -34,10 +34,15 @@ def append_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (never a
-    machine-local folder); used between long stages so a lost executor does
-    not force recomputation from the sources."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows written as a table in the shared checkpoint folder (never a
+    machine-local one on a cluster) and read back; used between long stages so
+    that plans stay small and a lost executor does not force recomputation
+    from the sources."""
+    import uuid
+
     from tessera.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark, allow_local_default=True).rstrip('/')}/tessera-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
