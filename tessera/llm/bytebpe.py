@@ -33,7 +33,8 @@ from tessera.llm.pretokens import byte_offsets, classes, code_points, cut
 from tessera.llm.wordbpe import _ranges
 
 BLOCK_BYTES = 32 << 20   # code points of a block
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
+_SHIFT = 7
 _CUT_AT_ONCE = 1 << 20     # code points cut to words at a time
 
 
@@ -50,37 +51,36 @@ def merge_pairs(table: dict[bytes, int]) -> list[tuple[int, int, int]]:
 
 
 def _bucket(a, b):
-    """Bucket of a pair; the same arithmetic on columns and on numbers."""
-    x = a * 2654435 + b * 40503
-    return F.shiftright(x, 5).bitwiseAND(F.lit(BUCKETS - 1)) if isinstance(x, Column) else (x >> 5) & (BUCKETS - 1)
-
-
-def _key(a: Column, b: Column) -> Column:
-    return a.cast("long") * 65536 + b
+    """Bucket of a pair, the same on columns and on numbers.  Pairs of one
+    bucket differ in ``b``: ids stay below 2^16, and for one ``b`` the bucket is
+    ``a`` with some bits flipped."""
+    if isinstance(a, Column):
+        return a.bitwiseXOR(F.shiftleft(b, _SHIFT)).bitwiseAND(F.lit(BUCKETS - 1))
+    return (a ^ b << _SHIFT) & (BUCKETS - 1)
 
 
 @functools.lru_cache(2)
 def _literal(path: str) -> tuple[str, str]:
-    """The rank map as two JSON literals: keys and ids of every bucket.  Its
-    size is fixed by the vocabulary."""
-    keys: list[list[int]] = [[] for _ in range(BUCKETS)]
-    ids: list[list[int]] = [[] for _ in range(BUCKETS)]
+    """The rank map as two JSON literals: of every bucket the right tokens, and
+    a null followed by the merged tokens.  Its size is fixed by the vocabulary."""
+    rights: list[list[int]] = [[] for _ in range(BUCKETS)]
+    ids: list[list[int | None]] = [[None] for _ in range(BUCKETS)]
     for a, b, merged in merge_pairs(ranks(path)):
         n = _bucket(a, b)
-        keys[n].append(a << 16 | b)
+        rights[n].append(b)
         ids[n].append(merged)
-    return json.dumps(keys, separators=(",", ":")), json.dumps(ids, separators=(",", ":"))
+    return json.dumps(rights, separators=(",", ":")), json.dumps(ids, separators=(",", ":"))
 
 
 def fold(word: Column, path: str) -> Column:
     """array<int> of byte tokens -> array<int> of the merged tokens."""
-    keys, ids = _literal(path)
-    lit_keys = F.from_json(F.lit(keys), "array<array<bigint>>")
+    rights, ids = _literal(path)
+    lit_rights = F.from_json(F.lit(rights), "array<array<int>>")
     lit_ids = F.from_json(F.lit(ids), "array<array<int>>")
 
     def rank(a: Column, b: Column) -> Column:
-        n = _bucket(a.cast("long"), b.cast("long")).cast("int")
-        return F.get(F.get(lit_ids, n), (F.array_position(F.get(lit_keys, n), _key(a, b)) - 1).cast("int"))
+        n = _bucket(a, b)
+        return F.get(F.get(lit_ids, n), F.array_position(F.get(lit_rights, n), b).cast("int"))
 
     def step(state: Column, _: Column) -> Column:
         n = F.size(state)
