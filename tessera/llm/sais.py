@@ -186,6 +186,7 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
 
 
 _BLOCK = 16
+_SLICE = 1 << 14        # positions compared at a time
 
 
 def permuted_lcp(codes: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -207,19 +208,20 @@ def permuted_lcp(codes: np.ndarray, sa: np.ndarray) -> np.ndarray:
     # behind the end stands a code that no other position has
     padded = np.concatenate([codes.astype(np.int64), -np.arange(1, _BLOCK + 1)])
     value = np.zeros(n, np.int64)
-    live, done = at, np.zeros(at.size, np.int64)
-    where = np.arange(at.size)
     found = np.zeros(at.size, np.int64)
     lane = np.arange(_BLOCK)
-    while live.size:
-        x = np.minimum((live + done)[:, None] + lane, n + _BLOCK - 1)
-        y = np.minimum((before[live] + done)[:, None] + lane, n + _BLOCK - 1)
-        eq = (padded[x] == padded[y]) & (x < n) & (y < n)
-        run = np.where(eq.all(axis=1), _BLOCK, np.argmin(eq, axis=1))
-        done = done + run
-        more = run == _BLOCK
-        found[where[~more]] = done[~more]
-        live, done, where = live[more], done[more], where[more]
+    for lo in range(0, at.size, _SLICE):
+        live, where = at[lo:lo + _SLICE], np.arange(lo, min(lo + _SLICE, at.size))
+        done = np.zeros(live.size, np.int64)
+        while live.size:
+            x = np.minimum((live + done)[:, None] + lane, n + _BLOCK - 1)
+            y = np.minimum((before[live] + done)[:, None] + lane, n + _BLOCK - 1)
+            eq = (padded[x] == padded[y]) & (x < n) & (y < n)
+            run = np.where(eq.all(axis=1), _BLOCK, np.argmin(eq, axis=1))
+            done = done + run
+            more = run == _BLOCK
+            found[where[~more]] = done[~more]
+            live, done, where = live[more], done[more], where[more]
     value[at] = found
     # value[j] - (i - j) for the last own position j <= i
     last = np.maximum.accumulate(np.where(own, i, -1))

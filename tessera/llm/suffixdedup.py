@@ -226,9 +226,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     mixed_groups = found.where("not whole")
     distinct = stored(mixed_groups.groupBy("anchor", "span", "bytes").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_hash", "start")).alias("at")), "span-kinds")
-    kinds = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
-    # a group may have become one kind of span once more: never, it has two
-    need = (distinct.join(kinds, "anchor").withColumn("hot", F.col("kinds") > hot)
+    # the few large groups, as a stored table: small, so Spark broadcasts it
+    # and the spans of a large group are not brought together
+    large = stored(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > hot)
+                   .select("anchor", F.lit(True).alias("hot")), "span-hot")
+    need = (distinct.join(large, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
                     .groupBy(F.col("at.doc_id").alias("n_id"), F.col("at.text_hash").alias("n_hash"))
                     .agg(F.collect_list(F.struct(F.col("at.start").alias("start"), "bytes", "anchor", "span", "copies", "hot")).alias("wanted")))
     pieces = stored(_cut(docs, need), "pieces")
