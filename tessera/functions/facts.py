@@ -56,6 +56,7 @@ def points_value(s) -> Column:
     return F.when(m != "", m.try_cast("double"))
 
 
+# Fixed value: header words that name a points column.
 POINTS_HEADER = r"(?i)\b(c?pts?|points?)\b"
 
 

@@ -35,7 +35,7 @@ POSITION_TOKEN_RE = (r"(?i)\b(gk|goal keeper|goalkeeper|keeper|d|def|defender|ba
 # Count buckets of the roster summary.
 POSITION_BUCKETS = {"D": "defenders", "F": "forwards", "M": "midfielders", "GK": "goalkeepers"}
 YEAR_BUCKETS = ["freshman", "sophomore", "junior", "senior", "graduate student"]
-# Last-resort keyword searches when no position token could be mapped.
+# Last-resort keyword searches when no position token could be mapped.
 POSITION_KEYWORDS = [
     ("D", r"(?i)\b(defense|defender|back|def)\b"),
     ("M", r"(?i)\b(midfield|midfielder|mid)\b"),

@@ -72,17 +72,17 @@ def safe(v) -> Column:
     return strip(F.coalesce(_c(v).cast("string"), F.lit("")))
 
 
-def truncate(s, n: int) -> Column:
-    """First ``n`` characters (5,000 for model snippets, 40,000 for mail)."""
-    return F.substring(_c(s), 1, n)
-
-
 def word_tokens(s) -> Column:
     """distinct lower-case word tokens, Unicode aware (Python ``\\w+``)."""
     return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(_c(s), F.lit(""))),
                                                  F.lit(r"[\p{L}\p{N}_]+"), 0))
 
 
+def clean_school(s) -> Column:
+    """Remove ``[..]``, ``(..)`` and ``*``; trim."""
+    return strip(F.regexp_replace(F.regexp_replace(F.coalesce(_c(s), F.lit("")), r"[\[\(].*?[\]\)]", ""), r"\*", ""))
+
+
 def text_chunks(s, size: int) -> Column:
     """S42 without loss: the text in consecutive pieces of at most ``size``
     characters (one empty piece for a null or empty text).  Their

@@ -34,7 +34,6 @@ def rewrite_host(u, host_suffix: str, prefix: str = "waf.") -> Column:
     pre = prefix.lower()
     already = low.startswith("https://" + pre) | low.startswith("http://" + pre) | low.startswith(pre)
     bare = low.startswith(host_suffix.lower())
-    m = F.regexp_extract(s, r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(\?[^#]*)?(#.*)?$", 0)
     scheme_host = F.regexp_extract(s, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
     has_netloc = scheme_host != ""
     # no scheme: netloc is the first path segment
@@ -47,7 +46,6 @@ def rewrite_host(u, host_suffix: str, prefix: str = "waf.") -> Column:
     base = F.when(host_low.startswith(pre), host).otherwise(
         F.concat(F.lit(prefix), F.regexp_replace(host, r"(?i)^www\.", "")))
     rebuilt = F.concat(F.lit("https://"), base, after)
-    del m
     return (F.when(already, s)
             .when(bare, F.concat(F.lit("https://" + prefix), s))
             .when((host != "") & match_host, rebuilt)

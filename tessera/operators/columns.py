@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tessera.functions.common import at
 
-from tessera.functions.facts import POINTS_HEADER, is_record, points_value
-from tessera.functions.text import normalize_header, strip
+from tessera.functions.facts import points_column_index, is_record, points_value
+from tessera.functions.text import clean_school, normalize_header, strip
 
 
 # ------------------------------------------------------------------ C3, C4
@@ -171,9 +171,8 @@ def extract_standing_rows(rec: DataFrame, explicit: bool = False) -> DataFrame:
                          strip(first_rec)).otherwise(overall)
     first_vis = at(cells, at(F.col("visible"), 1) + 1)
     school = F.coalesce(F.nullif(school, F.lit("")), F.nullif(first_vis, F.lit("")), at(cells, 1))
-    school = strip(F.regexp_replace(F.regexp_replace(F.coalesce(school, F.lit("")), r"[\[\(].*?[\]\)]", ""), r"\*", ""))
-    pts_i = at(F.filter(F.sequence(F.lit(0), F.size("header") - 1),
-                                  lambda i: F.coalesce(at(F.col("header"), i + 1), F.lit("")).rlike(POINTS_HEADER)), 1)
+    school = clean_school(school)
+    pts_i = points_column_index(F.col("header"))
     pts = F.when(pts_i.isNotNull(), points_value(at(cells, pts_i + 1)))
     standing = F.coalesce(F.nullif(get("standing"), F.lit("")), F.col("row_idx").cast("string"))
     return (rec.select("*", school.alias("school"), F.coalesce(conf, F.lit("")).alias("conf_record"),

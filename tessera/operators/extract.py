@@ -133,6 +133,9 @@ def _year_map():
 
 def _pos_map():
     return F.create_map(*[F.lit(x) for kv in ro.POSITION_MAP.items() for x in kv])
+
+
+# Fixed value: the label of a position.
 _LABEL_RE = r"(?i)^\s*(pos|position)\s*[:\-]\s*"
 
 
@@ -300,11 +303,6 @@ def standings_from_tables(rec: DataFrame, title: DataFrame) -> DataFrame:
             .filter(F.col("school") != ""))
 
 
-def clean_school(s: Column) -> Column:
-    """Remove ``[..]``, ``(..)`` and ``*``; trim."""
-    return strip(F.regexp_replace(F.regexp_replace(F.coalesce(s, F.lit("")), r"[\[\(].*?[\]\)]", ""), r"\*", ""))
-
-
 # ------------------------------------------------------------------ JSON-LD
 
 # Schema.org types kept as events.

@@ -301,9 +301,9 @@ def record_parse(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents")
     x = d.select("doc_id", F.posexplode_outer(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_RECORD), 0))
                  .alias("m_idx", "record")).filter(F.col("record").isNotNull())
-    return x.select("doc_id", "m_idx", "record",
-                    F.regexp_extract("record", r"^([0-9]+)", 1).try_cast("int").alias("w"),
-                    F.regexp_extract("record", r"([0-9]+)$", 1).try_cast("int").alias("l"))
+    from tessera.functions.facts import record_struct
+    return x.select("doc_id", "m_idx", "record", record_struct("record").alias("r")).select(
+        "doc_id", "m_idx", "record", F.col("r.w").alias("w"), F.col("r.l").alias("l"))
 
 
 # ------------------------------------------------------------------ events: JSON, answers, status
@@ -982,12 +982,13 @@ SELECT l_orderkey, l_linenumber, l_partkey FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS rn FROM lineitem
   WHERE l_returnflag <> 'R' AND l_quantity > 10) WHERE rn = 1""")
 def first_hit(spark, sf_dir):
-    """A9 + B9: per entity (order) the first candidate (line) that loaded
-    and yielded rows (not returned, quantity > 10)."""
-    from tessera.operators.aggregate import keep_first as kf
-    li = read_table(spark, sf_dir, "lineitem").filter((F.col("l_returnflag") != "R") & (F.col("l_quantity") > 10))
-    return kf(li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), ["l_orderkey"],
-              ["l_linenumber", "l_partkey", "l_suppkey"]).drop("l_suppkey")
+    """Per entity (order) the first candidate (line) that loaded and
+    yielded rows (not returned, quantity > 10)."""
+    from tessera.sources.pages import first_hit as fh
+    li = read_table(spark, sf_dir, "lineitem").withColumn("priority", F.struct("l_linenumber", "l_partkey", "l_suppkey"))
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "priority",
+                   ((F.col("l_returnflag") != "R") & (F.col("l_quantity") > 10)).alias("loaded"))
+    return fh(li, "l_orderkey", "priority", F.col("loaded")).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @register("union_sources", """

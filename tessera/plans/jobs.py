@@ -158,7 +158,8 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
     players, players normalised and counted, men and women side by side."""
     cand = yearless_candidates(rosters.withColumn("_k", F.concat_ws("|", "university", "gender")), "_k",
                                season_start=season_start)
-    pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
+    pages = captures.filter((F.col("status") == 200) & ~st.is_error_page(F.col("html"))).select(
+        "page_id", F.col("url").alias("candidate_url"), "html")
     # only captures that some candidate names are parsed
     pages = pages.join(cand.select("candidate_url").distinct(), "candidate_url", "left_semi")
     nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
