@@ -99,7 +99,7 @@ def run_counters(df: DataFrame, **conds: Column) -> DataFrame:
 
 # ------------------------------------------------------------------ positions
 
-_CELLS = 64     # cells per level of a group's score range
+_CELLS = 256    # cells per level of a group's score range
 
 
 def _same(left: list[Column], right: list[Column]) -> Column:
@@ -144,7 +144,7 @@ def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: st
                   F.col(pos).alias("_pos"), F.col(pos).cast("double").alias("_p"))
     x = cut_lineage(x)
     levels = list(keys)
-    for name in ("_c1", "_c2", "_c3"):
+    for name in ("_c1", "_c2"):
         x = cut_lineage(_cell(x, levels, "_s", name, descending))
         levels.append(name)
     # positions only order rows that tie: cells of several scores stay whole
@@ -156,7 +156,7 @@ def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: st
     x = cut_lineage(x.withColumn("_c4", F.when(F.coalesce("_several", F.lit(False)), F.lit(0)).otherwise(F.col("_c4"))))
     cells = [*levels, "_c4"]
     count = x.groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
-    run = Window.partitionBy(*keys).orderBy("_c1", "_c2", "_c3", "_c4").rowsBetween(Window.unboundedPreceding, -1)
+    run = Window.partitionBy(*keys).orderBy("_c1", "_c2", "_c4").rowsBetween(Window.unboundedPreceding, -1)
     count = count.withColumn("_before", F.coalesce(F.sum("_n").over(run), F.lit(0)))
     count = count.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(cells)], "_before")
     x = x.join(count, _same([F.col(k) for k in cells], [F.col(f"_g{i}") for i in range(len(cells))]))
