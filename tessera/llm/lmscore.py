@@ -43,7 +43,7 @@ from tessera.llm.common import bounded_batches, byte_view, chunk_count, encode_s
 
 ORDER = 2
 MU = 500.0
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 _TIMES = np.uint64(0xD6E8FEB86659FD93)
 # hashes of the two marks; a word never holds a blank
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(m)) for m in (b" start", b" end"))
