@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans
+from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans, release_memory
 from tessera.llm.pretokens import byte_offsets, classes, code_points, cut
 from tessera.llm.wordbpe import _ranges
 
@@ -165,18 +165,30 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
                 a = z
         if ids:
             yield block(ids, per_doc, codes, index)
+        del ids, per_doc, codes, index
+        release_memory()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return src.mapInArrow(run, "doc_id array<bigint>, n_words binary, codes binary, words array<array<int>>")
 
 
-def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _pieces(path: str) -> dict[int, bytes]:
+    return {i: p for p, i in ranks(path).items()}
+
+
+def _decoded(ids: bytes, pieces: dict[int, bytes]) -> bytes:
+    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, ids`` (binary: little-endian
-    unsigned 32-bit integers)."""
+    unsigned 32-bit integers), and with ``decoded`` the bytes that the ids
+    stand for, as ``decode`` gives them (in the same Python worker)."""
     bounded_batches(docs.sparkSession)
     blocks = _blocks(docs, path, block_bytes).withColumn("words", F.transform("words", lambda w: fold(w, path)))
 
     def run(batches):
+        pieces = _pieces(path) if decoded else None
         for b in batches:
             for k in range(b.num_rows):
                 ids = as_column(b, "doc_id")[k].values
@@ -188,27 +200,30 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES) -> DataFr
                 size = np.diff(off)
                 ends = np.concatenate([[0], np.cumsum(per_doc)])
                 # texts are put together some at a time: ids are four times their codes' space
-                step = 256
+                step = 64
                 for a in range(0, len(per_doc), step):
                     z = min(a + step, len(per_doc))
                     part = codes[ends[a]:ends[z]]
                     out = flat[_ranges(off[part], size[part])] if part.size else flat[:0]
                     run_of = np.concatenate([[0], np.cumsum(size[part])])
                     cuts = 4 * run_of[ends[a:z + 1] - ends[a]]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(a, z - a), pa.LargeBinaryArray.from_buffers(
-                            pa.large_binary(), z - a, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out.tobytes())]).cast(pa.binary())],
-                        names=["doc_id", "ids"])
+                    got = pa.LargeBinaryArray.from_buffers(
+                        pa.large_binary(), z - a, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out.tobytes())]).cast(pa.binary())
+                    cols = {"doc_id": ids.slice(a, z - a), "ids": got}
+                    if decoded:
+                        cols["decoded"] = pa.array([_decoded(x, pieces) for x in got.to_pylist()], pa.binary())
+                    yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+        release_memory()
 
-    return blocks.mapInArrow(run, "doc_id bigint, ids binary")
+    return blocks.mapInArrow(run, "doc_id bigint, ids binary" + ", decoded binary" * decoded)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids`` -> plus ``decoded`` (binary)."""
     def run(batches):
-        pieces = {i: p for p, i in ranks(path).items()}
+        pieces = _pieces(path)
         for b in batches:
-            out = [b"".join(map(pieces.__getitem__, np.frombuffer(x, "<u4").tolist())) for x in as_column(b, "ids").to_pylist()]
+            out = [_decoded(x, pieces) for x in as_column(b, "ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([as_column(b, "doc_id"), as_column(b, "ids"), pa.array(out, pa.binary())],
                                              names=["doc_id", "ids", "decoded"])
 
@@ -217,6 +232,6 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row."""
-    out = decode(encode(docs, path), path)
+    out = encode(docs, path, decoded=True)
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

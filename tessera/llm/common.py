@@ -57,6 +57,17 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def release_memory() -> None:
+    """Hand freed memory of a Python worker back to the system: workers are
+    kept for later stages."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):    # not this C library
+        pass
+
+
 # ------------------------------------------------------------- Arrow <-> numpy
 
 def as_column(batch, name: str):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_column, bounded_batches, byte_view, mixed, stored
+from tessera.llm.common import as_column, bounded_batches, byte_view, mixed, release_memory, stored
 from tessera.llm.sais import permuted_lcp, suffix_array
 
 LENGTH = 400
@@ -179,6 +179,8 @@ def _shards(pieces: DataFrame, n: int, length: int) -> DataFrame:
         keys = sorted(seen)
         flags = repeated_starts([seen[k][1] for k in keys], [seen[k][0] for k in keys], length)
         rows = [(k[0], k[1], np.stack(_stretches(f), 1).ravel().tolist()) for k, f in zip(keys, flags) if f.any()]
+        del seen, flags
+        release_memory()
         return pa.table({"anchor": pa.array([r[0] for r in rows], pa.int64()), "span": pa.array([r[1] for r in rows], pa.int64()),
                          "starts": pa.array([r[2] for r in rows], pa.list_(pa.int32()))})
 
