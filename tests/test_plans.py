@@ -39,3 +39,11 @@ def test_fuzzy_plan_has_no_nested_loop(spark):
     for q in ("fuzzy_jaccard_top1", "fuzzy_threshold_topk", "doc_benchmark_overlap", "substring_search"):
         plan = _plan(c.QUERIES[q](spark, SF))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, q
+
+
+def test_single_pass_plans(spark):
+    from tessera.plans import catalog as c
+    plan = _plan(c.QUERIES["page_title_h1"](spark, SF))
+    assert plan.count("MapInArrow") + plan.count("PythonMapInArrow") >= 1 and len(re.findall(r"(?m)^.*MapInArrow ", plan)) <= 1
+    # the rows and the first failure per group: two readings of the writes
+    assert _plan(c.QUERIES["pending_split"](spark, SF)).count("FileScan parquet") <= 2
