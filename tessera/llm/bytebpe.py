@@ -89,14 +89,19 @@ def fold(word: Column, path: str) -> Column:
         def merge(found: Column) -> Column:
             low = F.array_min(found)
             at = F.array_position(found, low).cast("int")
-            return F.when(low.isNull(), state).otherwise(
+            # a null at the end says that no pair has a rank any more
+            return F.when(low.isNull(), F.concat(state, F.array(F.lit(None).cast("int")))).otherwise(
                 F.concat(F.slice(state, F.lit(1), at - 1), F.array(low), F.slice(state, at + 2, n)))
 
         # the one-element array binds the ranks, so that they are looked up once
-        return F.when(n < 2, state).otherwise(F.get(F.transform(F.array(pairs), merge), F.lit(0)))
+        return F.when((n < 2) | F.get(state, n - 1).isNull(), state).otherwise(F.get(F.transform(F.array(pairs), merge), F.lit(0)))
+
+    def done(state: Column) -> Column:
+        n = F.size(state)
+        return F.when(F.get(state, n - 1).isNull(), F.slice(state, F.lit(1), n - 1)).otherwise(state)
 
     return F.when(F.size(word) < 2, word).otherwise(
-        F.aggregate(F.sequence(F.lit(2), F.size(word)), word, step))
+        F.aggregate(F.sequence(F.lit(2), F.size(word)), word, step, done))
 
 
 def _words(texts: list[str]):
