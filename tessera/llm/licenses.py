@@ -2,14 +2,26 @@
 
 A document is cut into its lines and into its whole text; each such block is normalised
 (lower case, runs of anything but letters, digits, ``.`` and ``+`` become one
-space) and compared with every licence template by the Dice coefficient over
+space) and compared with every notice (``TEMPLATES``) by the Dice coefficient over
 sets of word bigrams: ``2 |A & B| / (|A| + |B|)``.
 
-Pruning, all exact for scores of at least ``threshold`` t:
+Notices that are wrapped over lines or stand inside a paragraph
+are found in windows: runs of words of the whole
+text, over line ends, of at most ``(2-t)/t`` times a template's bigrams (t is
+the threshold).  Only windows that start and end with a run of the template's
+own bigrams are scored, as any other window is bettered by one of them; of the
+windows with one start, the four ends with the best score by counted positions
+are scored exactly.  A window is no find of its own inside a matched block, or
+where it meets a matched line of no lower score or a matched window, if their
+template is or holds the window's (the Apache header names the Apache licence).
+
+Pruning of blocks, all exact for scores of at least ``threshold`` t:
 * bigrams that occur in no template cannot add to a score: they are dropped by one set
   lookup, and a block without any other is done;
 * size bounds: a score of t needs ``|A| t/(2-t) <= |B| <= |A| (2-t)/t``, so a
   template is only compared with a block whose size is in its range.
+A window needs ``|A| t/(2-t)`` distinct bigrams of the template: documents
+without as many, or without as many within the longest window, are done.
 
 Defined results: null and empty texts have no block; a block of one word has
 no bigram and matches nothing; equal scores: the template first by name;
@@ -19,6 +31,8 @@ are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +59,18 @@ TEMPLATES = {
 }
 
 
-def template_bigrams(text: str) -> list[str]:
-    """The distinct word bigrams of a template, normalised as the blocks are."""
+ENDS = 4    # ends scored for each start of a window
+
+
+def _bigrams(text: str) -> list[str]:
     kept = "".join(c if c.isascii() and (c.isalnum() or c in ".+") else " " for c in text.lower())
     ws = kept.split()
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(ws, ws[1:])))
+    return [f"{a} {b}" for a, b in zip(ws, ws[1:])]
+
+
+def template_bigrams(text: str) -> list[str]:
+    """The distinct word bigrams of a template, normalised as the blocks are."""
+    return list(dict.fromkeys(_bigrams(text)))
 
 
 def normalised_words(text: Column) -> Column:
@@ -66,11 +87,84 @@ def _among(values: list[str]):
     return lambda b: b.isin(values)
 
 
+def _quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)     # names and normalised words hold no quote
+
+
+def _holds(big: list[str], small: list[str], threshold: float) -> bool:
+    """Whether the bigrams ``big`` of a text have a window that matches ``small``."""
+    known = set(small)
+    need, span = len(known) * threshold / (2 - threshold) - 1e-9, len(small) * (2 - threshold) / threshold + 1e-9
+    at = [i for i, b in enumerate(big) if b in known]
+    if len(known & set(big)) < need:
+        return False
+    for k, i in enumerate(at):
+        if k and at[k - 1] == i - 1 and k % len(small):
+            continue
+        seen, hits = set(), 0
+        for j in range(i, min(len(big), i + int(span))):
+            if big[j] not in seen:
+                seen.add(big[j])
+                hits += big[j] in known
+                if 2 * hits >= threshold * (len(seen) + len(known)):
+                    return True
+    return False
+
+
+def _windows(rows: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
+    """``rows`` (``lines``: their words, ``found``: the matches of the blocks)
+    with ``windows``, an array of (score, name, a, z): matched runs of bigrams
+    ``a`` to ``z`` of the whole text.  SQL text, as its lists of constants are
+    parsed at once."""
+    runs = {k: _bigrams(v) for k, v in sorted(templates.items())}
+    held = [(t, s) for t in runs for s in runs if t == s or _holds(runs[t], runs[s], threshold)]
+    inside = [f"{t}|{s}" for t, s in held]
+    smaller = [f"{t}|{s}" for t, s in held if (s, t) not in held]
+    lo, hi = threshold / (2 - threshold) - 1e-9, (2 - threshold) / threshold + 1e-9
+    rows = rows.withColumn("pairs", word_pairs(F.flatten("lines")))
+    vocab = sorted({b for bs in runs.values() for b in bs})
+    rows = rows.withColumn("hits", F.expr(
+        f"filter(transform(pairs, (b, i) -> CASE WHEN b IN ({_quoted(vocab)}) THEN named_struct('p', i, 'b', b) END), x -> x IS NOT NULL)"))
+    spots = ", ".join(
+        f"named_struct('name', '{k}', 'm', {len(set(bs))}, 'len', {len(bs)}, 'need', {math.ceil(len(set(bs)) * lo)}, 'span', {int(len(bs) * hi)}, "
+        f"'h', filter(hits, x -> x.b IN ({_quoted(dict.fromkeys(bs))})))" for k, bs in runs.items())
+    rows = rows.withColumn("spots", F.expr(f"""
+        filter(array({spots}), t -> size(t.h) >= t.need AND size(array_distinct(transform(t.h, x -> x.b))) >= t.need
+          AND exists(sequence(0, size(t.h) - t.need), i -> t.h[i + t.need - 1].p - t.h[i].p < t.span))"""))
+    # one-element arrays bind a value, so that it is computed once
+    ends = """transform(array(filter(t.e, j -> j - i + 1 >= t.need AND t.h[j].p - t.h[i].p < t.span)), js ->
+        slice(sort_array(transform(js, j -> named_struct('s', 2D * least(j - i + 1, t.len) / (t.h[j].p - t.h[i].p + 1 + t.len), 'j', -j)), false), 1, {}))[0]""".format(ENDS)
+    exact = """2D * size(array_distinct(transform(slice(t.h, i + 1, -x.j - i + 1), y -> y.b)))
+        / (size(array_distinct(slice(r.pairs, t.h[i].p + 1, t.h[-x.j].p - t.h[i].p + 1))) + t.m)"""
+    cut = """named_struct('name', t.name, 'm', t.m, 'len', t.len, 'need', t.need, 'span', t.span, 'h', t.h,
+        's', filter(sequence(0, size(t.h) - 1), i -> i % t.len = 0 OR t.h[i].p <> t.h[i - 1].p + 1),
+        'e', filter(sequence(0, size(t.h) - 1), i -> (i + 1) % t.len = 0 OR i = size(t.h) - 1 OR t.h[i + 1].p <> t.h[i].p + 1))"""
+    rows = rows.withColumn("w", F.expr(f"""
+        CASE WHEN size(spots) > 0 THEN transform(array(named_struct('pairs', pairs, 'spots', spots)), r ->
+          flatten(transform(transform(r.spots, t -> {cut}), t ->
+            flatten(transform(t.s, i -> transform({ends}, x ->
+              named_struct('score', {exact}, 'name', t.name, 'a', t.h[i].p, 'z', t.h[-x.j].p)))))))[0] END"""))
+    rows = rows.withColumn("w", F.expr(f"filter(w, c -> c.score >= {threshold}D)"))
+    rows = rows.withColumn("w", F.expr(f"""
+        CASE WHEN size(w) > 0 THEN transform(array(named_struct('w', w, 'found', found, 'n', size(lines),
+            'line', flatten(transform(lines, (l, k) -> array_repeat(k, size(l)))))), r ->
+          filter(r.w, c -> NOT exists(concat(slice(r.found, r.line[c.a] + 1, r.line[c.z + 1] - r.line[c.a] + 1), slice(r.found, r.n + 1, 1)),
+            m -> coalesce(exists(m, b -> concat(b.name, '|', c.name) IN ({_quoted(inside)})
+              AND (b.score >= c.score OR r.line[c.a] = r.line[c.z + 1] OR size(r.found) > r.n AND m = r.found[r.n])), false))))[0] END"""))
+    rows = rows.withColumn("windows", F.expr(f"""
+        CASE WHEN size(w) > 0 THEN transform(array(w), w -> filter(w, c -> NOT exists(w, d ->
+          d.a <= c.z AND c.a <= d.z AND concat(d.name, '|', c.name) IN ({_quoted(smaller) or "''"}))))[0]
+        ELSE filter(coalesce(w, array()), c -> false) END"""))
+    return rows.drop("pairs", "hits", "spots", "w")
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: ``doc_id, n_blocks`` (lines with a word, and the
-    whole text where it has several), ``n_matched`` blocks, ``license`` and
-    ``score`` of the best match (null without one), ``licenses``: all matched
-    names, sorted and joined by a comma."""
+    whole text where it has several), ``n_matched`` blocks and places of
+    windows (windows that overlap are one place), ``license`` and ``score`` of
+    the best match (null without one), ``licenses``: all matched names, sorted
+    and joined by a comma.  """
+    windowed = templates or TEMPLATES
     known = {k: template_bigrams(v) for k, v in (templates or TEMPLATES).items()}
     vocab = sorted({b for bs in known.values() for b in bs})
     # the bounds are a little wide, so that rounding cuts no exact tie off
@@ -81,7 +175,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     lines = F.filter(F.transform("lines", normalised_words), lambda ws: F.size(ws) > 0)
     rows = rows.select("doc_id", lines.alias("lines"))
     whole = F.when(F.size("lines") > 1, F.array(F.flatten("lines"))).otherwise(F.filter(F.col("lines"), lambda x: F.lit(False)))
-    rows = rows.select("doc_id", F.concat("lines", whole).alias("blocks"))
+    rows = rows.select("doc_id", "lines", F.concat("lines", whole).alias("blocks"))
 
     def best(ws: Column) -> Column:
         """The matches of one block: array of (score, name)."""
@@ -102,10 +196,14 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
         sized = F.transform(pairs, lambda x: F.struct(x["hits"].alias("hits"), F.size(F.array_distinct(x["pairs"])).alias("n")))
         return F.when(F.size(ws) > shortest, F.flatten(F.transform(F.filter(sized, lambda x: x["n"] <= longest), compare)))
 
-    found = F.transform("blocks", best)
-    rows = rows.select("doc_id", F.size("blocks").cast("long").alias("n_blocks"),
-                       F.filter(found, lambda m: F.coalesce(F.size(m), F.lit(0)) > 0).alias("m"))
-    rows = rows.select("doc_id", "n_blocks", F.size("m").cast("long").alias("n_matched"), F.flatten("m").alias("m"))
+    rows = rows.select("doc_id", "lines", F.size("blocks").cast("long").alias("n_blocks"), F.transform("blocks", best).alias("found"))
+    rows = _windows(rows, windowed, threshold)
+    places = """aggregate(array_sort(transform(windows, c -> named_struct('a', c.a, 'z', c.z))), named_struct('n', 0, 'z', -1),
+        (s, c) -> CASE WHEN c.a > s.z THEN named_struct('n', s.n + 1, 'z', c.z) ELSE named_struct('n', s.n, 'z', greatest(s.z, c.z)) END, s -> s.n)"""
+    rows = rows.select("doc_id", "n_blocks", F.filter("found", lambda m: F.coalesce(F.size(m), F.lit(0)) > 0).alias("m"), F.col("windows"),
+                       F.expr(places).alias("places"))
+    rows = rows.select("doc_id", "n_blocks", (F.size("m") + F.col("places")).cast("long").alias("n_matched"),
+                       F.concat(F.flatten("m"), F.transform("windows", lambda c: F.struct(c["score"].alias("score"), c["name"].alias("name")))).alias("m"))
     top = F.element_at(F.array_sort(F.transform("m", lambda m: F.struct((-m["score"]).alias("s"), m["name"].alias("name")))), 1)
     rows = rows.select("doc_id", "n_blocks", "n_matched", "m",
                        F.when(F.size("m") > 0, top).alias("top"))
