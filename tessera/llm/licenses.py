@@ -5,8 +5,8 @@ A document is cut into its lines and into its whole text; each such block is nor
 space) and compared with every notice (``TEMPLATES``) by the Dice coefficient over
 sets of word bigrams: ``2 |A & B| / (|A| + |B|)``.
 
-Notices that are wrapped over lines or stand inside a paragraph
-are found in windows: runs of words of the whole
+Notices that are wrapped over lines or stand inside a paragraph, and whole
+licence texts (``TEXTS``), are found in windows: runs of words of the whole
 text, over line ends, of at most ``(2-t)/t`` times a template's bigrams (t is
 the threshold).  Only windows that start and end with a run of the template's
 own bigrams are scored, as any other window is bettered by one of them; of the
@@ -36,6 +36,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.license_texts import TEXTS
+
 THRESHOLD = 0.8
 
 # Notices by which works name their licence, and short licences.
@@ -163,8 +165,9 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     whole text where it has several), ``n_matched`` blocks and places of
     windows (windows that overlap are one place), ``license`` and ``score`` of
     the best match (null without one), ``licenses``: all matched names, sorted
-    and joined by a comma.  """
-    windowed = templates or TEMPLATES
+    and joined by a comma.  Without ``templates``, blocks are compared with
+    ``TEMPLATES`` and windows with ``TEMPLATES`` and ``TEXTS``."""
+    windowed = templates or TEMPLATES | TEXTS
     known = {k: template_bigrams(v) for k, v in (templates or TEMPLATES).items()}
     vocab = sorted({b for bs in known.values() for b in bs})
     # the bounds are a little wide, so that rounding cuts no exact tie off

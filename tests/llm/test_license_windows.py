@@ -1,4 +1,4 @@
-"""Notices that run over line ends or stand inside paragraphs."""
+"""Notices that run over line ends or stand inside paragraphs, and whole licence texts."""
 import random
 import re
 import textwrap
@@ -49,6 +49,16 @@ def test_wrapped_notices_in_longer_documents(make):
     assert "CC-BY-4.0" not in res[2 * nc + 1]["licenses"]
 
 
+@pytest.mark.parametrize("name", sorted(li.TEXTS))
+def test_whole_texts(make, name):
+    body = li.TEXTS[name]
+    one = " ".join(body.split())
+    rows = [(1, body, "en", "s", 1), (2, one, "en", "s", 1), (3, wrapped(one), "en", "s", 1),
+            (4, "Copyright (c) 2020 A. Person\n\n" + "\n".join(["other words here"] * 40) + "\n" + wrapped(one, "# ") + "\nand code", "en", "s", 1)]
+    for r in got(li.scan(make(rows))):
+        assert name in r["licenses"].split(",") and r["score"] == 1.0, r
+
+
 def test_windows_match_all_windows(make):
     """Names against every window of every text, on edited notices."""
     rng = random.Random(7)
