@@ -16,7 +16,7 @@ their own and use the estimate over their language.
 
 Defined results: null text has no words and fails the base rules; null
 language or source forms a group of its own; repeated rows are judged alike;
-a statistic without spread gets a floor on its variance; an empty table gives
+a statistic of less spread than its floor is judged by the floor; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -36,13 +36,17 @@ MAX_REPEAT_PCT = 50
 FEATURES = ("mean_chars", "symbols", "dup_lines", "repeats")
 H_SHARE = 0.75         # share of rows an estimate is concentrated on
 STEPS = 4              # concentration steps
-CUTOFF = 25.0          # squared distance; chi-square with 4 degrees of freedom exceeds it in 5 of 100,000
+CUTOFF = 18.467        # squared distance; the 0.999 quantile of chi-square with 4 degrees of freedom
+CONSISTENCY = 1.486    # the scatter of the nearest H_SHARE of normal rows times this is that of all
 MIN_GROUP = 200
 # least standard deviation of each transformed statistic: most good texts have
-# no repeated word at all, and a spread near nothing would reject the first one
-FLOORS = (0.1, 0.5, 0.6, 0.8)
+# no repeated word at all, and a spread near nothing would reject the first one.
+# With CUTOFF they pass, where a group has none, up to 30 repeated words and
+# 46 duplicated lines of 100, and 7.5 symbols per 100 words
+FLOORS = (0.1, 0.5, 0.9, 0.8)
 
-_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+_STATS = ", ".join(f"{c} long" for c in _COUNTS)
 
 
 def _unique_codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -94,21 +98,21 @@ def text_stats(arr) -> dict[str, np.ndarray]:
             covered[hit + k] = True
         rep = per_doc(doc[covered])
     return {"n_words": n_words, "word_chars": per_doc(doc, (lead[ends] - lead[starts]).astype(float)),
-            "n_symbols": per_doc(owner(symbol, off)), "n_dup_lines": dup, "n_repeat_words": rep}
+            "n_symbols": per_doc(owner(symbol, off)), "n_dup_lines": dup, "n_repeat_words": rep, "n_lines": per_doc(ldoc[held])}
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """``doc_id, lang, source`` and the five counts of every whole text."""
+    """``doc_id, lang, source`` and the counts of every whole text."""
     bounded_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()),
-                        *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("text_hash", pa.int64())])
+                        *((c, pa.int64()) for c in _COUNTS), ("text_hash", pa.int64())])
 
     def run(batches):
         for b in batches:
             s = text_stats(as_column(b, "text"))
             yield pa.RecordBatch.from_arrays(
                 [as_column(b, "doc_id"), as_column(b, "lang"), as_column(b, "source"),
-                 *(pa.array(s[c]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
+                 *(pa.array(s[c]) for c in _COUNTS),
                  as_column(b, "text_hash")], schema=schema)
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
@@ -126,7 +130,7 @@ def _vector() -> list[Column]:
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return [F.log(F.greatest(F.col("word_chars") / n, F.lit(0.5))).alias("mean_chars"),
             F.log1p(100 * F.col("n_symbols") / n).alias("symbols"),
-            F.log1p(F.col("n_dup_lines").cast("double")).alias("dup_lines"),
+            F.log1p(100 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)).cast("double")).alias("dup_lines"),
             F.log1p(100 * F.col("n_repeat_words") / n).alias("repeats")]
 
 
@@ -135,20 +139,22 @@ def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     x = [F.col(f) for f in FEATURES]
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.avg(x[i]) for i in d]).alias("mu"),
-        F.array(*[F.covar_pop(x[i], x[j]) for i in d for j in d]).alias("cov"))
+        F.array(*[F.covar_pop(x[i], x[j]) * CONSISTENCY for i in d for j in d]).alias("cov"))
 
 
 def _inverse(est: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the inverse scatter with a variance floor (a matrix of four
-    by four per group; one row in, one row out)."""
+    """Per group the inverse scatter (a matrix of four by four per group; one
+    row in, one row out).  In no direction is the spread less than that of
+    ``FLOORS``; wider spreads stay as they are."""
     def run(batches):
         for b in batches:
             t = pa.Table.from_batches([b])
             d = len(FEATURES)
             out = []
             for c in t.column("cov").to_pylist():
-                m = np.array([v or 0.0 for v in c], float).reshape(d, d)
-                out.append(np.linalg.inv((m + m.T) / 2 + np.diag(np.square(FLOORS))).ravel().tolist())
+                m = np.array([v or 0.0 for v in c], float).reshape(d, d) / np.outer(FLOORS, FLOORS)
+                w, v = np.linalg.eigh((m + m.T) / 2)
+                out.append(((v / np.maximum(w, 1.0)) @ v.T / np.outer(FLOORS, FLOORS)).ravel().tolist())
             cols = [t.column(k).combine_chunks() for k in [*keys, "n", "mu"]]
             cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.list_(pa.float64()))], names=[*keys, "n", "mu", "inv"])
@@ -195,17 +201,7 @@ def mcd(rows: DataFrame, keys: list[str]) -> DataFrame:
             cond = cond & F.col(k).eqNullSafe(F.col(f"c_{k}"))
         near = scored.join(cut, cond, "left_semi")
         est = stored(_inverse(_moments(near, keys), keys), "mcd-step")
-    # consistency: the median distance of a group's rows takes its expected value
-    scored = _with_estimate(rows, est, keys).withColumn("d2", _distance())
-    expected = 3.3567  # the median of chi-square with four degrees of freedom
-    scale = (scored.groupBy(*keys).agg(F.greatest(F.percentile_approx("d2", 0.5, 1000) / expected, F.lit(1.0)).alias("scale"))
-                   .select(*[F.col(k).alias(f"c_{k}") for k in keys], "scale"))
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"c_{k}"))
-        cond = c if cond is None else cond & c
-    out = est.join(scale, cond, "left")
-    return stored(out.select(*keys, "n", "mu", F.transform("inv", lambda v: v / F.coalesce("scale", F.lit(1.0))).alias("inv")), "mcd")
+    return est
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
