@@ -19,6 +19,13 @@ from tessera.llm.common import stored
 from tessera.session import read_table, ship_package
 
 
+# A passage of 50 words of running text: the least length, in bytes, of a
+# string that the suffix-array stage removes where it repeats; its anchors are
+# hashes of GRAM_BYTES.
+PASSAGE_BYTES = 240
+GRAM_BYTES = 96
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """``docs`` with the key by which verdicts name rows."""
     return docs.withColumns({"_t_id": F.col("doc_id").cast("long"), "_t_hash": F.xxhash64("text")})
@@ -40,22 +47,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: that of the smallest id, then of the
-    smallest text hash; of rows that agree in both, any one."""
+    smallest text hash; of rows that agree in both, the one whose other columns
+    come first."""
     ship_package(spark)
     rows = simhash.groups(docs)
     first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("w"))
     keep = stored(first.select(F.col("w.doc_id").alias("_v_id"), F.col("w.text_hash").alias("_v_hash")), "kept")
     src = _keyed(docs)
     out = src.join(keep, _named(src, keep), "left_semi")
-    return out.dropDuplicates(["_t_id", "_t_hash"]).select(*docs.columns)
+    # repeated rows of one id and text: the same one under any partitioning
+    order = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    one = out.groupBy("_t_id", "_t_hash").agg(F.min_by(F.struct(*docs.columns), order).alias("_t_row"))
+    return one.select("_t_row.*")
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated strings; bytes of a character that
-    was cut apart go too.  ``n_chars`` follows the text."""
+    """Texts without the bytes of repeated strings of ``PASSAGE_BYTES`` or more;
+    bytes of a character that was cut apart go too.  ``n_chars`` follows the
+    text."""
     ship_package(spark)
     src = _keyed(docs)
-    cuts = suffixdedup.repeats(suffixdedup.with_hash(docs))
+    cuts = suffixdedup.repeats(suffixdedup.with_hash(docs), PASSAGE_BYTES, GRAM_BYTES)
     cuts = cuts.select(F.col("doc_id").alias("_v_id"), F.col("text_hash").alias("_v_hash"), F.col("cuts").alias("_cuts"))
     joined = src.join(cuts, _named(src, cuts), "left")
 

@@ -232,7 +232,8 @@ class Automaton:
         g = self.g
         long_first = np.argsort(-g.length, kind="stable")
         begin, length = g.first[:-1][long_first], g.length[long_first]
-        score, state = np.zeros(g.n_docs), np.ones(g.n_docs, np.int64)
+        # every text starts after its start mark; single words have no context
+        score, state = np.zeros(g.n_docs), np.full(g.n_docs, 0 if g.order == 1 else 1, np.int64)
         active = g.n_docs
         for t in range(int(length[0]) if length.size else 0):
             while active and length[active - 1] <= t:

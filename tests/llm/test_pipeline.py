@@ -2,6 +2,7 @@
 columns, against plain code on the stage's own input."""
 import collections
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -55,9 +56,9 @@ def test_near_duplicates_keep_one_of_each_group(spark, sf, make):
 def test_repeated_strings_are_cut(spark, sf, make):
     rows = corpus(31) + edge_rows()[:8]
     out = got(cp.repeated_strings(spark, make(rows), sf))
-    want = collections.Counter((r[0], r[1], r[2]) for r in plain(rows, 400))
+    want = collections.Counter((r[0], r[1], r[2]) for r in plain(rows, cp.PASSAGE_BYTES))
     assert len(out) == len(rows) and list(out[0]) == make(rows).columns
-    removed = {(r[0], r[1]): r[2] for r in plain(rows, 400)}
+    removed = {(r[0], r[1]): r[2] for r in plain(rows, cp.PASSAGE_BYTES)}
     assert sum(want.values()) == len(rows)
     by_id = {r[0]: r for r in rows}
     for r in out:
@@ -71,6 +72,26 @@ def test_repeated_strings_are_cut(spark, sf, make):
                 assert 0 <= len(old[1].encode()) - n - len(r["text"].encode()) <= 6    # cut characters
 
 
+def test_passages_of_fifty_words_go(spark, sf, make):
+    rng = random.Random(41)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passages = [prose(rng.randint(52, 70)) for _ in range(6)]
+    rows = [(i, f"{prose(80)}\n{passages[i % 6]}\n{prose(80)}", "en", "s1", 1) for i in range(24)]
+    clean = [(100 + i, prose(200), "en", "s1", 1) for i in range(10)]
+    out = {r["doc_id"]: r["text"] for r in got(cp.repeated_strings(spark, make(rows + clean), sf))}
+    for i, text, *_ in rows:
+        assert passages[i % 6] not in out[i] and len(out[i]) >= len(text) - len(passages[i % 6]) - 2 - 12
+    assert all(out[r[0]] == r[1] for r in clean)
+
+
+def test_near_duplicates_same_row_under_any_partitioning(spark, sf, make):
+    rows = [(1, "one and the same text here", "en", s, 1) for s in ("b", "a", None, "c")] * 3
+    seen = {tuple(got(cp.near_duplicates(spark, make(rows).repartition(n), sf))[0].values()) for n in (1, 4, 7)}
+    assert len(seen) == 1
+
+
 def test_mix_takes_effect(spark, sf, make):
     rows = corpus(37) + edge_rows()
     out = collections.Counter((r["doc_id"], r["text"], r["source"]) for r in got(cp.source_mix(spark, make(rows), sf)))
@@ -85,7 +106,6 @@ def test_mix_takes_effect(spark, sf, make):
 
 
 def test_quality_stage_keeps_columns_and_clean_rows(spark, sf, make):
-    import random
     rng = random.Random(3)
     rows = [(i, ".\n".join(sentence(rng, 40) for _ in range(3)), "en", "s", 1) for i in range(30)] + edge_rows()
     df = make(rows)
