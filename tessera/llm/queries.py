@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bytebpe, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts, tokenfiles
+from tessera.llm import bytebpe, exactdedup, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts, tokenfiles
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -156,3 +156,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to the mix of all sources."""
     weights = mixing.quality_weights(read_table(spark, sf_dir, "labels"))
     return mixing.mix(_docs(spark, sf_dir), weights).drop("text_hash", "source")
+
+
+_EXACT_SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+r AS (
+  SELECT *, row_number() OVER w AS nth, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS n
+  FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, nth = 1 AS kept, text_sha256 FROM r"""
+
+
+@register("op12_exact_dedup", _EXACT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts, and the row of each that stays."""
+    return exactdedup.deduplicated(_docs(spark, sf_dir))
