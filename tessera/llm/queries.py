@@ -8,7 +8,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bytebpe, exactdedup, fingerprint, licenses, lmscore, mixing, quality, simhash, suffixdedup, tokencounts, tokenfiles
+from tessera.llm import bytebpe, exactdedup, fingerprint, licenses, lmscore, mixing, quality, simhash, spelling, suffixdedup, tokencounts, tokenfiles
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -158,6 +158,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir), weights).drop("text_hash", "source")
 
 
+@register("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the frequent form and the root of each."""
+    return spelling.grouped(_docs(spark, sf_dir))
+
+
 _EXACT_SQL = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
