@@ -7,8 +7,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bytebpe, exactdedup, fingerprint, licenses, lmscore, mixing, quality, simhash, spelling, suffixdedup, tokencounts, tokenfiles
+from tessera.llm import bytebpe, exactdedup, fingerprint, licenses, lmscore, mixing, negatives, quality, simhash, spelling, suffixdedup, tokencounts, tokenfiles
 from tessera.session import read_table
 
 QUERIES: dict = {}
@@ -178,3 +179,31 @@ SELECT doc_id, keep_id, CAST(n AS BIGINT) AS group_size, nth = 1 AS kept, text_s
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts, and the row of each that stays."""
     return exactdedup.deduplicated(_docs(spark, sf_dir))
+
+
+_NEGATIVES_SQL = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10"""
+
+
+@register("op13_hard_negatives", _NEGATIVES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.prepared(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return negatives.mine(rows, F.col("id") % 100 == 0)
