@@ -6,7 +6,7 @@ same label; for each of them the first rows of other labels whose score lies
 in a share window of the positive's score are its hard negatives.
 
 1. Rows are dealt to tiles sort-tile-recursive: cuts along the two coordinates
-   that spread most, placed by a sample of ``SAMPLE`` rows (least hashes).  A
+   that spread most, placed by a sample of about ``SAMPLE`` rows (by hashes).  A
    tile with many rows (copies of one vector) is split by hash.  There are at
    most ``2 * MAX_TILES`` tiles, each of them one stored row: the packed
    R-tree of its rows.  Every row is in one tile; nothing is approximate.
@@ -128,7 +128,8 @@ class Index:
         n, dims = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
         self.dims = dims = max(1, int(dims))
         tiles = max(1, min(max_tiles, -(-n // tile_rows)))
-        some = rows.select("v", F.xxhash64("tag", "id").alias("h")).orderBy("h").limit(sample).toArrow()
+        share = F.pmod(F.xxhash64("tag", "id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(n, 1)))
+        some = rows.where(share).select("v").toArrow()
         cuts = Cuts(_matrix(some.column("v"), dims), tiles)
 
         def deal(batches):
@@ -140,7 +141,8 @@ class Index:
         dealt = stored(rows.select("id", "label", "v", "tag").mapInArrow(deal, "id long, label long, v array<long>, tag long, t long"), "negatives-dealt")
         # parts of the tiles that hold more than twice their share
         large = -(-n // tiles) * 2 if n else 1
-        parts = {r["t"]: -(-r["count"] // large) for r in dealt.groupBy("t").count().where(F.col("count") > large).collect()}
+        full = dealt.groupBy("t").count().where(F.col("count") > large).toArrow()
+        parts = {t: -(-c // large) for t, c in zip(full.column("t").to_pylist(), full.column("count").to_pylist())}
         part = F.lit(0).cast("long")
         if parts:
             of = F.create_map(*[F.lit(x).cast("long") for kv in parts.items() for x in kv])

@@ -7,8 +7,8 @@ points of k-d trees over their counts, one per length, and two range searches
 find all candidates: (length, same length) with at most one letter more and one
 less, (length, next length) with one letter more and none less.
 
-1. The top of each length's tree is fitted on a sample of ``SAMPLE`` words
-   (least hashes) and cuts the space into cells of about ``CELL`` words; every
+1. The top of each length's tree is fitted on a sample of about ``SAMPLE``
+   words (by their hashes) and cuts the space into cells of about ``CELL`` words; every
    word is then dealt to its cell.  The sample only places the cuts.
 2. A word visits each other cell whose box its range meets (of a pair of cells
    of one length only the later one is visited).  Cells that turn out large
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm import kdtree
-from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans, owner, stored
+from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans, owner, release_memory, stored
 
 MIN_LETTERS = 7
 MIN_COUNT = 2
@@ -44,9 +44,11 @@ EVERY = 31
 SAMPLE = 1 << 17
 CELL = 1 << 14
 _LEAF = 16
-_HELD = 1 << 18          # distinct words a task gathers before it hands them on
-_PAIRS = 1 << 18
-_CODES = 1 << 22
+_HELD = 1 << 17          # distinct words a task gathers before it hands them on
+_PAIRS = 1 << 17
+_CODES = 1 << 21
+_ASKED = 1 << 12
+_WORDS = 10_000          # words of one Arrow batch
 
 
 # ------------------------------------------------------------------- words
@@ -67,8 +69,8 @@ def _spans(raw: np.ndarray, off: np.ndarray):
     end = inside.copy()
     end[:-1] &= ~inside[1:] | edge[1:-1]
     a, b = np.flatnonzero(start), np.flatnonzero(end) + 1
-    leads = np.concatenate([[0], np.cumsum(lead)])
-    return a, b, b - a - (leads[b] - leads[a])
+    leads = np.flatnonzero(lead)
+    return a, b, b - a - (np.searchsorted(leads, b) - np.searchsorted(leads, a))
 
 
 def _batch_words(ids: list, text, min_letters: int, every: int) -> dict[str, int]:
@@ -114,6 +116,8 @@ def words(docs: DataFrame, min_letters: int = MIN_LETTERS, min_count: int = MIN_
                 yield rows()
                 held.clear()
         yield rows()
+        held.clear()
+        release_memory()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return src.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
@@ -228,8 +232,8 @@ def near_pairs(residents: list[str], visitors: list[str], shorter: list[str]):
     rows, near = [], []
     first = 0
     for kind, some in ((_RESIDENT, residents), (_SAME, visitors), (_SHORTER, shorter)):
-        for at in range(0, len(some), 1 << 14):
-            part = some[at:at + (1 << 14)]
+        for at in range(0, len(some), _ASKED):
+            part = some[at:at + _ASKED]
             mine = kdtree.letters(part)
             q = kdtree.unary(kdtree.letter_counts(mine), bits)
             loss = 0 if kind == _SHORTER else 1
@@ -269,6 +273,7 @@ def _search(table):
     count = np.bincount(a, minlength=len(name))
     use = np.flatnonzero(count)
     form = np.asarray(order, np.int64)[best[use]]
+    release_memory()
     return pa.table({"word": pa.array([name[k] for k in use], pa.string()), "n_near": pa.array(count[use], pa.int64()),
                      "near_n": pa.array(n[form], pa.int64()), "near": pa.array([name[k] for k in form], pa.string())})
 
@@ -277,8 +282,9 @@ def near_words(table: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> Data
     """``word, n`` (a stored table) -> ``word, n_near, near_n, near`` of the
     words that have near words; ``near`` is the most frequent one."""
     total = table.count()
-    some = [r["word"] for r in table.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    cells = Cells(some, total, cell)
+    # some ``sample`` words by their hashes: the same ones under any partitioning
+    share = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / max(total, 1)))
+    cells = Cells(table.where(share).select("word").toArrow().column("word").to_pylist(), total, cell)
 
     def count(batches):
         for b in batches:
@@ -287,8 +293,8 @@ def near_words(table: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else [], pa.int64())], names=["cell"])
 
     # the cells that need several chunks: at most one per 4 * cell words
-    large = table.select("word").mapInArrow(count, "cell long").groupBy("cell").count().where(F.col("count") > 4 * cell).collect()
-    chunks = {r["cell"]: -(-r["count"] // (2 * cell)) for r in large}
+    large = table.select("word").mapInArrow(count, "cell long").groupBy("cell").count().where(F.col("count") > 4 * cell).toArrow()
+    chunks = {c: -(-n // (2 * cell)) for c, n in zip(large.column("cell").to_pylist(), large.column("count").to_pylist())}
     found = _dealt(table, cells, chunks).groupBy("cell", "chunk").applyInArrow(_search, _FOUND)
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near"))).alias("b")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best).select(
@@ -311,6 +317,7 @@ def _roots(links: DataFrame) -> DataFrame:
 def variants(table: DataFrame, ratio: int = RATIO, **options) -> DataFrame:
     """``word, n`` -> ``word, form, root, n, n_near, form_n``."""
     table = stored(table.select("word", "n"), "spelling-words")
+    bounded_batches(table.sparkSession, _WORDS)
     near = stored(near_words(table, **options).withColumnRenamed("word", "v_word"), "spelling-near")
     out = table.join(near, F.col("word") == F.col("v_word"), "left")
     use = F.col("near_n") >= ratio * F.col("n")
