@@ -200,6 +200,18 @@ def data_field_players(nodes: DataFrame) -> DataFrame:
     return x.select("page_id", F.col("tr_id").alias("player_id"), position.alias("position"), year.alias("year"))
 
 
+def roster_nodes(pages: DataFrame) -> DataFrame:
+    """B1 for rosters: the nodes of ``pages`` with the text of rows, cards and
+    what lies in cards, which is all that B17 and B18 read."""
+    return hx.html_nodes(pages.select("page_id", "html"), text_when=lambda tag, attrs, above: tag in ("li", "tr") or "li" in above)
+
+
+def camp_nodes(pages: DataFrame) -> DataFrame:
+    """B1 for camp pages: with the text of ``h1`` and ``.location``."""
+    place = hx.in_class("location")
+    return hx.html_nodes(pages, text_when=lambda tag, attrs, above: tag == "h1" or place(tag, attrs, above))
+
+
 def roster_players(nodes: DataFrame) -> DataFrame:
     """B19 + V1: route each page to the Sidearm or the data-field extractor
     (the extractor registry is the page-kind test)."""

@@ -35,6 +35,7 @@ Character references in text are decoded.  ``text`` is all descendant text
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -223,7 +224,13 @@ def parse_page(html: str, with_builder: bool = False):
     return (out[0], out[1], b) if with_builder else out
 
 
-def _nodes_batches(batches, text_tags, outer_tags, text_sep=None):
+def in_class(*names: str) -> Callable[[str, dict, list], bool]:
+    """``text_when`` for elements of one of the classes."""
+    held = set(names)
+    return lambda tag, attrs, above: not held.isdisjoint(attrs.get("class", "").split())
+
+
+def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None):
     for batch in batches:
         ids = batch.column("page_id").to_pylist()
         htmls = batch.column("html").to_pylist()
@@ -246,7 +253,7 @@ def _nodes_batches(batches, text_tags, outer_tags, text_sep=None):
                 cols["tag"].append(tag)
                 cols["attrs"].append(list(n[5].items()))
                 cols["own_text"].append("".join(n[6]))
-                keep_text = text_tags is None or tag in text_tags
+                keep_text = text_when(tag, n[5], n[12]) if text_when is not None else text_tags is None or tag in text_tags
                 if not keep_text:
                     cols["text"].append(None)
                 elif text_sep is not None:
@@ -267,10 +274,11 @@ def _nodes_batches(batches, text_tags, outer_tags, text_sep=None):
 
 
 def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, carry: list[str] | None = None,
-               text_sep: str | None = None) -> DataFrame:
+               text_sep: str | None = None, text_when: Callable[[str, dict, list], bool] | None = None) -> DataFrame:
     """B1: one row per element of every page.
 
     ``text_tags``: tags whose full descendant text is kept (None = all);
+    ``text_when``: the same as a test of tag, attributes and enclosing tags;
     ``outer_tags``: tags whose source slice is kept (None = none, "*" = all);
     ``tags``: if given, only these element rows are returned (the tree is
     still built whole, so ancestry and implied closing are unaffected);
@@ -291,7 +299,7 @@ def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, car
     def run(batches):
         import pyarrow.compute as pc
         for batch in batches:
-            for rb in _nodes_batches([batch], text_tags, outer_tags, text_sep):
+            for rb in _nodes_batches([batch], text_tags, outer_tags, text_sep, text_when):
                 if keep is not None:
                     rb = rb.filter(pc.is_in(rb.column("tag"), value_set=pa.array(sorted(keep))))
                     if rb.num_rows == 0:

@@ -9,12 +9,12 @@ sheet writes) are input or output tables here.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import roster as ro
 from tessera.functions import status as st
+from tessera.functions.similarity import round_score
 from tessera.functions.text import strip
 from tessera.functions.urls import canonical_url, rewrite_host
 from tessera.operators import aggregate as ag
@@ -24,6 +24,7 @@ from tessera.operators import extract as ex
 from tessera.operators import html as hx
 from tessera.operators import match as mt
 from tessera.operators import reconcile as rc
+from tessera.operators import topk as tk
 from tessera.sources.files import scan_master
 from tessera.sources.sinks import cut_lineage
 from tessera.sources.pages import first_hit, mail_html, yearless_candidates
@@ -31,9 +32,9 @@ from tessera.sources.pages import first_hit, mail_html, yearless_candidates
 
 def _reused(df: DataFrame) -> DataFrame:
     """A table several branches of a job read (the node table above all):
-    kept once in executor memory/disk so the HTML parse runs once; a lost
-    executor recomputes its blocks from lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    written once to the shared checkpoint folder, so that the HTML parse runs
+    once and a lost executor loses nothing."""
+    return cut_lineage(df)
 
 
 def _tables(pages: DataFrame):
@@ -98,8 +99,8 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     ranked = cut_lineage(ag.points_standing(ent, group=["page_id", "table_id"], pos="pos", pts="pts"))
     m = scan_master(master, gender, attr="conference").select(
         F.col("row_id"), F.col("name").alias("master_name"), "conference")
-    cands = mt.fuzzy_topk(ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")), m, k=k,
-                          name="school", pref="conference", master_conf="conference")
+    cands = cut_lineage(tk.exact_topk(ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")), m, k=k,
+                                      name="school", pref="conference", master_conf="conference"))
     accepted, review = mt.resolve_matches(cands.select("left_key", "rank", "row_id", "master_name", "score"),
                                           decisions, key="left_key", accept_at=accept_at)
     best = ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")).join(accepted, "left_key")
@@ -142,7 +143,7 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
     r = r.select("page_id", "pos", F.col("rank").alias("poll_rank"), "name").withColumn("division", F.lit(division))
     m = scan_master(master, gender, attr="division").select("row_id", F.col("name").alias("master_name"),
                                                             F.col("division").alias("m_div"))
-    cands = mt.fuzzy_topk(r, m, k=k, name="name", left_attr="division", master_attr="m_div")
+    cands = cut_lineage(tk.exact_topk(r, m, k=k, name="name", left_attr="division", master_attr="m_div"))
     acc, review = mt.resolve_matches(cands.select(F.col("name").alias("left_key"), "rank", "row_id", "master_name",
                                                   "score"), decisions, key="left_key", accept_at=accept_at)
     ranks = r.select(F.col("name").alias("left_key"), "poll_rank", "pos")
@@ -162,7 +163,7 @@ def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | N
         "page_id", F.col("url").alias("candidate_url"), "html")
     # only captures that some candidate names are parsed
     pages = pages.join(cand.select("candidate_url").distinct(), "candidate_url", "left_semi")
-    nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
+    nodes = _reused(ex.roster_nodes(pages))
     players = _reused(ex.roster_players(nodes))
     n = players.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_players"))
     hits = cand.join(pages.select("page_id", "candidate_url"), "candidate_url").join(n, "page_id")
@@ -192,7 +193,7 @@ def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None =
     urls = urls.filter(has_year_token(F.col("url"))).withColumn("candidate_url", remove_year_segment(F.col("url")))
     pages = captures.filter(F.col("status") == 200).select("page_id", F.col("url").alias("candidate_url"), "html")
     pages = pages.join(urls.select("candidate_url").distinct(), "candidate_url", "left_semi")
-    nodes = _reused(hx.html_nodes(pages.select("page_id", "html")))
+    nodes = _reused(ex.roster_nodes(pages))
     players = ro.normalize_players(ex.roster_players(nodes))
     counts = ag.roster_counts(players, ["page_id"])
     hit = urls.join(pages.select("page_id", "candidate_url"), "candidate_url").join(counts, "page_id")
@@ -219,7 +220,8 @@ def camp_directory(pages: DataFrame, master: DataFrame, n_lowest: int = 30) -> d
     rec = rows.filter(F.size("cells") >= 2)
     camps = ex.camp_directory(rec, nodes, pages)
     m = master.select("row_id", F.col("university_name").alias("master_name"))
-    best = mt.best_match(camps, m, name="camp_school_name", old_value=None)
+    best = tk.exact_topk(camps, m, k=1, name="camp_school_name").withColumnsRenamed({"row_id": "match_row_id", "master_name": "match_name"})
+    best = cut_lineage(best.withColumn("similarity_score", round_score(F.coalesce("score", F.lit(0.0)), 3)).drop("rank", "score"))
     best = best.withColumn("pos", F.struct(*[c for c in ("page_id", "table_id", "tr_idx") if c in best.columns]))
     low = ag.lowest_n(best.withColumn("similarity_score", F.col("similarity_score").cast("string")),
                       "similarity_score", "pos", n_lowest)
@@ -258,14 +260,13 @@ def camp_enrichment(camps: DataFrame, captures: DataFrame, gazetteer: DataFrame,
 def branded_camps(pages: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Camp page fields (B21, S21, S22, S25, S26) + geocode of
     'title, city, state' (E14)."""
-    nodes = _reused(hx.html_nodes(pages))
-    c = ex.camp_page_fields(nodes, pages)
+    c = ex.camp_page_fields(ex.camp_nodes(pages), pages)
     return rc.geocode(c, F.concat_ws(", ", "camp_name", "city", "state"), gazetteer)
 
 
 def event_camps(pages: DataFrame) -> DataFrame:
     """JSON-LD events of every page."""
-    nodes = hx.html_nodes(pages, tags={"script"})
+    nodes = hx.html_nodes(pages, tags={"script"}, text_tags=set())
     return ex.jsonld_events(nodes)
 
 
@@ -285,7 +286,7 @@ def academic_facts(pages: DataFrame, master: DataFrame, value_cls: str, title_cl
                    host_suffix: str) -> dict:
     """Labelled facts per page -> joined to the master on the canonical
     URL (last master row wins) -> keyed upsert with duplicate flag."""
-    nodes = _reused(hx.html_nodes(pages))
+    nodes = _reused(hx.html_nodes(pages, text_when=hx.in_class(value_cls, title_cls, undergrad_cls)))
     tv = ex.labelled_values(nodes, value_cls, title_cls)
     facts = ex.academic_facts(tv, nodes, undergrad_cls).join(pages.select("page_id", "url"), "page_id", "right")
     m = master.withColumn("_fetch", rewrite_host(F.col("academic_info_url"), host_suffix))

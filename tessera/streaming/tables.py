@@ -94,7 +94,7 @@ class Tables:
 
     def touched(self, rows: DataFrame, keys: list[str]) -> list[int]:
         """The buckets of the rows' keys (at most ``buckets`` numbers)."""
-        return sorted(r[0] for r in rows.select(self.bucket_of(keys)).distinct().collect())
+        return sorted(rows.select(self.bucket_of(keys).alias("b")).distinct().toArrow().column("b").to_pylist())
 
     def read(self, table: str, buckets: list[int] | None = None, version: int | None = None, state: dict | None = None) -> DataFrame:
         """The committed rows of a table; with ``buckets`` only their folders
