@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import csv
-import io
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.events import division_from_filename, gender_from_name
 from tessera.functions.text import strip
+from tessera.sources.csv_scan import csv_records
 
 
 def scan_master(master: DataFrame, gender: str, attr: str = "division") -> DataFrame:
@@ -38,49 +35,30 @@ CHANGE_HEADERS = {"conference": "conference", "school": "school", "position": "p
 PREAMBLE_ROWS = 5   # Fixed value: rows before the header in files that do not start with it.
 
 
-def _parse_change_file(path: str, content: str) -> list[dict]:
-    rows = list(csv.reader(io.StringIO(content)))
-    if not rows:
-        return []
-    if not rows[0] or rows[0][0] != "Conference":
-        rows = rows[PREAMBLE_ROWS:]
-    if not rows:
-        return []
-    header = list(rows[0]) + [""] * max(0, 6 - len(rows[0]))
-    header[5] = "Change"
-    names = [CHANGE_HEADERS.get(h.strip().lower()) for h in header]
-    out = []
-    for i, r in enumerate(rows[1:]):
-        rec = {"file_name": path, "pos": i}
-        for j, v in enumerate(r):
-            if j < len(names) and names[j] and names[j] not in rec:
-                rec[names[j]] = v if v != "" else None
-        out.append(rec)
-    return out
-
-
 def read_change_logs(spark: SparkSession, paths: str) -> DataFrame:
-    """A3 + A4: every change-log CSV under ``paths`` (a glob).  Files are read
-    whole (a quoted line break stays inside its cell) and parsed in parallel,
-    one file per row; a file that does not start with the header loses its
-    first 5 rows; the header is padded to 6 and the 6th column is ``Change``.
+    """A3 + A4: every change-log CSV under ``paths`` (a glob), cut into records
+    in parallel (``csv_scan.csv_records``; a quoted line break stays inside its
+    cell).  A file that does not start with the header loses its first 5
+    records; the header is padded to 6 and the 6th column is ``Change``.
     Gender (women before men) and division come from the file name; files
     with neither gender are dropped.  Source files are never rewritten."""
-    raw = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
-
-    def parse(batches):
-        for pdf in batches:
-            recs = []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                recs.extend(_parse_change_file(p, c or ""))
-            if not recs:
-                continue
-            out = pd.DataFrame(recs, columns=[f.name for f in CHANGE_SCHEMA.fields])
-            yield out.astype({"pos": "int32"}).astype({f.name: "object" for f in CHANGE_SCHEMA.fields
-                                                      if f.name != "pos"})
-
-    rows = raw.mapInPandas(parse, CHANGE_SCHEMA)
+    rec = csv_records(spark, paths)
+    # a file's header is one of its first records: one small row per file
+    top = rec.filter(F.col("pos") <= PREAMBLE_ROWS).groupBy("file_name").agg(
+        F.max(F.when(F.col("pos") == 0, F.col("cells"))).alias("c0"),
+        F.max(F.when(F.col("pos") == PREAMBLE_ROWS, F.col("cells"))).alias("c5"))
+    plain = F.coalesce(F.try_element_at("c0", F.lit(1)) == "Conference", F.lit(False))
+    top = top.select(F.col("file_name").alias("h_file"), F.when(plain, 0).otherwise(PREAMBLE_ROWS).alias("h_pos"),
+                     F.when(plain, F.col("c0")).otherwise(F.col("c5")).alias("header")).filter(F.col("header").isNotNull())
+    names = F.create_map(*[F.lit(x) for kv in CHANGE_HEADERS.items() for x in kv])
+    padded = F.concat("header", F.array_repeat(F.lit(""), F.greatest(F.lit(0), 6 - F.size("header"))))
+    padded = F.transform(padded, lambda h, i: F.when(i == 5, F.lit("Change")).otherwise(h))
+    top = top.withColumn("at", F.transform(padded, lambda h: F.coalesce(F.try_element_at(names, F.lower(strip(h))), F.lit(""))))
+    rows = rec.join(top, F.col("file_name") == F.col("h_file")).filter(F.col("pos") > F.col("h_pos"))
+    fields = [f.name for f in CHANGE_SCHEMA.fields if f.name not in ("file_name", "pos")]
+    place = lambda c: F.array_position("at", c).cast("int")
+    rows = rows.select("file_name", (F.col("pos") - F.col("h_pos") - 1).cast("int").alias("pos"), *[
+        F.when(place(c) > 0, F.nullif(F.try_element_at("cells", F.greatest(place(c), F.lit(1))), F.lit(""))).alias(c) for c in fields])
     return (rows.withColumn("gender", gender_from_name(F.regexp_extract("file_name", r"([^/]*)$", 1)))
             .withColumn("division", division_from_filename(F.col("file_name")))
             .filter(F.col("gender").isNotNull()))
