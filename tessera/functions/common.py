@@ -22,3 +22,9 @@ def keep_computed(df, name: str = "_barrier"):
     must reference the marker (``F.col(name) >= 0``) or it is pruned first;
     drop it after the filter."""
     return df.withColumn(name, F.spark_partition_id())
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often
+    ``use`` names it."""
+    return F.transform(F.array(value), use)[0]

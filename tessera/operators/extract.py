@@ -303,16 +303,60 @@ def first_strategy(results: DataFrame, priority: str = "strategy") -> DataFrame:
 
 # ------------------------------------------------------------------ standings
 
-def standings_from_tables(rec: DataFrame, title: DataFrame) -> DataFrame:
-    """Per conference block (table) rows with >= 2 cells and a school:
-    standing, school, conf_record, overall_record by position.  ``title``
-    gives ``(page_id, table_id, conference)`` (decision D14)."""
-    c = lambda i: F.coalesce(F.try_element_at(F.col("cells"), F.lit(i + 1)), F.lit(""))
-    x = rec.filter(F.size("cells") >= 2).join(title, ["page_id", "table_id"], "left")
-    return (x.select("page_id", "table_id", "conference", F.col("tr_idx").alias("pos"),
-                     clean_text(c(0)).alias("standing"), clean_text(c(1)).alias("school"),
-                     clean_text(c(2)).alias("conf_record"), clean_text(c(3)).alias("overall_record"))
-            .filter(F.col("school") != ""))
+def block_nodes(pages: DataFrame) -> DataFrame:
+    """B1 for B10: the nodes of ``pages`` with the text of cells, headings and links."""
+    return hx.html_nodes(pages, text_tags={"td", "a", "h1", "h2", "h3", "h4"})
+
+
+def positional_standings(nodes: DataFrame) -> DataFrame:
+    """Rows with at least two ``td`` cells and a school, read by position:
+    ``page_id, pos, conference, standing, school, conf_record,
+    overall_record``.  A row that holds other rows (layout) is no row.
+
+    The conference is the title that is open at the row (decision D14: a
+    heading, else a link, else the own text of a ``div`` of class title or
+    header).  A title belongs to the innermost element around it in which a
+    row follows, so a heading inside a header box reaches the rows beside the
+    box, and a title of a nested block ends with that block.  Of the open
+    titles the one of the innermost block counts, then the last heading, the
+    first link, the last title box.  One sweep in document order over the
+    titles and rows of each block; titles inside rows do not count."""
+    root = lambda a: F.concat(F.array(F.lit(-1)), a)
+    td = nodes.filter(F.col("tag") == "td").select("page_id", "node_id", hx.nearest_ancestor("tr").alias("tr_id"),
+                                                   clean_text(F.coalesce(F.col("text"), F.lit(""))).alias("c"))
+    cells = td.filter(F.col("tr_id").isNotNull()).groupBy("page_id", "tr_id").agg(F.array_sort(F.collect_list(F.struct("node_id", "c"))).alias("cs"))
+    trs = nodes.filter(F.col("tag") == "tr").select("page_id", F.col("node_id").alias("tr_id"), root(F.col("ancestor_ids")).alias("above"),
+                                                   hx.nearest_ancestor("tr").alias("outer_tr"))
+    layout = trs.filter(F.col("outer_tr").isNotNull()).select("page_id", F.col("outer_tr").alias("tr_id")).distinct()
+    rows = trs.drop("outer_tr").join(cells, ["page_id", "tr_id"]).filter(F.size("cs") >= 2).join(layout, ["page_id", "tr_id"], "left_anti")
+    text = lambda c: F.nullif(clean_text(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    cls = F.lower(F.coalesce(F.col("attrs")["class"], F.lit("")))
+    heading, link = F.col("tag").isin("h1", "h2", "h3", "h4"), F.col("tag") == "a"
+    box = (F.col("tag") == "div") & (cls.contains("title") | cls.contains("header"))
+    titles = nodes.filter(heading | link | box).select(
+        "page_id", "node_id", root(F.col("ancestor_ids")).alias("above"), hx.nearest_ancestor("tr").alias("tr_id"),
+        F.when(heading, text("text")).alias("h"), F.when(link, text("text")).alias("a"), F.when(box, text("own_text")).alias("d"))
+    titles = titles.filter(F.coalesce("h", "a", "d").isNotNull()).join(rows.select("page_id", "tr_id"), ["page_id", "tr_id"], "left_anti")
+    # the last row below every element, and from it the block of each title
+    below = rows.select("page_id", "tr_id", F.posexplode("above").alias("depth", "block"))
+    last = below.groupBy("page_id", "block").agg(F.max("tr_id").alias("last"))
+    scope = (titles.select("page_id", "node_id", "h", "a", "d", F.posexplode("above").alias("depth", "block")).join(last, ["page_id", "block"])
+                   .filter(F.col("last") > F.col("node_id")).groupBy("page_id", "node_id")
+                   .agg(F.max_by(F.struct("block", "h", "a", "d"), "depth").alias("s")).select("page_id", "node_id", "s.*"))
+    none = F.lit(None).cast("string")
+    blocks = scope.select("page_id", "block").distinct()
+    events = (below.join(blocks, ["page_id", "block"], "left_semi").select("page_id", "block", F.col("tr_id").alias("node_id"), "depth", none.alias("h"),
+                                                                          none.alias("a"), none.alias("d"))
+                   .unionByName(scope.withColumn("depth", F.lit(None).cast("int"))))
+    w = Window.partitionBy("page_id", "block").orderBy("node_id").rowsBetween(Window.unboundedPreceding, 0)
+    swept = events.select("page_id", "node_id", "depth", F.last("h", ignorenulls=True).over(w).alias("h"),
+                          F.first("a", ignorenulls=True).over(w).alias("a"), F.last("d", ignorenulls=True).over(w).alias("d"))
+    best = swept.filter(F.col("depth").isNotNull()).groupBy("page_id", F.col("node_id").alias("tr_id")).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("depth"))).alias(c) for c in ("h", "a", "d")])
+    out = rows.select("page_id", "tr_id", F.transform("cs", lambda x: x["c"]).alias("cells")).join(best, ["page_id", "tr_id"], "left")
+    cell = lambda i: F.coalesce(F.try_element_at("cells", F.lit(i)), F.lit(""))
+    return out.select("page_id", F.col("tr_id").alias("pos"), F.coalesce("h", "a", "d", F.lit("")).alias("conference"), cell(1).alias("standing"),
+                      cell(2).alias("school"), cell(3).alias("conf_record"), cell(4).alias("overall_record")).filter(F.col("school") != "")
 
 
 # ------------------------------------------------------------------ JSON-LD

@@ -9,6 +9,8 @@ sheet writes) are input or output tables here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,13 +87,21 @@ def standing_entries(pages: DataFrame) -> DataFrame:
                       "conf_record", "overall_record", "standing", "pts")
 
 
+def block_entries(pages: DataFrame) -> DataFrame:
+    """J1, first half, for pages of titled blocks read by position."""
+    ent = ex.positional_standings(ex.block_nodes(pages.select("page_id", "html")))
+    return ent.select("page_id", F.lit(0).alias("table_id"), "conference", "pos", "school", "conf_record", "overall_record", "standing",
+                      F.lit(None).cast("double").alias("pts"))
+
+
 def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: int = 10,
-                         accept_at: float = 0.9, decisions: DataFrame | None = None) -> dict:
-    """Standings tables -> header -> keyword column map -> rows ->
-    points standing -> top-k fuzzy match with the conference bonus ->
+                         accept_at: float = 0.9, decisions: DataFrame | None = None,
+                         entries: Callable[[DataFrame], DataFrame] = standing_entries) -> dict:
+    """Standings tables -> header -> keyword column map -> rows (``entries``
+    may be ``block_entries`` for pages read by position) -> points standing -> top-k fuzzy match with the conference bonus ->
     accepted writes / review queue; the writes are the U3 standing upsert
     (three columns of the gender) for ``reconcile.apply_cell_writes``."""
-    ent = standing_entries(pages)
+    ent = entries(pages)
     # stage boundaries: the extracted and the ranked standings are written to
     # the shared checkpoint folder, so later stages neither re-parse pages nor
     # re-plan the whole extraction

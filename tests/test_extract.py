@@ -140,3 +140,22 @@ def test_year_logic_candidates(spark):
     got = rows(year_logic_candidates(u, "k", 2025, 2026), "k", "priority", "candidate_url")
     assert got == [("a", 0, "https://s.edu/x/2025-26/roster"), ("b", 0, "https://s.edu/x/roster"),
                    ("b", 1, "https://s.edu/x/2026/roster")]
+
+
+def test_positional_standings_titles_at_any_nesting(spark):
+    row = lambda *c: "<tr>" + "".join(f"<td>{x}</td>" for x in c) + "</tr>"
+    html = {
+        1: "<h1>Page</h1><div><div class=x><h2>Alpha</h2></div><table>" + row(1, "A", "1-0", "2-0") + row("only") + row(2, "") + "</table>"
+           "<div><h3>Beta</h3><table>" + row(1, "B <b>x</b>", "0-1") + "</table></div><table>" + row(3, "C") + "</table></div>"
+           "<table>" + row(9, "D") + "</table>",
+        2: "<section><a>First link</a><a>Second</a><table>" + row(1, "<a>E</a>") + row(2, "<a>F</a>") + "</table></section>"
+           "<section><div class='my-title'>Box</div><table>" + row(1, "G") + "</table></section>",
+        3: "<table>" + row(1, "H") + "</table><h2>too late</h2>",
+        4: "<h2>L</h2><table><tr><td><h4>In cell</h4><table>" + row(1, "I") + "</table></td><td><table>" + row(2, "J") + "</table></td></tr></table>",
+        5: row(1, "K") + "<h2>M</h2>" + row(2, "N"), 6: "", 7: None}
+    pages = spark.createDataFrame(list(html.items()), "page_id long, html string")
+    got = sorted((r["page_id"], r["conference"], r["standing"], r["school"], r["conf_record"], r["overall_record"])
+                 for r in ex.positional_standings(ex.block_nodes(pages)).collect())
+    assert got == [(1, "Alpha", "1", "A", "1-0", "2-0"), (1, "Alpha", "3", "C", "", ""), (1, "Beta", "1", "B x", "0-1", ""), (1, "Page", "9", "D", "", ""),
+                   (2, "Box", "1", "G", "", ""), (2, "First link", "1", "E", "", ""), (2, "First link", "2", "F", "", ""), (3, "", "1", "H", "", ""),
+                   (4, "In cell", "1", "I", "", ""), (4, "L", "2", "J", "", ""), (5, "", "1", "K", "", ""), (5, "M", "2", "N", "", "")]
