@@ -146,11 +146,12 @@ def th_td_index(tags: Column, v: Column) -> Column:
 
 # ------------------------------------------------------------------ C6, C8 + points: row extraction
 
-def extract_standing_rows(rec: DataFrame, explicit: bool = False) -> DataFrame:
+def extract_standing_rows(rec: DataFrame, explicit: bool | Column = False) -> DataFrame:
     """C6 + C8 + S31 + G2 inputs: per aligned row the mapped fields.
 
     ``rec`` holds ``cells``, ``header``, ``visible``, ``field_idx``,
-    ``row_idx``.  Without explicit indices a school value without a letter
+    ``row_idx``.  Without explicit indices (``explicit``, a flag or a condition
+    on the row: positions are taken as they are) a school value without a letter
     falls back to the first cell with a letter, a record value that is not
     ``W-L`` to the first cell that is.  School: mapped, else first visible
     cell, else first cell; brackets, parentheses and ``*`` removed; blank
@@ -163,11 +164,12 @@ def extract_standing_rows(rec: DataFrame, explicit: bool = False) -> DataFrame:
     first_rec = at(F.filter(cells, lambda c: is_record(c)), 1)
     school = get("school")
     conf, overall = get("conf_record"), get("overall_record")
-    if not explicit:
-        school = F.when(school.isNotNull() & ~school.rlike("[A-Za-z]") & first_alpha.isNotNull(),
+    if explicit is not True:
+        guess = ~explicit if isinstance(explicit, Column) else F.lit(True)
+        school = F.when(guess & school.isNotNull() & ~school.rlike("[A-Za-z]") & first_alpha.isNotNull(),
                         strip(first_alpha)).otherwise(school)
-        conf = F.when(conf.isNotNull() & ~is_record(conf) & first_rec.isNotNull(), strip(first_rec)).otherwise(conf)
-        overall = F.when(overall.isNotNull() & ~is_record(overall) & first_rec.isNotNull(),
+        conf = F.when(guess & conf.isNotNull() & ~is_record(conf) & first_rec.isNotNull(), strip(first_rec)).otherwise(conf)
+        overall = F.when(guess & overall.isNotNull() & ~is_record(overall) & first_rec.isNotNull(),
                          strip(first_rec)).otherwise(overall)
     first_vis = at(cells, at(F.col("visible"), 1) + 1)
     school = F.coalesce(F.nullif(school, F.lit("")), F.nullif(first_vis, F.lit("")), at(cells, 1))

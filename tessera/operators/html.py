@@ -408,8 +408,8 @@ def detect_header(rows: DataFrame, max_rows: int = 3, saved: DataFrame | None =
     """Per table the header row among the first ``max_rows`` rows: highest
     score, earliest on ties, score > 0.  A ``saved`` table
     ``(page_id, table_id, header_row)`` of earlier decisions wins.
-    Returns ``page_id, table_id, header_idx, header, header_classes`` (null
-    header when none qualifies)."""
+    Returns ``page_id, table_id, header_idx, header, header_classes,
+    header_tags`` (null header when none qualifies)."""
     cand = rows.filter(F.col("tr_idx") < max_rows).withColumn("score", header_score())
     best = (cand.groupBy("page_id", "table_id")
             .agg(F.max_by(F.struct("tr_idx", "cells", "classes", "score"),
@@ -421,7 +421,7 @@ def detect_header(rows: DataFrame, max_rows: int = 3, saved: DataFrame | None =
                           ["page_id", "table_id"], "left")
                 .select("page_id", "table_id", F.coalesce("_saved", "header_idx").alias("header_idx")))
     hdr = rows.select("page_id", "table_id", F.col("tr_idx").alias("header_idx"),
-                      F.col("cells").alias("header"), F.col("classes").alias("header_classes"))
+                      F.col("cells").alias("header"), F.col("classes").alias("header_classes"), F.col("tags").alias("header_tags"))
     return best.join(hdr, ["page_id", "table_id", "header_idx"], "left")
 
 

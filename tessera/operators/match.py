@@ -220,8 +220,8 @@ def alias_then_fuzzy(left: DataFrame, aliases: DataFrame, master: DataFrame, *,
 
 
 def _ngrams(s: Column, n: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(0))),
-                       lambda i: F.substring(s, i, n))
+    return F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substring(s, i, n)),
+                    lambda g: F.length(g) == n)
 
 
 def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "name", master_id: str = "row_id",
@@ -230,31 +230,46 @@ def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "nam
     scored with the combined score, best ``k`` (all when ``k`` is None; no
     score column when ``score`` is False).
 
-    No nested loop: a container holds every 3-gram of the text, so the join
-    key is the text's first 3-gram (its 1- or 2-gram when shorter) against a
-    gram index of the master; ``contains`` then confirms each pair."""
+    No nested loop: a container holds every gram of the text, so a text joins
+    by its rarest one (3 characters, fewer for shorter texts), by one table of
+    gram frequencies of the master.  Only grams that some text chose leave the
+    master's tasks; ``contains`` confirms each pair.  The text is one matching
+    block of its container, so the character score is 2 * length / both
+    lengths (the sequence ratio is computed only for names of 200 characters
+    or more, where its own rules differ).  The best ``k`` are taken in two
+    steps, so that a short text inside very many names is no hot group."""
     q = left.select(F.col(name).alias("q_name")).filter(F.length(F.trim("q_name")) > 0).distinct() \
         .withColumn("q_low", F.lower("q_name"))
-    n = F.least(F.length("q_low"), F.lit(3))
-    q = q.withColumn("gram", F.substring("q_low", 1, n)).withColumn("gn", n)
+    q = q.withColumn("gn", F.least(F.length("q_low"), F.lit(3)))
     m = master.select(F.col(master_id).alias("row_id"), F.col(master_name).alias("master_name")) \
         .withColumn("m_low", F.lower("master_name"))
-    parts = []
-    for g in (1, 2, 3):
-        parts.append(m.select("row_id", "master_name", "m_low", F.lit(g).alias("gn"),
-                              F.explode(F.array_distinct(_ngrams(F.col("m_low"), g))).alias("gram")))
-    idx = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    pairs = q.join(idx, ["gn", "gram"]).filter(F.col("m_low").contains(F.col("q_low")))
+    asked = q.select("q_name", "q_low", "gn", F.explode(F.array_distinct(_ngrams(F.col("q_low"), F.col("gn")))).alias("gram"))
+    kinds = asked.select("gram").distinct()
+    grams = F.flatten(F.array(*[F.array_distinct(_ngrams(F.col("m_low"), F.lit(g))) for g in (1, 2, 3)]))
+    index = m.select("row_id", "master_name", "m_low", F.explode(grams).alias("gram"))
+    count = index.select("gram").join(kinds, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    rarest = asked.join(count, "gram").groupBy("q_name", "q_low", "gn").agg(F.min(F.struct("df", "gram")).alias("g"),
+                                                                          F.count(F.lit(1)).alias("known"))
+    # a text with a gram that no master holds has no container
+    whole = F.size(F.array_distinct(_ngrams(F.col("q_low"), F.col("gn"))))
+    rarest = rarest.where(F.col("known") == whole).select("q_name", "q_low", F.col("g.gram").alias("gram"))
+    pairs = rarest.join(index, "gram").filter(F.col("m_low").contains(F.col("q_low")))
     if not score:
         return pairs.select(F.col("q_name").alias(name), "row_id", "master_name")
     tq, tm = word_tokens(F.col("q_name")), word_tokens(F.col("master_name"))
     jac = F.when((F.size(tq) == 0) | (F.size(tm) == 0), F.lit(0.0)).otherwise(
         F.size(F.array_intersect(tq, tm)) / F.size(F.array_union(tq, tm)))
-    pairs = pairs.withColumn("score", F.lit(SEQ_WEIGHT) * seq_ratio("q_name", "master_name") + F.lit(JAC_WEIGHT) * jac)
+    ratio = lambda p: 2.0 * F.length("q_low") / (F.length("q_low") + F.length("m_low"))
+    total = lambda seq: F.lit(SEQ_WEIGHT) * seq + F.lit(JAC_WEIGHT) * jac
+    short = pairs.where(F.length("m_low") < 200).withColumn("score", total(ratio(pairs)))
+    long = pairs.where(F.length("m_low") >= 200).withColumn("score", total(seq_ratio("q_name", "master_name")))
+    pairs = short.unionByName(long).select("q_name", "row_id", "master_name", "score")
     if k is None:
         return pairs.select(F.col("q_name").alias(name), "row_id", "master_name", "score")
-    w = Window.partitionBy("q_name").orderBy(F.col("score").desc(), "row_id")
-    top = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    order = [F.col("score").desc(), "row_id"]
+    near = pairs.withColumn("_s", F.pmod(F.xxhash64("row_id"), F.lit(64)))
+    near = near.withColumn("_r", F.row_number().over(Window.partitionBy("q_name", "_s").orderBy(*order))).filter(F.col("_r") <= k)
+    top = near.withColumn("rank", F.row_number().over(Window.partitionBy("q_name").orderBy(*order))).filter(F.col("rank") <= k)
     return top.select(F.col("q_name").alias(name), "rank", "row_id", "master_name", "score")
 
 

@@ -26,10 +26,16 @@ from tessera.operators import extract as ex
 from tessera.operators import html as hx
 from tessera.operators import match as mt
 from tessera.operators import reconcile as rc
+from tessera.operators import saved_maps as sm
 from tessera.operators import topk as tk
 from tessera.sources.files import scan_master
 from tessera.sources.sinks import cut_lineage
 from tessera.sources.pages import first_hit, mail_html, yearless_candidates
+from tessera.streaming import runs
+from tessera.streaming.tables import Tables
+
+
+SITE = ("gender", "division", "conference_key")     # key columns of a site's saved maps
 
 
 def _reused(df: DataFrame) -> DataFrame:
@@ -64,9 +70,18 @@ def table_titles(nodes: DataFrame) -> DataFrame:
                                                       F.col("_t")).alias("conference")))
 
 
-def standing_entries(pages: DataFrame) -> DataFrame:
+def standing_entries(pages: DataFrame, maps: DataFrame | None = None, sites: DataFrame | None = None, keys: tuple = SITE) -> DataFrame:
     """J1, first half: the tables of the first non-empty tier of a page ->
-    header -> keyword column map -> one row per team in page order."""
+    header -> column map -> one row per team in page order.  With ``maps``
+    (saved versions) and ``sites`` (page_id, the site's key columns,
+    captured_at) the map saved for the site at the time of the capture counts
+    where it fits the header (C7, C15-C17), else the keyword map (C5)."""
+    ent, _ = mapped_entries(pages, maps, sites, keys)
+    return ent
+
+
+def mapped_entries(pages: DataFrame, maps: DataFrame | None = None, sites: DataFrame | None = None, keys: tuple = SITE):
+    """``standing_entries`` and the resolved header maps (None without ``maps``)."""
     nodes, rows, headers = _tables(pages)
     # The tables of the first non-empty tier per page (inside <main>, else any)
     tiers = nodes.filter(F.col("tag") == "table").select(
@@ -79,12 +94,18 @@ def standing_entries(pages: DataFrame) -> DataFrame:
     hdr = headers.join(side, "page_id", "left").withColumn(
         "visible", hx.visible_positions(F.coalesce("header_classes", F.array().cast("array<string>")),
                                         F.coalesce("sidearm", F.lit(False))))
-    mapped = co.map_by_keyword(hdr.withColumn("header", F.coalesce("header", F.array().cast("array<string>"))))
+    if maps is None:
+        mapped = co.map_by_keyword(hdr.withColumn("header", F.coalesce("header", F.array().cast("array<string>")))).withColumn("map_source", F.lit("keyword"))
+        resolved = None
+    else:
+        at_site = sites.select("page_id", *keys, "captured_at")
+        mapped = resolved = cut_lineage(sm.resolve(hdr.join(at_site, "page_id", "left"), maps, list(keys), "captured_at"))
     rec = hx.table_records(rows, headers).join(
-        mapped.select("page_id", "table_id", "visible", "field_idx", "accepted"), ["page_id", "table_id"])
-    ent = co.extract_standing_rows(rec).join(table_titles(nodes), ["page_id", "table_id"], "left")
-    return ent.select("page_id", "table_id", "conference", F.col("row_idx").alias("pos"), "school",
-                      "conf_record", "overall_record", "standing", "pts")
+        mapped.select("page_id", "table_id", "visible", "field_idx", "accepted", "map_source"), ["page_id", "table_id"])
+    ent = co.extract_standing_rows(rec, F.col("map_source") == "index").join(table_titles(nodes), ["page_id", "table_id"], "left")
+    ent = ent.select("page_id", "table_id", "conference", F.col("row_idx").alias("pos"), "school",
+                     "conf_record", "overall_record", "standing", "pts")
+    return ent, resolved
 
 
 def block_entries(pages: DataFrame) -> DataFrame:
@@ -122,6 +143,36 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
     return {"standings": ranked, "candidates": cands, "accepted": accepted, "review": review, "writes": writes}
 
 
+def standings_run(tables: Tables, pages: DataFrame, sites: DataFrame, master: DataFrame, gender: str, *, k: int = 10, accept_at: float = 0.9,
+                  decisions: DataFrame | None = None, attempt: Callable[[DataFrame], DataFrame] | None = None,
+                  keys: tuple = SITE, force: bool = False) -> dict:
+    """J1 as one call of a resumable run (T3, T4): the sites (a unit is a
+    gender, division and conference) that no call has completed are read by
+    their saved column maps, ranked and matched; their accepted cell writes
+    go to the table ``standings`` of ``tables`` after ``attempt``, what failed
+    stays pending, and maps learned from headers are saved for the next call.
+    ``reconcile.apply_cell_writes(master, runs.cells(tables, 'standings'))``
+    gives the master."""
+    empty = sites.select(*keys).limit(0).withColumns({
+        "valid_from": F.lit(None).cast("timestamp"), "by_index": F.lit(None).cast("map<string,int>"),
+        "by_name": F.lit(None).cast("map<string,array<string>>"), "th_td": F.lit(None).cast("boolean")})
+    maps = sm.load(tables, list(keys)) if tables.has(sm.TABLE) else empty
+    seen = {}
+
+    def work(units: DataFrame) -> DataFrame:
+        todo = cut_lineage(sites.join(units.select(*keys), list(keys), "left_semi"))
+        ent, seen["maps"] = mapped_entries(pages.join(todo.select("page_id"), "page_id", "left_semi"), maps, todo, keys)
+        out = conference_standings(pages, master, gender, k, accept_at, decisions, entries=lambda _: ent)
+        w = out["writes"].join(todo.select("page_id", *keys), F.col("seq.page_id") == F.col("page_id")).drop("page_id")
+        order = Window.partitionBy(*keys).orderBy("seq", "column", "row_id")      # the writes of one conference
+        return w.withColumn("seq", F.row_number().over(order))
+
+    none = lambda w: w.withColumn("failed", F.lit(False))
+    done = runs.run_units(tables, sites.select(*keys).distinct(), list(keys), work, attempt or none, "standings", force=force)
+    sm.save(tables, sm.learned(seen["maps"], list(keys), "captured_at"), list(keys))
+    return done
+
+
 def ranking_entries(pages: DataFrame) -> DataFrame:
     """J2, first half: (rank, name) rows by the first strategy that finds any
     on a page: table rows, text lines, elements, links."""

@@ -197,7 +197,7 @@ def camp_pages(spark, sf_dir):
 def block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of 50 suppliers of a nation: a heading in a header box, a nested
     block with a title of its own around a layout table, and rows after it."""
-    s = read_table(spark, sf_dir, "supplier").withColumn("page", F.col("s_nationkey") * 1_000_000_000 + F.floor(F.col("s_suppkey") / 50))
+    s = read_table(spark, sf_dir, "supplier").withColumn("page", F.col("s_nationkey").cast("long") * 1_000_000_000 + F.floor(F.col("s_suppkey") / 50))
     k = F.col("s_suppkey")
     row = F.concat(F.lit("<tr>"), _cell((k % 9).cast("string")), _cell(F.lit("<a href='/t'>"), F.col("s_name"), F.lit("</a>")),
                    _cell((k % 7).cast("string"), F.lit("-"), (k % 5).cast("string")),
@@ -209,14 +209,14 @@ def block_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("nation") % 3 == 0, F.concat(F.lit("<div class=head><h2>Group "), nation, F.lit("</h2></div>"))) \
         .when(F.col("nation") % 3 == 1, F.concat(F.lit("<a href='/g'> Link "), nation, F.lit("</a>"))) \
         .otherwise(F.concat(F.lit("<div class='block-title'>Box "), nation, F.lit("</div>")))
-    html = F.concat(F.lit("<main><p>intro</p><section>"), title, F.lit("<div><table><tr><td><h3>Inner "), nation, F.lit("</h3><table>"),
-                    F.coalesce("rows1", F.lit("")), F.lit("</table></td><td>side</td></tr></table></div><table><tr><th>x</th><th>y</th></tr>"),
+    inner = F.concat(F.lit("<div><table><tr><td><h3>Inner "), nation, F.lit("</h3><table>"), "rows1", F.lit("</table></td></tr></table></div>"))
+    html = F.concat(F.lit("<main><p>intro</p><section>"), title, F.coalesce(inner, F.lit("")), F.lit("<table><tr><th>x</th><th>y</th></tr>"),
                     F.coalesce("rows0", F.lit("")), F.lit("</table></section></main>"))
     return g.select(F.col("page").cast("long").alias("page_id"), html.alias("html"))
 
 
 @register("standings_blocks", """
-SELECT CAST(s_nationkey * 1000000000 + s_suppkey // 50 AS BIGINT) AS page_id,
+SELECT CAST(s_nationkey AS BIGINT) * 1000000000 + s_suppkey // 50 AS page_id,
   CASE WHEN s_suppkey % 3 = 0 THEN 'Inner ' WHEN s_nationkey % 3 = 0 THEN 'Group ' WHEN s_nationkey % 3 = 1 THEN 'Link ' ELSE 'Box ' END
     || s_nationkey AS conference,
   CAST(s_suppkey % 9 AS VARCHAR) AS standing, s_name AS school, (s_suppkey % 7) || '-' || (s_suppkey % 5) AS conf_record,

@@ -37,44 +37,50 @@ def _latest(rows: DataFrame, keys: list[str], values: list[str], merge: str) ->
     return last
 
 
-def upsert(tables: Tables, table: str, batch: DataFrame, keys: list[str], order, *, stream: str = "batch", batch_id: int | None = None,
-           deleted=None, merge: str = "row") -> int:
-    """T5: merge a batch into a key-bucketed table and commit.
-
-    ``order`` (a column) decides among rows of one key, in the batch and
-    against the table: a late row never replaces a newer one; equal orders
-    fall to the later batch, and inside a batch to the greatest values.
-    ``deleted`` (a condition) marks deletions; they stay as hidden rows so that
-    late rows do not come back.  ``merge='cells'`` decides per column: the last
-    value that is not null, if no deletion has the same or a later order.  Keys may be null.  A batch id that is committed
-    already changes nothing.  Columns the table does not have are added."""
+def upsert_change(tables: Tables, state: dict, table: str, batch: DataFrame, keys: list[str], order, *, deleted=None, merge: str = "row"):
+    """The change of one upsert, for a commit that may hold others too."""
     if merge not in ("row", "cells"):
         raise ValueError("merge must be 'row' or 'cells'")
-    state = tables.state()
-    if batch_id is not None and stream in state["batches"] and batch_id <= state["batches"][stream]:
-        return state["version"]
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     names = [c for c in batch.columns if c not in keys]
-    new = batch.select(*keys, F.lit(order).alias(ORDER) if not hasattr(order, "alias") else order.alias(ORDER), gone.alias(GONE), *names)
+    new = batch.select(*keys, order.alias(ORDER), gone.alias(GONE), *names)
     if merge == "cells":
         new = new.withColumns({ENDED: F.when(F.col(GONE), F.col(ORDER)),
                                **{AT + c: F.when(~F.col(GONE) & F.col(c).isNotNull(), F.col(ORDER)) for c in names}})
     # a batch is read for its buckets and for the merge: fixed first
     new = cut_lineage(new)
     buckets = tables.touched(new, keys)
-    seq = F.struct(*[F.col(c).cast("string") for c in names]) if names else F.lit(0)
-    first = new.withColumn("_rank", F.struct(F.lit(1).alias("of"), F.xxhash64(F.to_json(seq) if names else seq).alias("values")))
+    values = F.xxhash64(F.to_json(F.struct(*names))) if names else F.lit(0).cast("long")
+    first = new.withColumn("_rank", F.struct(F.lit(1).alias("of"), values.alias("values")))
     schema = new.schema
     if tables.has(table, state):
         old = tables.read(table, buckets, state=state)
-        first, schema = with_schema(first, old.schema)[0], with_schema(new, old.schema)[1]
-        first = first.select(*schema.fieldNames(), "_rank")
+        schema = with_schema(new, old.schema)[1]
+        first = with_schema(first, schema)[0].select(*schema.fieldNames(), "_rank")
         old = with_schema(old, schema)[0].withColumn("_rank", F.struct(F.lit(0).alias("of"), F.lit(0).cast("long").alias("values")))
         first = old.unionByName(first)
-    values = [c for c in schema.fieldNames() if c not in (*keys, ORDER, GONE, ENDED) and not c.startswith(AT)]
-    merged = _latest(first, keys, values, merge).select(*schema.fieldNames())
-    folders = tables.write(table, merged, keys, ROWS_PER_TASK)
-    return tables.commit(state, {table: (schema, folders, False)}, stream if batch_id is not None else None, batch_id)
+    held = [c for c in schema.fieldNames() if c not in (*keys, ORDER, GONE, ENDED) and not c.startswith(AT)]
+    merged = _latest(first, keys, held, merge).select(*schema.fieldNames())
+    return schema, tables.write(table, merged, keys, ROWS_PER_TASK), False
+
+
+def upsert(tables: Tables, table: str, batch: DataFrame, keys: list[str], order, *, stream: str = "batch", batch_id: int | None = None,
+           deleted=None, merge: str = "row") -> int:
+    """T5: merge a batch into a key-bucketed table and commit.
+
+    ``order`` (a column) decides among rows of one key, in the batch and
+    against the table: a late row never replaces a newer one; equal orders
+    fall to the later batch, and inside a batch to the greatest values.
+    ``deleted`` (a condition) marks deletions; they stay as hidden rows so that
+    late rows do not come back.  ``merge='cells'`` decides per column: the last
+    value that is not null, if no deletion has the same or a later order.
+    Keys may be null.  A batch id that is committed already changes nothing.
+    Columns the table does not have are added."""
+    state = tables.state()
+    if batch_id is not None and stream in state["batches"] and batch_id <= state["batches"][stream]:
+        return state["version"]
+    change = upsert_change(tables, state, table, batch, keys, order, deleted=deleted, merge=merge)
+    return tables.commit(state, {table: change}, stream if batch_id is not None else None, batch_id)
 
 
 def snapshot(tables: Tables, table: str, version: int | None = None) -> DataFrame:

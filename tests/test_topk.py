@@ -103,3 +103,26 @@ def test_few_pairs_are_scored():
         return combined_py(a, b)
     top = tile.best(pool[5] + " university", [pool[5], "university"], "", "", 0.0, 3, lambda a, b: (scored.append(b), topk.seq_ratio_py(a, b))[1], 0.15)
     assert top[0][2] == 5 and len(scored) < 450
+
+
+@pytest.mark.parametrize("k", [2, None])
+def test_scored_substrings_equal_scanning_every_pair(spark, k):
+    from tessera.operators.match import substring_candidates
+    rng = random.Random(12)
+    master = names(rng, 120) + [None, "", "aaa" * 90, "Ohio " * 60]
+    left = ["ohio", "a", "th t", "OHIO state", "ão", "zzq", "", "  ", None, "aaaa", "te", "."] + [m[2:6] for m in master if m and len(m) > 8][:20]
+    L = spark.createDataFrame([(t,) for t in left], "name string").repartition(2)
+    M = spark.createDataFrame(list(enumerate(master)), "row_id long, master_name string").repartition(3)
+    out = substring_candidates(L, M, name="name", k=k).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r["name"], []).append((r["rank"] if k else 0, r["row_id"], round(r["score"], 9)))
+    want = {}
+    for t in set(left):
+        if t and t.strip():
+            s = sorted((-combined_py(t, m), j) for j, m in enumerate(master) if m is not None and t.lower() in m.lower())
+            if s:
+                want[t] = [(j, round(-x, 9)) for x, j in (s[:k] if k else s)]
+    assert {t: sorted(x[1:] for x in v) for t, v in got.items()} == {t: sorted(v) for t, v in want.items()}
+    if k:
+        assert {t: [x[1:] for x in sorted(v)] for t, v in got.items()} == want
