@@ -207,21 +207,49 @@ class _TreeBuilder(HTMLParser):
         self._close_through(0, len(self.src))
         return self.nodes, "".join(self.text_parts)
 
+
     def sep_text(self, n, sep: str) -> str:
         """Descendant text as stripped chunks joined by ``sep``."""
         return sep.join(self.chunks[n[13]:n[14]])
 
 
-def parse_page(html: str, with_builder: bool = False):
-    """Parse one page into node records; used by ``html_nodes`` and tests."""
-    b = _TreeBuilder(html or "")
+ERROR_TAG = "#error"
+
+
+def _built(html: str):
+    b = _TreeBuilder(html)
+    error = None
     try:
-        b.feed(html or "")
-        out = b.finish()
-    except Exception:  # malformed beyond the parser's tolerance: keep what was built
-        b._close_through(0, len(html or ""))
-        out = (b.nodes, "".join(b.text_parts))
-    return (out[0], out[1], b) if with_builder else out
+        b.feed(html)
+        b.finish()
+    except Exception as e:  # malformed beyond the tokenizer's tolerance: what was built, and why it ends
+        error = f"{type(e).__name__}: {e}"
+        b._close_through(0, len(html))
+    return b, error
+
+
+def _parsed(html: str):
+    """(node records, text, text chunks, error) of the source tree."""
+    b, error = _built(html)
+    return b.nodes, "".join(b.text_parts), b.chunks, error
+
+
+def parse_page(html: str, with_builder: bool = False):
+    """Node records and text of one page; used by tests."""
+    b, _ = _built(html or "")
+    out = (b.nodes, "".join(b.text_parts))
+    return (*out, b) if with_builder else out
+
+
+def _error_node(nodes: list, text_len: int, error: str) -> list:
+    """The record that marks a page as cut short, after its last node."""
+    top = sum(1 for n in nodes if n[1] == -1)
+    return [len(nodes), -1, 0, top, ERROR_TAG, {}, [error], text_len, text_len, 0, 0, [], [], 0, 0]
+
+
+def page_errors(nodes: DataFrame) -> DataFrame:
+    """``page_id, error`` of the pages whose parse ended early."""
+    return nodes.filter(F.col("tag") == ERROR_TAG).select("page_id", F.col("own_text").alias("error"))
 
 
 def in_class(*names: str) -> Callable[[str, dict, list], bool]:
@@ -230,7 +258,7 @@ def in_class(*names: str) -> Callable[[str, dict, list], bool]:
     return lambda tag, attrs, above: not held.isdisjoint(attrs.get("class", "").split())
 
 
-def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None):
+def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None, parse=_parsed):
     for batch in batches:
         ids = batch.column("page_id").to_pylist()
         htmls = batch.column("html").to_pylist()
@@ -238,7 +266,9 @@ def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None
         for pid, html in zip(ids, htmls):
             if html is None:
                 continue
-            nodes, text, builder = parse_page(html, with_builder=True)
+            nodes, text, chunks, error = parse(html)
+            if error is not None:
+                nodes = [*nodes, _error_node(nodes, len(text), error)]
             per_tag = {}
             for n in nodes:
                 tag = n[4]
@@ -257,7 +287,7 @@ def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None
                 if not keep_text:
                     cols["text"].append(None)
                 elif text_sep is not None:
-                    cols["text"].append(builder.sep_text(n, text_sep))
+                    cols["text"].append(text_sep.join(chunks[n[13]:n[14]]))
                 else:
                     cols["text"].append(text[n[7]:n[8]])
                 cols["start"].append(n[9])
@@ -274,9 +304,13 @@ def _nodes_batches(batches, text_tags, outer_tags, text_sep=None, text_when=None
 
 
 def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, carry: list[str] | None = None,
-               text_sep: str | None = None, text_when: Callable[[str, dict, list], bool] | None = None) -> DataFrame:
+               text_sep: str | None = None, text_when: Callable[[str, dict, list], bool] | None = None, repair: bool = False) -> DataFrame:
     """B1: one row per element of every page.
 
+    A page that breaks the tokenizer keeps the nodes before the break and gets
+    one more row, of tag ``#error``, whose ``own_text`` tells why
+    (``page_errors``).
+
     ``text_tags``: tags whose full descendant text is kept (None = all);
     ``text_when``: the same as a test of tag, attributes and enclosing tags;
     ``outer_tags``: tags whose source slice is kept (None = none, "*" = all);
@@ -284,6 +318,8 @@ def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, car
     still built whole, so ancestry and implied closing are unaffected);
     ``carry``: page columns copied onto every node row (e.g. ``url`` for
     link resolution) so no join back to the pages is needed;
+    ``repair``: build the tree of ``html_tree`` instead, which mends misnested
+    formatting and content misplaced in tables as browsers do;
     ``text_sep``: when set, ``text`` is the stripped non-empty text chunks
     joined by it (``get_text(sep, strip=True)``) instead of the raw
     concatenation.
@@ -298,8 +334,10 @@ def html_nodes(pages: DataFrame, text_tags=None, outer_tags=None, tags=None, car
 
     def run(batches):
         import pyarrow.compute as pc
+
+        from tessera.operators.html_tree import parse_repaired
         for batch in batches:
-            for rb in _nodes_batches([batch], text_tags, outer_tags, text_sep, text_when):
+            for rb in _nodes_batches([batch], text_tags, outer_tags, text_sep, text_when, parse_repaired if repair else _parsed):
                 if keep is not None:
                     rb = rb.filter(pc.is_in(rb.column("tag"), value_set=pa.array(sorted(keep))))
                     if rb.num_rows == 0:

@@ -226,3 +226,22 @@ def standings_blocks(spark, sf_dir):
     """B1 + B10: rows read by position under the title that is open at them."""
     out = jobs.block_entries(block_pages(spark, sf_dir))
     return out.select("page_id", "conference", "standing", "school", "conf_record", "overall_record")
+
+
+@register("repaired_pages", """
+SELECT s_suppkey AS page_id, s_name || ' two' AS bold_in_p, ' plain' AS own_p, 'stray ' || s_nationkey AS before_table,
+  CASE WHEN s_suppkey % 5 = 0 THEN true ELSE false END AS broken
+FROM supplier""")
+def repaired_pages(spark, sf_dir):
+    """B1 (misnested pages): formatting closed across a block, text misplaced
+    in a table, and an error row for pages that break the tokenizer."""
+    s = read_table(spark, sf_dir, "supplier")
+    html = F.concat(F.lit("<main><b>one<p>"), "s_name", F.lit(" two</b> plain</p><div><table>stray <tr>"), F.col("s_nationkey").cast("string"),
+                    F.lit("<td><i>cell<td>next</table></div></main>"), F.when(F.col("s_suppkey") % 5 == 0, F.lit("<![broken[")).otherwise(F.lit("")))
+    nodes = cut_lineage(hx.html_nodes(s.select(F.col("s_suppkey").alias("page_id"), html.alias("html")), text_tags={"b"}, repair=True))
+    p = nodes.filter("tag = 'p'").select("page_id", F.col("node_id").alias("p_id"), F.col("own_text").alias("own_p"))
+    bold = nodes.filter("tag = 'b'").select("page_id", F.col("parent_id").alias("p_id"), F.col("text").alias("bold_in_p"))
+    div = nodes.filter("tag = 'div'").select("page_id", F.col("own_text").alias("before_table"))
+    bad = hx.page_errors(nodes).select("page_id", F.lit(True).alias("broken"))
+    return (p.join(bold, ["page_id", "p_id"]).join(div, "page_id").join(bad, "page_id", "left")
+            .select("page_id", "bold_in_p", "own_p", "before_table", F.coalesce("broken", F.lit(False)).alias("broken")))
