@@ -222,27 +222,31 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes
     """``docs`` (doc_id, text, text_hash) -> per distinct (doc_id, text_hash)
     with a repeat: ``cuts``, array of (lo, hi) byte stretches, maybe overlapping."""
     every = stored(_span_rows(docs, length, gram), "spans")
-    # equal spans collapse before anything is joined, so that a group's size
-    # does not matter; tables that meet again are stored, so that Spark can
-    # split a span that very many texts share
-    kinds = stored(every.groupBy("anchor", "span", "bytes").agg(
+    # tables that meet are stored first: both sides of a join are exchanged,
+    # and Spark can split an anchor or a span that very many texts share
+    groups = stored(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("s1"), F.max("span").alias("s2"))
+                    .where("n >= 2").select(F.col("anchor").alias("g_anchor"), (F.col("s1") == F.col("s2")).alias("whole")), "span-groups")
+    found = stored(every.join(groups, F.col("anchor") == F.col("g_anchor")).drop("g_anchor"), "span-found")
+    mixed_groups = found.where("not whole")
+    distinct = stored(mixed_groups.groupBy("anchor", "span", "bytes").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_hash", "start")).alias("at")), "span-kinds")
-    groups = stored(kinds.groupBy("anchor").agg(F.sum("copies").alias("n"), F.count(F.lit(1)).alias("kinds")).where("n >= 2")
-                    .select(F.col("anchor").alias("g_anchor"), (F.col("kinds") == 1).alias("whole"), (F.col("kinds") > hot).alias("hot")), "span-groups")
-    named = kinds.join(groups, F.col("anchor") == F.col("g_anchor")).drop("g_anchor")
-    need = (named.where("not whole").groupBy(F.col("at.doc_id").alias("n_id"), F.col("at.text_hash").alias("n_hash"))
-                 .agg(F.collect_list(F.struct(F.col("at.start").alias("start"), "bytes", "anchor", "span", "copies", "hot")).alias("wanted")))
+    # the few large groups, as a stored table: small, so Spark broadcasts it
+    # and the spans of a large group are not brought together
+    large = stored(distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > hot)
+                   .select("anchor", F.lit(True).alias("hot")), "span-hot")
+    need = (distinct.join(large, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+                    .groupBy(F.col("at.doc_id").alias("n_id"), F.col("at.text_hash").alias("n_hash"))
+                    .agg(F.collect_list(F.struct(F.col("at.start").alias("start"), "bytes", "anchor", "span", "copies", "hot")).alias("wanted")))
     pieces = stored(_cut(docs, need), "pieces")
     size = pieces.where("not hot").agg(F.sum(F.length("piece"))).first()[0] or 0
     cold = _shards(pieces.where("not hot"), max(1, -(-size // shard_bytes)), length)
-    full = named.where("whole").select("anchor", "span", F.array(F.lit(0), F.col("bytes") - length + 1).alias("starts"))
-    ranges = stored(full.unionByName(cold).unionByName(_hot_windows(pieces.where("hot"), length)), "ranges")
+    ranges = stored(cold.unionByName(_hot_windows(pieces.where("hot"), length)), "ranges")
     # one row per span, its stretches in an array; copies of one row agree
     cuts = F.expr(f"transform(sequence(0, cast(size(starts) / 2 as int) - 1),"
                   f" i -> struct(start + starts[2 * i] as lo, start + starts[2 * i + 1] - 1 + {length} as hi))")
-    return (every.select("doc_id", "text_hash", "start", "anchor", "span").join(ranges, ["anchor", "span"])
-                 .select("doc_id", "text_hash", cuts.alias("cuts"))
-                 .groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("cuts")).alias("cuts")))
+    part = mixed_groups.select("doc_id", "text_hash", "start", "anchor", "span").join(ranges, ["anchor", "span"]).select("doc_id", "text_hash", cuts.alias("cuts"))
+    full = found.where("whole").select("doc_id", "text_hash", F.array(F.struct(F.col("start").alias("lo"), (F.col("start") + F.col("bytes")).alias("hi"))).alias("cuts"))
+    return part.unionByName(full).groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("cuts")).alias("cuts"))
 
 
 def with_hash(docs: DataFrame) -> DataFrame:
