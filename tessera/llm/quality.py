@@ -5,14 +5,22 @@ Per (language, source) a minimum-covariance-determinant (MCD) estimate gives
 the centre and scatter of the transformed statistic vectors; a document whose
 squared Mahalanobis distance exceeds the cut-off is rejected.
 
-The estimate is the deterministic variant: it starts from the coordinatewise
-median and MAD, then repeats concentration steps (keep the ``h`` share of
-rows that lie nearest, take their mean and covariance).  A step is one
-aggregation by group whose state is a sum and a product matrix, so a group
-that holds a third of all rows is combined map-side; the ``h`` quantile is a
-mergeable sketch.  Group estimates are small rows (one per group) joined back.
-Groups smaller than ``min_group`` rows cannot carry a scatter estimate of
-their own and use the estimate over their language.
+The estimate is the deterministic variant with three starts: coordinatewise
+median and MAD; mean and covariance of all rows; covariance of the tanh of the
+standardised rows about the median.  From each, concentration steps (keep the
+``h`` share of rows that lie nearest, take their mean and covariance) go on
+until the determinant falls no more, and the start that ends with the least
+determinant counts.
+
+All of it is exact and the same under any partitioning: statistics are read to
+1/1024, so that a group's rows collapse to cells with counts, sums are sums of
+integers, and quantiles are taken from running counts of cells.  A step over
+all groups, levels and starts is one histogram and one aggregation.  Group
+estimates are small rows (one per group) joined back.
+
+A (language, source) of ``n`` rows gives its own estimate the weight
+``n / (n + SHRINK)``, the rest goes to its language, whose own weight against
+all rows is found alike: no verdict jumps when a group grows by a row.
 
 Defined results: null text has no words and fails the base rules; null
 language or source forms a group of its own; repeated rows are judged alike;
@@ -24,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans, owner, stored, word_spans
@@ -35,10 +43,12 @@ MAX_REPEAT_PCT = 50
 
 FEATURES = ("mean_chars", "symbols", "dup_lines", "repeats")
 H_SHARE = 0.75         # share of rows an estimate is concentrated on
-STEPS = 4              # concentration steps
+MAX_STEPS = 60         # concentration steps; they end when the determinant stops falling
+SCALE = 1024           # statistics are read in units of 1 / SCALE
+BINS = 512             # bins of the distance per doubling of 1 + distance
+SHRINK = 1000.0        # rows at which a group weighs as much as the level above it
 CUTOFF = 18.467        # squared distance; the 0.999 quantile of chi-square with 4 degrees of freedom
 CONSISTENCY = 1.486    # the scatter of the nearest H_SHARE of normal rows times this is that of all
-MIN_GROUP = 200
 # least standard deviation of each transformed statistic: most good texts have
 # no repeated word at all, and a spread near nothing would reject the first one.
 # With CUTOFF they pass, where a group has none, up to 30 repeated words and
@@ -134,36 +144,172 @@ def _vector() -> list[Column]:
             F.log1p(100 * F.col("n_repeat_words") / n).alias("repeats")]
 
 
-def _moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    d = range(len(FEATURES))
-    x = [F.col(f) for f in FEATURES]
-    return rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.array(*[F.avg(x[i]) for i in d]).alias("mu"),
-        F.array(*[F.covar_pop(x[i], x[j]) * CONSISTENCY for i in d for j in d]).alias("cov"))
+def _cells(rows: DataFrame, gids: Column) -> DataFrame:
+    """``gid, q0 .. q3, n``: rows of a group that agree to 1 / SCALE are one
+    cell; ``gids`` lists the groups a row belongs to."""
+    q = [F.round(F.col(f) * SCALE).cast("long").alias(f"q{i}") for i, f in enumerate(FEATURES)]
+    first = rows.select(gids.alias("gids"), *q).groupBy("gids", *_Q).agg(F.count(F.lit(1)).alias("n"))
+    return first.select(F.explode("gids").alias("gid"), *_Q, "n").groupBy("gid", *_Q).agg(F.sum("n").alias("n"))
 
 
-def _inverse(est: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the inverse scatter (a matrix of four by four per group; one
-    row in, one row out).  In no direction is the spread less than that of
-    ``FLOORS``; wider spreads stay as they are."""
+_Q = [f"q{i}" for i in range(len(FEATURES))]
+_PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
+
+
+def _median(hist: DataFrame) -> DataFrame:
+    """``gid, f, m``: the median of every statistic (``v`` with counts ``n``)."""
+    w = Window.partitionBy("gid", "f").orderBy("v")          # distinct values of one statistic
+    run = hist.withColumn("run", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy("gid", "f")))
+    return run.where(2 * F.col("run") >= F.col("total")).groupBy("gid", "f").agg(F.min("v").alias("m"))
+
+
+def _sums(rows: DataFrame, keys: list[str], x: list[Column]) -> DataFrame:
+    """Exact integer moments: ``n, s`` (sums), ``p`` (sums of products)."""
+    n = F.col("n")
+    big = lambda c: c.cast("decimal(38,0)")
+    return rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.array(*[F.sum(n * c).cast("double") for c in x]).alias("s"),
+                                   F.array(*[F.sum(big(n * x[i] * x[j])).cast("double") for i, j in _PAIRS]).alias("p"))
+
+
+def _estimate(s, p, n: int, factor: float):
+    """(mean, covariance) in the statistics' own units."""
+    d = len(FEATURES)
+    mu = np.array(s, float) / n
+    cov = np.empty((d, d))
+    for (i, j), v in zip(_PAIRS, p):
+        cov[i, j] = cov[j, i] = v / n - mu[i] * mu[j]
+    return mu / SCALE, cov * factor / SCALE**2
+
+
+def _floored(cov: np.ndarray):
+    """(eigenvalues, eigenvectors) of the scatter in units of ``FLOORS``: in no
+    direction is the spread less than one; wider spreads stay as they are."""
+    m = cov / np.outer(FLOORS, FLOORS)
+    w, v = np.linalg.eigh((m + m.T) / 2)
+    return np.maximum(w, 1.0), v
+
+
+def _row(mu: np.ndarray, cov: np.ndarray) -> tuple:
+    """mu, cov, inv and the logarithm of the determinant, as lists."""
+    w, v = _floored(cov)
+    inv = (v / w) @ v.T / np.outer(FLOORS, FLOORS)
+    return mu.tolist(), cov.ravel().tolist(), inv.ravel().tolist(), float(np.log(w).sum())
+
+
+_EST = "gid string, start int, n long, mu array<double>, cov array<double>, inv array<double>, logdet double"
+_EST_TYPES = [pa.string(), pa.int32(), pa.int64(), *[pa.list_(pa.float64())] * 3, pa.float64()]
+_EST_NAMES = ["gid", "start", "n", "mu", "cov", "inv", "logdet"]
+
+
+def _as_estimates(sums: DataFrame, each) -> DataFrame:
+    """``each(row)`` -> (start, n, mu, cov) tuples, one small row per group."""
     def run(batches):
         for b in batches:
-            t = pa.Table.from_batches([b])
-            d = len(FEATURES)
             out = []
-            for c in t.column("cov").to_pylist():
-                m = np.array([v or 0.0 for v in c], float).reshape(d, d) / np.outer(FLOORS, FLOORS)
-                w, v = np.linalg.eigh((m + m.T) / 2)
-                out.append(((v / np.maximum(w, 1.0)) @ v.T / np.outer(FLOORS, FLOORS)).ravel().tolist())
-            cols = [t.column(k).combine_chunks() for k in [*keys, "n", "mu"]]
-            cols = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in cols]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.list_(pa.float64()))], names=[*keys, "n", "mu", "inv"])
-    return est.mapInArrow(run, ", ".join(f"{k} string" for k in keys) + ", n long, mu array<double>, inv array<double>")
+            for r in pa.Table.from_batches([b]).to_pylist():
+                out += [(r["gid"], start, n, *_row(mu, cov)) for start, n, mu, cov in each(r)]
+            cols = list(zip(*out)) if out else [[]] * len(_EST_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, _EST_TYPES)], names=_EST_NAMES)
+    return sums.mapInArrow(run, _EST)
+
+
+def _starts(cells: DataFrame) -> DataFrame:
+    """The three starts of every group."""
+    hist = cells.select("gid", "n", F.posexplode(F.array(*_Q)).alias("f", "v")).groupBy("gid", "f", "v").agg(F.sum("n").alias("n"))
+    hist = stored(hist, "mcd-values")
+    med = stored(_median(hist), "mcd-median")
+    dev = hist.join(med, ["gid", "f"]).select("gid", "f", F.abs(F.col("v") - F.col("m")).alias("v"), "n").groupBy("gid", "f", "v").agg(F.sum("n").alias("n"))
+    mad = _median(dev).withColumnRenamed("m", "mad")
+    place = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("f", c))), lambda x: x[c])
+    both = stored(med.join(mad, ["gid", "f"]).groupBy("gid").agg(place("m").alias("m"), place("mad").alias("mad")), "mcd-mad")
+    x = cells.join(both, "gid")
+    # floors stand in for a spread of nothing
+    unit = [F.greatest(F.element_at("mad", i + 1) * 1.4826, F.lit(FLOORS[i] * SCALE)) for i in range(len(FEATURES))]
+    tanh = [F.round(F.tanh((F.col(q) - F.element_at("m", i + 1)) / unit[i]) * SCALE).cast("long") for i, q in enumerate(_Q)]
+    plain = _sums(cells, ["gid"], [F.col(q) for q in _Q])
+    curved = _sums(x, ["gid"], tanh).select("gid", F.col("s").alias("ts"), F.col("p").alias("tp"))
+
+    def each(r):
+        m, u = np.array(r["m"], float) / SCALE, np.maximum(np.array(r["mad"], float) * 1.4826, np.array(FLOORS) * SCALE) / SCALE
+        mu, cov = _estimate(r["s"], r["p"], r["n"], 1.0)
+        _, bent = _estimate(r["ts"], r["tp"], r["n"], 1.0)
+        return [(0, r["n"], m, np.diag((np.array(r["mad"], float) * 1.4826 / SCALE) ** 2)), (1, r["n"], mu, cov), (2, r["n"], m, bent * np.outer(u, u))]
+    return _as_estimates(plain.join(both, "gid").join(curved, "gid").select("gid", "n", "s", "p", "m", "mad", "ts", "tp"), each)
+
+
+def _step(cells: DataFrame, est: DataFrame) -> DataFrame:
+    """One concentration step of every group and start in ``est``."""
+    d2 = _distance([F.col(q) / float(SCALE) for q in _Q])
+    scored = cells.join(est.select("gid", "start", "mu", "inv"), "gid").withColumn("bin", F.floor(F.log2(1 + d2) * BINS))
+    scored = stored(scored.select("gid", "start", *_Q, "n", "bin"), "mcd-scored")
+    hist = scored.groupBy("gid", "start", "bin").agg(F.sum("n").alias("n"))
+    w = Window.partitionBy("gid", "start").orderBy("bin")    # bins of one group
+    run = hist.withColumn("run", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy("gid", "start")))
+    cut = stored(run.where(F.col("run") >= F.ceil(F.col("total") * H_SHARE)).groupBy("gid", "start").agg(
+        F.min("bin").alias("cut"), F.max("total").alias("total")), "mcd-cut")
+    near = scored.join(cut, ["gid", "start"]).where(F.col("bin") <= F.col("cut"))
+    sums = _sums(near, ["gid", "start", "total"], [F.col(q) for q in _Q])
+    return _as_estimates(sums.select("gid", "start", "total", "n", "s", "p"),
+                         lambda r: [(r["start"], r["total"], *_estimate(r["s"], r["p"], r["n"], CONSISTENCY))])
+
+
+def _concentrated(cells: DataFrame) -> DataFrame:
+    """The estimate of least determinant of every group, over ``cells`` (stored)."""
+    open_ = stored(_starts(cells), "mcd-start").withColumn("logdet", F.lit(float("inf")))   # a start is no estimate yet
+    ended = []
+    for _ in range(MAX_STEPS):
+        new = stored(_step(cells, open_), "mcd-step")
+        old = open_.select("gid", "start", F.col("logdet").alias("before"))
+        new = stored(new.join(old, ["gid", "start"]), "mcd-step")
+        falls = F.col("logdet") < F.col("before") - 1e-9
+        # what falls no more has ended: in the lower of its last two estimates
+        ended.append(new.where(~falls).select("gid", "start"))
+        last = open_
+        open_ = new.where(falls).drop("before")
+        ended[-1] = last.join(ended[-1], ["gid", "start"], "left_semi").unionByName(new.where(~falls & (F.col("logdet") <= F.col("before"))).drop("before"))
+        if open_.isEmpty():
+            break
+    every = open_
+    for e in ended:
+        every = every.unionByName(e)
+    return every.groupBy("gid").agg(F.min_by(F.struct("n", "mu", "cov", "inv"), F.struct("logdet", "start")).alias("b")).select("gid", "b.*")
+
+
+def _gid(level: int, keys: list[str]) -> Column:
+    """Name of a row's group at a level; null keys are values."""
+    return F.to_json(F.struct(F.lit(level).alias("level"), *keys), {"ignoreNullFields": "false"})
+
+
+def mcd(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Estimates ``keys, n, mu, inv`` over the feature columns of ``rows``."""
+    cells = stored(_cells(rows, F.array(_gid(len(keys), keys))), "mcd-cells")
+    names = stored(rows.select(*keys, _gid(len(keys), keys).alias("gid")).distinct(), "mcd-names")
+    return names.join(_concentrated(cells), "gid").select(*keys, "n", "mu", "inv")
+
+
+def shrunk(rows: DataFrame) -> DataFrame:
+    """``lang, source, mu, inv`` of every (language, source), shrunk towards
+    its language and all rows; one pass over three levels."""
+    keys = [[], ["lang"], ["lang", "source"]]
+    gids = [_gid(level, k) for level, k in enumerate(keys)]
+    cells = stored(_cells(rows, F.array(*gids)), "mcd-cells")
+    est = stored(_concentrated(cells), "mcd-estimates")
+    names = rows.select("lang", "source", *[g.alias(f"g{level}") for level, g in enumerate(gids)]).distinct()
+    for level in range(3):
+        names = names.join(est.select(F.col("gid").alias(f"g{level}"), *[F.col(c).alias(f"{c}{level}") for c in ("n", "mu", "cov")]), f"g{level}")
+    w1, w2 = (F.col(f"n{i}") / (F.col(f"n{i}") + SHRINK) for i in (1, 2))
+    mix = lambda c: F.zip_with(f"{c}2", F.zip_with(f"{c}1", f"{c}0", lambda a, b: a * w1 + b * (1 - w1)), lambda a, b: a * w2 + b * (1 - w2))
+    mixed = names.select("lang", "source", F.col("g2").alias("gid"), F.col("n2").alias("n"), mix("mu").alias("mu"), mix("cov").alias("cov"))
+    mixed = stored(mixed, "mcd-mixed")
+    d = len(FEATURES)
+    inv = _as_estimates(mixed.select("gid", "n", "mu", "cov"),
+                        lambda r: [(0, r["n"], np.array(r["mu"]), np.array(r["cov"]).reshape(d, d))]).select("gid", "mu", "inv")
+    return stored(mixed.select("lang", "source", "gid").join(inv, "gid").drop("gid"), "mcd-shrunk")
 
 
-def _distance() -> Column:
+def _distance(x: list[Column]) -> Column:
     d = len(FEATURES)
-    diff = [F.col(f) - F.element_at("mu", i + 1) for i, f in enumerate(FEATURES)]
+    diff = [x[i] - F.element_at("mu", i + 1) for i in range(d)]
     total = F.lit(0.0)
     for i in range(d):
         for j in range(d):
@@ -171,53 +317,16 @@ def _distance() -> Column:
     return total
 
 
-def _with_estimate(rows: DataFrame, est: DataFrame, keys: list[str]) -> DataFrame:
-    e = est.select(*[F.col(k).alias(f"e_{k}") for k in keys], "mu", "inv")
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"e_{k}"))
-        cond = c if cond is None else cond & c
-    return rows.join(e, cond, "left").drop(*[f"e_{k}" for k in keys])
-
-
-def mcd(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Estimates ``keys, n, mu, inv`` over the feature columns of ``rows``
-    (a stored table)."""
-    med = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                  F.array(*[F.percentile_approx(f, 0.5, 1000) for f in FEATURES]).alias("mu"))
-    med = stored(med, "mcd-median")
-    dev = _with_estimate(rows, med.withColumn("inv", F.col("mu")), keys)
-    mad = [F.percentile_approx(F.abs(F.col(f) - F.element_at("mu", i + 1)), 0.5, 1000) * 1.4826 for i, f in enumerate(FEATURES)]
-    d = len(FEATURES)
-    start = dev.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.max("mu").alias("mu"), F.array(*mad).alias("mad"))
-    cov = F.array(*[F.pow(F.element_at("mad", i + 1), 2) if i == j else F.lit(0.0) for i in range(d) for j in range(d)])
-    est = stored(_inverse(start.select(*keys, "n", "mu", cov.alias("cov")), keys), "mcd-start")
-    for _ in range(STEPS):
-        scored = _with_estimate(rows, est, keys).withColumn("d2", _distance())
-        cut = scored.groupBy(*keys).agg(F.percentile_approx("d2", H_SHARE, 1000).alias("cut"))
-        cut = cut.select(*[F.col(k).alias(f"c_{k}") for k in keys], "cut")
-        cond = F.col("d2") <= F.col("cut")
-        for k in keys:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"c_{k}"))
-        near = scored.join(cut, cond, "left_semi")
-        est = stored(_inverse(_moments(near, keys), keys), "mcd-step")
-    return est
-
-
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, the five statistics,
     ``base_failed, distance, kept`` and ``text_hash`` (xxhash64 of the text).
     The estimates learn from the rows that pass the base rules."""
     rows = statistics(docs).withColumn("base_failed", base_failed())
     rows = stored(rows.select("*", *_vector()), "quality")
-    good = rows.where(~F.col("base_failed"))
-    keys = ["lang", "source"]
-    fine = mcd(good, keys).where(F.col("n") * (1 / H_SHARE) >= MIN_GROUP)
-    coarse = mcd(good, ["lang"]).select(F.col("lang").alias("l_lang"), F.col("mu").alias("l_mu"), F.col("inv").alias("l_inv"))
-    out = _with_estimate(rows, fine, keys)
-    out = out.join(coarse, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
-    out = out.withColumn("mu", F.coalesce("mu", "l_mu")).withColumn("inv", F.coalesce("inv", "l_inv"))
-    out = out.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
+    est = shrunk(rows.where(~F.col("base_failed"))).select(F.col("lang").alias("e_lang"), F.col("source").alias("e_source"), "mu", "inv")
+    out = rows.join(est, F.col("lang").eqNullSafe(F.col("e_lang")) & F.col("source").eqNullSafe(F.col("e_source")), "left")
+    distance = _distance([F.round(F.col(f) * SCALE) / float(SCALE) for f in FEATURES])
+    out = out.withColumn("distance", F.when(~F.col("base_failed"), distance))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).alias("kept"),
                       "text_hash")

@@ -44,3 +44,110 @@ def test_wide_scatter_is_not_widened_by_the_floor(spark):
     df = spark.createDataFrame([(*map(float, x), "a", "b") for x in rows], [*quality.FEATURES, "lang", "source"])
     inv = np.array(quality.mcd(df, ["lang", "source"]).first()["inv"]).reshape(4, 4)
     assert np.allclose(np.sqrt(np.diag(np.linalg.inv(inv))), sd, rtol=0.08)
+
+
+def plain_verdicts(rows):
+    """Distances by the same definition on plain arrays, group by group."""
+    import collections
+    import math
+
+    import numpy as np
+    q8 = quality
+    s = q8.SCALE
+    good = [r for r in rows if not r["failed"]]
+    x = {id(r): np.array([int(math.floor(v * s + 0.5)) for v in r["x"]]) for r in good}
+
+    def floored(cov):
+        m = cov / np.outer(q8.FLOORS, q8.FLOORS)
+        w, v = np.linalg.eigh((m + m.T) / 2)
+        w = np.maximum(w, 1.0)
+        return (v / w) @ v.T / np.outer(q8.FLOORS, q8.FLOORS), float(np.log(w).sum())
+
+    def moments(a, factor):
+        mu = a.mean(0)
+        return mu / s, (a.T @ a / len(a) - np.outer(mu, mu)) * factor / s**2
+
+    def low_median(v):
+        return np.sort(v)[(len(v) + 1) // 2 - 1]
+
+    def concentrated(members):
+        a = np.array([x[id(r)] for r in members], float)
+        med = np.array([low_median(a[:, i]) for i in range(4)])
+        mad = np.array([low_median(np.abs(a[:, i] - med[i])) for i in range(4)]) * 1.4826
+        unit = np.maximum(mad, np.array(q8.FLOORS) * s)
+        bent = np.floor(np.tanh((a - med) / unit) * s + 0.5)
+        u = unit / s
+        starts = [(med / s, np.diag((mad / s) ** 2)), moments(a, 1.0), (med / s, moments(bent, 1.0)[1] * np.outer(u, u))]
+        best = None
+        for k, (mu, cov) in enumerate(starts):
+            inv, before = floored(cov)[0], math.inf
+            while True:
+                d = a / s - mu
+                bins = np.floor(np.log2(1 + np.einsum("ij,jk,ik->i", d, inv, d)) * q8.BINS)
+                cut = np.sort(bins)[math.ceil(len(bins) * q8.H_SHARE) - 1]
+                m2, c2 = moments(a[bins <= cut], q8.CONSISTENCY)
+                i2, det = floored(c2)
+                if not det < before - 1e-9:
+                    if det <= before:
+                        mu, cov, before = m2, c2, det
+                    break
+                mu, cov, inv, before = m2, c2, i2, det
+            if best is None or (before, k) < best[0]:
+                best = ((before, k), mu, cov)
+        return len(a), best[1], best[2]
+
+    groups = [collections.defaultdict(list) for _ in range(3)]
+    for r in good:
+        for level, key in enumerate([(), (r["lang"],), (r["lang"], r["source"])]):
+            groups[level][key].append(r)
+    est = [{k: concentrated(v) for k, v in g.items()} for g in groups]
+    out = []
+    for r in rows:
+        if r["failed"]:
+            out.append((r["id"], None, False))
+            continue
+        _, mu, cov = est[0][()]
+        for level, key in ((1, (r["lang"],)), (2, (r["lang"], r["source"]))):
+            n, m, c = est[level][key]
+            w = n / (n + q8.SHRINK)
+            mu, cov = m * w + mu * (1 - w), c * w + cov * (1 - w)
+        d = x[id(r)] / s - mu
+        d2 = float(d @ floored(cov)[0] @ d)
+        out.append((r["id"], d2, d2 <= q8.CUTOFF))
+    return out
+
+
+def mixed_rows():
+    import random
+    from tests_llm_helpers import corpus, edge_rows, sentence
+    rng = random.Random(7)
+    rows = []
+    for i in range(420):
+        t = ".\n".join(sentence(rng, rng.randint(15, 60)) for _ in range(4))
+        if i % 17 == 0:
+            t = " ".join(w + "%#" * rng.randint(0, 2) for w in t.split())
+        if i % 23 == 0:
+            t += "\nmore of it" * rng.randint(1, 9)
+        rows.append((i, t, rng.choice(["en", "en", "de", None]), rng.choice(["hot", "hot", "s1", None]), 1))
+    return rows + [(1000 + k, *r[1:]) for k, r in enumerate(corpus(3, 30) + edge_rows())]
+
+
+def test_verdicts_match_plain_arrays(make):
+    import math
+
+    import pytest
+    rows = mixed_rows()
+    src = quality.statistics(make(rows)).withColumn("failed", quality.base_failed()).select("doc_id", "lang", "source", "failed", *quality._vector())
+    stats = [dict(id=r["doc_id"], lang=r["lang"], source=r["source"], failed=r["failed"], x=[r[f] for f in quality.FEATURES]) for r in got(src)]
+    want = {i: (d, k) for i, d, k in plain_verdicts(stats)}
+    res = {r["doc_id"]: (r["distance"], r["kept"]) for r in got(quality.judge(make(rows)))}
+    assert len(want) == len(rows) and {i: k for i, (_, k) in res.items()} == {i: k for i, (_, k) in want.items()}
+    for i, (d, _) in want.items():
+        assert res[i][0] == (d if d is None else pytest.approx(d, rel=1e-6, abs=1e-9))
+    assert 0 < sum(not k for _, k in want.values()) and math.isfinite(sum(d for d, _ in want.values() if d is not None))
+
+
+def test_distances_do_not_depend_on_partitions(make):
+    rows = mixed_rows()
+    seen = [sorted(((r["doc_id"], r["distance"], r["kept"]) for r in got(quality.judge(make(rows).repartition(n)))), key=str) for n in (1, 7)]
+    assert seen[0] == seen[1]
