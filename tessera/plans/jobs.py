@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from tessera.functions import roster as ro
 from tessera.functions import status as st
 from tessera.functions.similarity import round_score
-from tessera.functions.text import strip
-from tessera.functions.urls import canonical_url, rewrite_host
+from tessera.functions.text import clean_text, strip, text_chunks
+from tessera.functions.urls import canonical_url, has_year_token, rewrite_host, update_year_range
 from tessera.operators import aggregate as ag
 from tessera.operators import answers as an
 from tessera.operators import columns as co
@@ -30,8 +30,8 @@ from tessera.operators import saved_maps as sm
 from tessera.operators import topk as tk
 from tessera.sources.files import scan_master
 from tessera.sources.sinks import cut_lineage
-from tessera.sources.pages import first_hit, mail_html, yearless_candidates
-from tessera.streaming import runs
+from tessera.sources.pages import first_hit, mail_body, mail_html, select_mail, year_logic_candidates, yearless_candidates
+from tessera.streaming import keyed, runs
 from tessera.streaming.tables import Tables
 
 
@@ -214,29 +214,43 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
     return {"rankings": r, "candidates": cands, "accepted": acc, "review": review, "writes": writes}
 
 
-def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | None = None) -> DataFrame:
-    """Per (university, gender) roster URL: candidate URLs (season
-    range updated, then year-less), the first captured candidate that yields
-    players, players normalised and counted, men and women side by side."""
-    cand = yearless_candidates(rosters.withColumn("_k", F.concat_ws("|", "university", "gender")), "_k",
-                               season_start=season_start)
-    pages = captures.filter((F.col("status") == 200) & ~st.is_error_page(F.col("html"))).select(
-        "page_id", F.col("url").alias("candidate_url"), "html")
+def roster_counts(rosters: DataFrame, captures: DataFrame, season_start: int | None = None, year: int | None = None) -> DataFrame:
+    """Per (university, gender) roster URL: the URL of the season, the
+    first captured candidate that yields players, players normalised and
+    counted, men and women side by side (F2).
+
+    With ``season_start`` and ``year`` the season logic S12 applies: a
+    ``yyyy-yy`` range is set to the season; of another URL the form without
+    year segments counts if it was captured, else its year is replaced.  Only
+    a URL with a year in its path is looked up (C10), itself first, then
+    without its year segments (S13).  Universities without players keep a row
+    of zeros.  Without ``year`` every URL is looked up, and ``season_start``
+    only updates a range."""
+    base = rosters.withColumn("_k", F.concat_ws("|", "university", "gender"))
+    live = captures.filter((F.col("status") == 200) & ~st.is_error_page(F.col("html")))
+    if year is None:
+        cand = yearless_candidates(base, "_k", season_start=season_start)
+        updated = base.select("_k", (update_year_range(F.col("url"), season_start) if season_start is not None else F.col("url")).alias("updated_url"))
+    else:
+        forms = year_logic_candidates(base, "_k", season_start, year)
+        seen = forms.join(live.select(F.col("url").alias("candidate_url"), F.lit(True).alias("loads")).distinct(), "candidate_url", "left")
+        # the first form that loads, else the last one
+        pick = F.struct(F.coalesce(F.col("loads"), F.lit(False)).alias("ok"), F.when(F.coalesce("loads", F.lit(False)), -F.col("priority")).otherwise(F.col("priority")).alias("p"))
+        updated = cut_lineage(seen.groupBy("_k").agg(F.max_by("candidate_url", pick).alias("updated_url")))
+        cand = yearless_candidates(updated.where(has_year_token(F.col("updated_url"))), "_k", url="updated_url")
+    pages = live.select("page_id", F.col("url").alias("candidate_url"), "html")
     # only captures that some candidate names are parsed
     pages = pages.join(cand.select("candidate_url").distinct(), "candidate_url", "left_semi")
-    nodes = _reused(ex.roster_nodes(pages))
-    players = _reused(ex.roster_players(nodes))
+    players = _reused(ex.roster_players(_reused(ex.roster_nodes(pages))))
     n = players.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_players"))
     hits = cand.join(pages.select("page_id", "candidate_url"), "candidate_url").join(n, "page_id")
     chosen = first_hit(hits, "_k", "priority", F.col("n_players") > 0)
     p = chosen.select("_k", "page_id", "candidate_url").join(players, "page_id")
-    p = ro.normalize_players(p)
-    counts = ag.roster_counts(p, ["_k"])
-    base = rosters.withColumn("_k", F.concat_ws("|", "university", "gender"))
-    x = base.join(counts, "_k", "left").join(chosen.select("_k", "candidate_url"), "_k", "left")
+    counts = ag.roster_counts(ro.normalize_players(p), ["_k"])
+    x = base.join(updated, "_k", "left").join(counts, "_k", "left").join(chosen.select("_k", "candidate_url"), "_k", "left")
     cols = list(ro.POSITION_BUCKETS.values()) + [y.replace(" ", "_") for y in ro.YEAR_BUCKETS]
-    x = x.select("university", "gender", "candidate_url", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols])
-    return ag.wide_by(x, ["university"], "gender", ["men", "women"], cols + ["candidate_url"], fill=None)
+    x = x.select("university", "gender", "url", "updated_url", "candidate_url", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in cols])
+    return ag.wide_by(x, ["university"], "gender", ["men", "women"], cols + ["url", "updated_url", "candidate_url"], fill=None)
 
 
 def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None = None) -> dict:
@@ -269,9 +283,21 @@ def yearless_roster(master: DataFrame, captures: DataFrame, limit: int | None =
     return {"rows": rows, "writes": writes}
 
 
-def roster_counts_text(cards: DataFrame) -> DataFrame:
+def roster_card_texts(rosters: DataFrame, captures: DataFrame, season_start: int, year: int) -> DataFrame:
+    """J4, first half: the captured page of each roster URL by the season logic
+    (S12) and the text of its roster cards."""
+    forms = year_logic_candidates(rosters.withColumn("_k", F.concat_ws("|", "university", "gender")), "_k", season_start, year)
+    pages = captures.filter((F.col("status") == 200) & ~st.is_error_page(F.col("html"))).select("page_id", F.col("url").alias("candidate_url"), "html")
+    hits = forms.join(pages.select("page_id", "candidate_url"), "candidate_url")
+    chosen = first_hit(hits, "_k", "priority", F.lit(True))
+    nodes = ex.roster_nodes(pages.join(chosen.select("page_id").distinct(), "page_id", "left_semi"))
+    cards = nodes.filter((F.col("tag") == "li") & (hx.has_class("sidearm-roster-player") | hx.has_class("sidearm-roster-item")))
+    return chosen.select("_k", "page_id", "candidate_url").join(cards.select("page_id", "node_id", clean_text(F.col("text")).alias("text")), "page_id")
+
+
+def roster_counts_text(cards: DataFrame, keys: tuple = ("page_id",)) -> DataFrame:
     """Counts from roster-card text (F3, decision D5)."""
-    return ag.text_roster_counts(cards, ["page_id"])
+    return ag.text_roster_counts(cards, list(keys))
 
 
 def camp_directory(pages: DataFrame, master: DataFrame, n_lowest: int = 30) -> dict:
@@ -289,6 +315,32 @@ def camp_directory(pages: DataFrame, master: DataFrame, n_lowest: int = 30) -> d
     return {"camps": best, "lowest": low}
 
 
+CAMP_KEY = ["organiser", "url", "event_details", "start_date"]
+
+
+def camp_list(pages: DataFrame) -> DataFrame:
+    """J6, seed: the camp lists (B23) as base rows, numbered by page and row."""
+    nodes, rows, _ = _tables(pages)
+    seed = ex.camp_list_seed(rows, nodes, pages)
+    return seed.withColumn("pos", F.struct("page_id", "tr_idx"))
+
+
+def camp_rows_append(tables: Tables, camps: DataFrame, *, status: str = "page_load", batch_id: int | None = None) -> dict:
+    """Merged camp rows (``pos, sub_pos`` and the camp columns): rows
+    whose page loaded are appended to the table ``camps`` below its last row
+    unless their key (organiser, url, event details, start date) is there; the
+    others go to the table ``camp_errors``.  A repeated batch adds nothing."""
+    ok, errors = rc.split_errors(camps, status)
+    first = runs.append_rows(tables, "camps", ok, CAMP_KEY, ["pos", "sub_pos"], stream="camps", batch_id=batch_id)
+    return {"camps": first, "errors": runs.append_rows(tables, "camp_errors", errors, CAMP_KEY, ["pos", "sub_pos"], stream="camp_errors", batch_id=batch_id)}
+
+
+def all_sites_camps(sites: dict) -> DataFrame:
+    """Camp rows of several sites (name -> rows) in one table with a
+    ``source`` column (H1)."""
+    return rc.union_sources(sites)
+
+
 def partner_camps(pages: DataFrame, base: DataFrame, answers: DataFrame | None, template: str) -> dict:
     """Relevant-line snippets -> model requests; stored answers ->
     camp rows (first answer updates the base row, the rest are copies)."""
@@ -337,6 +389,24 @@ def showcase_geocode(events: DataFrame, gazetteer: DataFrame, start: int, end: i
     return rc.geocode(row_range(events, start, end), F.col("address"), gazetteer)
 
 
+def showcase_update(events: DataFrame, gazetteer: DataFrame, start: int, end: int) -> DataFrame:
+    """J10 whole: the events sheet with latitude and longitude written back to
+    the rows ``start..end`` by row number (U2); other rows, and rows whose
+    address is not found, keep their values."""
+    found = showcase_geocode(events.select("row_id", "address"), gazetteer, start, end).select(F.col("row_id").alias("_row"), "latitude", "longitude")
+    found = found.filter(F.col("latitude").isNotNull())
+    out = rc.keyed_upsert(events, found, F.col("row_id"), F.col("_row"), {"latitude": "latitude", "longitude": "longitude"}, order="_row")
+    return out.drop("dup_count", "duplicate")
+
+
+def showcase_pages(pages: DataFrame, selectors: dict) -> DataFrame:
+    """J10, page half: the fields of event pages by their selectors (B32);
+    pages without a field keep a row with ''."""
+    held = {(tag, cls) for tag, cls in selectors.values()}
+    wanted = lambda tag, attrs, above: any(t in (None, tag) and (c is None or c in attrs.get("class", "").split()) for t, c in held)
+    return ex.extract_fields(_reused(hx.html_nodes(pages, text_when=wanted)), pages, selectors)
+
+
 def geocode_file(rows: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Add latitude, longitude, city to a table with an address column."""
     from tessera.sources.files import require_columns
@@ -402,6 +472,39 @@ def scholarship_requests(mail: DataFrame, template: str, chunk: int = 3) -> Data
     return an.build_requests(ch, ["msg_id", "chunk_idx"], "chunk", template)
 
 
+def listed_mail(mail: DataFrame, label: str | None, ref_ts: str, offset: int = 1, limit: int = 9, listing: int = 100) -> DataFrame:
+    """The mail of a run: C18 (label, age, subject; newest ``listing``),
+    then G6: of that list the messages after ``offset``, at most ``limit``."""
+    return ag.slice_rows(select_mail(mail, label, ref_ts, limit=listing), [F.col("ts").desc(), F.col("id")], offset, limit)
+
+
+def scholarship_run(mail: DataFrame, template: str, label: str | None, ref_ts: str, chunk: int = 3, **listing) -> DataFrame:
+    """J14, mail half whole: listed mail -> requests."""
+    return scholarship_requests(listed_mail(mail, label, ref_ts, **listing), template, chunk)
+
+
+def keyed_requests(mail: DataFrame, template: str, label: str | None, ref_ts: str, threads: int = 500, size: int = 40000) -> DataFrame:
+    """J15, mail half: labelled mail with a subject (C18) -> body (A11, B27,
+    B28: plain text, or HTML as text when it is short; forward header removed)
+    -> one model request per piece of at most ``size`` characters (M1).
+    ``{subject}`` in the template stands for the subject."""
+    x = select_mail(mail, label, ref_ts, limit=threads)
+    body = mail_body(F.col("plain"), mail_html(F.col("parts")))
+    x = x.select(F.col("id").alias("msg_id"), "subject", F.posexplode(text_chunks(body, size)).alias("chunk_idx", "piece"))
+    req = an.build_requests(x.withColumn("subject", strip(F.col("subject"))), ["msg_id", "chunk_idx", "subject"], "piece", template)
+    return req.select("msg_id", "chunk_idx", F.replace("prompt", F.lit("{subject}"), F.col("subject")).alias("prompt"))
+
+
+def scholarships_import(tables: Tables, answers: DataFrame, *, batch_id: int | None = None) -> int:
+    """J15, answer half as one batch (T1, U9): items with a title whose key
+    ``msgId|title`` was never imported become rows of the table
+    ``scholarships``, and their keys are logged, in one commit."""
+    items = an.scholarship_rows(answers, ["msg_id"], require=(), form="js")
+    items = items.withColumn("key", F.concat_ws("|", "msg_id", "title")).withColumn("at", F.struct("msg_id", "item_idx"))
+    return keyed.process_once(tables, items, ["key"], "at", lambda df: an.to_sheet_columns(df).withColumn("imported", F.lit(batch_id).cast("long")),
+                              "scholarships", stream="scholarships", batch_id=batch_id)
+
+
 def scholarship_rows(answers: DataFrame, stored: DataFrame) -> DataFrame:
     """J14 (second half): answers -> items with amount and closing date ->
     11 sheet columns -> drop rows already stored (normalised title + link,
