@@ -156,6 +156,14 @@ _Q = [f"q{i}" for i in range(len(FEATURES))]
 _PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
 
 
+CELLS_PER_TASK = 50_000
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """A table of about ``rows`` small rows in as many tasks as that needs."""
+    return df.coalesce(max(1, -(-rows // CELLS_PER_TASK)))
+
+
 def _median(hist: DataFrame) -> DataFrame:
     """``gid, f, m``: the median of every statistic (``v`` with counts ``n``)."""
     w = Window.partitionBy("gid", "f").orderBy("v")          # distinct values of one statistic
@@ -213,15 +221,15 @@ def _as_estimates(sums: DataFrame, each) -> DataFrame:
     return sums.mapInArrow(run, _EST)
 
 
-def _starts(cells: DataFrame) -> DataFrame:
-    """The three starts of every group."""
+def _starts(cells: DataFrame, size: int) -> DataFrame:
+    """The three starts of every group, over ``size`` cells."""
     hist = cells.select("gid", "n", F.posexplode(F.array(*_Q)).alias("f", "v")).groupBy("gid", "f", "v").agg(F.sum("n").alias("n"))
-    hist = stored(hist, "mcd-values")
-    med = stored(_median(hist), "mcd-median")
+    hist = stored(_few(hist, size), "mcd-values")
+    med = stored(_few(_median(hist), size), "mcd-median")
     dev = hist.join(med, ["gid", "f"]).select("gid", "f", F.abs(F.col("v") - F.col("m")).alias("v"), "n").groupBy("gid", "f", "v").agg(F.sum("n").alias("n"))
     mad = _median(dev).withColumnRenamed("m", "mad")
     place = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("f", c))), lambda x: x[c])
-    both = stored(med.join(mad, ["gid", "f"]).groupBy("gid").agg(place("m").alias("m"), place("mad").alias("mad")), "mcd-mad")
+    both = stored(_few(med.join(mad, ["gid", "f"]).groupBy("gid").agg(place("m").alias("m"), place("mad").alias("mad")), size), "mcd-mad")
     x = cells.join(both, "gid")
     # floors stand in for a spread of nothing
     unit = [F.greatest(F.element_at("mad", i + 1) * 1.4826, F.lit(FLOORS[i] * SCALE)) for i in range(len(FEATURES))]
@@ -234,33 +242,35 @@ def _starts(cells: DataFrame) -> DataFrame:
         mu, cov = _estimate(r["s"], r["p"], r["n"], 1.0)
         _, bent = _estimate(r["ts"], r["tp"], r["n"], 1.0)
         return [(0, r["n"], m, np.diag((np.array(r["mad"], float) * 1.4826 / SCALE) ** 2)), (1, r["n"], mu, cov), (2, r["n"], m, bent * np.outer(u, u))]
-    return _as_estimates(plain.join(both, "gid").join(curved, "gid").select("gid", "n", "s", "p", "m", "mad", "ts", "tp"), each)
+    rows = plain.join(both, "gid").join(curved, "gid").select("gid", "n", "s", "p", "m", "mad", "ts", "tp")
+    return _as_estimates(_few(rows, size), each)
 
 
-def _step(cells: DataFrame, est: DataFrame) -> DataFrame:
+def _step(cells: DataFrame, est: DataFrame, size: int) -> DataFrame:
     """One concentration step of every group and start in ``est``."""
     d2 = _distance([F.col(q) / float(SCALE) for q in _Q])
     scored = cells.join(est.select("gid", "start", "mu", "inv"), "gid").withColumn("bin", F.floor(F.log2(1 + d2) * BINS))
-    scored = stored(scored.select("gid", "start", *_Q, "n", "bin"), "mcd-scored")
+    scored = stored(_few(scored.select("gid", "start", *_Q, "n", "bin"), 3 * size), "mcd-scored")
     hist = scored.groupBy("gid", "start", "bin").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("gid", "start").orderBy("bin")    # bins of one group
     run = hist.withColumn("run", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy("gid", "start")))
-    cut = stored(run.where(F.col("run") >= F.ceil(F.col("total") * H_SHARE)).groupBy("gid", "start").agg(
-        F.min("bin").alias("cut"), F.max("total").alias("total")), "mcd-cut")
+    cut = run.where(F.col("run") >= F.ceil(F.col("total") * H_SHARE)).groupBy("gid", "start").agg(F.min("bin").alias("cut"), F.max("total").alias("total"))
+    cut = stored(_few(cut, size), "mcd-cut")
     near = scored.join(cut, ["gid", "start"]).where(F.col("bin") <= F.col("cut"))
     sums = _sums(near, ["gid", "start", "total"], [F.col(q) for q in _Q])
-    return _as_estimates(sums.select("gid", "start", "total", "n", "s", "p"),
+    return _as_estimates(_few(sums.select("gid", "start", "total", "n", "s", "p"), size),
                          lambda r: [(r["start"], r["total"], *_estimate(r["s"], r["p"], r["n"], CONSISTENCY))])
 
 
 def _concentrated(cells: DataFrame) -> DataFrame:
     """The estimate of least determinant of every group, over ``cells`` (stored)."""
-    open_ = stored(_starts(cells), "mcd-start").withColumn("logdet", F.lit(float("inf")))   # a start is no estimate yet
+    size = cells.count()
+    open_ = stored(_starts(cells, size), "mcd-start").withColumn("logdet", F.lit(float("inf")))   # a start is no estimate yet
     ended = []
     for _ in range(MAX_STEPS):
-        new = stored(_step(cells, open_), "mcd-step")
+        new = stored(_step(cells, open_, size), "mcd-step")
         old = open_.select("gid", "start", F.col("logdet").alias("before"))
-        new = stored(new.join(old, ["gid", "start"]), "mcd-step")
+        new = stored(_few(new.join(old, ["gid", "start"]), size), "mcd-step")
         falls = F.col("logdet") < F.col("before") - 1e-9
         # what falls no more has ended: in the lower of its last two estimates
         ended.append(new.where(~falls).select("gid", "start"))
@@ -293,18 +303,19 @@ def shrunk(rows: DataFrame) -> DataFrame:
     keys = [[], ["lang"], ["lang", "source"]]
     gids = [_gid(level, k) for level, k in enumerate(keys)]
     cells = stored(_cells(rows, F.array(*gids)), "mcd-cells")
-    est = stored(_concentrated(cells), "mcd-estimates")
+    size = cells.count()
+    est = stored(_few(_concentrated(cells), size), "mcd-estimates")
     names = rows.select("lang", "source", *[g.alias(f"g{level}") for level, g in enumerate(gids)]).distinct()
     for level in range(3):
         names = names.join(est.select(F.col("gid").alias(f"g{level}"), *[F.col(c).alias(f"{c}{level}") for c in ("n", "mu", "cov")]), f"g{level}")
     w1, w2 = (F.col(f"n{i}") / (F.col(f"n{i}") + SHRINK) for i in (1, 2))
     mix = lambda c: F.zip_with(f"{c}2", F.zip_with(f"{c}1", f"{c}0", lambda a, b: a * w1 + b * (1 - w1)), lambda a, b: a * w2 + b * (1 - w2))
     mixed = names.select("lang", "source", F.col("g2").alias("gid"), F.col("n2").alias("n"), mix("mu").alias("mu"), mix("cov").alias("cov"))
-    mixed = stored(mixed, "mcd-mixed")
+    mixed = stored(_few(mixed, size), "mcd-mixed")
     d = len(FEATURES)
     inv = _as_estimates(mixed.select("gid", "n", "mu", "cov"),
                         lambda r: [(0, r["n"], np.array(r["mu"]), np.array(r["cov"]).reshape(d, d))]).select("gid", "mu", "inv")
-    return stored(mixed.select("lang", "source", "gid").join(inv, "gid").drop("gid"), "mcd-shrunk")
+    return stored(_few(mixed.select("lang", "source", "gid").join(inv, "gid").drop("gid"), size), "mcd-shrunk")
 
 
 def _distance(x: list[Column]) -> Column:
