@@ -1,17 +1,24 @@
 """Document fingerprints: a homomorphic multiset hash of paragraph pieces.
 
 A text is a multiset of pieces: its paragraphs (lines), each cut after its
-sentence ends (``.``, ``!``, ``?`` before a space) and after commas.  Every distinct
+sentence ends (``.``, ``!``, ``?`` before a space) and after commas.  A piece of
+more than ``LONG`` bytes is cut again by its content (after words, or code
+points where there are no words, whose hash says so), so that texts without
+marks have pieces, too, and an edit changes the pieces around it only.  Every
 piece hashes to a wide vector, and the fingerprint is the sum of the vectors of all
 pieces, so it does not depend on their order, and a piece is inserted or
 deleted by adding or subtracting its vector:
 
-* ``SKETCH`` lanes of +1 / -1, summed modulo 2^16.  The inner product of two
-  such sums estimates that of the two multisets, hence their likeness (cosine).
+* ``SKETCH`` lanes of +1 / -1, summed modulo 2^32 (a piece may repeat two
+  thousand million times).  The
+  inner product of two such sums estimates that of the two multisets, hence their likeness (cosine).
 * ``EXACT`` lanes of uniform 64-bit numbers, summed modulo 2^64, and the
   number of pieces: equality of these means equality of the multisets up to hash
   collisions.
 
+The edited text shares the pieces before the edit with its text: its
+fingerprint is the sum of that of the kept pieces and that of the new end.
+
 Defined results: null and empty texts have no piece and the zero fingerprint;
 two empty texts are alike (1), an empty and another text are not (0); equal
 texts have equal fingerprints and likeness 1; rows with the same id follow
@@ -39,12 +46,49 @@ EXACT = 4
 _GROUP_BITS = 9        # ids per group of consecutive documents: 2^9
 
 
+LONG = 160             # bytes of a piece that is not cut by its content
+_MARKS = (". ", "! ", "? ", ", ")
+_WORDS_PER_CUT = 8     # on average
+_POINTS_PER_CUT = 24
+
+
+def _by_content(piece: bytes) -> list[bytes]:
+    """A long piece cut after the words, and a long word after the code
+    points, that a hash of them (and for code points the three before) picks."""
+    out, held = [], []
+    low = xxhash.xxh3_64_intdigest
+    for word in piece.split(b" "):
+        if len(word) > LONG:
+            chars = word.decode("utf-8", "surrogatepass")
+            at = 0
+            for k in range(3, len(chars)):
+                if low(chars[k - 3:k + 1].encode("utf-8", "surrogatepass")) % _POINTS_PER_CUT == 0:
+                    out.append(b" ".join([*held, chars[at:k + 1].encode("utf-8", "surrogatepass")]))
+                    held, at = [], k + 1
+            word = chars[at:].encode("utf-8", "surrogatepass")
+        held.append(word)
+        if low(word) % _WORDS_PER_CUT == 0:
+            out.append(b" ".join(held))
+            held = []
+    out.append(b" ".join(held))
+    return [p for p in (x.strip() for x in out) if p]
+
+
 def pieces(text: str) -> list[bytes]:
     """Paragraph pieces of a text, blanks around them dropped."""
     raw = text.encode("utf-8", "surrogatepass")
-    for mark in (b". ", b"! ", b"? ", b", "):
-        raw = raw.replace(mark, mark[:1] + b"\n")
-    return [p for p in (x.strip() for x in raw.split(b"\n")) if p]
+    for mark in _MARKS:
+        raw = raw.replace(mark.encode(), mark[:1].encode() + b"\n")
+    found = [p for p in (x.strip() for x in raw.split(b"\n")) if p]
+    if not any(len(p) > LONG for p in found):
+        return found
+    return [q for p in found for q in (_by_content(p) if len(p) > LONG else [p])]
+
+
+def seam(text: str, at: int) -> int:
+    """The last place up to ``at`` where one piece surely ends and the next
+    begins, whatever follows ``at``."""
+    return max(text.rfind("\n", 0, at) + 1, *(text.rfind(m, 0, at) + 2 if text.rfind(m, 0, at) >= 0 else 0 for m in _MARKS))
 
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -64,7 +108,7 @@ class Fingerprint:
     __slots__ = ("sketch", "exact", "count")
 
     def __init__(self, sketch=None, exact=None, count: int = 0):
-        self.sketch = np.zeros(SKETCH, np.uint16) if sketch is None else sketch
+        self.sketch = np.zeros(SKETCH, np.uint32) if sketch is None else sketch
         self.exact = np.zeros(2 * EXACT, np.uint64) if exact is None else exact
         self.count = count
 
@@ -75,14 +119,14 @@ class Fingerprint:
         return Fingerprint(self.sketch - other.sketch, self.exact - other.exact, self.count - other.count)
 
     def hex(self) -> str:
-        return (self.sketch.astype("<u2").tobytes() + self.exact.astype("<u8").tobytes()
+        return (self.sketch.astype("<u4").tobytes() + self.exact.astype("<u8").tobytes()
                 + (self.count % 2 ** 64).to_bytes(8, "little")).hex()
 
     @classmethod
     def of_hex(cls, text: str) -> "Fingerprint":
         raw = bytes.fromhex(text)
-        a, b = 2 * SKETCH, 2 * SKETCH + 16 * EXACT
-        return cls(np.frombuffer(raw[:a], "<u2").astype(np.uint16), np.frombuffer(raw[a:b], "<u8").astype(np.uint64),
+        a, b = 4 * SKETCH, 4 * SKETCH + 16 * EXACT
+        return cls(np.frombuffer(raw[:a], "<u4").astype(np.uint32), np.frombuffer(raw[a:b], "<u8").astype(np.uint64),
                    int.from_bytes(raw[b:], "little"))
 
 
@@ -102,7 +146,7 @@ def of_pieces(parts: list[bytes]) -> Fingerprint:
         sketch += 2 * bits.sum(axis=0, dtype=np.int64) - len(h)
         exact += np.concatenate([_words_of(a ^ _STEP, EXACT).sum(axis=0, dtype=np.uint64),
                                  _words_of(b, EXACT).sum(axis=0, dtype=np.uint64)])
-    return Fingerprint((sketch % 65536).astype(np.uint16), exact, len(parts))
+    return Fingerprint((sketch % 2**32).astype(np.uint32), exact, len(parts))
 
 
 def of_text(text: str | None) -> Fingerprint:
@@ -115,7 +159,7 @@ def likeness(x: Fingerprint, y: Fingerprint) -> float:
         return 1.0
     if not x.count or not y.count:
         return 0.0
-    a, b = x.sketch.astype(np.int16).astype(float), y.sketch.astype(np.int16).astype(float)
+    a, b = x.sketch.astype(np.int32).astype(float), y.sketch.astype(np.int32).astype(float)
     norm = float(np.sqrt((a @ a) * (b @ b)))
     return min(1.0, max(0.0, float(a @ b) / norm)) if norm else 0.0
 
@@ -159,12 +203,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches):
-        last = None  # (grp, doc_id, text, fingerprint)
+        last = None  # (grp, doc_id, text, fingerprint, pieces before the edit, their fingerprint)
 
         def pair(row, nxt_text, nxt_fp):
             text, fp = row[2], row[3]
             new = edited(text, nxt_text)
-            efp = of_text(new)
+            # the pieces before the edit stay, those of the new end come
+            efp = row[5] + of_text(new[row[4]:])
             return (row[1], len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), fp.hex(), efp.hex(),
                     likeness(fp, efp), likeness(fp, nxt_fp))
 
@@ -176,11 +221,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 fresh = last is None or last[0] != g
                 if not fresh and done:
                     continue  # further rows of the tail's id
-                fp = of_text(t)
+                cut = seam(t, len(t) - len(t) // 2)
+                kept = of_text(t[:cut])
+                fp = kept + of_text(t[cut:])
                 if not fresh:
                     out.append(pair(last, t, fp))
                 done = bool(is_tail)
-                last = (g, i, t, fp)
+                last = (g, i, t, fp, cut, kept)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) if k else pa.array(c, pa.int64()) for k, c in enumerate(zip(*out))], names=names)
 
