@@ -4,14 +4,14 @@ Fingerprint: 64 bits, one per bit of the XXH64 of the word shingles; a bit is
 set if it is set in more than half of the shingle hashes.
 
 Links (at most ``max_bits`` differing bits) are found without comparing all
-pairs.  The 64 bits are a ring of 8 segments with a budget of ``max_bits / 8`` bits each.
-If two fingerprints differ in at most ``max_bits`` bits, then from some
-segment on, every chain of ``l`` consecutive segments differs in at most
-``l * max_bits / 8`` bits (pigeonring).  The chain's start is therefore equal, and the next
-four segments hold errors in at most two places, of which at most one lies in
-the first two; blanking those places gives a join key of 24 equal bits.  A
-pair that meets on a key must pass the whole chain of budgets, and then the
-full Hamming check.
+pairs.  The 64 bits are a ring of 8 segments with a budget of ``max_bits / 8``
+bits each.  If two fingerprints differ in at most ``max_bits`` bits, then from
+some segment on, every chain of ``l`` consecutive segments differs in at most
+``l * max_bits / 8`` bits (pigeonring).  With at most 4 bits, such a ring has
+at least four segments without a difference: the places of four equal segments
+and their 32 bits are a join key, one for each of the 70 choices.  A pair that
+meets on a key must have a segment from which all chains keep their budgets,
+and then pass the full Hamming check.
 
 Large groups of near copies: copies collapse to distinct fingerprints first.
 Members of a key are linked to the key's smallest member (a star, linear in
@@ -27,6 +27,8 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -112,44 +114,37 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return src.mapInArrow(run, "doc_id long, fp long, text_hash long")
 
 
+def _masks() -> list[int]:
+    """The 70 choices of four whole segments, as signed 64-bit masks."""
+    one = (1 << WIDTH) - 1
+    masks = [sum(one << (k * WIDTH) for k in c) for c in itertools.combinations(range(SEGMENTS), SEGMENTS - MAX_BITS)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
+def ring_keys(fps: DataFrame) -> DataFrame:
+    """``fp, places, bits``: the keys of every fingerprint."""
+    masks = F.array(*[F.lit(m).cast("long") for m in _masks()])
+    return fps.select("fp", F.posexplode(masks).alias("places", "mask")).select("fp", "places", F.col("fp").bitwiseAND(F.col("mask")).alias("bits"))
+
+
 def _turn(x: Column, bits: int) -> Column:
     """Rotate right, so that a chain's first segment is the lowest."""
     return x if bits == 0 else F.shiftrightunsigned(x, bits).bitwiseOR(F.shiftleft(x, 64 - bits))
 
 
-def _blanks() -> list[tuple[int, ...]]:
-    """Places 1..4 after a chain's start that may hold errors: two of them,
-    at most one among the first two (budgets 0, 1, 1, 2, 2 of a ring of 8)."""
-    return [(1, 3), (1, 4), (2, 3), (2, 4), (3, 4)]
-
-
-def ring_keys(fp: Column) -> Column:
-    """Array of the join keys of a fingerprint: (start, blanks) in the low
-    bits above 40, the five segments with two blanked below."""
-    keys = []
-    for i in range(SEGMENTS):
-        turned = _turn(fp, i * WIDTH)
-        for j, blank in enumerate(_blanks()):
-            mask = 0
-            for k in range(5):
-                if k not in blank:
-                    mask |= ((1 << WIDTH) - 1) << (k * WIDTH)
-            keys.append(turned.bitwiseAND(F.lit(mask)).bitwiseOR(F.lit((i * len(_blanks()) + j) << 40)))
-    return F.array(*keys)
-
-
-def chain_holds(a: Column, b: Column, start: Column, max_bits: int) -> Column:
-    """Every chain from the key's start keeps its budget, the whole ring included."""
+def chain_holds(a: Column, b: Column, max_bits: int) -> Column:
+    """From some segment on, every chain keeps its budget, the whole ring
+    included."""
     diff = a.bitwiseXOR(b)
-    cases = None
+    found = F.lit(False)
     for i in range(SEGMENTS):
         turned = _turn(diff, i * WIDTH)
         ok = F.lit(True)
-        for l in range(SEGMENTS, 0, -1):
+        for l in range(1, SEGMENTS + 1):
             part = turned if l == SEGMENTS else turned.bitwiseAND(F.lit((1 << (l * WIDTH)) - 1))
             ok = ok & (F.bit_count(part) <= l * max_bits // SEGMENTS)
-        cases = F.when(start == i, ok) if cases is None else cases.when(start == i, ok)
-    return cases
+        found = found | ok
+    return found
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -157,23 +152,24 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     components are those of all links."""
     if max_bits > MAX_BITS:
         raise ValueError("the ring's keys are laid out for at most 4 bits")
-    keyed = fps.select("fp", F.explode(ring_keys(F.col("fp"))).alias("key"))
-    heads = keyed.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select("key", "low")
-    members = stored(keyed.join(heads, "key"), "ring")
+    key = ["places", "bits"]
+    keyed = ring_keys(fps)
+    # stored, so that both sides of the join are exchanged and a crowded key can be split
+    heads = stored(keyed.groupBy(*key).agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select(*key, "low"), "ring-heads")
+    members = stored(keyed.join(heads, key), "ring")
     near = F.bit_count(F.col("low").bitwiseXOR(F.col("fp"))) <= max_bits
     star = members.where((F.col("low") != F.col("fp")) & near).select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
     star = stored(star, "star-links")
     comp = components(star)
     named = (members.join(comp, members["fp"] == comp["node"], "left")
-                    .select("key", "fp", F.coalesce("component", "fp").alias("comp")))
+                    .select(*key, "fp", F.coalesce("component", "fp").alias("comp")))
     # only keys that still hold members of several components
-    split = named.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-    open_ = stored(named.join(split, "key", "left_semi"), "ring-open")
-    x = open_.select("key", F.col("fp").alias("a"), F.col("comp").alias("ca"))
-    y = open_.select(F.col("key").alias("key2"), F.col("fp").alias("b"), F.col("comp").alias("cb"))
-    start = F.floor(F.shiftright("key", 40) / len(_blanks()))
-    rest = x.join(y, (F.col("key") == F.col("key2")) & (F.col("ca") < F.col("cb"))
-                  & chain_holds(F.col("a"), F.col("b"), start, max_bits)
+    split = named.groupBy(*key).agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select(*key)
+    open_ = stored(named.join(split, key, "left_semi"), "ring-open")
+    x = open_.select(*key, F.col("fp").alias("a"), F.col("comp").alias("ca"))
+    y = open_.select(F.col("places").alias("places2"), F.col("bits").alias("bits2"), F.col("fp").alias("b"), F.col("comp").alias("cb"))
+    rest = x.join(y, (F.col("places") == F.col("places2")) & (F.col("bits") == F.col("bits2")) & (F.col("ca") < F.col("cb"))
+                  & chain_holds(F.col("a"), F.col("b"), max_bits)
                   & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b").distinct()
     return star.unionByName(rest)
 
