@@ -102,7 +102,9 @@ class RepairedTree(HTMLParser):
         """(parent, child to come before): before the table for content that a
         table cannot hold."""
         if target.tag in TABLE_BODY:
-            t = self._find({"table"})
+            t = self.stack.index(target) if target in self.stack else 0
+            while t and self.stack[t].tag != "table":
+                t -= 1
             if t > 0:
                 table = self.stack[t]
                 if table.parent is not None:
@@ -201,6 +203,8 @@ class RepairedTree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         start = self._offset()
         end = start + len(self.get_starttag_text() or "")
+        if tag == "table" and self.stack[-1].tag in TABLE_BODY:
+            self._pop_to(max(self._find({"table"}), 1), start)       # ends the open table
         table = self._find({"table"})
         if tag in P_CLOSERS:
             i = self._find({"p"}, P_SCOPE_STOP)

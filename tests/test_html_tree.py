@@ -45,7 +45,7 @@ _PIECES = st.lists(st.sampled_from(["<b>", "</b>", "<i>", "</i>", "<a>", "</a>",
                                     "</td>", "<li>", "<ul>", "</ul>", "<font color=r>", "</font>", "<br>", "x", "y ", " ", "<span>", "</span>"]), max_size=40)
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(_PIECES)
 def test_any_page_gives_a_sound_tree(pieces):
     html = "".join(pieces)
