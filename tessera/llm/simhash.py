@@ -156,7 +156,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     keyed = ring_keys(fps)
     # stored, so that both sides of the join are exchanged and a crowded key can be split
     heads = stored(keyed.groupBy(*key).agg(F.min("fp").alias("low"), F.max("fp").alias("high")).where("low <> high").select(*key, "low"), "ring-heads")
-    members = stored(keyed.join(heads, key), "ring")
+    # merged at every size, so that small inputs take the same way
+    members = stored(keyed.join(heads.hint("merge"), key), "ring")
     near = F.bit_count(F.col("low").bitwiseXOR(F.col("fp"))) <= max_bits
     star = members.where((F.col("low") != F.col("fp")) & near).select(F.col("low").alias("a"), F.col("fp").alias("b")).distinct()
     star = stored(star, "star-links")
