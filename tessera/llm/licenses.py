@@ -61,8 +61,6 @@ TEMPLATES = {
 }
 
 
-ENDS = 4    # ends scored for each start of a window
-
 
 def _bigrams(text: str) -> list[str]:
     kept = "".join(c if c.isascii() and (c.isalnum() or c in ".+") else " " for c in text.lower())
@@ -133,19 +131,19 @@ def _windows(rows: DataFrame, templates: dict[str, str], threshold: float) -> Da
     rows = rows.withColumn("spots", F.expr(f"""
         filter(array({spots}), t -> size(t.h) >= t.need AND size(array_distinct(transform(t.h, x -> x.b))) >= t.need
           AND exists(sequence(0, size(t.h) - t.need), i -> t.h[i + t.need - 1].p - t.h[i].p < t.span))"""))
-    # one-element arrays bind a value, so that it is computed once
-    ends = """transform(array(filter(t.e, j -> j - i + 1 >= t.need AND t.h[j].p - t.h[i].p < t.span)), js ->
-        slice(sort_array(transform(js, j -> named_struct('s', 2D * least(j - i + 1, t.len) / (t.h[j].p - t.h[i].p + 1 + t.len), 'j', -j)), false), 1, {}))[0]""".format(ENDS)
-    exact = """2D * size(array_distinct(transform(slice(t.h, i + 1, -x.j - i + 1), y -> y.b)))
-        / (size(array_distinct(slice(r.pairs, t.h[i].p + 1, t.h[-x.j].p - t.h[i].p + 1))) + t.m)"""
+    # every end of a window is scored exactly, the best one of each start is
+    # kept; one-element arrays bind a value, so that it is computed once
+    ends = "filter(t.e, j -> j - i + 1 >= t.need AND t.h[j].p - t.h[i].p < t.span)"
+    exact = """2D * size(array_distinct(transform(slice(t.h, i + 1, j - i + 1), y -> y.b)))
+        / (size(array_distinct(slice(r.pairs, t.h[i].p + 1, t.h[j].p - t.h[i].p + 1))) + t.m)"""
     cut = """named_struct('name', t.name, 'm', t.m, 'len', t.len, 'need', t.need, 'span', t.span, 'h', t.h,
         's', filter(sequence(0, size(t.h) - 1), i -> i % t.len = 0 OR t.h[i].p <> t.h[i - 1].p + 1),
         'e', filter(sequence(0, size(t.h) - 1), i -> (i + 1) % t.len = 0 OR i = size(t.h) - 1 OR t.h[i + 1].p <> t.h[i].p + 1))"""
     rows = rows.withColumn("w", F.expr(f"""
         CASE WHEN size(spots) > 0 THEN transform(array(named_struct('pairs', pairs, 'spots', spots)), r ->
           flatten(transform(transform(r.spots, t -> {cut}), t ->
-            flatten(transform(t.s, i -> transform({ends}, x ->
-              named_struct('score', {exact}, 'name', t.name, 'a', t.h[i].p, 'z', t.h[-x.j].p)))))))[0] END"""))
+            flatten(transform(t.s, i -> slice(sort_array(transform({ends}, j ->
+              named_struct('score', {exact}, 'name', t.name, 'a', t.h[i].p, 'z', t.h[j].p)), false), 1, 1))))))[0] END"""))
     rows = rows.withColumn("w", F.expr(f"filter(w, c -> c.score >= {threshold}D)"))
     rows = rows.withColumn("w", F.expr(f"""
         CASE WHEN size(w) > 0 THEN transform(array(named_struct('w', w, 'found', found, 'n', size(lines),

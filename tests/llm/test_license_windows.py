@@ -89,3 +89,21 @@ def test_places_are_counted(make):
     res = {r["doc_id"]: r for r in got(li.scan(make(rows)))}
     assert (res[1]["n_matched"], res[1]["licenses"], res[1]["score"]) == (2, "MIT", 1.0)
     assert (res[2]["n_matched"], res[2]["license"]) == (0, None)
+
+
+def test_the_best_end_may_be_any(make):
+    """A window whose first ends score better than they are: words of the
+    notice come again after it, so that many ends look alike."""
+    body = "alpha beta gamma delta epsilon zeta eta theta"
+    noise = " ".join(f"beta gamma x{k}" for k in range(3))
+    rows, want = [], {}
+    rng = random.Random(11)
+    for i in range(40):
+        w = body.split()
+        w.insert(rng.randrange(1, 8), "cut")
+        text = "start " + " ".join(w) + " " + " ".join(rng.choice(["beta gamma", "zeta eta", "delta epsilon", "q r"]) for _ in range(6)) + " " + noise
+        rows.append((i, text, "en", "s", 1))
+        want[i] = best_window(text, body)
+    res = {r["doc_id"]: r for r in got(li.scan(make(rows), {"X": body}))}
+    for i, best in want.items():
+        assert (res[i]["score"] or 0) == pytest.approx(best if best >= li.THRESHOLD else 0), i
