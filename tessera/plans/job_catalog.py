@@ -175,7 +175,7 @@ SELECT p_partkey, lower(n) || ' w-l' AS header, CASE WHEN k % 2 = 0 THEN n ELSE
   k = 5 AS error_page
 FROM s""")
 def text_forms(spark, sf_dir):
-    """S8 + S19 + S20 + S22 + S33 + S34 + S35 + S38 + S40 + S41 on strings made of
+    """S8 + S19 + S20 + S22 + S33 + S34 + S35 + S38 + S40 on strings made of
     part names."""
     p = read_table(spark, sf_dir, "part")
     k, n = F.col("p_partkey") % 6, F.col("p_name")
@@ -342,3 +342,191 @@ def coach_links(spark, sf_dir):
     changes = s.withColumn("page_id", F.col("s_nationkey").cast("long") * 1_000_000_000 + F.floor(k / 50)).select(
         k.alias("change_id"), "page_id", _pick(["roster", "staff", "general"], kind).alias("mode"), F.concat(F.lit(" First S"), id_).alias("name"))
     return ex.coach_profile_links(changes, hx.html_nodes(pages, text_tags={"a"}, tags={"a"}), pages)
+
+
+# ------------------------------------------------------------------ whole jobs against a master table
+
+def _master(spark, sf_dir) -> DataFrame:
+    """Suppliers as the master table."""
+    s = read_table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").alias("row_id"), F.concat(F.lit(" "), "s_name", F.lit(" ")).alias("university_name"), F.lit("").alias("men_conference"),
+                    _pick(["D1", "D2", ""], F.col("s_suppkey") % 3).alias("men_ncaa_division"), F.lit("old").alias("men_coach_name"),
+                    F.lit(None).cast("string").alias("men_coach_email"), F.lit(None).cast("string").alias("men_coach_url"))
+
+
+@register("standings_job", """
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 50 ORDER BY s_suppkey) AS nth FROM supplier)
+SELECT s_suppkey AS row_id, 'men_conference_record' AS column, (s_suppkey % 7) || '-' || (s_suppkey % 5) AS value FROM s
+UNION ALL SELECT s_suppkey, 'men_overall_record', (s_suppkey % 11) || '-' || (s_suppkey % 3) FROM s
+UNION ALL SELECT s_suppkey, 'men_conference_standing', CAST(nth AS VARCHAR) FROM s""")
+def standings_job(spark, sf_dir):
+    """A1 + A2 + B4-B9 + C5-C8 + C15-C17 + G1 + G2 + E3 + E8 + U3 + T3 + T4: one
+    resumable run over all sites; the first call fails on some cells, the
+    second finishes, the third has nothing to do."""
+    from tessera.operators import saved_maps as sm
+    from tessera.plans.table_catalog import _site_pages
+    from tessera.streaming import runs
+    from tessera.streaming.tables import Tables
+    pages, sites, maps = _site_pages(spark, sf_dir)
+    pages, sites = sinks.cut_lineage(pages), sinks.cut_lineage(sites)
+    tables = Tables(spark, _folder(spark, "standings"))
+    sm.save(tables, maps, ["site"])
+    fails = lambda w: w.withColumn("failed", (F.col("row_id") % 7 == 0) & (F.col("column") == "men_overall_record"))
+    for attempt in (fails, None, None):
+        jobs.standings_run(tables, pages, sites, _master(spark, sf_dir), "men", attempt=attempt, keys=("site",))
+    return runs.cells(tables, "standings").select("row_id", "column", "value")
+
+
+@register("rankings_job", """
+WITH m AS (SELECT p_name AS name, min(p_partkey) AS row_id FROM part GROUP BY p_name)
+SELECT name AS left_key, row_id AS chosen_row_id, 'auto' AS how FROM m WHERE row_id % 3 <> 0""")
+def rankings_job(spark, sf_dir):
+    """B11-B14 + A1 + A2 + C11 + E3 + E8: ranking pages matched to masters of
+    a compatible division; what is accepted."""
+    from tessera.plans.page_catalog import ranking_pages
+    p = read_table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("row_id"))
+    master = p.select("row_id", F.col("p_name").alias("university_name"), _pick(["D1", "d2", ""], F.col("row_id") % 3).alias("men_ncaa_division"))
+    out = jobs.rankings(ranking_pages(spark, sf_dir), master, "men", "D2", k=3)
+    return out["accepted"].select(F.trim("left_key").alias("left_key"), "chosen_row_id", "how")
+
+
+@register("coach_change_job", """
+SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 4 = 1 THEN 'First' || s_suppkey || ' Last' ELSE 'old' END AS men_coach_name,
+  CASE WHEN s_suppkey % 4 < 2 THEN 'c' || s_suppkey || '@x.edu' END AS men_coach_email FROM supplier""")
+def coach_change_job(spark, sf_dir):
+    """C1 + C2 + E4 + S36 + S37 + U1: change rows by school name or alias
+    become cells of the master."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    id_ = k.cast("string")
+    school = F.when(k % 3 == 0, F.concat(F.lit("Alias "), id_)).otherwise(F.concat(F.lit(" "), "s_name", F.lit(" ")))
+    logs = s.select(F.lit("men_DI.csv").alias("file_name"), k.cast("int").alias("pos"), F.lit("").alias("conference"), school.alias("school"),
+                    F.when(k % 4 == 3, "Assistant").otherwise("Head Coach").alias("position"), F.concat(F.lit("First"), id_).alias("first_name"), F.lit("Last").alias("last_name"),
+                    _pick(["e", "J X", "#", "j"], k % 4).alias("change"), F.concat(F.lit("c"), id_, F.lit("@x.edu")).alias("email_address"), F.lit("men").alias("gender"))
+    aliases = s.select(F.concat(F.lit("Alias "), id_).alias("alias"), F.concat(F.lit(" "), "s_name", F.lit(" ")).alias("canonical"))
+    return jobs.coach_changes(logs, aliases, _master(spark, sf_dir), "men")["master"].select("row_id", "men_coach_name", "men_coach_email")
+
+
+@register("academic_job", """
+SELECT s_suppkey AS row_id, CASE WHEN s_suppkey % 5 > 0 THEN CAST(1000 + s_suppkey AS INTEGER) ELSE 7 END AS undergraduates,
+  CASE WHEN s_suppkey % 5 > 0 THEN CAST(20000 + s_suppkey AS INTEGER) END AS in_state_tuition, CASE WHEN s_suppkey % 5 > 0 AND s_suppkey % 2 = 0 THEN 'Duplicate' ELSE '' END AS duplicate
+FROM supplier""")
+def academic_job(spark, sf_dir):
+    """B3 + B20 + S6 + S7 + E7 + U2 + F4: facts pages joined to the master on
+    the canonical URL, the last page of a URL counts."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    html = lambda n: F.concat(F.lit("<div class='ug'>"), F.format_number(n + k, 0), F.lit(" students</div><div><div class='t'>Tuition</div><div class='v'>$"),
+                              F.format_number(19000 + n + k, 0), F.lit("</div></div>"))
+    url = F.concat(F.lit("https://www.facts.org/u/"), k.cast("string"))
+    pages = s.where(k % 5 > 0).select((k * 2 + 1).alias("page_id"), F.concat(url, F.lit("/")).alias("url"), html(1000).alias("html"))
+    pages = pages.unionByName(s.where((k % 5 > 0) & (k % 2 == 0)).select((k * 2).alias("page_id"), url.alias("url"), html(5).alias("html")))
+    null = F.lit(None).cast("int")
+    master = s.select(k.alias("row_id"), F.concat(F.lit("facts.org/u/"), k.cast("string")).alias("academic_info_url"), F.lit(7).alias("undergraduates"),
+                      null.alias("in_state_tuition"), null.alias("out_of_state_tuition"), F.lit(None).cast("double").alias("avg_admission_gpa"))
+    out = jobs.academic_facts(pages, master, "v", "t", "ug", "facts.org")["master"]
+    return out.select("row_id", "undergraduates", "in_state_tuition", "duplicate")
+
+
+@register("branded_camp_job", """
+SELECT c_custkey AS page_id, 'Boys Camp ' || c_custkey AS camp_name, CASE c_custkey % 3 WHEN 0 THEN 'Elementary School' WHEN 1 THEN 'Middle School' ELSE 'High School' END AS grade_level,
+  CASE WHEN c_custkey % 4 > 0 THEN CAST(c_custkey AS DOUBLE) END AS latitude FROM customer""")
+def branded_camp_job(spark, sf_dir):
+    """B21 + S21 + S22 + S26 + E14: camp pages, geocoded by title and place."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    html = F.concat(F.lit("<h1>Boys Camp "), k.cast("string"), F.lit("</h1><div class='x location'>Austin, TX</div><p>Ages: "), _pick(["9", "13", "16"], k % 3), F.lit("+</p>"))
+    pages = c.select(k.alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    gz = c.where(k % 4 > 0).select(F.concat(F.lit("boys camp "), k.cast("string"), F.lit(", austin, tx")).alias("address_norm"), k.cast("double").alias("lat"),
+                                   F.lit(1.0).alias("lng"), F.lit("Austin").alias("city"))
+    return jobs.branded_camps(pages, gz).select("page_id", "camp_name", "grade_level", "latitude")
+
+
+@register("yearless_job", """
+SELECT s_suppkey AS row_id, 'men_roster_url' AS column, 'https://t' || s_suppkey || '.edu/msoc/roster' AS value FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 4 > 0
+UNION ALL SELECT s_suppkey, 'men_goalkeepers', CAST(s_suppkey % 2 + 1 AS VARCHAR) FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 4 > 0""")
+def yearless_job(spark, sf_dir):
+    """C9 + C10 + S13 + A9 + B16-B19 + F1: rosters that no longer exist are
+    looked up without their year."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    base = F.concat(F.lit("https://t"), k.cast("string"), F.lit(".edu/msoc/"))
+    master = s.select(k.alias("row_id"), F.when(k % 3 == 0, "Page No Longer Exists").otherwise("12").alias("men_freshman"), F.lit("").alias("women_freshman"),
+                      F.concat(base, F.lit("2023-24/roster")).alias("men_roster_url"), F.lit("").alias("women_roster_url"))
+    card = "<li class='sidearm-roster-player'><span class='sidearm-roster-player-position'>GK</span><span class='sidearm-roster-player-academic-year'>Fr.</span></li>"
+    html = F.concat(F.lit("<meta name='generator' content='Sidearm'><ul>" + card), F.when(k % 2 == 1, card).otherwise(""), F.lit("</ul>"))
+    caps = s.where(k % 4 > 0).select(k.alias("page_id"), F.concat(base, F.lit("roster")).alias("url"), F.lit(200).alias("status"), html.alias("html"))
+    out = jobs.yearless_roster(master, caps)["writes"]
+    return out.where(F.col("column").isin("men_roster_url", "men_goalkeepers")).select("row_id", "column", "value")
+
+
+@register("scholarship_import_job", """
+WITH a AS (SELECT event_id, user_id, event_id % 2 AS batch FROM events WHERE event_id % 5 > 0)
+SELECT 'Award ' || user_id AS title, '2024-0' || (user_id % 9 + 1) AS closing_date, 'https://aid.org/' || user_id AS link, CAST(min(batch) AS BIGINT) AS imported
+FROM a GROUP BY user_id""")
+def scholarship_import_job(spark, sf_dir):
+    """M2 + M5 + M8 + E10 + T1 + U9: answers of two batches, one of them twice;
+    an item of a message is imported once."""
+    from tessera.streaming.tables import Tables
+    e = read_table(spark, sf_dir, "events")
+    u = F.col("user_id").cast("string")
+    item = F.to_json(F.array(F.struct(F.concat(F.lit("Award "), u).alias("title"), F.lit("").alias("closing_date"),
+                                      F.concat(F.lit("2024-0"), (F.col("user_id") % 9 + 1).cast("string")).alias("deadline"), F.concat(F.lit("<aid.org/"), u, F.lit(">")).alias("link"))))
+    content = F.when(F.col("event_id") % 5 == 0, "no items").otherwise(F.concat(F.lit("```JSON\n"), item, F.lit("\n```")))
+    env = F.to_json(F.struct(F.array(F.struct(F.struct(content.alias("content")).alias("message"))).alias("choices")))
+    answers = e.select(F.concat(F.lit("m"), u).alias("msg_id"), (F.col("event_id") % 2).alias("batch"), env.alias("response"))
+    tables = Tables(spark, _folder(spark, "import"))
+    for n in (0, 0, 1):
+        jobs.scholarships_import(tables, answers.where(F.col("batch") == n).select("msg_id", "response"), batch_id=n)
+    return tables.read("scholarships").select("title", "closing_date", "link", "imported")
+
+
+@register("camp_directory_job", """
+SELECT s_name AS camp_school_name, 'https://d.org/c/' || s_suppkey AS camp_url, s_suppkey AS match_row_id, 1.0 AS similarity_score FROM supplier WHERE s_suppkey % 5 > 0""")
+def camp_directory_job(spark, sf_dir):
+    """B1 + B4 + B22 + B31 + E1: directory tables of 50 suppliers, each camp
+    matched to its best master school."""
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    row = F.concat(F.lit("<tr><td>x</td><td>"), F.when(k % 5 > 0, F.concat(F.lit("<a href='/c/"), k.cast("string"), F.lit("'>"), "s_name", F.lit(" Camp</a>"))).otherwise(F.col("s_name")),
+                   F.lit("</td></tr>"))
+    x = s.withColumn("page_id", F.col("s_nationkey").cast("long") * 1_000_000_000 + F.floor(k / 50))
+    pages = _joined(x, "page_id", "s_suppkey", row, "rows").select("page_id", F.lit("https://d.org/list").alias("url"), F.concat(F.lit("<table>"), "rows", F.lit("</table>")).alias("html"))
+    master = s.select(k.alias("row_id"), F.col("s_name").alias("university_name"))
+    return jobs.camp_directory(pages, master)["camps"].select("camp_school_name", "camp_url", "match_row_id", "similarity_score")
+
+
+@register("camp_enrichment_job", """
+WITH s AS (SELECT s_suppkey, s_suppkey % 4 AS k, unnest(CASE WHEN s_suppkey % 2 = 0 THEN [0, 1] ELSE [0] END) AS sub FROM supplier)
+SELECT s_suppkey AS camp_id, CASE k WHEN 2 THEN 'HTTP 404' WHEN 3 THEN 'Not captured' ELSE 'OK' END AS page_load, CASE WHEN k < 2 THEN 'Camp ' || sub END AS event_details,
+  CASE WHEN k < 2 THEN CAST(s_suppkey AS DOUBLE) END AS lat FROM s WHERE k < 2 OR sub = 0""")
+def camp_enrichment_job(spark, sf_dir):
+    """U8: S39 + C19 + E13 + M3 + M6: camp rows by page status, place and model
+    answer; further camps of an answer are copies; rows without a page apart."""
+    import json
+    s = read_table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    url = F.concat(F.lit("https://c.org/"), k.cast("string"))
+    blank = {c: F.lit("") for c in ("camp_found", "event_details", "start_date", "end_date", "ages_grade_level", "cost")}
+    camps = s.select(k.alias("camp_id"), F.concat(F.lit("Org  "), k.cast("string")).alias("organiser"), url.alias("camp_info_url")).withColumns(blank)
+    caps = s.where(k % 4 < 3).select(k.alias("page_id"), url.alias("url"), F.when(k % 4 == 2, 404).otherwise(200).alias("status"), F.lit(None).cast("string").alias("error"))
+    gz = s.select(F.concat(F.lit("org "), k.cast("string")).alias("address_norm"), k.cast("double").alias("lat"), F.lit(0.0).alias("lng"), F.lit("c").alias("city"))
+    two, one = (json.dumps({"choices": [{"message": {"content": json.dumps([{"event_name": f"Camp {i}"} for i in range(n)])}}]}) for n in (2, 1))
+    answers = s.select(k.alias("camp_id"), F.when(k % 2 == 0, two).otherwise(one).alias("response"))
+    out = jobs.camp_enrichment(camps, caps, gz, answers)
+    found = out["camps"].select("camp_id", "page_load", "event_details", "lat")
+    return found.unionByName(out["errors"].select("camp_id", "page_load", F.lit(None).cast("string").alias("event_details"), F.lit(None).cast("double").alias("lat")))
+
+
+@register("geocode_job", """
+SELECT c_custkey AS row_id, c_nationkey % 3 = 0 AS found, CASE WHEN c_nationkey % 3 = 0 THEN 'City ' || c_nationkey END AS city FROM customer""")
+def geocode_job(spark, sf_dir):
+    """A6 + E13 + E14: a table with an address column, geocoded once per
+    distinct address."""
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation").where("n_nationkey % 3 = 0")
+    gz = n.select(F.concat(F.lit("1 main st, "), F.col("n_nationkey").cast("string")).alias("address_norm"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lng"),
+                  F.concat(F.lit("City "), F.col("n_nationkey").cast("string")).alias("city"))
+    rows = c.select(F.col("c_custkey").alias("row_id"), F.concat(F.lit("1  Main St, "), F.col("c_nationkey").cast("string")).alias("address"))
+    out = jobs.geocode_file(rows, gz)
+    return out.select("row_id", F.col("latitude").isNotNull().alias("found"), "city")

@@ -132,8 +132,9 @@ def conference_standings(pages: DataFrame, master: DataFrame, gender: str, k: in
         F.col("row_id"), F.col("name").alias("master_name"), "conference")
     cands = cut_lineage(tk.exact_topk(ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")), m, k=k,
                                       name="school", pref="conference", master_conf="conference"))
-    accepted, review = mt.resolve_matches(cands.select("left_key", "rank", "row_id", "master_name", "score"),
-                                          decisions, key="left_key", accept_at=accept_at)
+    # a school that stands on several pages is decided once
+    accepted, review = mt.resolve_matches(cands.select("left_key", "rank", "row_id", "master_name", "score").distinct(), decisions,
+                                          key="left_key", accept_at=accept_at)
     best = ranked.withColumn("left_key", F.concat_ws("|", "conference", "school")).join(accepted, "left_key")
     writes = best.select(F.col("chosen_row_id").alias("row_id"), F.struct("page_id", "table_id", "pos").alias("seq"), F.explode(F.array(
         F.struct(F.lit(f"{gender}_conference_record").alias("column"), F.col("conf_record").alias("value")),
@@ -206,7 +207,7 @@ def rankings(pages: DataFrame, master: DataFrame, gender: str, division: str, k:
                                                             F.col("division").alias("m_div"))
     cands = cut_lineage(tk.exact_topk(r, m, k=k, name="name", left_attr="division", master_attr="m_div"))
     acc, review = mt.resolve_matches(cands.select(F.col("name").alias("left_key"), "rank", "row_id", "master_name",
-                                                  "score"), decisions, key="left_key", accept_at=accept_at)
+                                                  "score").distinct(), decisions, key="left_key", accept_at=accept_at)
     ranks = r.select(F.col("name").alias("left_key"), "poll_rank", "pos")
     writes = acc.join(ranks, "left_key").select(F.col("chosen_row_id").alias("row_id"), F.col("pos").alias("seq"),
                                                 F.lit(f"{gender}_top_25").alias("column"),

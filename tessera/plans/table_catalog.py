@@ -177,7 +177,7 @@ SELECT l_orderkey * 10 AS row_id, 'c' || (l_linenumber % 3) AS column, CAST(l_pa
   FROM (SELECT DISTINCT l_orderkey, l_linenumber, max(l_partkey) OVER (PARTITION BY l_orderkey, l_linenumber) AS l_partkey FROM lineitem))
 WHERE nth = 1""")
 def resumable_run(spark, sf_dir):
-    """T3 + T4 + U3: orders are the units, their lines the writes.  A first
+    """T3 + T4: orders are the units, their lines the writes.  A first
     call fails on returned lines, so the rest of those orders stays pending;
     a second one continues; a third finds nothing to do."""
     li = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("part"), F.max("l_returnflag").alias("flag"))
