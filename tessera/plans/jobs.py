@@ -170,7 +170,8 @@ def standings_run(tables: Tables, pages: DataFrame, sites: DataFrame, master: Da
 
     none = lambda w: w.withColumn("failed", F.lit(False))
     done = runs.run_units(tables, sites.select(*keys).distinct(), list(keys), work, attempt or none, "standings", force=force)
-    sm.save(tables, sm.learned(seen["maps"], list(keys), "captured_at"), list(keys))
+    if "maps" in seen:
+        sm.save(tables, sm.learned(seen["maps"], list(keys), "captured_at"), list(keys))
     return done
 
 

@@ -42,7 +42,8 @@ def run_units(tables: Tables, units: DataFrame, keys: list[str], work: Callable[
     write wins) and a unit without pending writes is completed.  A unit with
     pending writes is not worked on again until they are through.
 
-    Returns the counts of this call (units, applied, pending) and its commit."""
+    Returns the counts of this call (units, applied, pending) and its commit;
+    a call that finds nothing to do commits nothing."""
     state = tables.state()
     call = state["version"] + 1
     late = tables.read(PENDING, state=state) if tables.has(PENDING, state) else None
@@ -50,9 +51,13 @@ def run_units(tables: Tables, units: DataFrame, keys: list[str], work: Callable[
     if late is not None:
         open_ = open_.join(late.select(*keys).distinct(), keys, "left_anti")
     open_ = cut_lineage(open_.select(*units.columns).dropDuplicates(keys))
-    new = work(open_).select(*keys, F.lit(call).cast("long").alias("call"), F.col("seq").cast("long").alias("seq"), F.col("row_id").cast("long").alias("row_id"),
-                             "column", F.col("value").cast("string").alias("value"))
-    writes = cut_lineage(new if late is None else late.unionByName(new))
+    if open_.isEmpty() and (late is None or late.isEmpty()):
+        return {"version": state["version"], "units": 0, "applied": 0, "pending": 0}
+    writes = late
+    if late is None or not open_.isEmpty():
+        new = work(open_).select(*keys, F.lit(call).cast("long").alias("call"), F.col("seq").cast("long").alias("seq"),
+                                 F.col("row_id").cast("long").alias("row_id"), "column", F.col("value").cast("string").alias("value"))
+        writes = cut_lineage(new if late is None else late.unionByName(new))
     tried = writes.withColumn("unit", F.to_json(F.struct(*keys))).withColumn("at", F.struct("call", "seq"))
     done = cut_lineage(split_pending(attempt(tried), "unit", "at", "failed"))
     applied, pending = done.where("state = 'applied'"), done.where("state = 'pending'").select(*writes.columns)
