@@ -54,11 +54,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("w"))
     keep = stored(first.select(F.col("w.doc_id").alias("_v_id"), F.col("w.text_hash").alias("_v_hash")), "kept")
     src = _keyed(docs)
-    out = src.join(keep, _named(src, keep), "left_semi")
-    # repeated rows of one id and text: the same one under any partitioning
+    # repeated rows of one id and text: the same one under any partitioning;
+    # all other rows need no grouping, so their texts move once
+    twice = stored(src.groupBy("_t_id", "_t_hash").count().where("count > 1").select(F.col("_t_id").alias("_v_id"), F.col("_t_hash").alias("_v_hash")), "repeated")
+    alone = src.join(twice, _named(src, twice), "left_anti")
+    alone = alone.join(keep, _named(alone, keep), "left_semi").select(*docs.columns)
+    many = src.join(twice, _named(src, twice), "left_semi")
     order = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
-    one = out.groupBy("_t_id", "_t_hash").agg(F.min_by(F.struct(*docs.columns), order).alias("_t_row"))
-    return one.select("_t_row.*")
+    one = many.join(keep, _named(many, keep), "left_semi").groupBy("_t_id", "_t_hash").agg(F.min_by(F.struct(*docs.columns), order).alias("_t_row"))
+    return alone.unionByName(one.select("_t_row.*"))
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
