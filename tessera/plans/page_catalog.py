@@ -26,35 +26,44 @@ def _joined(rows: DataFrame, key: str, order: str, piece, out: str) -> DataFrame
     return g.select(key, F.array_join(F.transform("l", lambda x: x["p"]), "").alias(out))
 
 
+_PAGE = 1_000_000_000
+
+
+def _paged(rows: DataFrame, nation: str, key: str) -> DataFrame:
+    """``rows`` with ``page``: a page per nation and 50 keys, so that pages stay
+    small and their number grows with the table."""
+    return rows.withColumn("page", F.col(nation).cast("long") * _PAGE + F.floor(F.col(key) / 50))
+
+
 def _cell(*parts) -> Column:
     return F.concat(F.lit("<td>"), *parts, F.lit("</td>"))
 
 
 def standings_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per nation: a table outside ``main`` that must be ignored, a
-    heading, and a standings table of its suppliers.  Nations with even keys
-    show points."""
-    s = read_table(spark, sf_dir, "supplier")
+    """Pages of 50 keys of a nation: a table outside ``main`` that must be
+    ignored, a heading, and a standings table of its suppliers.  Nations with
+    even keys show points."""
+    s = _paged(read_table(spark, sf_dir, "supplier"), "s_nationkey", "s_suppkey")
     k = F.col("s_suppkey")
     points = (F.col("s_nationkey") % 2 == 0)
     row = F.concat(F.lit("<tr>"), _cell(F.col("s_name"), F.lit(" [x] (y)*")),
                    _cell((k % 7).cast("string"), F.lit("-"), (k % 5).cast("string")),
                    _cell((k % 11).cast("string"), F.lit(" – "), (k % 3).cast("string")),
                    F.when(points, _cell((k % 13).cast("string"), F.lit(" pts"))).otherwise(F.lit("")), F.lit("</tr>"))
-    body = _joined(s, "s_nationkey", "s_suppkey", row, "rows")
+    body = _joined(s, "page", "s_suppkey", row, "rows").withColumn("s_nationkey", F.floor(F.col("page") / _PAGE))
     html = F.concat(F.lit("<html><title>t</title><body><table><tr><th>School</th><th>Conf</th></tr><tr><td>Nav</td><td>1-1</td></tr></table><main><h2>Group "),
                     F.col("s_nationkey").cast("string"), F.lit("</h2><table><tr><th>Team</th><th>Conf</th><th>Overall</th>"),
                     F.when(F.col("s_nationkey") % 2 == 0, F.lit("<th>Pts</th>")).otherwise(F.lit("")), F.lit("</tr>"), F.col("rows"),
                     F.lit("</table></main></body></html>"))
-    return body.select(F.col("s_nationkey").cast("long").alias("page_id"), html.alias("html"))
+    return body.select(F.col("page").alias("page_id"), html.alias("html"))
 
 
 @register("standings_tables", """
-SELECT CAST(s_nationkey AS BIGINT) AS page_id, 'Group ' || s_nationkey AS conference, s_name AS school,
+SELECT CAST(s_nationkey AS BIGINT) * 1000000000 + s_suppkey // 50 AS page_id, 'Group ' || s_nationkey AS conference, s_name AS school,
   (s_suppkey % 7) || '-' || (s_suppkey % 5) AS conf_record, (s_suppkey % 11) || ' – ' || (s_suppkey % 3) AS overall_record,
   CASE WHEN s_nationkey % 2 = 0 THEN CAST(s_suppkey % 13 AS DOUBLE) END AS pts,
-  CAST(CASE WHEN s_nationkey % 2 = 0 THEN row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey % 13 DESC, s_suppkey)
-       ELSE row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) END AS VARCHAR) AS standing
+  CAST(CASE WHEN s_nationkey % 2 = 0 THEN row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 50 ORDER BY s_suppkey % 13 DESC, s_suppkey)
+       ELSE row_number() OVER (PARTITION BY s_nationkey, s_suppkey // 50 ORDER BY s_suppkey) END AS VARCHAR) AS standing
 FROM supplier""")
 def standings_tables(spark, sf_dir):
     """B1 + B4-B10 + C5, C6, C8 + S31 + F7 + G1, G2: rendered standings pages ->
@@ -99,27 +108,28 @@ def _pick(values: list[str], n) -> Column:
 
 
 def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One roster page per nation of its customers: Sidearm cards for even
+    """Roster pages of 50 keys of a nation's customers: Sidearm cards for even
     nations, a data-field table for odd ones."""
-    c = read_table(spark, sf_dir, "customer")
+    c = _paged(read_table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey")
     pos, yr = _pick(_POSITIONS, F.col("c_custkey") % 5), _pick(_YEARS, F.floor(F.col("c_custkey") / 5) % 5)
     card = F.concat(F.lit("<li class='sidearm-roster-player'><span class='sidearm-roster-player-position'>"), pos,
                     F.lit("</span><span class='sidearm-roster-player-academic-year'>"), yr, F.lit("</span></li>"))
     tr = F.concat(F.lit("<tr><td data-field='position'>"), F.lower(pos), F.lit("</td><td data-field='year'>"), yr, F.lit("</td></tr>"))
-    rows = _joined(c, "c_nationkey", "c_custkey", F.when(F.col("c_nationkey") % 2 == 0, card).otherwise(tr), "rows")
+    rows = _joined(c, "page", "c_custkey", F.when(F.col("c_nationkey") % 2 == 0, card).otherwise(tr), "rows")
+    rows = rows.withColumn("c_nationkey", F.floor(F.col("page") / _PAGE))
     html = F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("<html><head><meta name='generator' content='Sidearm Sports'></head><body><ul>"), F.col("rows"), F.lit("</ul></body></html>"))) \
         .otherwise(F.concat(F.lit("<body><table class='roster-data'>"), F.col("rows"), F.lit("</table></body>")))
-    return rows.select(F.col("c_nationkey").cast("long").alias("page_id"), html.alias("html"))
+    return rows.select(F.col("page").alias("page_id"), html.alias("html"))
 
 
 @register("roster_pages", """
-WITH p AS (SELECT c_nationkey, c_custkey % 5 AS p, (c_custkey // 5) % 5 AS y FROM customer)
-SELECT CAST(c_nationkey AS BIGINT) AS page_id,
+WITH p AS (SELECT CAST(c_nationkey AS BIGINT) * 1000000000 + c_custkey // 50 AS page, c_custkey % 5 AS p, (c_custkey // 5) % 5 AS y FROM customer)
+SELECT page AS page_id,
   count(*) FILTER (WHERE p IN (1, 4)) AS defenders, count(*) FILTER (WHERE p = 3) AS forwards,
   count(*) FILTER (WHERE p IN (2, 4)) AS midfielders, count(*) FILTER (WHERE p = 0) AS goalkeepers,
   count(*) FILTER (WHERE y = 0) AS freshman, count(*) FILTER (WHERE y = 1) AS sophomore, count(*) FILTER (WHERE y = 2) AS junior,
   count(*) FILTER (WHERE y = 3) AS senior, count(*) FILTER (WHERE y = 4) AS graduate_student
-FROM p GROUP BY c_nationkey""")
+FROM p GROUP BY page""")
 def roster_counts_pages(spark, sf_dir):
     """B16-B19 + V1 + S14, S16, S43 + F1: rendered rosters -> extractor by
     page kind -> normalised players -> counts per page."""
