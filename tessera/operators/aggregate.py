@@ -127,8 +127,8 @@ def _cell(df: DataFrame, keys: list[str], value: str, out: str, descending: bool
 def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: str = "rank",
                   descending: bool = True) -> DataFrame:
     """1-based position of each row inside its group by ``score`` (nulls
-    last), ties by ``pos`` (numeric, unique in its group).  A null group is a
-    group.
+    last), ties by ``pos`` (numeric, unique in its group; a null one last).  A
+    null group is a group.
 
     One large group spans many tasks: its score range is cut into cells by
     fixed expressions, crowded cells are cut again, and rows of one cell that
@@ -161,9 +161,9 @@ def rank_in_group(df: DataFrame, group: list[str], score: str, pos: str, out: st
     count = count.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(cells)], "_before")
     x = x.join(count, _same([F.col(k) for k in cells], [F.col(f"_g{i}") for i in range(len(cells))]))
     by = F.col("_s").desc_nulls_last() if descending else F.col("_s").asc_nulls_last()
-    w = Window.partitionBy(*cells).orderBy(by, F.col("_pos").asc())
+    w = Window.partitionBy(*cells).orderBy(by, F.col("_pos").asc_nulls_last())
     ranks = x.select(*keys, "_pos", (F.col("_before") + F.row_number().over(w)).cast("int").alias(out))
-    return df.join(ranks, _same([F.col(g) for g in group], [F.col(k) for k in keys]) & (F.col(pos) == F.col("_pos"))) \
+    return df.join(ranks, _same([F.col(g) for g in group], [F.col(k) for k in keys]) & F.col(pos).eqNullSafe(F.col("_pos"))) \
              .drop(*keys, "_pos")
 
 

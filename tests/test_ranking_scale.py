@@ -32,3 +32,9 @@ def test_null_group_keeps_its_rows(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "g string, v double, id long")
     assert ag.rank_in_group(df, ["g"], "v", "id").count() == 0
+
+
+def test_a_row_without_a_position_keeps_its_rank(spark):
+    df = spark.createDataFrame([("a", 1.0, None), ("a", 1.0, 5), ("a", 2.0, 7), ("b", 1.0, None), (None, None, None)], "g string, v double, id long")
+    got = sorted(((r["g"], r["v"], r["id"], r["rank"]) for r in ag.rank_in_group(df, ["g"], "v", "id").collect()), key=str)
+    assert got == sorted([("a", 2.0, 7, 1), ("a", 1.0, 5, 2), ("a", 1.0, None, 3), ("b", 1.0, None, 1), (None, None, None, 1)], key=str)
