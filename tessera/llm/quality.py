@@ -272,11 +272,12 @@ def _concentrated(cells: DataFrame) -> DataFrame:
         old = open_.select("gid", "start", F.col("logdet").alias("before"))
         new = stored(_few(new.join(old, ["gid", "start"]), size), "mcd-step")
         falls = F.col("logdet") < F.col("before") - 1e-9
-        # what falls no more has ended: in the lower of its last two estimates
-        ended.append(new.where(~falls).select("gid", "start"))
-        last = open_
+        # what falls no more has ended: in its new estimate if that is as low,
+        # else in the one before (one of them: equal determinants are no tie)
+        lower = F.col("logdet") <= F.col("before")
+        back = new.where(~falls & ~lower).select("gid", "start")
+        ended += [new.where(~falls & lower).drop("before"), open_.join(back, ["gid", "start"], "left_semi")]
         open_ = new.where(falls).drop("before")
-        ended[-1] = last.join(ended[-1], ["gid", "start"], "left_semi").unionByName(new.where(~falls & (F.col("logdet") <= F.col("before"))).drop("before"))
         if open_.isEmpty():
             break
     every = open_
