@@ -151,3 +151,21 @@ def test_distances_do_not_depend_on_partitions(make):
     rows = mixed_rows()
     seen = [sorted(((r["doc_id"], r["distance"], r["kept"]) for r in got(quality.judge(make(rows).repartition(n)))), key=str) for n in (1, 7)]
     assert seen[0] == seen[1]
+
+
+def test_groups_below_the_floors_have_one_estimate(spark):
+    """Where every spread is below its floor all determinants are equal: the
+    estimate is the last step's, under any partitioning."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    rows = [(*map(float, x), "a", f"s{k % 5}") for k, x in enumerate(rng.normal([1.5, 0.3, 0.2, 0.4], [0.03, 0.1, 0.2, 0.1], (900, 4)))]
+    df = spark.createDataFrame(rows, [*quality.FEATURES, "lang", "source"])
+    seen = [sorted((r["source"], tuple(r["mu"]), tuple(r["inv"])) for r in quality.mcd(df.repartition(n), ["lang", "source"]).collect()) for n in (1, 6)]
+    assert seen[0] == seen[1] and len(seen[0]) == 5
+    stats = [dict(id=k, lang=r[4], source=r[5], failed=False, x=r[:4]) for k, r in enumerate(rows)]
+    want = plain_verdicts(stats)
+    est = {(r["lang"], r["source"]): r for r in quality.shrunk(df).collect()}
+    for r, (_, d2, _) in zip(rows, want):
+        e = est[r[4], r[5]]
+        d = np.floor(np.array(r[:4]) * quality.SCALE + 0.5) / quality.SCALE - np.array(e["mu"])
+        assert abs(float(d @ np.array(e["inv"]).reshape(4, 4) @ d) - d2) < 1e-6
