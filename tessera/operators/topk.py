@@ -7,13 +7,16 @@ leave in rounds, each with a lower bound on what can still matter:
 
 1. ``SURE``: the prefix-filtered join of ``match.fuzzy_candidates`` finds every
    pair of at least that score.  A name whose k-th score reaches it is done.
+   Names whose words stand in more than ``PAIRS`` masters skip this round: a
+   tile is cheaper for them than their pairs.
 2. The masters lie in tiles (ranges of conference and name).  For every pair
    in a tile the word Jaccard is known from the tile's word lists, and the
    character score is at most 2 * common letters / all letters (letters with
-   their number of occurrences).  A tile is searched from its greatest bound
-   down, pairs are scored exactly, and the search ends when the next bound is
-   below the name's k-th score.  A name first asks the tile that shares most
-   words with it.
+   their number of occurrences), and of those still above the name's floor at
+   most 2 * longest common subsequence / all letters.  A tile is searched from
+   its greatest bound down, pairs are scored exactly, once for each distinct
+   master name, and the search ends when the next bound is below the name's
+   k-th score.  A name first asks the tile that shares most words with it.
 3. With the k-th score found there, it asks the other tiles, unless the tile's
    bound (words shared with the tile as a whole, its conferences) is below it.
 
@@ -37,6 +40,7 @@ from tessera.operators import match
 from tessera.sources.sinks import cut_lineage
 
 SURE = 0.75
+PAIRS = 128               # masters that hold a name's words, for the first round
 TILE_ROWS = 4096
 BLOCK = 20_000            # names that one task asks a tile about
 _EPS = 1e-9
@@ -80,6 +84,9 @@ class _Tile:
             for x, n in c.items():
                 self.have[k, self.letter[x]] = n
         self.length = self.have.sum(1)
+        # the letters of all names one after the other
+        self.spelled = np.array([self.letter[x] for n in names for x in n.lower()], np.int32)
+        self.starts = np.cumsum(self.length) - self.length
         self.n_words = np.array([len(t) for t in tokens], np.int64)
         self.words: dict[str, list] = {}
         for k, t in enumerate(tokens):
@@ -87,6 +94,31 @@ class _Tile:
                 self.words.setdefault(w, []).append(k)
         self.words = {w: np.array(k, np.int64) for w, k in self.words.items()}
 
+    def common(self, low: str, at: np.ndarray) -> np.ndarray:
+        """For the masters ``at``, a number no smaller than the length of the
+        longest common subsequence with ``low``: exact up to 64 letters, else
+        the sum over pieces of 64.  A master's column of the length table is
+        one number, its bits the places of the piece."""
+        at = at[np.argsort(-self.length[at], kind="stable")]
+        size, first = self.length[at], self.starts[at]
+        most = np.zeros(len(self.names), np.int64)
+        for a in range(0, len(low), 64):
+            piece = low[a:a + 64]
+            place = np.zeros(len(self.letter) + 1, np.uint64)
+            for i, x in enumerate(piece):
+                if x in self.letter:
+                    place[self.letter[x]] |= np.uint64(1 << i)
+            left = np.full(at.size, np.uint64((1 << 64) - 1))
+            live = at.size
+            for j in range(int(size[0]) if at.size else 0):
+                live = int(np.searchsorted(-size[:live], -j, side="left"))      # names longer than j
+                v = left[:live]
+                u = v & place[self.spelled[first[:live] + j]]
+                left[:live] = (v + u) | (v - u)
+            full = np.uint64((1 << len(piece)) - 1)
+            most[at] += np.bitwise_count(~left & full).astype(np.int64)
+        return most
+
     def best(self, name, tokens, pref, attr, floor, k, score, bonus):
         """(rank order, score, row) of the first ``k`` masters not below ``floor``."""
         shared = np.zeros(len(self.names), np.int64)
@@ -108,13 +140,21 @@ class _Tile:
         use = most > 0
         if attr:
             use &= (self.attrs == "") | (self.attrs == attr.lower())
-        at = np.flatnonzero(use)
+        at = np.flatnonzero(use & (most + _EPS >= floor))
+        lcs = np.minimum(self.common(name.lower(), at), both)
+        seq = np.where(total > 0, 2 * lcs / np.maximum(total, 1), 1.0)
+        most = np.minimum(1.0, SEQ_WEIGHT * seq + JAC_WEIGHT * jac + more)
+        at = at[most[at] > 0]
         at = at[np.argsort(-most[at], kind="stable")]
         top: list[tuple] = []
+        known: dict[str, float] = {}
         for m in at.tolist():
             if most[m] + _EPS < floor:
                 break
-            s = min(1.0, SEQ_WEIGHT * score(name, self.names[m]) + JAC_WEIGHT * float(jac[m]) + float(more[m]))
+            other = self.names[m]
+            if other not in known:
+                known[other] = score(name, other)
+            s = min(1.0, SEQ_WEIGHT * known[other] + JAC_WEIGHT * float(jac[m]) + float(more[m]))
             if s <= 0:
                 continue
             top.append((-s, int(self.rank[m]), m))
@@ -153,14 +193,14 @@ def exact_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
                master_name: str = "master_name", pref: str | None = None, master_conf: str | None = None,
                left_attr: str | None = None, master_attr: str | None = None, bonus: float = BONUS,
                seq=match.seq_ratio, seq_py: Callable[[str, str], float] = seq_ratio_py,
-               tile_rows: int = TILE_ROWS, block: int = BLOCK, sure: float = SURE) -> DataFrame:
+               tile_rows: int = TILE_ROWS, block: int = BLOCK, sure: float = SURE, pairs: int = PAIRS) -> DataFrame:
     """The ``k`` best masters of every row of ``left`` by the combined score
     (only positive scores), ties by master row: exactly the result of scoring
     every pair.  ``seq`` and ``seq_py`` are the same character score as a
-    column and on two strings; it must not exceed 2 * common letters / all
-    letters.  Adds ``rank, row_id, master_name, score``; a row without any
-    positive score, or with a null name, keeps nulls there.  Master names may
-    be null (they match nothing) and repeat."""
+    column and on two strings; it must not exceed 2 * longest common
+    subsequence / all letters.  Adds ``rank, row_id, master_name, score``; a
+    row without any positive score, or with a null name, keeps nulls there.
+    Master names may be null (they match nothing) and repeat."""
     blank = lambda c, df: F.coalesce(F.col(c).cast("string"), F.lit("")) if c else F.lit("")
     q = left.select(F.col(name).alias("q_name"), blank(pref, left).alias("q_pref"), blank(left_attr, left).alias("q_attr"))
     q = q.where("q_name is not null").distinct()
@@ -173,10 +213,14 @@ def exact_topk(left: DataFrame, master: DataFrame, k: int = 10, *, name: str = "
     room = bonus if conf else 0.0
 
     # 1. names that have k pairs at or above SURE
-    sure_pairs = match.fuzzy_candidates(q, m, name="q_name", master_id="row_id", master_name="master_name", pref="q_pref" if conf else None,
+    df = m.select(F.explode_outer("m_tokens").alias("w")).where("w is not null").groupBy("w").agg(F.count(F.lit(1)).alias("df"))
+    many = q.select("q_id", F.explode_outer("q_tokens").alias("w")).where("w is not null").join(df, "w") \
+        .groupBy("q_id").agg(F.sum("df").alias("df")).where(F.col("df") > pairs)
+    few = cut_lineage(q.join(many, "q_id", "left_anti"))
+    sure_pairs = match.fuzzy_candidates(few, m, name="q_name", master_id="row_id", master_name="master_name", pref="q_pref" if conf else None,
                                         master_conf="m_conf" if conf else None, bonus=bonus, left_attr="q_attr" if attr else None,
                                         master_attr="m_attr" if attr else None, min_score=max(sure, SEQ_WEIGHT + room + 0.01), seq=seq)
-    sure_pairs = sure_pairs.where(F.col("score") >= sure).join(q.select("q_id", "q_name", F.col("q_pref").alias("p"), F.col("q_attr").alias("a")),
+    sure_pairs = sure_pairs.where(F.col("score") >= sure).join(few.select("q_id", "q_name", F.col("q_pref").alias("p"), F.col("q_attr").alias("a")),
                                                                "q_name")
     same = (F.col("a") == F.col("q_attr")) if attr else F.lit(True)
     if conf:
