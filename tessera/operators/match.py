@@ -225,7 +225,7 @@ def _ngrams(s: Column, n: int) -> Column:
 
 
 def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "name", master_id: str = "row_id",
-                         master_name: str = "master_name", k: int | None = 10, score: bool = True) -> DataFrame:
+                         master_name: str = "master_name", k: int | None = 10, score: bool = True, parts: int = 64) -> DataFrame:
     """Masters whose lower-case name contains the left's lower-case text,
     scored with the combined score, best ``k`` (all when ``k`` is None; no
     score column when ``score`` is False).
@@ -233,7 +233,9 @@ def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "nam
     No nested loop: a container holds every gram of the text, so a text joins
     by its rarest one (3 characters, fewer for shorter texts), by one table of
     gram frequencies of the master.  Only grams that some text chose leave the
-    master's tasks; ``contains`` confirms each pair.  The text is one matching
+    master's tasks, the masters of a gram in ``parts`` parts, merged with the
+    texts part by part (a broadcast would hold all masters: their grams are
+    many times the table); ``contains`` confirms each pair.  The text is one matching
     block of its container, so the character score is 2 * length / both
     lengths (the sequence ratio is computed only for names of 200 characters
     or more, where its own rules differ).  The best ``k`` are taken in two
@@ -247,13 +249,15 @@ def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "nam
     kinds = asked.select("gram").distinct()
     grams = F.flatten(F.array(*[F.array_distinct(_ngrams(F.col("m_low"), F.lit(g))) for g in (1, 2, 3)]))
     index = m.select("row_id", "master_name", "m_low", F.explode(grams).alias("gram"))
-    count = index.select("gram").join(kinds, "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    count = index.select("gram").join(F.broadcast(kinds), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     rarest = asked.join(count, "gram").groupBy("q_name", "q_low", "gn").agg(F.min(F.struct("df", "gram")).alias("g"),
                                                                           F.count(F.lit(1)).alias("known"))
     # a text with a gram that no master holds has no container
     whole = F.size(F.array_distinct(_ngrams(F.col("q_low"), F.col("gn"))))
     rarest = rarest.where(F.col("known") == whole).select("q_name", "q_low", F.col("g.gram").alias("gram"))
-    pairs = rarest.join(index, "gram").filter(F.col("m_low").contains(F.col("q_low")))
+    held = index.join(F.broadcast(rarest.select("gram").distinct()), "gram", "left_semi").withColumn("_s", F.pmod(F.xxhash64("row_id"), F.lit(parts)))
+    rarest = rarest.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    pairs = rarest.hint("merge").join(held, ["gram", "_s"]).filter(F.col("m_low").contains(F.col("q_low")))
     if not score:
         return pairs.select(F.col("q_name").alias(name), "row_id", "master_name")
     tq, tm = word_tokens(F.col("q_name")), word_tokens(F.col("master_name"))
@@ -263,12 +267,11 @@ def substring_candidates(left: DataFrame, master: DataFrame, *, name: str = "nam
     total = lambda seq: F.lit(SEQ_WEIGHT) * seq + F.lit(JAC_WEIGHT) * jac
     short = pairs.where(F.length("m_low") < 200).withColumn("score", total(ratio(pairs)))
     long = pairs.where(F.length("m_low") >= 200).withColumn("score", total(seq_ratio("q_name", "master_name")))
-    pairs = short.unionByName(long).select("q_name", "row_id", "master_name", "score")
+    pairs = short.unionByName(long).select("q_name", "_s", "row_id", "master_name", "score")
     if k is None:
         return pairs.select(F.col("q_name").alias(name), "row_id", "master_name", "score")
     order = [F.col("score").desc(), "row_id"]
-    near = pairs.withColumn("_s", F.pmod(F.xxhash64("row_id"), F.lit(64)))
-    near = near.withColumn("_r", F.row_number().over(Window.partitionBy("q_name", "_s").orderBy(*order))).filter(F.col("_r") <= k)
+    near = pairs.withColumn("_r", F.row_number().over(Window.partitionBy("q_name", "_s").orderBy(*order))).filter(F.col("_r") <= k)
     top = near.withColumn("rank", F.row_number().over(Window.partitionBy("q_name").orderBy(*order))).filter(F.col("rank") <= k)
     return top.select(F.col("q_name").alias(name), "rank", "row_id", "master_name", "score")
 
