@@ -22,7 +22,7 @@ from tessera.plans import jobs
 from tessera.plans.catalog import register
 from tessera.plans.page_catalog import _POSITIONS, _YEARS, _joined, _pick
 from tessera.plans.table_catalog import _folder
-from tessera.session import read_table
+from tessera.session import read_table, spread
 from tessera.sources import files, sinks
 
 
@@ -116,7 +116,7 @@ _LINKS = [("a/b", "'/dir/' || k || '/a/b'"), ("../up", "'/dir/up'"), ("?q=1", "'
 def relative_links(spark, sf_dir):
     """Links relative to the page, with dot segments, queries and
     fragments, of other hosts and schemes."""
-    p = read_table(spark, sf_dir, "part")
+    p = spread(read_table(spark, sf_dir, "part"), "p_partkey")
     url = F.concat(F.lit("http://h"), F.col("p_size").cast("string"), F.lit(".org/dir/"), (F.col("p_partkey") % 10).cast("string"), F.lit("/page.html"))
     html = F.lit("<body>" + "".join(f"<a href='{t}'>x</a>" for t, _ in _LINKS) + "</body>")
     nodes = hx.html_nodes(p.select(F.col("p_partkey").alias("page_id"), url.alias("url"), html.alias("html")), tags={"a"}, text_tags=set(), carry=["url"])
