@@ -26,7 +26,7 @@ from tessera.llm.common import as_column, bounded_batches, chunk_count, scratch,
 from tessera.llm.wordbpe import tokenizer
 
 END_ID = 2
-SEGMENT = 1 << 23
+SEGMENT = 1 << 21
 PART_BYTES = 24 << 20
 _SEGMENT = "part long, seq long, n_ids long, doc_ids array<bigint>, sizes array<bigint>, blocks array<binary>"
 
