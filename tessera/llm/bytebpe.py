@@ -5,8 +5,8 @@ texts is reduced to its distinct words, as arrays of byte tokens.  Spark
 higher-order functions fold the ranked merges over these arrays: each step
 looks up the rank of every neighbouring pair in a literal rank map and merges
 the first pair of the lowest rank, until no pair has a rank.  A rank is the id
-of the merged token.  The literal map is an array of small buckets, so that a
-look-up is one index and a short scan.  Ids of a text are the ids of its words in order;
+of the merged token.  The literal map is one array whose rows (of a left token)
+are shifted into each other's gaps, so that a look-up is two indexes.  Ids of a text are the ids of its words in order;
 decoding concatenates the binary pieces of the ids.
 
 Everything is map-only: no text is shuffled, and a block (``BLOCK_BYTES`` of
@@ -33,8 +33,9 @@ from tessera.llm.pretokens import byte_offsets, classes, code_points, cut
 from tessera.llm.wordbpe import _ranges
 
 BLOCK_BYTES = 32 << 20   # code points of a block
-BUCKETS = 1 << 16
-_SHIFT = 7
+_LEFT, _MERGED = 47, 31   # bits of an entry: left token from 47, merged token from 31, index below
+_NONE = (1 << 16) - 1      # left token of an empty entry
+_TRIES = 1 << 11           # places tried at a time
 _CUT_AT_ONCE = 1 << 20     # code points cut to words at a time
 
 
@@ -50,55 +51,75 @@ def merge_pairs(table: dict[bytes, int]) -> list[tuple[int, int, int]]:
             if t[:k] in table and t[k:] in table]
 
 
-def _bucket(a, b):
-    """Bucket of a pair, the same on columns and on numbers.  Pairs of one
-    bucket differ in ``b``: ids stay below 2^16, and for one ``b`` the bucket is
-    ``a`` with some bits flipped."""
-    if isinstance(a, Column):
-        return a.bitwiseXOR(F.shiftleft(b, _SHIFT)).bitwiseAND(F.lit(BUCKETS - 1))
-    return (a ^ b << _SHIFT) & (BUCKETS - 1)
-
-
 @functools.lru_cache(2)
 def _literal(path: str) -> tuple[str, str]:
-    """The rank map as two JSON literals: of every bucket the right tokens, and
-    a null followed by the merged tokens.  Its size is fixed by the vocabulary."""
-    rights: list[list[int]] = [[] for _ in range(BUCKETS)]
-    ids: list[list[int | None]] = [[None] for _ in range(BUCKETS)]
+    """The rank map as two JSON literals: every left token has a place, and the
+    entry of a pair lies in the table at the left token's place plus the right
+    token.  An entry holds the left token, which tells it from an entry of
+    another row, and the merged token.  The size is fixed by the vocabulary."""
+    rows: dict[int, dict[int, int]] = {}
     for a, b, merged in merge_pairs(ranks(path)):
-        n = _bucket(a, b)
-        rights[n].append(b)
-        ids[n].append(merged)
-    return json.dumps(rights, separators=(",", ":")), json.dumps(ids, separators=(",", ":"))
+        rows.setdefault(a, {})[b] = merged
+    top = max(ranks(path).values()) + 1
+    if top > _NONE:
+        raise ValueError("token ids must be below 65535")
+    size = 4 * max(top, sum(map(len, rows.values())))
+    place, table, taken = np.zeros(top, np.int64), np.full(size, _NONE << _LEFT, np.int64), np.zeros(size, bool)
+    # long rows first, each where its entries are free; rows of about one length go on where the last one was placed
+    length = 0
+    for a in sorted(rows, key=lambda a: -len(rows[a])):
+        right = np.sort(np.fromiter(rows[a], np.int64, len(rows[a])))
+        if length != int(right.size).bit_length():
+            length, free, tried = int(right.size).bit_length(), np.flatnonzero(~taken), 0
+        while True:
+            at = free[tried:tried + _TRIES]
+            at = at[at >= right[0]] - right[0]
+            for b in right:
+                at = at[~taken[at + b]]
+            if at.size:
+                break
+            tried += _TRIES
+        place[a] = at[0]
+        taken[at[0] + right] = True
+        table[at[0] + right] = a << _LEFT | np.array([rows[a][int(b)] for b in right]) << _MERGED
+    # beyond the last entry there is none, whatever the right token
+    table = table[:int(place.max()) + top]
+    return json.dumps(place.tolist(), separators=(",", ":")), json.dumps(table.tolist(), separators=(",", ":"))
+
+
+def _if(condition: Column, yes: Column, no: Column) -> Column:
+    """A plain conditional: ``when`` walks a list of branches for every row."""
+    return F.call_function("if", condition, yes, no)
 
 
 def fold(word: Column, path: str) -> Column:
-    """array<int> of byte tokens -> array<int> of the merged tokens."""
-    rights, ids = _literal(path)
-    lit_rights = F.from_json(F.lit(rights), "array<array<int>>")
-    lit_ids = F.from_json(F.lit(ids), "array<array<int>>")
-
-    def rank(a: Column, b: Column) -> Column:
-        n = _bucket(a, b)
-        return F.get(F.get(lit_ids, n), F.array_position(F.get(lit_rights, n), b).cast("int"))
+    """array<bigint> of byte tokens -> array<bigint> of the merged tokens."""
+    place, table = _literal(path)
+    lit_place = F.from_json(F.lit(place), "array<bigint>")
+    lit_table = F.from_json(F.lit(table), "array<bigint>")
 
     def step(state: Column, _: Column) -> Column:
         n = F.size(state)
-        pairs = F.zip_with(F.slice(state, F.lit(1), n - 1), F.slice(state, F.lit(2), n - 1), rank)
 
-        def merge(found: Column) -> Column:
-            low = F.array_min(found)
-            at = F.array_position(found, low).cast("int")
+        def found(a: Column, i: Column) -> Column:
+            # merged token and index of a pair with a rank; without one, the left tokens differ and leave high bits
+            entry = F.get(lit_table, F.get(lit_place, a) + F.get(state, i + 1))
+            return entry.bitwiseXOR(F.shiftleft(a, _LEFT)) + i
+
+        def merge(low: Column) -> Column:
+            at = low.bitwiseAND(F.lit((1 << _MERGED) - 1))
+            merged = F.transform(F.slice(state, F.lit(1), n - 1), lambda a, i: _if(
+                i < at, a, _if(i == at, F.shiftright(low, _MERGED), F.get(state, i + 1))))
             # a null at the end says that no pair has a rank any more
-            return F.when(low.isNull(), F.concat(state, F.array(F.lit(None).cast("int")))).otherwise(
-                F.concat(F.slice(state, F.lit(1), at - 1), F.array(low), F.slice(state, at + 2, n)))
+            return _if(low >= F.lit(1 << _LEFT), F.concat(state, F.array(F.lit(None).cast("long"))), merged)
 
-        # the one-element array binds the ranks, so that they are looked up once
-        return F.when((n < 2) | F.get(state, n - 1).isNull(), state).otherwise(F.get(F.transform(F.array(pairs), merge), F.lit(0)))
+        # the lowest rank, of equal ones the leftmost; the one-element array binds it, so that it is found once
+        best = F.transform(F.array(F.array_min(F.transform(state, found))), merge)
+        return _if((n < 2) | F.get(state, n - 1).isNull(), state, F.get(best, F.lit(0)))
 
     def done(state: Column) -> Column:
         n = F.size(state)
-        return F.when(F.get(state, n - 1).isNull(), F.slice(state, F.lit(1), n - 1)).otherwise(state)
+        return _if(F.get(state, n - 1).isNull(), F.slice(state, F.lit(1), n - 1), state)
 
     return F.when(F.size(word) < 2, word).otherwise(
         F.aggregate(F.sequence(F.lit(2), F.size(word)), word, step, done))
@@ -130,7 +151,7 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
 
     def run(batches):
         table = ranks(path)
-        of_byte = np.zeros(256, np.int32)
+        of_byte = np.zeros(256, np.int64)
         for k in range(256):
             of_byte[k] = table[bytes([k])]
 
@@ -140,7 +161,7 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
             whole = np.fromiter((table.get(w, -1) for w in index), np.int64, len(index))
             size = np.where(whole >= 0, 1, np.diff(off))
             to = np.concatenate([[0], np.cumsum(size)])
-            flat = np.empty(to[-1], np.int32)
+            flat = np.empty(to[-1], np.int64)
             flat[to[:-1][whole >= 0]] = whole[whole >= 0]
             rest = np.flatnonzero(whole < 0)
             flat[_ranges(to[rest], size[rest])] = of_byte[raw[_ranges(off[rest], size[rest])]]
@@ -174,7 +195,7 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
         release_memory()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return src.mapInArrow(run, "doc_id array<bigint>, n_words binary, codes binary, words array<array<int>>")
+    return src.mapInArrow(run, "doc_id array<bigint>, n_words binary, codes binary, words array<array<bigint>>")
 
 
 def _pieces(path: str) -> dict[int, bytes]:
