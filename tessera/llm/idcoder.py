@@ -23,7 +23,7 @@ import zlib
 
 import numpy as np
 
-BLOCK = 4096
+BLOCK = 1024           # short: a segment fills as many lanes as pay for the steps
 MAGIC = b"TMX1"
 HEADER = struct.Struct("<4sIII")
 _CLASSES = 32
