@@ -34,7 +34,7 @@ from tessera.llm.wordbpe import _ranges
 
 BLOCK_BYTES = 32 << 20   # code points of a block
 _LEFT, _MERGED = 47, 31   # bits of an entry: left token from 47, merged token from 31, index below
-_NONE = (1 << 16) - 1      # left token of an empty entry
+_MOST = (1 << 16) - 1      # token ids stay below
 _TRIES = 1 << 11           # places tried at a time
 _CUT_AT_ONCE = 1 << 20     # code points cut to words at a time
 
@@ -56,18 +56,27 @@ def _literal(path: str) -> tuple[str, str]:
     """The rank map as two JSON literals: every left token has a place, and the
     entry of a pair lies in the table at the left token's place plus the right
     token.  An entry holds the left token, which tells it from an entry of
-    another row, and the merged token.  The size is fixed by the vocabulary."""
+    another row, and the merged token.  The size is fixed by the vocabulary.
+
+    Spark writes literals into plans and their descriptions, so the text is kept
+    short: an empty entry is 0, that of the left token 0.  The row of token 0
+    therefore stands alone behind all others, where empty entries bear a token
+    whose row does not reach there."""
     rows: dict[int, dict[int, int]] = {}
     for a, b, merged in merge_pairs(ranks(path)):
         rows.setdefault(a, {})[b] = merged
     top = max(ranks(path).values()) + 1
-    if top > _NONE:
+    if top > _MOST:
         raise ValueError("token ids must be below 65535")
     size = 4 * max(top, sum(map(len, rows.values())))
-    place, table, taken = np.zeros(top, np.int64), np.full(size, _NONE << _LEFT, np.int64), np.zeros(size, bool)
+    place, table, taken = np.zeros(top, np.int64), np.zeros(size + 3 * top, np.int64), np.zeros(size, bool)
+
+    def put(a, right):
+        table[place[a] + right] = a << _LEFT | np.array([rows[a][int(b)] for b in right], np.int64) << _MERGED
+
     # long rows first, each where its entries are free; rows of about one length go on where the last one was placed
     length = 0
-    for a in sorted(rows, key=lambda a: -len(rows[a])):
+    for a in sorted(rows.keys() - {0}, key=lambda a: (-len(rows[a]), a)):
         right = np.sort(np.fromiter(rows[a], np.int64, len(rows[a])))
         if length != int(right.size).bit_length():
             length, free, tried = int(right.size).bit_length(), np.flatnonzero(~taken), 0
@@ -81,7 +90,13 @@ def _literal(path: str) -> tuple[str, str]:
             tried += _TRIES
         place[a] = at[0]
         taken[at[0] + right] = True
-        table[at[0] + right] = a << _LEFT | np.array([rows[a][int(b)] for b in right]) << _MERGED
+        put(a, right)
+    if top > 1:
+        other = 1 + int(place[1:].argmin())
+        place[0] = max(int(np.flatnonzero(taken).max(initial=-1)) + 1, int(place[other]) + top)
+        table[place[0]:] = other << _LEFT
+    if 0 in rows:
+        put(0, np.sort(np.fromiter(rows[0], np.int64, len(rows[0]))))
     # beyond the last entry there is none, whatever the right token
     table = table[:int(place.max()) + top]
     return json.dumps(place.tolist(), separators=(",", ":")), json.dumps(table.tolist(), separators=(",", ":"))
