@@ -182,7 +182,7 @@ def resumable_run(spark, sf_dir):
     a second one continues; a third finds nothing to do."""
     li = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_partkey").alias("part"), F.max("l_returnflag").alias("flag"))
     tables = Tables(spark, _folder(spark, "run"))
-    units = li.select("l_orderkey").distinct()
+    units = read_table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
     flag = li.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n"), "flag")
 
     def work(open_: DataFrame) -> DataFrame:

@@ -53,15 +53,18 @@ def upsert_change(tables: Tables, state: dict, table: str, batch: DataFrame, key
     values = F.xxhash64(F.to_json(F.struct(*names))) if names else F.lit(0).cast("long")
     first = new.withColumn("_rank", F.struct(F.lit(1).alias("of"), values.alias("values")))
     schema = new.schema
+    # stored rows are counted, not the merge, which would run twice
+    most = new.count()
     if tables.has(table, state):
         old = tables.read(table, buckets, state=state)
+        most += old.count()
         schema = with_schema(new, old.schema)[1]
         first = with_schema(first, schema)[0].select(*schema.fieldNames(), "_rank")
         old = with_schema(old, schema)[0].withColumn("_rank", F.struct(F.lit(0).alias("of"), F.lit(0).cast("long").alias("values")))
         first = old.unionByName(first)
     held = [c for c in schema.fieldNames() if c not in (*keys, ORDER, GONE, ENDED) and not c.startswith(AT)]
     merged = _latest(first, keys, held, merge).select(*schema.fieldNames())
-    return schema, tables.write(table, merged, keys, ROWS_PER_TASK), False
+    return schema, tables.write(table, merged, keys, ROWS_PER_TASK, most), False
 
 
 def upsert(tables: Tables, table: str, batch: DataFrame, keys: list[str], order, *, stream: str = "batch", batch_id: int | None = None,

@@ -58,14 +58,17 @@ def run_units(tables: Tables, units: DataFrame, keys: list[str], work: Callable[
         new = work(open_).select(*keys, F.lit(call).cast("long").alias("call"), F.col("seq").cast("long").alias("seq"),
                                  F.col("row_id").cast("long").alias("row_id"), "column", F.col("value").cast("string").alias("value"))
         writes = cut_lineage(new if late is None else late.unionByName(new))
-    tried = writes.withColumn("unit", F.to_json(F.struct(*keys))).withColumn("at", F.struct("call", "seq"))
+    tried = writes.withColumn("unit", F.struct(*keys)).withColumn("at", F.struct("call", "seq"))
     done = cut_lineage(split_pending(attempt(tried), "unit", "at", "failed"))
     applied, pending = done.where("state = 'applied'"), done.where("state = 'pending'").select(*writes.columns)
-    per = done.groupBy(*keys).agg(F.sum((F.col("state") == "applied").cast("long")).alias("applied"),
-                                  F.sum((F.col("state") == "pending").cast("long")).alias("pending"))
-    # a unit without any write is done as well
-    per = cut_lineage(open_.select(*keys).unionByName(per.select(*keys)).distinct().join(per, keys, "left").select(
-        *keys, F.lit(call).cast("long").alias("call"), F.coalesce("applied", F.lit(0)).alias("applied"), F.coalesce("pending", F.lit(0)).alias("pending")))
+    # a unit without any write is done as well; so is one without a whole key
+    states, whole = ["applied", "pending"], F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    each = done.select(*keys, *[(whole & (F.col("state") == x)).cast("long").alias(x) for x in states])
+    none = open_.select(*keys, *[F.lit(0).cast("long").alias(x) for x in states])
+    per = cut_lineage(none.unionByName(each).groupBy(*keys).agg(*[F.sum(x).alias(x) for x in states]).select(
+        *keys, F.lit(call).cast("long").alias("call"), *states))
     order = F.struct("call", "seq")
     changes = {
         target: keyed.upsert_change(tables, state, target, applied.select("row_id", "column", "value", "call", "seq"), ["row_id", "column"], order),

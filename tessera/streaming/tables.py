@@ -110,16 +110,16 @@ class Tables:
     def has(self, table: str, state: dict | None = None) -> bool:
         return table in (state or self.state())["schemas"]
 
-    def write(self, table: str, rows: DataFrame, keys: list[str], rows_per_task: int | None = None) -> dict[str, list[str]]:
+    def write(self, table: str, rows: DataFrame, keys: list[str], rows_per_task: int | None = None, most: int = 0) -> dict[str, list[str]]:
         """Write rows into a new folder, dealt by bucket and sorted by key;
         gives {bucket: [folder]} of the buckets that got rows.  With
-        ``rows_per_task`` a bucket of more rows is dealt over several tasks."""
+        ``rows_per_task`` a bucket of more rows is dealt over several tasks:
+        there are ``most`` rows at most."""
         name = f"data/{table}/{uuid.uuid4().hex}"
         x = rows.withColumn(BUCKET, self.bucket_of(keys))
         deal = [F.col(BUCKET)]
         if rows_per_task:
-            n = rows.count()
-            deal.append(F.pmod(F.xxhash64(*keys, F.lit(5)), F.lit(max(1, -(-n // (rows_per_task * self.buckets))))))
+            deal.append(F.pmod(F.xxhash64(*keys, F.lit(5)), F.lit(max(1, -(-most // (rows_per_task * self.buckets))))))
         x = x.repartition(*deal).sortWithinPartitions(BUCKET, *keys)
         x.write.partitionBy(BUCKET).parquet(f"{self.root}/{name}")
         return {n.split("=")[1]: [f"{name}/{n}"] for n in self._names(f"{self.root}/{name}") if n.startswith(BUCKET + "=")}
