@@ -25,10 +25,11 @@ import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import as_column, bounded_batches, byte_view, encode_spans, release_memory
+from tessera.llm.common import as_column, bounded_batches, byte_view, release_memory
 from tessera.llm.pretokens import byte_offsets, classes, code_points, cut
 from tessera.llm.wordbpe import _ranges
 
@@ -140,23 +141,25 @@ def fold(word: Column, path: str) -> Column:
         F.aggregate(F.sequence(F.lit(2), F.size(word)), word, step, done))
 
 
-def _words(texts: list[str]):
-    """(codes of all words in order, words per text, distinct words)."""
-    first, at = [], 0
-    for t in texts:
-        first.append(at)
-        at += len(t)
+def _words(texts: list[str]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """(all words in order, words per text)."""
     joined = "".join(texts)
+    start_of = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     cps = code_points(joined)
     edge = np.zeros(cps.size, bool)
-    start_of = np.array(first + [at])
     edge[start_of[:-1][np.diff(start_of) > 0]] = True
     head = np.flatnonzero(cut(cps, classes()[cps], edge, True))
-    boff = byte_offsets(cps)
-    raw = np.frombuffer(joined.encode("utf-8"), np.uint8)
-    codes, words = encode_spans(raw, boff[head], boff[np.append(head[1:], cps.size)] if head.size else boff[:0])
-    doc = np.searchsorted(start_of, head, side="right") - 1
-    return codes, np.bincount(doc, minlength=len(texts)), words
+    # words follow each other without gaps: one ends where the next one starts
+    off = byte_offsets(cps)[np.append(head, cps.size)]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), head.size, [None, pa.py_buffer(off), pa.py_buffer(joined.encode("utf-8"))])
+    return words.dictionary_encode(), np.diff(np.searchsorted(head, start_of))
+
+
+def _united(parts: list[pa.DictionaryArray]) -> tuple[bytes, pa.LargeBinaryArray]:
+    """(codes of the parts' words in order, distinct words of all parts); no
+    word becomes a Python object."""
+    parts = pa.chunked_array(parts).unify_dictionaries().chunks
+    return b"".join(p.indices.to_numpy(zero_copy_only=False).astype("<i4").tobytes() for p in parts), parts[0].dictionary
 
 
 def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
@@ -166,14 +169,16 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
 
     def run(batches):
         table = ranks(path)
+        tokens, token_ids = pa.array(table.keys(), pa.large_binary()), np.fromiter(table.values(), np.int64, len(table))
         of_byte = np.zeros(256, np.int64)
         for k in range(256):
             of_byte[k] = table[bytes([k])]
 
-        def block(ids, per_doc, codes, index):
-            words = pa.array(index.keys(), pa.large_binary())
+        def block(ids, per_doc, parts):
+            codes, words = _united(parts)
             raw, off = byte_view(words)
-            whole = np.fromiter((table.get(w, -1) for w in index), np.int64, len(index))
+            found = pc.index_in(words, value_set=tokens).fill_null(-1).to_numpy(zero_copy_only=False)
+            whole = np.where(found >= 0, token_ids[found], -1)
             size = np.where(whole >= 0, 1, np.diff(off))
             to = np.concatenate([[0], np.cumsum(size)])
             flat = np.empty(to[-1], np.int64)
@@ -183,11 +188,11 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(flat))
             return pa.RecordBatch.from_arrays(
                 [pa.array([ids], pa.list_(pa.int64())), pa.array([b"".join(per_doc)], pa.binary()),
-                 pa.array([b"".join(codes)], pa.binary()),
+                 pa.array([codes], pa.binary()),
                  pa.ListArray.from_arrays(pa.array([0, len(lists)], pa.int32()), lists)], names=names)
 
-        # texts are cut some at a time; a block keeps their codes and its words
-        ids, per_doc, codes, index, held = [], [], [], {}, 0
+        # texts are cut some at a time; a block keeps their codes and distinct words
+        ids, per_doc, parts, held = [], [], [], 0
         for b in batches:
             part_ids, texts = as_column(b, "doc_id").to_pylist(), [t or "" for t in as_column(b, "text").to_pylist()]
             ends = np.cumsum([0] + [len(t) for t in texts])
@@ -195,30 +200,39 @@ def _blocks(docs: DataFrame, path: str, block_bytes: int) -> DataFrame:
             while a < len(texts):
                 z = max(a + 1, int(np.searchsorted(ends, ends[a] + _CUT_AT_ONCE, side="right")) - 1)
                 if ids and held + int(ends[z] - ends[a]) > block_bytes:
-                    yield block(ids, per_doc, codes, index)
-                    ids, per_doc, codes, index, held = [], [], [], {}, 0
-                got, n, words = _words(texts[a:z])
-                to = np.fromiter((index.setdefault(w, len(index)) for w in words.to_pylist()), np.int64, len(words))
-                codes.append(to[got].astype("<i4").tobytes())
+                    yield block(ids, per_doc, parts)
+                    ids, per_doc, parts, held = [], [], [], 0
+                got, n = _words(texts[a:z])
+                parts.append(got)
                 per_doc.append(n.astype("<i4").tobytes())
                 ids += part_ids[a:z]
                 held += int(ends[z] - ends[a])
                 a = z
         if ids:
-            yield block(ids, per_doc, codes, index)
-        del ids, per_doc, codes, index
+            yield block(ids, per_doc, parts)
+        del ids, per_doc, parts
         release_memory()
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     return src.mapInArrow(run, "doc_id array<bigint>, n_words binary, codes binary, words array<array<bigint>>")
 
 
-def _pieces(path: str) -> dict[int, bytes]:
-    return {i: p for p, i in ranks(path).items()}
+def _pieces(path: str) -> pa.LargeBinaryArray:
+    """The piece of every id; null where an id has none."""
+    table = ranks(path)
+    out = [None] * (max(table.values()) + 1)
+    for piece, i in table.items():
+        out[i] = piece
+    return pa.array(out, pa.large_binary())
 
 
-def _decoded(ids: bytes, pieces: dict[int, bytes]) -> bytes:
-    return b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+def _decoded(ids: np.ndarray, ends: np.ndarray, pieces: pa.LargeBinaryArray) -> pa.Array:
+    """The pieces of ``ids``, concatenated between neighbouring ``ends``."""
+    found = pieces.take(pa.array(ids, pa.uint32()))
+    if found.null_count:
+        raise ValueError("an id without a piece")
+    raw, off = byte_view(found)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(off[ends]), pa.py_buffer(raw)]).cast(pa.binary())
 
 
 def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
@@ -247,12 +261,13 @@ def encode(docs: DataFrame, path: str, block_bytes: int = BLOCK_BYTES, decoded:
                     part = codes[ends[a]:ends[z]]
                     out = flat[_ranges(off[part], size[part])] if part.size else flat[:0]
                     run_of = np.concatenate([[0], np.cumsum(size[part])])
-                    cuts = 4 * run_of[ends[a:z + 1] - ends[a]]
+                    text_ends = run_of[ends[a:z + 1] - ends[a]]
+                    cuts = 4 * text_ends
                     got = pa.LargeBinaryArray.from_buffers(
                         pa.large_binary(), z - a, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(out.tobytes())]).cast(pa.binary())
                     cols = {"doc_id": ids.slice(a, z - a), "ids": got}
                     if decoded:
-                        cols["decoded"] = pa.array([_decoded(x, pieces) for x in got.to_pylist()], pa.binary())
+                        cols["decoded"] = _decoded(out, text_ends, pieces)
                     yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
         release_memory()
 
@@ -264,8 +279,10 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         pieces = _pieces(path)
         for b in batches:
-            out = [_decoded(x, pieces) for x in as_column(b, "ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([as_column(b, "doc_id"), as_column(b, "ids"), pa.array(out, pa.binary())],
+            raw, off = byte_view(as_column(b, "ids"))
+            if (off % 4).any():
+                raise ValueError("ids must be of 4 bytes each")
+            yield pa.RecordBatch.from_arrays([as_column(b, "doc_id"), as_column(b, "ids"), _decoded(np.frombuffer(raw.tobytes(), "<u4"), off // 4, pieces)],
                                              names=["doc_id", "ids", "decoded"])
 
     return encoded.mapInArrow(run, "doc_id bigint, ids binary, decoded binary")
